@@ -34,6 +34,10 @@ class Checks:
     not_null: Sequence[str] = ()
     references: Sequence[Reference] = ()
 
+    def only(self, *kinds: str) -> Checks:
+        """The same checks restricted to the named kinds."""
+        return Checks(**{kind: getattr(self, kind) for kind in kinds})
+
 
 def _value_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, n) for the non-null values of several columns."""
