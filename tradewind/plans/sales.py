@@ -1,7 +1,7 @@
-"""Two narrow views of the order lines that every report is computed from.
+"""Narrow views of the order lines that the reports and the forecast are computed from.
 
-``order_sales`` has one row per order with lines, ``product_sales`` one row per product. Both
-total the lines before anything else is joined, so an order or product with very many lines
+``order_sales`` has one row per order with lines, ``product_sales`` one row per product and
+``monthly_sales`` one row per series and month. They total the lines before anything else is joined, so an order or product with very many lines
 shrinks to one row per task ahead of the shuffle, and reports never join at line grain.
 
 Built warehouses are read from ``fact_sales``; otherwise the staging frames are used with
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import labels
+from tradewind.functions.columns import month_start
 from tradewind.plans import marts
 from tradewind.plans.warehouse import Warehouse
 
@@ -29,32 +30,45 @@ def _line_totals(amount: Column) -> list[Column]:
             F.sum(amount).alias("amount")]
 
 
-def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True) -> DataFrame:
-    """One row per order that has lines.
+# Product attributes that can split an order into several rows.
+PRODUCT_COLUMNS = ("product_name", "productsubcategory_name", "productcategory_name")
+
+
+def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
+                split_by: str | None = None) -> DataFrame:
+    """One row per order that has lines, or per order and value of ``split_by``.
 
     Columns: ``salesorderid``, ``totaldue``, ``line_count``, ``quantity``, ``amount`` (paid for
     the lines) and the order-level fact columns named in ``columns``. A sum of an order value
     over lines is ``sum(value * line_count)``. ``sales_only`` drops cancelled, rejected and
-    unknown states.
+    unknown states. ``split_by`` is one of ``PRODUCT_COLUMNS``.
     """
     wanted = tuple(dict.fromkeys((*columns, "totaldue", *(["statussales"] if sales_only else []))))
+    split = [split_by] if split_by else []
     if warehouse.has("fact_sales"):
         lines = warehouse.mart("fact_sales")
         if sales_only:
             lines = lines.where(is_sale())
-        totals = (lines.groupBy("salesorderid", *wanted)
+        if split_by:
+            products = warehouse.mart("dim_products").select(
+                F.col("productsk").alias("productfk"), split_by)
+            lines = lines.join(products, "productfk", "left")
+        totals = (lines.groupBy("salesorderid", *wanted, *split)
                   .agg(*_line_totals(F.col("amountpaidproduct"))))
     else:
         lines = warehouse.stg("stg_salesorderdetail")
+        if split_by:
+            products = marts.product_attributes(warehouse).select("productid", split_by)
+            lines = lines.join(products, "productid", "left")
         orders = marts.orders(warehouse, wanted)
         if sales_only:
             orders = orders.where(is_sale())
-        per_order = (lines.groupBy(F.col("salesorderid").alias("line_salesorderid"))
+        per_order = (lines.groupBy(F.col("salesorderid").alias("line_salesorderid"), *split)
                      .agg(*_line_totals(marts.line_amount())))
         totals = per_order.join(
             orders, F.col("line_salesorderid") == F.col("salesorderid"),
             "inner" if sales_only else "left")
-    return totals.select("salesorderid", *dict.fromkeys((*columns, "totaldue")),
+    return totals.select("salesorderid", *dict.fromkeys((*columns, "totaldue")), *split,
                          "line_count", "quantity", "amount")
 
 
@@ -63,6 +77,41 @@ def over_lines(value: str) -> Column:
     return F.col(value) * F.col("line_count").cast("decimal(12,0)")
 
 
+def monthly_sales(warehouse: Warehouse, series: str | None = None) -> DataFrame:
+    """Monthly totals of all orders within the calendar, cancelled ones included.
+
+    ``series`` names an order-level fact column or one of ``PRODUCT_COLUMNS``; each of its
+    values becomes a series. Without it there is one series, ``all``.
+    """
+    of_product = series in PRODUCT_COLUMNS
+    key = F.lit("all") if series is None else F.col(series).cast("string")
+    columns = ["orderdate", "customerfk", *([series] if series and not of_product else [])]
+    rows = order_sales(warehouse, *columns, sales_only=False,
+                       split_by=series if of_product else None)
+    days = warehouse.mart("dim_dates").select(F.col("metric_date").alias("orderdate"))
+    revenue = F.sum(over_lines("totaldue"))
+    lines = F.sum(F.when(F.col("totaldue").isNotNull(), F.col("line_count")))
+    return (rows.join(days, "orderdate")
+            .groupBy(key.alias("series_key"), month_start("orderdate").alias("order_month"))
+            .agg(F.count("salesorderid").alias("total_orders"),
+                 revenue.alias("total_revenue"),
+                 F.sum("quantity").alias("total_qty"),
+                 F.count_distinct("customerfk").alias("unique_customers"),
+                 (revenue.cast("double") / lines).alias("avg_order_value")))
+
+
+def complete_months(warehouse: Warehouse, series: DataFrame) -> DataFrame:
+    """Drop the month of the last order unless that order is on the month's last day."""
+    if warehouse.has("fact_sales"):
+        orders = warehouse.mart("fact_sales")
+    else:
+        orders = warehouse.stg("stg_salesorderheader")
+    last = F.max("orderdate")
+    first_open = orders.agg(
+        F.trunc(F.date_add(last, 1), "MM").alias("first_open_month")).scalar()
+    return series.where(F.col("order_month") < first_open)
+
+
 def product_sales(warehouse: Warehouse) -> DataFrame:
     """Sold quantity, amount and cost per product, with the product's names."""
     if warehouse.has("fact_sales") and warehouse.has("dim_products"):
