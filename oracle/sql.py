@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from tradewind.functions import labels
+from tradewind.operators.features import FEATURES, LAGS, ROLLING, TIME_FEATURES
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS
 from tradewind.plans.staging import STAGING
 from tradewind.sources.feed import FEED
@@ -292,6 +293,106 @@ REPORTS: dict[str, str] = {
 }
 
 
+# --- forecast inputs ------------------------------------------------------------------
+
+def _monthly(series: str, joins: str = "") -> str:
+    return f"""
+        SELECT {series} AS series_key, {_MONTH} AS order_month, {_ORDERS} AS total_orders,
+               sum(totaldue) AS total_revenue, CAST(sum(orderqty) AS BIGINT) AS total_qty,
+               count(DISTINCT customerfk) AS unique_customers, avg(totaldue) AS avg_order_value
+        FROM fact_sales JOIN dim_dates ON orderdate = metric_date {joins}
+        GROUP BY ALL"""
+
+
+_BY_CATEGORY = "LEFT JOIN dim_products ON productfk = productsk"
+
+VIEWS |= {
+    "monthly_all": _monthly("'all'"),
+    "monthly_closed": """
+        SELECT * FROM monthly_all WHERE order_month <
+            (SELECT date_trunc('month', max(orderdate) + INTERVAL 1 DAY)
+             FROM stg_salesorderheader)""",
+}
+
+
+def _dated(source: str) -> str:
+    return f"""
+        SELECT *, CAST(month(order_month) AS INT) AS month,
+               CAST(quarter(order_month) AS INT) AS quarter,
+               CAST(year(order_month) AS INT) AS year,
+               round(sin(2 * pi() * month(order_month) / 12), 6) + 0.0 AS month_sin,
+               round(cos(2 * pi() * month(order_month) / 12), 6) + 0.0 AS month_cos,
+               round(sin(2 * pi() * quarter(order_month) / 4), 6) + 0.0 AS quarter_sin,
+               round(cos(2 * pi() * quarter(order_month) / 4), 6) + 0.0 AS quarter_cos
+        FROM {source}"""
+
+
+def _lagged(source: str) -> str:
+    lags = ", ".join(f"lag(revenue, {lag}) OVER o AS lag_{lag}" for lag in LAGS)
+    rolling = ", ".join(
+        f"CASE WHEN count(revenue) OVER w{size} = {size} THEN "
+        f"round({function}(revenue) OVER w{size}, 4) END AS rolling_{size}_{name}"
+        for size in ROLLING for name, function in (("mean", "avg"), ("std", "stddev_samp")))
+    windows = ", ".join(
+        f"w{size} AS (PARTITION BY series_key ORDER BY order_month "
+        f"ROWS BETWEEN {size} PRECEDING AND 1 PRECEDING)" for size in ROLLING)
+    return f"""
+        SELECT * EXCLUDE (revenue), {lags}, {rolling},
+               CAST(row_number() OVER o - 1 AS INT) AS trend
+        FROM (SELECT *, CAST(total_revenue AS DOUBLE) AS revenue FROM {source})
+        WINDOW o AS (PARTITION BY series_key ORDER BY order_month), {windows}"""
+
+
+VIEWS |= {
+    "dated_closed": _dated("monthly_closed"),
+    "lagged_closed": _lagged("dated_closed"),
+    "complete_rows": "SELECT series_key, order_month, CAST(total_revenue AS DOUBLE) AS "
+        f"total_revenue, {', '.join(FEATURES)} FROM lagged_closed "
+        "WHERE lag_12 IS NOT NULL",
+    "split_rows": """
+        SELECT *, row_number() OVER (ORDER BY order_month) - 1 AS place,
+               count(*) OVER () AS total, place < floor(total * 0.8) AS is_train
+        FROM complete_rows""",
+}
+
+_VALID = "place BETWEEN n - (5 - fold) * (n // 6) AND n - (5 - fold) * (n // 6) + n // 6 - 1"
+_PLAIN_MONTHLY = (f"SELECT * REPLACE ({_money('total_revenue')} AS total_revenue, "
+                  "round(avg_order_value, 4) AS avg_order_value) FROM (%s)")
+
+FORECAST: dict[str, str] = {
+    "monthly_sales": _PLAIN_MONTHLY % "SELECT * FROM monthly_all",
+    "monthly_sales_by_country": _PLAIN_MONTHLY % _monthly("countryregion_name"),
+    "monthly_sales_by_category": _PLAIN_MONTHLY % _monthly(
+        "productcategory_name", _BY_CATEGORY),
+    "time_features": "SELECT series_key, order_month, month, quarter, year, month_sin, "
+        f"month_cos, quarter_sin, quarter_cos FROM ({_dated('monthly_all')})",
+    "lag_features": f"SELECT series_key, order_month, {_money('total_revenue')} AS "
+        f"total_revenue, {', '.join(f for f in FEATURES if f not in TIME_FEATURES)} "
+        f"FROM ({_lagged('monthly_all')})",
+    "feature_set": "SELECT * REPLACE (round(total_revenue, 4) AS total_revenue) "
+        "FROM complete_rows",
+    "holdout_split": "SELECT series_key, order_month, is_train FROM split_rows",
+    "walk_forward_folds": f"""
+        SELECT series_key, CAST(fold AS INT) AS fold,
+               count(*) FILTER (WHERE place < n - (5 - fold) * (n // 6)) AS train_rows,
+               count(*) FILTER (WHERE {_VALID}) AS valid_rows,
+               min(order_month) FILTER (WHERE {_VALID}) AS valid_from,
+               max(order_month) FILTER (WHERE {_VALID}) AS valid_to
+        FROM (SELECT series_key, order_month, place, count(*) OVER () AS n
+              FROM split_rows WHERE is_train), range(5) f(fold)
+        GROUP BY ALL""",
+    "holdout_metrics_lag1": """
+        SELECT round(avg(abs(total_revenue - lag_1)), 4) AS mae,
+               round(sqrt(avg((total_revenue - lag_1) ** 2)), 4) AS rmse,
+               round(avg(abs((total_revenue - lag_1) / total_revenue))
+                     FILTER (WHERE total_revenue <> 0) * 100, 6) AS mape,
+               round(1 - sum((total_revenue - lag_1) ** 2)
+                     / sum((total_revenue - mean) ** 2), 6) AS r2
+        FROM (SELECT *, avg(total_revenue) OVER () AS mean FROM split_rows
+              WHERE NOT is_train)""",
+}
+
+
 # --- data checks ----------------------------------------------------------------------
 
 def _unique(model: str, column: str) -> str:
@@ -347,4 +448,4 @@ def compose(query: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     plain = {name: f"SELECT * FROM {name}" for name in (*STAGING, *MART_CHECKS)}
-    return {name: compose(sql) for name, sql in (plain | REPORTS | CHECKS).items()}
+    return {name: compose(sql) for name, sql in (plain | REPORTS | CHECKS | FORECAST).items()}

@@ -67,7 +67,9 @@ def lag_features(rows: DataFrame, target: str = TARGET,
 def feature_set(series: DataFrame, target: str = TARGET) -> DataFrame:
     """Series, month, target and the 17 features, for rows where nothing is missing."""
     values = series.withColumn(target, F.col(target).cast("double"))
-    complete = lag_features(time_features(values), target).na.drop("any")
+    featured = lag_features(time_features(values), target)
+    # The key may be NULL: sales without a country are a series as well.
+    complete = featured.na.drop("any", subset=[c for c in featured.columns if c != "series_key"])
     return complete.select("series_key", "order_month", target, *FEATURES)
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.operators.features import (
-    FEATURES,
     LAGS,
     ROLLING,
     TARGET,
     feature_set,
+    holdout_split,
     time_columns,
 )
 from tradewind.operators.lineage import written
@@ -136,8 +136,8 @@ class DemandForecast:
         return cls(read_monthly_csv(spark, path), **options)
 
     def features(self) -> DataFrame:
-        """The feature set, computed once and written to the checkpoint folder."""
-        return written(feature_set(self.series))
+        """The split feature set, computed once and written to the checkpoint folder."""
+        return written(holdout_split(feature_set(self.series), self.test_size))
 
     def run(self, save_to: str | None = None) -> ForecastResult:
         """Compare the models, forecast with the best and, if asked, save the outcome."""

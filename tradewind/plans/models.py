@@ -22,7 +22,6 @@ from tradewind.operators.features import (
     TARGET,
     fold_size,
     fold_start,
-    holdout_split,
     train_length,
 )
 from tradewind.operators.metrics import regression_metrics
@@ -75,12 +74,19 @@ def ridge_parameter(alpha: float, count: int, deviation: float) -> float:
     return alpha * deviation * (count - 1) / count**2
 
 
-def _fit_ridge(alpha: float) -> Fit:
+# Penalty per row, in units of a standardised feature's variance, that only decides between
+# exact solutions: the features are partly collinear (trend, year and month; a rolling mean
+# and its lags), and the least-squares solution of smallest norm is wanted.
+VANISHING_PENALTY = 1e-10
+
+
+def _fit_linear(penalty: Callable[[int], float]) -> Fit:
+    """Linear regression on standardised features; ``penalty`` gives alpha for a row count."""
     def fit(rows: DataFrame) -> PipelineModel:
         label = rows.agg(F.count(TARGET).alias("n"), F.stddev_pop(TARGET).alias("sd")).first()
         regressor = LinearRegression(
             labelCol=TARGET, elasticNetParam=0.0, standardization=False, solver="normal",
-            regParam=ridge_parameter(alpha, label.n, label.sd or 0.0))
+            regParam=ridge_parameter(penalty(label.n), label.n, label.sd))
         return Pipeline(stages=[*_standardised(), regressor]).fit(rows)
     return fit
 
@@ -97,9 +103,8 @@ def candidate_models(settings: ModelSettings | None = None) -> dict[str, Fit]:
         maxDepth=s.boosting_depth, subsamplingRate=s.boosting_subsample,
         maxBins=s.max_bins, seed=s.seed)
     return {
-        "LinearRegression (baseline)": _fit(
-            [*_standardised(), LinearRegression(labelCol=TARGET, regParam=0.0, solver="normal")]),
-        "Ridge": _fit_ridge(s.ridge_alpha),
+        "LinearRegression (baseline)": _fit_linear(lambda count: VANISHING_PENALTY * count),
+        "Ridge": _fit_linear(lambda count: s.ridge_alpha),
         "RandomForest": _fit([_assembler(), forest]),
         "GradientBoosting": _fit([_assembler(), boosting]),
     }
@@ -180,11 +185,10 @@ def feature_importance(model: PipelineModel) -> DataFrame | None:
 
 
 def split_rows(rows: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows; train rows carry ``position`` and ``length`` of the train part."""
-    split = holdout_split(rows, test_size)
-    train = (split.where("is_train")
+    """Train and test rows of a holdout split; ``length`` becomes that of the train part."""
+    train = (rows.where("is_train")
              .withColumn("length", train_length(F.col("length"), test_size)))
-    return train, split.where(~F.col("is_train"))
+    return train, rows.where(~F.col("is_train"))
 
 
 @dataclass(frozen=True)
@@ -201,7 +205,8 @@ def train_and_evaluate(rows: DataFrame, models: dict[str, Fit], *, test_size: fl
                        folds: int = 5, parallel: int = 4) -> Training:
     """Validate, compare on the held-out end of each series, refit the best on all rows.
 
-    ``rows`` is read by every fit, so it should be written or cached.
+    ``rows`` come from ``holdout_split`` with the same ``test_size``. Every fit reads them, so
+    they should be written out first.
     """
     train, test = split_rows(rows, test_size)
     scores = cv_scores(train, models, folds, parallel)
