@@ -417,7 +417,7 @@ def check_rows(kinds: tuple[str, ...]) -> str:
         tests += [("relationships", r.column,
                    _orphans(model, r.column, r.parent, r.parent_column))
                   for r in checks.references]
-        rows += [f"SELECT '{model.removeprefix('stg_')}' AS model, '{column}' AS column_name, "
+        rows += [f"SELECT '{model}' AS model, '{column}' AS column_name, "
                  f"'{test}' AS test, {failures} AS failures"
                  for test, column, failures in tests if test in kinds]
     return "SELECT *, failures = 0 AS passed FROM (" + " UNION ALL ".join(rows) + ")"

@@ -41,12 +41,13 @@ def left_join_hot(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     Broadcasting the hot keys is safe: see the bound in :func:`hot_keys`.
     """
     hot = F.broadcast(hot_keys(left if counted is None else counted, left_key, rows_per_split))
-    # NULL is a key here as well: null-safe, so a large NULL group is cut too.
+    # NULL is a key here as well: null-safe, so a large NULL group is cut too. The same form
+    # on both sides lets Spark broadcast the hot keys once.
     marked = (left.join(hot, F.col(left_key).eqNullSafe(F.col("_hot_key")), "left")
               .withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(0))
                           .otherwise(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")))
               .drop("_hot_key", "_parts"))
-    repeated = (right.join(hot, F.col(right_key) == F.col("_hot_key"), "left")
+    repeated = (right.join(hot, F.col(right_key).eqNullSafe(F.col("_hot_key")), "left")
                 .withColumn("_right_part", F.explode(F.sequence(
                     F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
                 .drop("_hot_key", "_parts"))

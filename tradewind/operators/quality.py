@@ -11,12 +11,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REPORT_COLUMNS = ("model", "column_name", "test", "failures", "passed")
-
-
 @dataclass(frozen=True)
 class Reference:
     """Values of ``column`` must occur in ``parent_column`` of ``parent``."""
@@ -40,22 +37,24 @@ class Checks:
 
 
 def _value_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, n) for the non-null values of several columns."""
-    entries = F.array(*(F.struct(F.lit(column).alias("column_name"),
-                                 F.col(column).cast("string").alias("value"))
-                        for column in columns))
-    return (rows.select(F.explode(entries).alias("entry"))
-            .select("entry.column_name", "entry.value")
-            .where(F.col("value").isNotNull())
-            .groupBy("column_name", "value")
-            .agg(F.count(F.lit(1)).alias("n")))
-
-
-def _by_column(failing: DataFrame, columns: Sequence[str], failures) -> DataFrame:
+    """(place, value, n) for the non-null values of several columns; place is the column's."""
+    if len(columns) == 1:
+        values = rows.select(F.lit(0).alias("place"), F.col(columns[0]).alias("value"))
+    else:
+        entries = F.array(*(F.struct(F.lit(place).alias("place"),
+                                     F.col(column).cast("string").alias("value"))
+                            for place, column in enumerate(columns)))
+        values = rows.select(F.inline(entries))
+    return (values.where(F.col("value").isNotNull())
+            .groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _by_column(failing: DataFrame, columns: Sequence[str],
+               failures: Callable[[Column], Column]) -> DataFrame:
     """Failures per column, with a row for columns that have none."""
-    totals = (failing.groupBy().agg(*(
-        F.coalesce(failures(F.col("column_name") == column), F.lit(0)).cast("bigint")
-        .alias(column) for column in columns)))
+    totals = failing.agg(*(
+        F.coalesce(failures(F.col("place") == place), F.lit(0)).cast("bigint").alias(column)
+        for place, column in enumerate(columns)))
     return totals.unpivot([], list(columns), "column_name", "failures")
 
 
@@ -76,20 +75,20 @@ def relationships(rows: DataFrame, references: Sequence[Reference],
     """(column_name, failures): how many rows hold a non-null value without a parent row."""
     parents = reduce(DataFrame.unionByName, (
         parent(reference.parent).select(
-            F.lit(reference.column).alias("column_name"),
+            F.lit(place).alias("place"),
             F.col(reference.parent_column).cast("string").alias("value"))
-        for reference in references))
+        for place, reference in enumerate(references)))
     columns = [reference.column for reference in references]
-    orphans = _value_counts(rows, columns).join(parents, ["column_name", "value"], "left_anti")
+    counts = _value_counts(rows, columns).withColumn("value", F.col("value").cast("string"))
+    orphans = counts.join(parents, ["place", "value"], "left_anti")
     return _by_column(orphans, columns, lambda matches: F.sum(F.when(matches, F.col("n"))))
 
 
-def run_checks(model: Callable[[str], DataFrame], spec: Mapping[str, Checks],
-               rename: Callable[[str], str] = str) -> DataFrame:
+def run_checks(model: Callable[[str], DataFrame], spec: Mapping[str, Checks]) -> DataFrame:
     """Report (model, column_name, test, failures, passed) for every declared check.
 
-    ``model`` returns the frame for a model name. The report is lazy; checks on built tables
-    read each table, unbuilt models are computed once per kind of check.
+    ``model`` returns the frame for a model name. The report is lazy. Checking written tables
+    reads the checked columns; a model that is not written is computed once per kind of check.
     """
     parts = []
     for name, checks in spec.items():
@@ -100,8 +99,8 @@ def run_checks(model: Callable[[str], DataFrame], spec: Mapping[str, Checks],
             parts.append((name, "not_null", not_null(rows, checks.not_null)))
         if checks.references:
             parts.append((name, "relationships", relationships(rows, checks.references, model)))
+    failures = F.col("failures").cast("bigint")
     return reduce(DataFrame.unionByName, (
-        failures.select(F.lit(rename(name)).alias("model"), "column_name",
-                        F.lit(test).alias("test"), F.col("failures").cast("bigint").alias("failures"),
-                        (F.col("failures") == 0).alias("passed"))
-        for name, test, failures in parts))
+        result.select(F.lit(name).alias("model"), "column_name", F.lit(test).alias("test"),
+                      failures.alias("failures"), (failures == 0).alias("passed"))
+        for name, test, result in parts))

@@ -129,7 +129,8 @@ class DemandForecast:
     def from_warehouse(cls, warehouse: Warehouse, series: str | None = None,
                        **options) -> DemandForecast:
         """Monthly sales of a warehouse, without a last month that is still open."""
-        return cls(complete_months(warehouse, monthly_sales(warehouse, series)), **options)
+        months = monthly_sales(warehouse, series, customers=False)
+        return cls(complete_months(warehouse, months), **options)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str, **options) -> DemandForecast:

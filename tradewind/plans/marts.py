@@ -70,6 +70,16 @@ def dim_customers(tables: Tables) -> DataFrame:
         "namestore")
 
 
+def customer_person_types(tables: Tables) -> DataFrame:
+    """``customerfk`` and person type of every customer, whether they ordered or not."""
+    customers = tables.stg("stg_customer").select("customerid", "personid")
+    people = tables.stg("stg_person").select(
+        "businessentityid", F.col("persontype").alias("customerpersontype"))
+    typed = left_join_nullable(customers, people, "personid", "businessentityid",
+                               spread_by="customerid")
+    return typed.select(surrogate_key("customerid").alias("customerfk"), "customerpersontype")
+
+
 def product_attributes(tables: Tables) -> DataFrame:
     """Every product with cost, subcategory and category."""
     products = tables.stg("stg_product").select(
@@ -201,6 +211,7 @@ HEADER_COLUMNS = (
     "totaldue")
 LOCATION_COLUMNS = (
     "city", "postalcode", "stateprovince_name", "territory_name", "countryregion_name")
+ADDRESS_COLUMNS = ("city", "postalcode", "stateprovince_name", "countryregion_name")
 REASON_COLUMNS = ("salesreason_name", "reasontype", *labels.REASON_FLAGS)
 ORDER_KEYS = ("customerfk", "locationfk", "creditcardfk", "reasonfk")
 ORDER_COLUMNS = (*ORDER_KEYS, *HEADER_COLUMNS, *LOCATION_COLUMNS, *REASON_COLUMNS)
@@ -211,45 +222,58 @@ FACT_COLUMNS = (
     *LOCATION_COLUMNS, *REASON_COLUMNS)
 
 
-def orders(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
-    """One row per order: ``salesorderid`` and the wanted order-level fact columns.
+def order_rows(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
+    """One row per order, partitioned by ``salesorderid``, before its lookups.
 
-    Only the lookups that the wanted columns need are joined. The order id lookups come
-    first, on the shuffle that also removes repeated header rows; the others follow, each on
-    its own shuffle when the looked-up table is large. Customers and addresses that hold many
-    orders are split by adaptive execution there.
+    Holds what the wanted order-level fact columns need: header columns, the natural keys to
+    look up, and the reasons. Removing repeated header rows and attaching the reasons share
+    one shuffle by order id.
     """
     wanted = set(columns)
-    needs_location = wanted & set(LOCATION_COLUMNS) - {"territory_name"}
     needed = {
-        "customerid": "customerfk" in wanted,
-        "billtoaddressid": "locationfk" in wanted or needs_location,
+        "customerid": bool(wanted & {"customerfk", "customerid"}),
+        "billtoaddressid": bool(wanted & {"locationfk", *ADDRESS_COLUMNS}),
         "creditcardid": "creditcardfk" in wanted,
         "territoryid": "territory_name" in wanted,
     }
     natural = [key for key, needs in needed.items() if needs]
     plain = [column for column in HEADER_COLUMNS if column in wanted]
-    result = distinct_within(
+    rows = distinct_within(
         tables.stg("stg_salesorderheader").select("salesorderid", *natural, *plain),
         "salesorderid")
-
     if wanted & {"reasonfk", *REASON_COLUMNS}:
         reasons = tables.mart("dim_reasons").withColumnRenamed("reasonsk", "reasonfk")
-        result = _lookup(result, reasons, "salesorderid")
+        rows = _lookup(rows, reasons, "salesorderid")
+    return rows
+
+
+def look_up_customers(tables: Tables, rows: DataFrame) -> DataFrame:
+    """Add ``customerfk`` to rows with a ``customerid``; NULL for unknown customers."""
+    customers = tables.stg("stg_customer").select(
+        "customerid", surrogate_key("customerid").alias("customerfk"))
+    return _lookup(rows, customers, "customerid")
+
+
+def look_up(tables: Tables, rows: DataFrame, columns: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
+    """Replace the natural keys of :func:`order_rows` by the wanted columns.
+
+    Only lookups that a wanted column needs are joined. Each is a plain join of two shuffled
+    inputs if the looked-up table is large, so customers and addresses with very many orders
+    are split by adaptive execution.
+    """
+    wanted = set(columns)
     if "customerfk" in wanted:
-        customers = tables.stg("stg_customer").select(
-            "customerid", surrogate_key("customerid").alias("customerfk"))
-        result = _lookup(result, customers, "customerid")
-    if needs_location:
+        rows = look_up_customers(tables, rows)
+    if wanted & set(ADDRESS_COLUMNS):
         addresses = address_attributes(tables).withColumnRenamed("addressid", "billtoaddressid")
-        result = _lookup(result, addresses, "billtoaddressid")
+        rows = _lookup(rows, addresses, "billtoaddressid")
     if "territory_name" in wanted:
-        result = _lookup(result, _territories(tables), "territoryid")
+        rows = _lookup(rows, _territories(tables), "territoryid")
     if "locationfk" in wanted:
-        result = result.withColumn("locationfk", foreign_key("billtoaddressid"))
+        rows = rows.withColumn("locationfk", foreign_key("billtoaddressid"))
     if "creditcardfk" in wanted:
-        result = result.withColumn("creditcardfk", foreign_key("creditcardid"))
-    return result.select("salesorderid", *columns)
+        rows = rows.withColumn("creditcardfk", foreign_key("creditcardid"))
+    return rows
 
 
 def line_amount():
@@ -272,8 +296,9 @@ def fact_sales(tables: Tables, line_key: bool = False,
     prices = tables.stg("stg_product").select("productid", "standardcost", "listprice")
     priced = _lookup(lines, prices, "productid").withColumn("productfk", foreign_key("productid"))
 
+    orders = look_up(tables, order_rows(tables)).select("salesorderid", *ORDER_COLUMNS)
     rows = left_join_hot(
-        priced, orders(tables), "line_salesorderid", "salesorderid",
+        priced, orders, "line_salesorderid", "salesorderid",
         spread_by=["salesorderdetailid", "productid", "orderqty", "unitprice"],
         counted=lines.select("line_salesorderid"), rows_per_split=rows_per_split)
     parts = ["salesorderid", *ORDER_KEYS, "orderdate", "productfk"]

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import labels
 from tradewind.functions.columns import money, month_start
-from tradewind.plans.sales import order_sales, over_lines, product_sales
+from tradewind.plans.sales import (
+    customer_sales,
+    order_sales,
+    over_lines,
+    person_types,
+    product_sales,
+)
 from tradewind.plans.warehouse import Warehouse
 
 REVENUE_PER_LINE = "line"
@@ -37,12 +43,11 @@ def _channel() -> Column:
 
 def kpi_general(warehouse: Warehouse, grain: str = REVENUE_PER_LINE) -> DataFrame:
     """Orders, customers, revenue, average order value, line revenue, items."""
-    revenue = _revenue(grain)
-    weight = F.col("line_count") if grain == REVENUE_PER_LINE else F.lit(1)
-    values = F.sum(F.when(F.col("totaldue").isNotNull(), weight))
-    return order_sales(warehouse, "customerfk").agg(
-        _order_count("total_orders"),
-        F.count_distinct("customerfk").alias("total_customers"),
+    revenue, values = F.sum(f"{grain}_revenue"), F.sum(f"{grain}_values")
+    # One row per customer, so counting keys is counting customers.
+    return customer_sales(warehouse).agg(
+        F.coalesce(F.sum("order_count"), F.lit(0)).alias("total_orders"),
+        F.count("customerfk").alias("total_customers"),
         money(revenue).alias("total_revenue"),
         money(revenue / values).alias("avg_order_value"),
         money(F.sum("amount")).alias("total_product_revenue"),
@@ -183,16 +188,11 @@ def customer_profile(warehouse: Warehouse) -> DataFrame:
 
     Totalled per customer first, so the customer lookup meets one row per customer.
     """
-    per_customer = (order_sales(warehouse, "customerfk")
-                    .groupBy("customerfk")
-                    .agg(_order_count("orders"), _revenue(REVENUE_PER_LINE).alias("revenue")))
-    customers = warehouse.mart("dim_customers").select(
-        F.col("customersk").alias("customerfk"), "customerpersontype")
-    return (per_customer.join(customers, "customerfk")
+    return (customer_sales(warehouse).join(person_types(warehouse), "customerfk")
             .groupBy("customerpersontype")
-            .agg(F.sum("orders").alias("total_orders"),
+            .agg(F.sum("order_count").alias("total_orders"),
                  F.count("customerfk").alias("total_customers"),
-                 money(F.sum("revenue")).alias("total_revenue"))
+                 money(F.sum("line_revenue")).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc_nulls_first(), "customerpersontype"))
 
 

@@ -60,14 +60,16 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
         if split_by:
             products = marts.product_attributes(warehouse).select("productid", split_by)
             lines = lines.join(products, "productid", "left")
-        orders = marts.orders(warehouse, wanted)
+        orders = marts.order_rows(warehouse, wanted)
         if sales_only:
             orders = orders.where(is_sale())
         per_order = (lines.groupBy(F.col("salesorderid").alias("line_salesorderid"), *split)
                      .agg(*_line_totals(marts.line_amount())))
-        totals = per_order.join(
+        # Both sides are partitioned by order id already; the lookups come after this join.
+        joined = per_order.join(
             orders, F.col("line_salesorderid") == F.col("salesorderid"),
             "inner" if sales_only else "left")
+        totals = marts.look_up(warehouse, joined, wanted)
     return totals.select("salesorderid", *dict.fromkeys((*columns, "totaldue")), *split,
                          "line_count", "quantity", "amount")
 
@@ -77,17 +79,50 @@ def over_lines(value: str) -> Column:
     return F.col(value) * F.col("line_count").cast("decimal(12,0)")
 
 
-def monthly_sales(warehouse: Warehouse, series: str | None = None) -> DataFrame:
+def customer_sales(warehouse: Warehouse) -> DataFrame:
+    """One row per customer with sales: ``customerfk`` (NULL if unknown) and totals.
+
+    Totals: ``order_count``, ``quantity``, ``amount``; the order totals counted once per line
+    (``line_revenue`` over ``line_values`` lines) and once per order (``order_revenue`` over
+    ``order_values`` orders).
+    """
+    totals = [
+        F.count("salesorderid").alias("order_count"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("amount").alias("amount"),
+        F.sum(over_lines("totaldue")).alias("line_revenue"),
+        F.sum(F.when(F.col("totaldue").isNotNull(), F.col("line_count"))).alias("line_values"),
+        F.sum("totaldue").alias("order_revenue"),
+        F.count("totaldue").alias("order_values")]
+    if warehouse.has("fact_sales"):
+        return order_sales(warehouse, "customerfk").groupBy("customerfk").agg(*totals)
+    per_customer = order_sales(warehouse, "customerid").groupBy("customerid").agg(*totals)
+    return marts.look_up_customers(warehouse, per_customer)
+
+
+def person_types(warehouse: Warehouse) -> DataFrame:
+    """``customerfk`` and person type of the customers that ordered, and maybe of others."""
+    if warehouse.has("dim_customers"):
+        customers = warehouse.mart("dim_customers")
+        return customers.select(F.col("customersk").alias("customerfk"), "customerpersontype")
+    return marts.customer_person_types(warehouse)
+
+
+def monthly_sales(warehouse: Warehouse, series: str | None = None, *,
+                  customers: bool = True) -> DataFrame:
     """Monthly totals of all orders within the calendar, cancelled ones included.
 
     ``series`` names an order-level fact column or one of ``PRODUCT_COLUMNS``; each of its
-    values becomes a series. Without it there is one series, ``all``.
+    values becomes a series. Without it there is one series, ``all``. ``customers=False``
+    leaves out ``unique_customers`` and the customer lookup.
     """
     of_product = series in PRODUCT_COLUMNS
     key = F.lit("all") if series is None else F.col(series).cast("string")
-    columns = ["orderdate", "customerfk", *([series] if series and not of_product else [])]
+    columns = ["orderdate", *(["customerfk"] if customers else []),
+               *([series] if series and not of_product else [])]
     rows = order_sales(warehouse, *columns, sales_only=False,
                        split_by=series if of_product else None)
+    unique = [F.count_distinct("customerfk").alias("unique_customers")] if customers else []
     days = warehouse.mart("dim_dates").select(F.col("metric_date").alias("orderdate"))
     revenue = F.sum(over_lines("totaldue"))
     lines = F.sum(F.when(F.col("totaldue").isNotNull(), F.col("line_count")))
@@ -96,7 +131,7 @@ def monthly_sales(warehouse: Warehouse, series: str | None = None) -> DataFrame:
             .agg(F.count("salesorderid").alias("total_orders"),
                  revenue.alias("total_revenue"),
                  F.sum("quantity").alias("total_qty"),
-                 F.count_distinct("customerfk").alias("unique_customers"),
+                 *unique,
                  (revenue.cast("double") / lines).alias("avg_order_value")))
 
 

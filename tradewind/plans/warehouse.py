@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tradewind.operators.quality import run_checks
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS
@@ -59,7 +58,7 @@ class Warehouse:
             self.mart(name).createOrReplaceTempView(name)
 
     def check_sources(self) -> DataFrame:
-        return run_checks(self.model, SOURCE_CHECKS, lambda name: name.removeprefix("stg_"))
+        return run_checks(self.model, SOURCE_CHECKS)
 
     def check_marts(self) -> DataFrame:
         return run_checks(self.model, MART_CHECKS)
@@ -104,7 +103,7 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     """
     warehouse = Warehouse(spark, source)
     if check_sources:
-        failed = warehouse.check_sources().where(~F.col("passed")).collect()
+        failed = warehouse.check_sources().where("not passed").collect()
         if failed:
             names = ", ".join(f"{row.model}.{row.column_name} ({row.test})" for row in failed)
             raise SourceCheckError(f"source checks failed: {names}")
@@ -117,16 +116,11 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     with ThreadPoolExecutor(max_workers=4) as pool:
         written = dict(pool.map(inheritable_thread_target(spark)(write), independent))
     warehouse = Warehouse(spark, source, written)
-    written.update([write_fact(warehouse, location)])
-    warehouse = Warehouse(spark, source, written)
+    name, fact = write("fact_sales")
+    warehouse = Warehouse(spark, source, written | {name: fact})
     return Build(warehouse, warehouse.check_marts())
 
 
-def write_fact(warehouse: Warehouse, location: str) -> tuple[str, DataFrame]:
-    _write(warehouse.mart("fact_sales"), location, "fact_sales")
-    return "fact_sales", _read(warehouse.spark, location, "fact_sales")
-
-
 def run_query(spark: SparkSession, sql: str) -> DataFrame:
     """Run SQL over the registered views; column names come back in lower case."""
     result = spark.sql(sql)
