@@ -299,7 +299,8 @@ def _monthly(series: str, joins: str = "") -> str:
     return f"""
         SELECT {series} AS series_key, {_MONTH} AS order_month, {_ORDERS} AS total_orders,
                sum(totaldue) AS total_revenue, CAST(sum(orderqty) AS BIGINT) AS total_qty,
-               count(DISTINCT customerfk) AS unique_customers, avg(totaldue) AS avg_order_value
+               count(DISTINCT customerfk) AS unique_customers,
+               CAST(sum(totaldue) AS DOUBLE) / count(totaldue) AS avg_order_value
         FROM fact_sales JOIN dim_dates ON orderdate = metric_date {joins}
         GROUP BY ALL"""
 
@@ -356,8 +357,7 @@ VIEWS |= {
 }
 
 _VALID = "place BETWEEN n - (5 - fold) * (n // 6) AND n - (5 - fold) * (n // 6) + n // 6 - 1"
-_PLAIN_MONTHLY = (f"SELECT * REPLACE ({_money('total_revenue')} AS total_revenue, "
-                  "round(avg_order_value, 4) AS avg_order_value) FROM (%s)")
+_PLAIN_MONTHLY = f"SELECT * REPLACE ({_money('total_revenue')} AS total_revenue) FROM (%s)"
 
 FORECAST: dict[str, str] = {
     "monthly_sales": _PLAIN_MONTHLY % "SELECT * FROM monthly_all",
