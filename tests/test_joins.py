@@ -6,12 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from tradewind.operators.joins import (
-    distinct_within,
-    hot_keys,
-    left_join_hot,
-    left_join_nullable,
-)
+from tradewind.operators.joins import hot_keys, left_join_hot, left_join_nullable
 
 
 @pytest.fixture(scope="module")
@@ -77,8 +72,3 @@ def test_nullable_join_equals_plain_join_and_spreads(spark, lines, headers):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert len(tasks) == 8
-
-
-def test_distinct_within(lines):
-    repeated = lines.select("left_id", "kind")
-    assert rows_of(distinct_within(repeated, "left_id")) == rows_of(repeated.distinct())

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from conftest import rows_of
 from tradewind.functions.labels import KEY_NULL
 from tradewind.plans import marts
 from tradewind.plans.warehouse import Warehouse
@@ -105,6 +106,20 @@ def test_repeated_header_row_counts_once(warehouse):
     assert tables.mart("fact_sales").count() == 1
 
 
+@pytest.mark.parametrize("table", ["address", "stateprovince", "countryregion",
+                                   "salesterritory"])
+def test_repeated_location_rows_count_once(warehouse, table):
+    tables = warehouse(salesorderheader=[header(1)], salesorderdetail=[line(1)],
+                       **{table: BASE[table] * 3})
+    assert tables.mart("fact_sales").count() == tables.mart("dim_locations").count() == 1
+
+
+def test_checked_keys_give_the_same_marts(small):
+    checked = Warehouse(small.spark, small.source, keys_checked=True)
+    for name in marts.MARTS:
+        assert rows_of(checked.mart(name)) == rows_of(small.mart(name)), name
+
+
 def test_missing_references(warehouse):
     row = warehouse(
         salesorderheader=[header(1, customerid=2, creditcardid=None, billtoaddressid=11)],

@@ -81,11 +81,24 @@ def test_without_broadcasts_the_hot_order_join_is_still_salted(no_broadcast, sma
     assert text.count("BroadcastHashJoin") == 2
 
 
+def shuffles(text, *columns):
+    keys = ", ".join(rf"{column}#\w+" for column in columns)
+    return len(re.findall(rf"Exchange hashpartitioning\({keys}, \d+\)", text))
+
+
 def test_reports_without_broadcasts_do_not_join_at_line_grain(no_broadcast, small):
     text = plan(reports.revenue_by_country(small))
     assert "Broadcast" not in text
-    # The line totals reach the order join on the shuffle that totalled them.
-    assert len(re.findall(r"Exchange hashpartitioning\(salesorderid", text)) == 2
+    # Lines, totalled on the way, and orders are each shuffled once by order id.
+    assert shuffles(text, "salesorderid") == 2
+
+
+def test_checked_keys_save_the_distinct_shuffles(no_broadcast, small):
+    def count(warehouse):
+        return plan(warehouse.mart("fact_sales")).count("Exchange hashpartitioning")
+    checked = Warehouse(small.spark, small.source, keys_checked=True)
+    # Orders, addresses, states, countries and territories.
+    assert count(small) - count(checked) == 5
 
 
 def test_adaptive_execution_splits_a_hot_customer_and_product(no_broadcast, spark, source):

@@ -68,12 +68,3 @@ def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_k
     keyed = right.withColumn("_zero", F.pmod(F.col(right_key), F.lit(1)).cast("bigint"))
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_spread") == F.col("_zero"))
     return marked.join(keyed, on, "left").drop("_spread", "_zero")
-
-
-def distinct_within(rows: DataFrame, key: str) -> DataFrame:
-    """DISTINCT that leaves the rows partitioned by ``key``, one of their columns.
-
-    Equal rows share the key, so one shuffle on the key serves both the DISTINCT and a
-    following join or grouping on it.
-    """
-    return rows.repartition(F.col(key)).distinct()

@@ -1,7 +1,7 @@
 """Marts: six dimensions, the order-line fact and the sales-force aggregate.
 
-Source tables declare a unique key each (checked by the source tests before a build), so a
-lookup by such a key never multiplies rows. Surrogate keys are hashes of natural keys, so a
+Source tables declare a unique key each, so a lookup by such a key does not multiply rows;
+a build checks the keys first and then needs no DISTINCT over them. Surrogate keys are hashes of natural keys, so a
 foreign key is computed next to its natural key wherever the dimension holds every key in
 use; only the customer reference needs a lookup, as it is NULL for unknown customers.
 
@@ -19,17 +19,15 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import labels
 from tradewind.functions.columns import foreign_key, surrogate_key, translate
-from tradewind.operators.joins import (
-    ROWS_PER_SPLIT,
-    distinct_within,
-    left_join_hot,
-    left_join_nullable,
-)
+from tradewind.operators.joins import ROWS_PER_SPLIT, left_join_hot, left_join_nullable
 
 
 class Tables(Protocol):
     """What the marts read from: staging frames and other marts."""
 
+    # Whether the declared keys of the source tables are known to be unique.
+    keys_checked: bool
+
     def stg(self, name: str) -> DataFrame: ...
 
     def mart(self, name: str) -> DataFrame: ...
@@ -40,6 +38,15 @@ def _lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, on=key, how="left")
 
 
+def _once(tables: Tables, rows: DataFrame) -> DataFrame:
+    """Drop repeated rows of a frame that holds its table's declared key.
+
+    Where the key is checked there are none, and the shuffle is saved. Otherwise copies
+    collapse within each task before the shuffle, however many a row has.
+    """
+    return rows if tables.keys_checked else rows.distinct()
+
+
 # --- dimensions -----------------------------------------------------------------------
 
 def dim_customers(tables: Tables) -> DataFrame:
@@ -105,13 +112,13 @@ def dim_products(tables: Tables) -> DataFrame:
 
 def address_attributes(tables: Tables) -> DataFrame:
     """Every address with its state and country."""
-    addresses = tables.stg("stg_address").select(
-        "addressid", "city", "stateprovinceid", "postalcode")
-    states = tables.stg("stg_stateprovince").select(
+    addresses = _once(tables, tables.stg("stg_address").select(
+        "addressid", "city", "stateprovinceid", "postalcode"))
+    states = _once(tables, tables.stg("stg_stateprovince").select(
         "stateprovinceid", "stateprovincecode", "stateprovince_name",
-        F.col("countryregioncode").alias("statecountrycode")).distinct()
-    countries = tables.stg("stg_countryregion").select(
-        "countryregioncode", "countryregion_name").distinct()
+        F.col("countryregioncode").alias("statecountrycode")))
+    countries = _once(tables, tables.stg("stg_countryregion").select(
+        "countryregioncode", "countryregion_name"))
     return (_lookup(addresses, states, "stateprovinceid")
             .join(countries, F.col("statecountrycode") == F.col("countryregioncode"), "left")
             .select("addressid", "city", "postalcode", "stateprovincecode",
@@ -119,7 +126,7 @@ def address_attributes(tables: Tables) -> DataFrame:
 
 
 def _territories(tables: Tables) -> DataFrame:
-    return tables.stg("stg_salesterritory").select("territoryid", "territory_name").distinct()
+    return _once(tables, tables.stg("stg_salesterritory").select("territoryid", "territory_name"))
 
 
 def dim_locations(tables: Tables) -> DataFrame:
@@ -130,8 +137,7 @@ def dim_locations(tables: Tables) -> DataFrame:
     """
     billed = tables.stg("stg_salesorderheader").select(
         F.col("billtoaddressid").alias("addressid"), "territoryid").distinct()
-    addresses = address_attributes(tables).distinct()
-    return (_lookup(billed, addresses, "addressid")
+    return (_lookup(billed, address_attributes(tables), "addressid")
             .transform(_lookup, _territories(tables), "territoryid")
             .select(surrogate_key("addressid").alias("locationsk"), "addressid", "city",
                     "postalcode", "stateprovincecode", "stateprovince_name",
@@ -223,11 +229,10 @@ FACT_COLUMNS = (
 
 
 def order_rows(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS) -> DataFrame:
-    """One row per order, partitioned by ``salesorderid``, before its lookups.
+    """One row per order, before its lookups.
 
     Holds what the wanted order-level fact columns need: header columns, the natural keys to
-    look up, and the reasons. Removing repeated header rows and attaching the reasons share
-    one shuffle by order id.
+    look up, and the reasons, which are joined on the same key as the order lines.
     """
     wanted = set(columns)
     needed = {
@@ -238,9 +243,8 @@ def order_rows(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS) -> Data
     }
     natural = [key for key, needs in needed.items() if needs]
     plain = [column for column in HEADER_COLUMNS if column in wanted]
-    rows = distinct_within(
-        tables.stg("stg_salesorderheader").select("salesorderid", *natural, *plain),
-        "salesorderid")
+    rows = _once(
+        tables, tables.stg("stg_salesorderheader").select("salesorderid", *natural, *plain))
     if wanted & {"reasonfk", *REASON_COLUMNS}:
         reasons = tables.mart("dim_reasons").withColumnRenamed("reasonsk", "reasonfk")
         rows = _lookup(rows, reasons, "salesorderid")
@@ -315,8 +319,7 @@ def fact_aggsalessellersregion(tables: Tables) -> DataFrame:
     """
     sold = (tables.stg("stg_salesorderheader").where(F.col("salespersonid").isNotNull())
             .select("salesorderid", "salespersonid", "territoryid"))
-    counted = (distinct_within(sold, "salesorderid")
-               .groupBy("salespersonid", "territoryid")
+    counted = (_once(tables, sold).groupBy("salespersonid", "territoryid")
                .agg(F.count("salesorderid").alias("orders")))
     sellers = (tables.stg("stg_salesperson").select("businessentityid")
                .join(tables.stg("stg_employee").select("businessentityid", "jobtitle", "gender"),

@@ -18,13 +18,17 @@ class Warehouse:
     """Staging views and marts by name.
 
     A mart is read from its table once it is built, and otherwise planned from the staging
-    frames. Frames are lazy; nothing runs until one is used.
+    frames. Frames are lazy; nothing runs until one is used. ``keys_checked`` says that the
+    declared keys of the source are known to be unique, as after ``check_sources``.
     """
 
-    def __init__(self, spark: SparkSession, source=None, tables: dict[str, DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, source=None,
+                 tables: dict[str, DataFrame] | None = None, *, keys_checked: bool = False):
         self.spark = spark
         self.source = source
+        self.keys_checked = keys_checked
         self._tables = dict(tables or {})
+        self._staged: dict[str, DataFrame] = {}
 
     @classmethod
     def open(cls, spark: SparkSession, location: str, source=None) -> Warehouse:
@@ -35,7 +39,9 @@ class Warehouse:
         schema, table, transform = STAGING[name]
         if self.source is None:
             raise LookupError(f"{name} needs a source; this warehouse only has built tables")
-        return transform(self.source.table(schema, table))
+        if name not in self._staged:
+            self._staged[name] = transform(self.source.table(schema, table))
+        return self._staged[name]
 
     def mart(self, name: str) -> DataFrame:
         if name in self._tables:
@@ -107,6 +113,7 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
         if failed:
             names = ", ".join(f"{row.model}.{row.column_name} ({row.test})" for row in failed)
             raise SourceCheckError(f"source checks failed: {names}")
+        warehouse.keys_checked = True
 
     def write(name: str) -> tuple[str, DataFrame]:
         _write(warehouse.mart(name), location, name)
@@ -115,9 +122,9 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     independent = [name for name in MARTS if name != "fact_sales"]
     with ThreadPoolExecutor(max_workers=4) as pool:
         written = dict(pool.map(inheritable_thread_target(spark)(write), independent))
-    warehouse = Warehouse(spark, source, written)
+    warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
     name, fact = write("fact_sales")
-    warehouse = Warehouse(spark, source, written | {name: fact})
+    warehouse = Warehouse(spark, source, written | {name: fact}, keys_checked=check_sources)
     return Build(warehouse, warehouse.check_marts())
 
 
