@@ -54,7 +54,19 @@ def test_built_report_reads_few_columns(built):
     text = plan(reports.revenue_by_country(built))
     read = re.search(r"FileScan parquet \[([^\]]*)\]", text)[1]
     assert set(re.sub(r"#\d+L?", "", read).split(",")) == {
-        "salesorderid", "statussales", "totaldue", "countryregion_name"}
+        "salesorderid", "statussales", "totaldue", "countryregion_name", "line_count"}
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text)[1]
+    assert "In(statussales, [Cancelado,Rejeitado])" in pushed
+    assert "IsNotNull(countryregion_name)" in pushed
+
+
+@pytest.mark.parametrize("report", [
+    reports.revenue_by_country, reports.monthly_revenue, reports.sales_reasons,
+    reports.order_status, reports.kpi_general, reports.customer_profile])
+def test_built_order_reports_do_not_touch_the_lines(report, built):
+    text = plan(report(built))
+    assert "fact_sales" not in text and "order_totals" in text
+    assert "hashpartitioning(salesorderid" not in text
 
 
 @pytest.fixture

@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL, rows_of
 from test_marts import BASE, header, line
 from tradewind import Warehouse, build_warehouse, run_query
+from tradewind.plans import reports
 from tradewind.plans.marts import MARTS
 from tradewind.plans.staging import STAGING
 from tradewind.plans.warehouse import SourceCheckError
@@ -19,6 +20,21 @@ def test_built_tables_equal_lazy_marts(small, built):
         assert rows_of(built.mart(name)) == rows_of(small.mart(name)), name
 
 
+def test_order_totals_add_up_to_the_fact(built):
+    fact, totals = built.mart("fact_sales"), built.mart("order_totals")
+    assert totals.count() == fact.select("salesorderid").distinct().count()
+    sums = totals.selectExpr("sum(line_count)", "sum(quantity)", "sum(amount)").first()
+    assert tuple(sums) == tuple(
+        fact.selectExpr("count(*)", "sum(orderqty)", "sum(amountpaidproduct)").first())
+
+
+def test_reports_without_the_rollup_use_the_fact(built):
+    tables = {name: built.mart(name) for name in MARTS}
+    plain = Warehouse(built.spark, tables=tables)
+    for report in (reports.kpi_general, reports.sales_reasons, reports.order_status):
+        assert rows_of(report(plain)) == rows_of(report(built))
+
+
 def test_built_warehouse_has_no_staging(built):
     with pytest.raises(LookupError):
         built.stg("stg_store")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import labels
@@ -280,7 +280,7 @@ def look_up(tables: Tables, rows: DataFrame, columns: tuple[str, ...] = ORDER_CO
     return rows
 
 
-def line_amount():
+def line_amount() -> Column:
     """What was paid for a line; the discount is an amount per unit."""
     return F.col("orderqty") * (F.col("unitprice") - F.col("unitpricediscount"))
 
@@ -312,6 +312,21 @@ def fact_sales(tables: Tables, line_key: bool = False,
     return rows.select(*columns)
 
 
+def line_totals(amount: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("line_count"),
+            F.sum("orderqty").alias("quantity"),
+            F.sum(amount).alias("amount")]
+
+
+def order_totals(fact: DataFrame) -> DataFrame:
+    """The fact rolled up to one row per order: its columns, line count, quantity and amount.
+
+    Written with a warehouse, so that order-level reports neither read nor shuffle the lines.
+    """
+    return (fact.groupBy("salesorderid", *ORDER_COLUMNS)
+            .agg(*line_totals(F.col("amountpaidproduct"))))
+
+
 def fact_aggsalessellersregion(tables: Tables) -> DataFrame:
     """Orders with a salesperson, counted by country, job title and gender.
 

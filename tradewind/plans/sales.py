@@ -4,8 +4,8 @@
 ``monthly_sales`` one row per series and month. They total the lines before anything else is joined, so an order or product with very many lines
 shrinks to one row per task ahead of the shuffle, and reports never join at line grain.
 
-Built warehouses are read from ``fact_sales``; otherwise the staging frames are used with
-only the lookups the caller's columns need.
+Built warehouses are read from ``order_totals`` or ``fact_sales``; otherwise the staging
+frames are used with only the lookups the caller's columns need.
 """
 
 from __future__ import annotations
@@ -24,12 +24,6 @@ def is_sale() -> Column:
     return ~F.col("statussales").isin(*labels.CLOSED_STATUSES)
 
 
-def _line_totals(amount: Column) -> list[Column]:
-    return [F.count(F.lit(1)).alias("line_count"),
-            F.sum("orderqty").alias("quantity"),
-            F.sum(amount).alias("amount")]
-
-
 # Product attributes that can split an order into several rows.
 PRODUCT_COLUMNS = ("product_name", "productsubcategory_name", "productcategory_name")
 
@@ -45,7 +39,11 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
     """
     wanted = tuple(dict.fromkeys((*columns, "totaldue", *(["statussales"] if sales_only else []))))
     split = [split_by] if split_by else []
-    if warehouse.has("fact_sales"):
+    if warehouse.has("order_totals") and not split_by:
+        totals = warehouse.mart("order_totals")
+        if sales_only:
+            totals = totals.where(is_sale())
+    elif warehouse.has("fact_sales"):
         lines = warehouse.mart("fact_sales")
         if sales_only:
             lines = lines.where(is_sale())
@@ -54,7 +52,7 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
                 F.col("productsk").alias("productfk"), split_by)
             lines = lines.join(products, "productfk", "left")
         totals = (lines.groupBy("salesorderid", *wanted, *split)
-                  .agg(*_line_totals(F.col("amountpaidproduct"))))
+                  .agg(*marts.line_totals(F.col("amountpaidproduct"))))
     else:
         lines = warehouse.stg("stg_salesorderdetail")
         if split_by:
@@ -64,7 +62,7 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
         if sales_only:
             orders = orders.where(is_sale())
         per_order = (lines.groupBy(F.col("salesorderid").alias("line_salesorderid"), *split)
-                     .agg(*_line_totals(marts.line_amount())))
+                     .agg(*marts.line_totals(marts.line_amount())))
         # Both sides are partitioned by order id already; the lookups come after this join.
         joined = per_order.join(
             orders, F.col("line_salesorderid") == F.col("salesorderid"),

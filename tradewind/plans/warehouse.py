@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.quality import run_checks
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS
-from tradewind.plans.marts import MARTS
+from tradewind.plans.marts import MARTS, order_totals
 from tradewind.plans.staging import STAGING
 
 
+# Rollup of the fact that is written with the marts.
+ORDER_TOTALS = "order_totals"
+
+
 class Warehouse:
     """Staging views and marts by name.
 
@@ -33,7 +37,8 @@ class Warehouse:
     @classmethod
     def open(cls, spark: SparkSession, location: str, source=None) -> Warehouse:
         """A warehouse built earlier, by folder or by catalog database (see ``table_name``)."""
-        return cls(spark, source, {name: _read(spark, location, name) for name in MARTS})
+        return cls(spark, source, {name: _read(spark, location, name)
+                                   for name in (*MARTS, ORDER_TOTALS)})
 
     def stg(self, name: str) -> DataFrame:
         schema, table, transform = STAGING[name]
@@ -83,12 +88,14 @@ class Build:
 CATALOG_PREFIX = "catalog:"
 
 
-def _write(frame: DataFrame, location: str, name: str) -> None:
+def _write(frame: DataFrame, location: str, name: str) -> DataFrame:
+    """Replace a table and return it as written."""
     writer = frame.write.mode("overwrite")
     if location.startswith(CATALOG_PREFIX):
         writer.saveAsTable(f"{location.removeprefix(CATALOG_PREFIX)}.{name}", format="parquet")
     else:
         writer.parquet(f"{location.rstrip('/')}/{name}")
+    return _read(frame.sparkSession, location, name)
 
 
 def _read(spark: SparkSession, location: str, name: str) -> DataFrame:
@@ -104,7 +111,8 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     ``location`` is a folder on shared storage, or ``catalog:<database>``. The source keys are
     checked first, because the marts rely on them: repeated or missing keys stop the build.
     The dimensions and the aggregate do not depend on each other and are written side by
-    side; ``fact_sales`` follows and reads the written reasons. ``report`` holds the checks on
+    side; ``fact_sales`` follows and reads the written reasons, then its rollup per order.
+    ``report`` holds the checks on
     the written tables; a failing one does not undo the build.
     """
     warehouse = Warehouse(spark, source)
@@ -115,16 +123,17 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
             raise SourceCheckError(f"source checks failed: {names}")
         warehouse.keys_checked = True
 
-    def write(name: str) -> tuple[str, DataFrame]:
-        _write(warehouse.mart(name), location, name)
-        return name, _read(spark, location, name)
+    def write(name: str) -> DataFrame:
+        return _write(warehouse.mart(name), location, name)
 
     independent = [name for name in MARTS if name != "fact_sales"]
     with ThreadPoolExecutor(max_workers=4) as pool:
-        written = dict(pool.map(inheritable_thread_target(spark)(write), independent))
+        frames = list(pool.map(inheritable_thread_target(spark)(write), independent))
+    written = dict(zip(independent, frames, strict=True))
+    warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
+    written["fact_sales"] = write("fact_sales")
+    written[ORDER_TOTALS] = _write(order_totals(written["fact_sales"]), location, ORDER_TOTALS)
     warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
-    name, fact = write("fact_sales")
-    warehouse = Warehouse(spark, source, written | {name: fact}, keys_checked=check_sources)
     return Build(warehouse, warehouse.check_marts())
 
 
