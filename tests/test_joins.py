@@ -31,7 +31,7 @@ def headers(spark):
 @pytest.mark.parametrize("rows_per_split", [1, 30, 100, 10_000])
 def test_hot_join_equals_plain_join(lines, headers, rows_per_split):
     plain = lines.join(headers, lines.left_id == headers.right_id, "left")
-    hot = left_join_hot(lines, headers, "left_id", "right_id", spread_by=["line"],
+    hot = left_join_hot(lines, headers, "left_id", "right_id", spread_by="line",
                         rows_per_split=rows_per_split)
     assert hot.columns == plain.columns
     assert rows_of(hot) == rows_of(plain)
@@ -46,7 +46,7 @@ def test_hot_key_spreads_over_tasks(spark, lines, headers):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = left_join_hot(lines, headers, "left_id", "right_id", spread_by=["line"],
+        joined = left_join_hot(lines, headers, "left_id", "right_id", spread_by="line",
                                rows_per_split=20)
         tasks = (joined.where("left_id = 1").groupBy(F.spark_partition_id().alias("task"))
                  .count().collect())

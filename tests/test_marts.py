@@ -5,6 +5,7 @@ import hashlib
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows_of
 from tradewind.functions.labels import KEY_NULL
@@ -241,6 +242,20 @@ def test_sales_force_aggregate(warehouse):
     assert {r.agg_salesregionpersonsk for r in rows} == {key(*group) for group in found}
 
 
+def test_equal_lines_of_a_hot_order_spread(spark, warehouse):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = warehouse(salesorderheader=[header(1)], salesorderdetail=[line(1)] * 400)
+        fact = marts.fact_sales(tables, rows_per_split=20)
+        tasks = fact.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(row["count"] for row in tasks) == 400
+    assert max(row["count"] for row in tasks) < 200
+
+
 def test_hot_order_gives_the_same_fact(warehouse):
     tables = warehouse(
         salesorderheader=[header(n) for n in range(1, 6)],

@@ -29,14 +29,14 @@ def hot_keys(rows: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) ->
 
 
 def left_join_hot(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                  spread_by: list[str], counted: DataFrame | None = None,
+                  spread_by: str, counted: DataFrame | None = None,
                   rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """``left`` LEFT JOIN ``right`` where a few keys may hold a large share of ``left``.
 
-    Rows of a hot key are cut into parts by a hash of ``spread_by`` and the matching right
-    rows are repeated once per part; all other rows are joined as usual. The result is the
-    plain left join, whichever keys count as hot. ``counted`` may give a narrower frame with
-    the same keys as ``left`` to count them on.
+    Rows of a hot key are cut into parts by a hash of ``spread_by``, which should differ between
+    them, and the matching right rows are repeated once per part; all other rows are joined as
+    usual. The result is the plain left join, whichever keys count as hot. ``counted`` may give
+    a narrower frame with the same keys as ``left`` to count them on.
 
     Broadcasting the hot keys is safe: see the bound in :func:`hot_keys`.
     """
@@ -45,7 +45,7 @@ def left_join_hot(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     # on both sides lets Spark broadcast the hot keys once.
     marked = (left.join(hot, F.col(left_key).eqNullSafe(F.col("_hot_key")), "left")
               .withColumn("_part", F.when(F.col("_parts").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")))
+                          .otherwise(F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")))
               .drop("_hot_key", "_parts"))
     repeated = (right.join(hot, F.col(right_key).eqNullSafe(F.col("_hot_key")), "left")
                 .withColumn("_right_part", F.explode(F.sequence(

@@ -296,15 +296,19 @@ def fact_sales(tables: Tables, line_key: bool = False,
     lines = tables.stg("stg_salesorderdetail").select(
         F.col("salesorderid").alias("line_salesorderid"), "salesorderdetailid", "orderqty",
         "productid", "unitprice", "unitpricediscount",
-        line_amount().alias("amountpaidproduct"))
+        line_amount().alias("amountpaidproduct"),
+        # Numbered at the scan, where a retried task numbers its rows the same way. Unlike the
+        # line's own columns it tells apart even equal lines of one order.
+        F.monotonically_increasing_id().alias("scan_number"))
     prices = tables.stg("stg_product").select("productid", "standardcost", "listprice")
     priced = _lookup(lines, prices, "productid").withColumn("productfk", foreign_key("productid"))
 
     orders = look_up(tables, order_rows(tables)).select("salesorderid", *ORDER_COLUMNS)
     rows = left_join_hot(
         priced, orders, "line_salesorderid", "salesorderid",
-        spread_by=["salesorderdetailid", "productid", "orderqty", "unitprice"],
-        counted=lines.select("line_salesorderid"), rows_per_split=rows_per_split)
+        spread_by="scan_number", rows_per_split=rows_per_split,
+        counted=tables.stg("stg_salesorderdetail").select(
+            F.col("salesorderid").alias("line_salesorderid")))
     parts = ["salesorderid", *ORDER_KEYS, "orderdate", "productfk"]
     columns = [surrogate_key(*parts).alias("factsalessk"), *FACT_COLUMNS[1:]]
     if line_key:
