@@ -263,3 +263,18 @@ def test_hot_order_gives_the_same_fact(warehouse):
     plain = sorted(map(str, marts.fact_sales(tables).collect()))
     cut = sorted(map(str, marts.fact_sales(tables, rows_per_split=3).collect()))
     assert plain == cut and len(cut) == 46
+
+
+def test_fact_from_the_rollup_is_the_same(spark, warehouse):
+    # Order 1 and the missing order 90 are hot, some lines have no order id.
+    plain = warehouse(
+        salesorderheader=[header(n) for n in range(1, 6)],
+        salesorderdetail=[line(1, detail=n) for n in range(40)] + [line(90)] * 30
+        + [line(None)] * 20 + [line(n) for n in range(2, 8)])
+    rollup = plain.mart("order_totals")
+    assert rollup.where("salesorderid is null").count() == 4
+    tables = Warehouse(spark, plain.source, {"order_totals": rollup})
+    expected = rows_of(marts.fact_sales(plain))
+    assert len(expected) == 96
+    assert rows_of(marts.fact_sales(tables, rows_per_split=7)) == expected
+    assert rows_of(marts.fact_sales(plain, rows_per_split=7)) == expected

@@ -90,9 +90,13 @@ def test_cv_score_is_the_error_of_its_fold(rows, fits):
 
 
 def test_too_few_rows_for_the_folds(rows, fits):
-    train, _ = models.split_rows(rows.where("length = -1"))
-    with pytest.raises(Exception):  # noqa: B017
-        cv_scores(train, {"Ridge": fits["Ridge"]}, 3)
+    train, test = models.split_rows(rows)
+    with pytest.raises(ValueError, match="20 rows are too few for 20 folds"):
+        cv_scores(train, {"Ridge": fits["Ridge"]}, 20)
+    with pytest.raises(ValueError, match="0 rows"):
+        cv_scores(train.limit(0), {"Ridge": fits["Ridge"]}, 3)
+    with pytest.raises(ValueError, match="long enough"):
+        models.holdout_metrics(train, test.limit(0), fits)
 
 
 def test_champion_breaks_ties_in_order(spark):

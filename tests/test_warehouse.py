@@ -103,3 +103,14 @@ def test_sql_over_views(small, spark):
     assert result.columns == ["category", "linecount"]
     assert sum(row.linecount for row in result.collect()) == small.mart("fact_sales").count()
     assert spark.table("stg_store").count() == small.stg("stg_store").count()
+
+
+def test_sql_gives_the_same_as_a_report(built):
+    built.register_views()
+    found = run_query(built.spark, """
+        SELECT countryregion_name AS Country, CAST(ROUND(SUM(totaldue), 2) AS DECIMAL(38, 2))
+                   AS Total_Revenue, COUNT(DISTINCT salesorderid) AS Total_Orders
+        FROM fact_sales
+        WHERE statussales NOT IN ('Cancelado', 'Rejeitado') AND countryregion_name IS NOT NULL
+        GROUP BY 1 ORDER BY 2 DESC""")
+    assert found.collect() == reports.revenue_by_country(built).collect()

@@ -14,33 +14,36 @@ from pyspark.sql import functions as F
 ROWS_PER_SPLIT = 2_000_000
 
 
-def hot_keys(rows: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def key_counts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, rows) per value of ``key``; reads one column and counts before the shuffle."""
+    return rows.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def hot_keys(counts: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Keys with more than ``rows_per_split`` rows and the number of parts to cut them into.
 
     At most ``total rows / rows_per_split`` keys can qualify, so the result is about 16
-    bytes for every 2 million input rows: 8 MB for 10^12 rows. Reads one column, and the
-    counts are combined before the shuffle.
+    bytes for every 2 million input rows: 8 MB for 10^12 rows.
     """
-    return (rows.groupBy(F.col(key).alias("_hot_key"))
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > rows_per_split)
-            .select("_hot_key",
-                    F.ceil(F.col("_rows") / F.lit(rows_per_split)).cast("int").alias("_parts")))
+    return (counts.where(F.col("rows") > rows_per_split)
+            .groupBy(F.col("key").alias("_hot_key"))
+            .agg(F.ceil(F.max("rows") / F.lit(rows_per_split)).cast("int").alias("_parts")))
 
 
 def left_join_hot(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                  spread_by: str, counted: DataFrame | None = None,
+                  spread_by: str, counts: DataFrame | None = None,
                   rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """``left`` LEFT JOIN ``right`` where a few keys may hold a large share of ``left``.
 
     Rows of a hot key are cut into parts by a hash of ``spread_by``, which should differ between
     them, and the matching right rows are repeated once per part; all other rows are joined as
-    usual. The result is the plain left join, whichever keys count as hot. ``counted`` may give
-    a narrower frame with the same keys as ``left`` to count them on.
+    usual. The result is the plain left join, whichever keys count as hot. ``counts`` gives the
+    (key, rows) of ``left`` where they are known or cheaper to count elsewhere.
 
     Broadcasting the hot keys is safe: see the bound in :func:`hot_keys`.
     """
-    hot = F.broadcast(hot_keys(left if counted is None else counted, left_key, rows_per_split))
+    hot = F.broadcast(
+        hot_keys(key_counts(left, left_key) if counts is None else counts, rows_per_split))
     # NULL is a key here as well: null-safe, so a large NULL group is cut too. The same form
     # on both sides lets Spark broadcast the hot keys once.
     marked = (left.join(hot, F.col(left_key).eqNullSafe(F.col("_hot_key")), "left")

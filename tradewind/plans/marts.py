@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import labels
 from tradewind.functions.columns import foreign_key, surrogate_key, translate
-from tradewind.operators.joins import ROWS_PER_SPLIT, left_join_hot, left_join_nullable
+from tradewind.operators.joins import (
+    ROWS_PER_SPLIT,
+    key_counts,
+    left_join_hot,
+    left_join_nullable,
+)
 
 
 class Tables(Protocol):
@@ -32,6 +37,8 @@ class Tables(Protocol):
 
     def mart(self, name: str) -> DataFrame: ...
 
+    def has(self, name: str) -> bool: ...
+
 
 def _lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """LEFT JOIN by a column both sides share, keeping the left side's copy."""
@@ -285,13 +292,46 @@ def line_amount() -> Column:
     return F.col("orderqty") * (F.col("unitprice") - F.col("unitpricediscount"))
 
 
+def line_totals(amount: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("line_count"),
+            F.sum("orderqty").alias("quantity"),
+            F.sum(amount).alias("amount")]
+
+
+def order_totals(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS, *,
+                 condition: Column | None = None, split_by: str | None = None) -> DataFrame:
+    """One row per order that has lines: order columns, line count, quantity and amount.
+
+    The lines are totalled first, so an order with very many lines is one row per task ahead
+    of the shuffle. ``line_salesorderid`` is the id on the lines; ``salesorderid`` is NULL if
+    there is no such order. ``condition`` keeps matching orders only; ``split_by`` makes a row
+    per order and value of a product attribute.
+    """
+    lines = tables.stg("stg_salesorderdetail")
+    split = [split_by] if split_by else []
+    if split_by:
+        lines = _lookup(lines, product_attributes(tables).select("productid", split_by),
+                        "productid")
+    totals = (lines.groupBy(F.col("salesorderid").alias("line_salesorderid"), *split)
+              .agg(*line_totals(line_amount())))
+    orders = order_rows(tables, columns)
+    if condition is not None:
+        orders = orders.where(condition)
+    # Both sides are partitioned by order id already; the lookups come after this join.
+    joined = totals.join(orders, F.col("line_salesorderid") == F.col("salesorderid"),
+                         "left" if condition is None else "inner")
+    return look_up(tables, joined, columns).select(
+        "line_salesorderid", "salesorderid", *columns, *split, "line_count", "quantity", "amount")
+
+
 def fact_sales(tables: Tables, line_key: bool = False,
                rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """One row per order line with its order's attributes, 35 columns.
 
     Lines without a header are kept, with NULL order columns. ``factsalessk`` does not
     include the line id, so two lines of one order with the same product share it;
-    ``line_key=True`` adds ``fact_line_sk``, which does.
+    ``line_key=True`` adds ``fact_line_sk``, which does. Order attributes and line counts are
+    taken from ``order_totals`` if it is built.
     """
     lines = tables.stg("stg_salesorderdetail").select(
         F.col("salesorderid").alias("line_salesorderid"), "salesorderdetailid", "orderqty",
@@ -303,12 +343,17 @@ def fact_sales(tables: Tables, line_key: bool = False,
     prices = tables.stg("stg_product").select("productid", "standardcost", "listprice")
     priced = _lookup(lines, prices, "productid").withColumn("productfk", foreign_key("productid"))
 
-    orders = look_up(tables, order_rows(tables)).select("salesorderid", *ORDER_COLUMNS)
+    if tables.has("order_totals"):
+        totals = tables.mart("order_totals")
+        orders = totals.where(F.col("salesorderid").isNotNull())
+        counts = totals.select(F.col("line_salesorderid").alias("key"),
+                               F.col("line_count").alias("rows"))
+    else:
+        orders = look_up(tables, order_rows(tables))
+        counts = key_counts(tables.stg("stg_salesorderdetail"), "salesorderid")
     rows = left_join_hot(
-        priced, orders, "line_salesorderid", "salesorderid",
-        spread_by="scan_number", rows_per_split=rows_per_split,
-        counted=tables.stg("stg_salesorderdetail").select(
-            F.col("salesorderid").alias("line_salesorderid")))
+        priced, orders.select("salesorderid", *ORDER_COLUMNS), "line_salesorderid",
+        "salesorderid", spread_by="scan_number", counts=counts, rows_per_split=rows_per_split)
     parts = ["salesorderid", *ORDER_KEYS, "orderdate", "productfk"]
     columns = [surrogate_key(*parts).alias("factsalessk"), *FACT_COLUMNS[1:]]
     if line_key:
@@ -316,21 +361,6 @@ def fact_sales(tables: Tables, line_key: bool = False,
     return rows.select(*columns)
 
 
-def line_totals(amount: Column) -> list[Column]:
-    return [F.count(F.lit(1)).alias("line_count"),
-            F.sum("orderqty").alias("quantity"),
-            F.sum(amount).alias("amount")]
-
-
-def order_totals(fact: DataFrame) -> DataFrame:
-    """The fact rolled up to one row per order: its columns, line count, quantity and amount.
-
-    Written with a warehouse, so that order-level reports neither read nor shuffle the lines.
-    """
-    return (fact.groupBy("salesorderid", *ORDER_COLUMNS)
-            .agg(*line_totals(F.col("amountpaidproduct"))))
-
-
 def fact_aggsalessellersregion(tables: Tables) -> DataFrame:
     """Orders with a salesperson, counted by country, job title and gender.
 
@@ -365,3 +395,6 @@ MARTS: dict[str, Callable[[Tables], DataFrame]] = {
     "fact_sales": fact_sales,
     "fact_aggsalessellersregion": fact_aggsalessellersregion,
 }
+
+# Written next to the marts: the fact and the order-level reports are computed from it.
+ROLLUPS: dict[str, Callable[[Tables], DataFrame]] = {"order_totals": order_totals}

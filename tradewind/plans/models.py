@@ -134,8 +134,12 @@ def cv_scores(rows: DataFrame, models: dict[str, Fit], folds: int = 5,
               parallel: int = 4) -> DataFrame:
     """(model, fold, mae) of a walk-forward validation.
 
-    ``rows`` carry ``position`` and ``length`` within their series.
+    ``rows`` carry ``position`` and ``length`` within their series. At least one series needs
+    more rows than there are folds.
     """
+    longest = rows.agg(F.max("length").alias("rows")).first().rows or 0
+    if longest <= folds:
+        raise ValueError(f"{longest} rows are too few for {folds} folds")
     parts = _folds(rows, folds)
     tasks = [(name, fold) for name in models for fold in range(folds)]
 
@@ -143,10 +147,7 @@ def cv_scores(rows: DataFrame, models: dict[str, Fit], folds: int = 5,
         name, fold = task
         train, valid = parts[fold]
         error = F.avg(F.abs(F.col(TARGET) - F.col(PREDICTION))).alias("mae")
-        mae = models[name](train).transform(valid).agg(error).first().mae
-        if mae is None:
-            raise ValueError(f"too few rows for {folds} folds")
-        return name, fold, mae
+        return name, fold, models[name](train).transform(valid).agg(error).first().mae
 
     spark = rows.sparkSession
     return spark.createDataFrame(_side_by_side(spark, score, tasks, parallel),
@@ -156,6 +157,9 @@ def cv_scores(rows: DataFrame, models: dict[str, Fit], folds: int = 5,
 def holdout_metrics(train: DataFrame, test: DataFrame, models: dict[str, Fit],
                     parallel: int = 4) -> DataFrame:
     """(model, rank, mae, rmse, mape, r2) of each model on the held-out rows."""
+    if train.isEmpty() or test.isEmpty():
+        raise ValueError("no series is long enough for a training and a test part")
+
     def score(item: tuple[int, str]) -> tuple:
         rank, name = item
         predicted = models[name](train).transform(test)

@@ -1,8 +1,8 @@
 """Narrow views of the order lines that the reports and the forecast are computed from.
 
 ``order_sales`` has one row per order with lines, ``product_sales`` one row per product and
-``monthly_sales`` one row per series and month. They total the lines before anything else is joined, so an order or product with very many lines
-shrinks to one row per task ahead of the shuffle, and reports never join at line grain.
+``monthly_sales`` one row per series and month. Lines are totalled before they are shuffled or
+joined, so that an order or product with very many lines shrinks to one row per task.
 
 Built warehouses are read from ``order_totals`` or ``fact_sales``; otherwise the staging
 frames are used with only the lookups the caller's columns need.
@@ -39,14 +39,11 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
     """
     wanted = tuple(dict.fromkeys((*columns, "totaldue", *(["statussales"] if sales_only else []))))
     split = [split_by] if split_by else []
+    condition = is_sale() if sales_only else None
     if warehouse.has("order_totals") and not split_by:
-        totals = warehouse.mart("order_totals")
-        if sales_only:
-            totals = totals.where(is_sale())
+        totals = _kept(warehouse.mart("order_totals"), condition)
     elif warehouse.has("fact_sales"):
-        lines = warehouse.mart("fact_sales")
-        if sales_only:
-            lines = lines.where(is_sale())
+        lines = _kept(warehouse.mart("fact_sales"), condition)
         if split_by:
             products = warehouse.mart("dim_products").select(
                 F.col("productsk").alias("productfk"), split_by)
@@ -54,24 +51,15 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
         totals = (lines.groupBy("salesorderid", *wanted, *split)
                   .agg(*marts.line_totals(F.col("amountpaidproduct"))))
     else:
-        lines = warehouse.stg("stg_salesorderdetail")
-        if split_by:
-            products = marts.product_attributes(warehouse).select("productid", split_by)
-            lines = lines.join(products, "productid", "left")
-        orders = marts.order_rows(warehouse, wanted)
-        if sales_only:
-            orders = orders.where(is_sale())
-        per_order = (lines.groupBy(F.col("salesorderid").alias("line_salesorderid"), *split)
-                     .agg(*marts.line_totals(marts.line_amount())))
-        # Both sides are partitioned by order id already; the lookups come after this join.
-        joined = per_order.join(
-            orders, F.col("line_salesorderid") == F.col("salesorderid"),
-            "inner" if sales_only else "left")
-        totals = marts.look_up(warehouse, joined, wanted)
+        totals = marts.order_totals(warehouse, wanted, condition=condition, split_by=split_by)
     return totals.select("salesorderid", *dict.fromkeys((*columns, "totaldue")), *split,
                          "line_count", "quantity", "amount")
 
 
+def _kept(rows: DataFrame, condition: Column | None) -> DataFrame:
+    return rows if condition is None else rows.where(condition)
+
+
 def over_lines(value: str) -> Column:
     """An order value counted once per line of the order."""
     return F.col(value) * F.col("line_count").cast("decimal(12,0)")

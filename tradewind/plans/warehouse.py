@@ -10,14 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.quality import run_checks
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS
-from tradewind.plans.marts import MARTS, order_totals
+from tradewind.plans.marts import MARTS, ROLLUPS
 from tradewind.plans.staging import STAGING
 
 
-# Rollup of the fact that is written with the marts.
-ORDER_TOTALS = "order_totals"
-
-
 class Warehouse:
     """Staging views and marts by name.
 
@@ -38,7 +34,7 @@ class Warehouse:
     def open(cls, spark: SparkSession, location: str, source=None) -> Warehouse:
         """A warehouse built earlier, by folder or by catalog database (see ``table_name``)."""
         return cls(spark, source, {name: _read(spark, location, name)
-                                   for name in (*MARTS, ORDER_TOTALS)})
+                                   for name in (*MARTS, *ROLLUPS)})
 
     def stg(self, name: str) -> DataFrame:
         schema, table, transform = STAGING[name]
@@ -51,10 +47,10 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
-        return MARTS[name](self)
+        return (MARTS | ROLLUPS)[name](self)
 
     def has(self, name: str) -> bool:
-        """Whether the mart is built."""
+        """Whether the mart or rollup is built."""
         return name in self._tables
 
     def model(self, name: str) -> DataFrame:
@@ -111,9 +107,9 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     ``location`` is a folder on shared storage, or ``catalog:<database>``. The source keys are
     checked first, because the marts rely on them: repeated or missing keys stop the build.
     The dimensions and the aggregate do not depend on each other and are written side by
-    side; ``fact_sales`` follows and reads the written reasons, then its rollup per order.
-    ``report`` holds the checks on
-    the written tables; a failing one does not undo the build.
+    side. The rollup per order follows and reads the written reasons, then ``fact_sales``,
+    which reads the rollup. ``report`` holds the checks on the written tables; a failing one
+    does not undo the build.
     """
     warehouse = Warehouse(spark, source)
     if check_sources:
@@ -130,9 +126,9 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     with ThreadPoolExecutor(max_workers=4) as pool:
         frames = list(pool.map(inheritable_thread_target(spark)(write), independent))
     written = dict(zip(independent, frames, strict=True))
-    warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
-    written["fact_sales"] = write("fact_sales")
-    written[ORDER_TOTALS] = _write(order_totals(written["fact_sales"]), location, ORDER_TOTALS)
+    for name in (*ROLLUPS, "fact_sales"):
+        warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
+        written[name] = write(name)
     warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
     return Build(warehouse, warehouse.check_marts())
 
