@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 
+from conftest import rows_of
 from test_features import COLUMNS, months, series_rows
 from tradewind import DemandForecast
 from tradewind.operators.features import FEATURES, TARGET, feature_set, holdout_split
@@ -180,6 +181,12 @@ def test_warehouse_source_skips_the_open_month(small):
     assert per_country.select("series_key").distinct().count() == 5
 
 
+def test_built_warehouse_gives_the_same_features(small, built):
+    lazy = DemandForecast.from_warehouse(small, "productcategory_name").features()
+    written = DemandForecast.from_warehouse(built, "productcategory_name").features()
+    assert rows_of(lazy) == rows_of(written)
+
+
 def test_split_columns(panel):
     rows = holdout_split(panel)
     assert {"position", "length", "is_train"} <= set(rows.columns)

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from test_features import COLUMNS, monthly, series_rows  # noqa: F401
+from test_features import monthly  # noqa: F401
 from tradewind.operators.features import FEATURES, TARGET, feature_set, holdout_split
 from tradewind.plans import models
 from tradewind.plans.models import ModelSettings, candidate_models, cv_scores

@@ -126,3 +126,25 @@ def test_adaptive_execution_splits_a_hot_customer_and_product(no_broadcast, spar
     text = plan(rows)
     assert re.search(r"SortMergeJoin\(skew=true\) \[productid", text)
     assert re.search(r"SortMergeJoin\(skew=true\) \[customerid", text)
+
+
+def test_adaptive_execution_splits_a_hot_order_and_address(no_broadcast, spark, source):
+    tables = source(
+        **(BASE | {"address": [{"addressid": n, "stateprovinceid": 5} for n in range(40)]}),
+        salesorderheader=[header(n, billtoaddressid=1 if n % 2 else n % 40)
+                          for n in range(3000)],
+        salesorderdetail=[line(1 if n % 2 else n, productid=n % 50) for n in range(3000)])
+    for name in ("salesorderheader", "salesorderdetail"):
+        tables.frames[name] = tables.frames[name].repartition(12)
+    warehouse = Warehouse(spark, tables)
+    products = reports.top_products(warehouse)
+    assert sum(row.total_qty for row in products.collect()) > 0
+    assert re.search(r"SortMergeJoin\(skew=true\) \[salesorderid[^\n]*LeftSemi", plan(products))
+
+    countries = reports.revenue_by_country(Warehouse(spark, source(
+        **(BASE | {"address": [{"addressid": n, "stateprovinceid": 5} for n in range(40)]}),
+        salesorderheader=[header(n, billtoaddressid=1 if n % 2 else n % 40)
+                          for n in range(3000)],
+        salesorderdetail=[line(n) for n in range(3000)])))
+    assert countries.collect()[0].total_orders == 3000
+    assert re.search(r"SortMergeJoin\(skew=true\) \[billtoaddressid", plan(countries))

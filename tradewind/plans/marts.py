@@ -1,12 +1,13 @@
 """Marts: six dimensions, the order-line fact and the sales-force aggregate.
 
-Source tables declare a unique key each, so a lookup by such a key does not multiply rows;
-a build checks the keys first and then needs no DISTINCT over them. Surrogate keys are hashes of natural keys, so a
-foreign key is computed next to its natural key wherever the dimension holds every key in
-use; only the customer reference needs a lookup, as it is NULL for unknown customers.
-
-No join here carries a broadcast hint: the small lookups are broadcast when Spark measures
-them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled otherwise.
+Source tables declare a unique key each, so a lookup by such a key does not multiply rows; a
+build checks the keys first and then needs no DISTINCT over them. Surrogate keys are hashes of
+natural keys, so a foreign key is computed next to its natural key wherever the dimension
+holds every key in use; only the customer reference needs a lookup, as it is NULL for unknown
+customers.
+
+No lookup here carries a broadcast hint: small ones are broadcast when Spark measures them
+below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled otherwise.
 """
 
 from __future__ import annotations

@@ -123,10 +123,8 @@ def monthly_sales(warehouse: Warehouse, series: str | None = None, *,
 
 def complete_months(warehouse: Warehouse, series: DataFrame) -> DataFrame:
     """Drop the month of the last order unless that order is on the month's last day."""
-    if warehouse.has("fact_sales"):
-        orders = warehouse.mart("fact_sales")
-    else:
-        orders = warehouse.stg("stg_salesorderheader")
+    built = [name for name in ("order_totals", "fact_sales") if warehouse.has(name)]
+    orders = warehouse.model(built[0] if built else "stg_salesorderheader")
     last = F.max("orderdate")
     first_open = orders.agg(
         F.trunc(F.date_add(last, 1), "MM").alias("first_open_month")).scalar()
