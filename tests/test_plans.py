@@ -69,6 +69,12 @@ def test_built_order_reports_do_not_touch_the_lines(report, built):
     assert "hashpartitioning(salesorderid" not in text
 
 
+@pytest.mark.parametrize("report", [reports.top_products, reports.revenue_by_category])
+def test_built_product_reports_read_the_product_rollup(report, built):
+    text = plan(report(built))
+    assert "fact_sales" not in text and "product_totals" in text
+
+
 @pytest.fixture
 def no_broadcast(spark):
     settings = {

@@ -31,7 +31,8 @@ def test_order_totals_add_up_to_the_fact(built):
 def test_reports_without_the_rollup_use_the_fact(built):
     tables = {name: built.mart(name) for name in MARTS}
     plain = Warehouse(built.spark, tables=tables)
-    for report in (reports.kpi_general, reports.sales_reasons, reports.order_status):
+    for report in (reports.kpi_general, reports.sales_reasons, reports.order_status,
+                   reports.top_products, reports.revenue_by_category):
         assert rows_of(report(plain)) == rows_of(report(built))
 
 

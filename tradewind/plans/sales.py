@@ -4,8 +4,8 @@
 ``monthly_sales`` one row per series and month. Lines are totalled before they are shuffled or
 joined, so that an order or product with very many lines shrinks to one row per task.
 
-Built warehouses are read from ``order_totals`` or ``fact_sales``; otherwise the staging
-frames are used with only the lookups the caller's columns need.
+Built warehouses are read from their rollups or ``fact_sales``; otherwise the staging frames
+are used with only the lookups the caller's columns need.
 """
 
 from __future__ import annotations
@@ -133,12 +133,10 @@ def complete_months(warehouse: Warehouse, series: DataFrame) -> DataFrame:
 
 def product_sales(warehouse: Warehouse) -> DataFrame:
     """Sold quantity, amount and cost per product, with the product's names."""
-    if warehouse.has("fact_sales") and warehouse.has("dim_products"):
-        totals = (warehouse.mart("fact_sales").where(is_sale())
+    if warehouse.has("fact_sales"):
+        totals = (warehouse.mart("product_totals").where(is_sale())
                   .groupBy(F.col("productfk").alias("productsk"))
-                  .agg(F.sum("orderqty").alias("quantity"),
-                       F.sum("amountpaidproduct").alias("amount"),
-                       F.sum(F.col("orderqty") * F.col("standardcost")).alias("cost")))
+                  .agg(*(F.sum(name).alias(name) for name in ("quantity", "amount", "cost"))))
         named = totals.join(warehouse.mart("dim_products"), "productsk")
     else:
         sales = (warehouse.stg("stg_salesorderheader").where(is_sale()).select("salesorderid"))

@@ -108,8 +108,8 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     checked first, because the marts rely on them: repeated or missing keys stop the build.
     The dimensions and the aggregate do not depend on each other and are written side by
     side. The rollup per order follows and reads the written reasons, then ``fact_sales``,
-    which reads the rollup. ``report`` holds the checks on the written tables; a failing one
-    does not undo the build.
+    which reads that rollup, then the rollup per product. ``report`` holds the checks on the
+    written tables; a failing one does not undo the build.
     """
     warehouse = Warehouse(spark, source)
     if check_sources:
@@ -126,7 +126,7 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     with ThreadPoolExecutor(max_workers=4) as pool:
         frames = list(pool.map(inheritable_thread_target(spark)(write), independent))
     written = dict(zip(independent, frames, strict=True))
-    for name in (*ROLLUPS, "fact_sales"):
+    for name in ("order_totals", "fact_sales", "product_totals"):
         warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
         written[name] = write(name)
     warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
