@@ -27,6 +27,16 @@ from tradewind.plans.staging import STAGING  # noqa: E402
 from tradewind.plans.warehouse import Warehouse, build_warehouse  # noqa: E402
 from tradewind.sources.feed import OrdersFeed  # noqa: E402
 
+# The operators for training data are an optional part: without their folder, and the pipeline
+# made of them, everything else works.
+try:
+    import corpus_pipeline  # noqa: E402
+    from tradewind.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in {"corpus_pipeline", "tradewind.llm", "tradewind.llm.queries"}:
+        raise
+    llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Every boosting round is several Spark jobs, so the registered queries boost for fewer
@@ -180,7 +190,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return top_products(_warehouse(spark, "/root/testdata/sf0.001"))
 
 
-def queries() -> dict[str, Query]:
+def core_queries() -> dict[str, Query]:
+    """The queries that need no optional part."""
     return {
         **{name: _model(name) for name in (*STAGING, *MARTS)},
         **{name: _report(report) for name, report in (REPORTS | FORECAST).items()},
@@ -191,5 +202,14 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    if llm is None:
+        return core_queries()
+    return {**core_queries(), **llm.queries(),
+            "pipeline": lambda spark, folder: corpus_pipeline.run(spark, folder)}
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    if llm is None:
+        return oracle.oracle_sql()
+    return {**oracle.oracle_sql(), **llm.oracle_sql()}

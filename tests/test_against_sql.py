@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as registry
 from conftest import SMALL, rows_of
 
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.core_queries()
+ORACLE = {name: text for name, text in registry.oracle_sql().items() if name in QUERIES}
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
          "boolean": "BOOLEAN", "double": "DOUBLE", "timestamp": "TIMESTAMP",
          "timestamp_ntz": "TIMESTAMP"}
