@@ -1,14 +1,63 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences, stage by stage.
+
+Each stage takes what the one before has kept, with the columns of documents, and decides on its own
+input; the last returns the pieces of the packed documents. Ids may be repeated or NULL.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradewind.llm import langid, packing, pii, quality, simhash
+from tradewind.operators.lineage import written
+
+MIN_LANGUAGE_SHARE = 0.5
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that fail the limits or lie far outside their group go."""
+    return quality.keep_good(docs)
+
 
-from tradewind.llm import packing
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without a letter, or without a language that holds half of them, go.
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+    ``lang`` stays as it is: only the decision whether the text is prose of a known language
+    counts. Without any labelled document there is nothing to reject by.
+    """
+    models = langid.train(docs.where(~langid.held_out("doc_id")))
+    if models is None:
+        return docs
+    judged = langid.predict(docs, models, keep=tuple(docs.columns))
+    share = F.coalesce(F.try_element_at("languages", F.lit(1))["share"], F.lit(0.0))
+    return judged.where((F.col("lang_pred") != langid.UNDETERMINED)
+                        & (share >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup: of each group the document with the smallest id stays.
+
+    Rows are told apart by id and text, NULL ids last; of rows equal in both one stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"),
+                   F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    found = simhash.near_duplicates(docs.select(key.alias("key"), "text"), row_id="key")
+    first = written(found.select("component_id.*").distinct())
+    keyed = docs.select("*", F.col("doc_id").isNull().alias("_unknown"),
+                        F.col("doc_id").alias("_id"),
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("_digest"))
+    kept = keyed.join(first, (F.col("_unknown") == F.col("unknown"))
+                      & F.col("_id").eqNullSafe(F.col("id"))
+                      & (F.col("_digest") == F.col("digest")), "left_semi")
+    return kept.dropDuplicates(["_unknown", "_id", "_digest"]).select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """PII: every span is replaced by the name of its kind; n_chars is counted anew."""
+    return pii.mask(docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +65,11 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(packing.token_pieces(docs))
 
 
-STAGES = [("best_fit_packing", pack_documents)]
+STAGES = [("quality_rules", quality_rules), ("language_id", language_id),
+          ("simhash_dedup", simhash_dedup), ("pii", mask_personal_data),
+          ("best_fit_packing", pack_documents)]
+
+# Robust estimates, mixtures and fingerprints have no SQL; tests compare with plain versions.
 ORACLE_SQL = None
 
 

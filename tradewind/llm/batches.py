@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 # Characters of text that one call of a kernel sees, unless one text alone is longer.
 SLICE_CHARS = 2_000_000
 SLICE_ROWS = 4_000
+# Rows, of about 1 KB at most, that a join may broadcast.
+BROADCAST_ROWS = 10_000
 
 
 def importable(spark: SparkSession) -> None:
@@ -105,6 +107,17 @@ def map_groups(rows: DataFrame, key: str, kernel: Callable[[pa.Table], pa.Table
     return dealt.sortWithinPartitions(key).mapInArrow(run, schema)
 
 
+def join_small(rows: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a frame that is small as a rule, and read from a checkpoint.
+
+    It is broadcast if it has at most BROADCAST_ROWS rows, counted here; else Spark joins as it
+    does any two frames. Either way the result is the same.
+    """
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        small = F.broadcast(small)
+    return rows.join(small, on, how)
+
+
 def group_bounds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal values."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.batches import map_texts
+from tradewind.llm.batches import importable, map_texts
 from tradewind.llm.chunks import ChunkEncoder, Memo
 from tradewind.llm.vocabulary import BYTE_BPE_RANKS, SPLIT_PATTERN, parse_ranks, read_file
 
@@ -199,6 +199,7 @@ def decode(rows: DataFrame, ids: str = "ids", row_id: str = "doc_id",
            ranks_path: str = BYTE_BPE_RANKS) -> DataFrame:
     """(row_id, decoded): the bytes that an array of ids stands for; empty for NULL."""
     shipped = rows.sparkSession.sparkContext.broadcast(read_file(ranks_path))
+    importable(rows.sparkSession)
 
     @F.udf("binary")
     def decoded(values):

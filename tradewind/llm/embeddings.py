@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.batches import arrow_schema, group_bounds, map_groups
+from tradewind.llm.batches import arrow_schema, group_bounds, importable, map_groups
 from tradewind.llm.components import connected_components
 from tradewind.operators.lineage import written
 
@@ -69,6 +69,7 @@ def _hashed(distinct: DataFrame, signs: int, tables: int) -> DataFrame:
     schema = "node bigint, rows bigint, vector binary, hashes array<int>"
     target = arrow_schema(schema)
     weights = 1 << np.arange(signs, dtype=np.int64)
+    importable(distinct.sparkSession)
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tradewind.llm.batches import arrow_schema, map_texts
+from tradewind.llm.batches import arrow_schema, importable, map_texts
 from tradewind.llm.chunks import ChunkEncoder
 from tradewind.llm.vocabulary import BYTE_BPE_JSON, read_file
 from tradewind.operators.lineage import written
@@ -204,6 +204,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
     target = arrow_schema(f"{schema}, sequence_id bigint, offset bigint")
 
+    importable(pieces.sparkSession)
+
     def place(batches):
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
