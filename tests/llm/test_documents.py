@@ -1,0 +1,280 @@
+"""Quality rules, language identification and the pipeline."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conftest import MEDIUM, SMALL
+from tradewind.llm import langid, quality, queries
+
+SPACE = "[\x20\x09-\x0d]+"
+
+
+def plain_counts(text):
+    words = [word for word in re.split(SPACE, text or "") if word]
+    lines = [line for line in (text or "").split("\n") if re.sub(SPACE, "", line)]
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1
+               for j in range(i, i + 8)}
+    return {"n_words": len(words), "word_chars": sum(map(len, words)),
+            "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered)}
+
+
+def test_counts_equal_plain_rules():
+    rng = random.Random(2)
+    texts = [None, "", "a b " * 50, "x\x0by\x1cz\n\n \n a\n a", "é | é\n" * 9, "w " * 7, "w " * 9]
+    texts += ["".join(rng.choice(["a ", "b ", "\n", "#", "c"]) for _ in range(rng.randint(0, 120)))
+              for _ in range(800)]
+    for text in texts:
+        found = quality.counts(text)
+        assert {name: found[name] for name in plain_counts(text)} == plain_counts(text)
+
+
+def test_quality_query(spark):
+    found = queries.queries()["op2_quality"](spark, MEDIUM).collect()
+    texts = {r.doc_id: r.text for r in
+             spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
+    assert len(found) == len(texts)
+    for row in found:
+        plain = plain_counts(texts[row.doc_id])
+        assert {name: row[name] for name in plain} == plain
+        failed = plain["n_words"] < 20 or 100 * plain["n_repeat_words"] > 30 * plain["n_words"]
+        assert row.base_failed == failed
+        assert not (failed and row.kept)
+    labels = {r.doc_id: r.quality for r in
+              spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
+    judged = [(labels[r.doc_id], r.kept) for r in found
+              if r.doc_id in labels and not r.base_failed]
+    good = [kept for label, kept in judged if label == 1]
+    bad = [kept for label, kept in judged if label == 0]
+    assert np.mean(good) > 0.995 and np.mean(bad) < 0.15
+
+
+def plain_mcd(z, coverage, steps, shrinkage):
+    """Concentration steps from both starts, by numpy on one group."""
+    size = z.shape[1]
+
+    def shrunk(c):
+        return (1 - shrinkage) * c + shrinkage * np.eye(size)
+    squashed = np.cov(np.tanh(z).T, bias=True)
+    scale = np.sqrt(np.maximum(np.diag(squashed), 1e-3))
+    results = []
+    for scatter in (np.eye(size), shrunk(squashed / np.outer(scale, scale))):
+        centre = np.zeros(size)
+        for _ in range(steps):
+            apart = z - centre
+            d2 = np.einsum("ij,jk,ik->i", apart, np.linalg.inv(scatter), apart)
+            reach = np.sort(d2)[int(np.ceil(coverage * len(d2))) - 1]
+            inside = z[d2 <= reach]
+            centre, scatter = inside.mean(axis=0), shrunk(np.cov(inside.T, bias=True))
+        results.append((np.linalg.slogdet(scatter)[1], centre, scatter))
+    return min(results, key=lambda r: r[0])
+
+
+def test_estimates_equal_numpy(spark):
+    rng = np.random.default_rng(1)
+    size = len(quality.AXES)
+    mixed = rng.standard_normal((300, size)) @ rng.standard_normal((size, size)) * 0.5
+    mixed[:40] += 12
+    frame = spark.createDataFrame([("g", *map(float, row)) for row in mixed],
+                                  ", ".join(["grp string", *(f"{a} double" for a in quality.AXES)]))
+    found = quality._concentrated(frame).first()
+    _, centre, scatter = plain_mcd(mixed, quality.COVERAGE, quality.STEPS, quality.SHRINKAGE)
+    assert np.allclose(found.centre, centre, atol=1e-6)
+    assert np.allclose(np.array(found.inverse).reshape(size, size), np.linalg.inv(scatter),
+                       atol=1e-5)
+
+
+PROSE = ("The house by the river stood empty for years, and nobody in town could say who had "
+         "lived there before the flood came and took the bridge away one night. ")
+
+
+def made_up(count):
+    rng = random.Random(3)
+    words = PROSE.split()
+    return [" ".join(rng.choice(words) for _ in range(rng.randint(25, 200))) for _ in range(count)]
+
+
+def test_quality_of_odd_rows(spark):
+    rows = [(i, text, "en", "a") for i, text in enumerate(made_up(150))]
+    junk = " ".join(f"{w} |" for w in made_up(1)[0].split())
+    rows += [(200, junk, "en", "a"), (201, None, "en", "a"), (202, "", None, None),
+             (203, PROSE, None, None), (204, junk, "xx", "rare"), (None, PROSE * 400, "en", "a"),
+             (0, rows[0][1], "en", "a")]
+    frame = spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string").selectExpr(
+        "*", "1 AS n_words", "2 AS kept", "3 AS ratio", "4 AS name")
+    found = quality.judge(frame).collect()
+    assert len(found) == len(rows)
+    kept = {r.doc_id: r.kept for r in found}
+    assert not kept[200] and not kept[201] and not kept[202] and not kept[None]
+    assert kept[203] and kept[204]  # their groups are too small to judge
+    assert all(kept[i] for i in range(150))
+    left = quality.keep_good(frame)
+    assert left.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(
+        str(r.doc_id) for r in found if r.kept)
+    assert quality.judge(frame.limit(0)).count() == 0
+    assert quality.keep_good(frame.limit(0)).count() == 0
+
+
+# --- languages ---------------------------------------------------------------------------
+
+def test_languages_of_held_out_documents(spark):
+    found = {r.doc_id: r for r in queries.queries()["op9_langid"](spark, MEDIUM).collect()}
+    documents = spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()
+    assert len(found) == len(documents)
+    right = []
+    for row in documents:
+        one = found[row.doc_id]
+        assert one.held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0)
+        assert 0 <= one.score <= 1
+        if one.held_out and len(row.text) > 100:
+            right.append(one.lang_pred == row.lang)
+    assert np.mean(right) > 0.98
+
+
+def test_mixtures(spark):
+    documents = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    models = langid.train(documents)
+    texts = defaultdict(list)
+    for row in documents.collect():
+        texts[row.lang].append(row.text)
+    both = " ".join(texts["de"][i][:1500] for i in range(6)) + " " + " ".join(
+        texts["fr"][i][:1500] for i in range(6))
+    frame = spark.createDataFrame([(1, both), (2, " ".join(texts["es"][:5]))],
+                                  "doc_id bigint, text string")
+    found = {r.doc_id: {x.lang: x.share for x in r.languages}
+             for r in langid.predict(frame, models).collect()}
+    assert set(found[1]) == {"de", "fr"} and abs(found[1]["de"] - 0.5) < 0.15
+    assert set(found[2]) == {"es"}
+
+
+def test_mixture_steps_raise_the_likelihood():
+    rng = np.random.default_rng(5)
+    likely = rng.random((60, 3))
+    words = np.array([10, 1, 49])
+    first, owner = np.array([0, 10, 11]), np.repeat([0, 1, 2], words)
+    before = None
+    for steps in range(1, 12):
+        shares, value = langid._mixture(likely, owner, first, words, np.full((3, 3), 1 / 3), steps)
+        assert np.allclose(shares.sum(axis=1), 1)
+        assert before is None or (value >= before - 1e-9).all()
+        before = value
+    plain = np.full(3, 1 / 3)  # one document, step by step
+    for _ in range(11):
+        weight = likely[11:] * plain
+        plain = (weight / weight.sum(axis=1, keepdims=True)).mean(axis=0)
+    assert np.allclose(shares[2], plain)
+
+
+def test_trigrams():
+    buckets, starts = langid.trigrams("Ab, 12 c" + "d" * 60)
+    assert len(buckets) == 63 and starts.tolist() == [0, 2, 26, 50]
+    again, _ = langid.trigrams("...ab")
+    assert (again == buckets[:2]).all()
+    for empty in ("", "123 !?", "\n"):
+        assert len(langid.trigrams(empty)[0]) == 0
+
+
+def test_languages_of_odd_rows(spark):
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 !", "en"), (4, "word " * 40_000, "en"),
+            (None, "mot", "fr"), (5, "日本" * 5000, None), (6, "le mot", "fr"), (6, "le mot", "fr")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr(
+        "*", "1 AS score", "2 AS _k0")
+    models = langid.train(frame)
+    found = langid.predict(frame, models).collect()
+    assert [r.doc_id for r in found] == [r[0] for r in rows]
+    assert [r.lang_pred for r in found[:3]] == ["und"] * 3
+    assert [r.score for r in found[:3]] == [0.0] * 3
+    assert [r.lang_pred for r in found[3:5]] == ["en", "fr"]
+    assert found[5].lang_pred in ("en", "fr") and found[6] == found[7]
+    assert langid.train(frame.where("lang IS NULL")) is None
+    assert {r.lang_pred for r in langid.predict(frame, None).collect()} == {"und"}
+    assert langid.predict(frame.limit(0), models).count() == 0
+
+
+# --- the pipeline ------------------------------------------------------------------------
+
+def staged(spark, docs, folder, tmp_path):
+    """The stages one by one, each written and read again."""
+    frames = {"input": docs}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        frames[name] = docs
+    return frames
+
+
+def test_pipeline(spark, tmp_path):
+    from test_duplicates import plain_fingerprint
+    from test_spans import plain_personal
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    frames = staged(spark, documents, SMALL, tmp_path)
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "language_id", "simhash_dedup", "pii", "best_fit_packing"]
+    for name in names[:-1]:
+        assert frames[name].columns == documents.columns
+    kept = {r.doc_id for r in quality.judge(documents).where("kept").collect()}
+    assert {r.doc_id for r in frames["quality_rules"].collect()} == kept
+    labels = {r.doc_id: r.quality for r in
+              spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    languages = {r.doc_id for r in frames["language_id"].collect()}
+    assert languages <= kept and len(kept - languages) <= 0.05 * len(kept)
+    assert all(i in languages for i, good in labels.items() if good and i in kept)
+    # one document of each group stays, the one with the smallest id
+    prints = {r.doc_id: plain_fingerprint(r.text) for r in frames["language_id"].collect()}
+    left = {r.doc_id for r in frames["simhash_dedup"].collect()}
+    group = {i: i for i in prints}
+    for i in sorted(prints):
+        todo = [i]
+        while todo:
+            at = todo.pop()
+            for j in prints:
+                if group[j] > group[i] and (prints[at] ^ prints[j]).bit_count() <= 3:
+                    group[j] = group[i]
+                    todo.append(j)
+    assert left == set(group.values())
+    # nothing personal is left, everything else is
+    for row in frames["pii"].collect():
+        assert not plain_personal(row.text)
+        assert row.n_chars == len(row.text)
+    packed = frames["best_fit_packing"]
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == left
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(
+        F.max("n")).first()[0] <= 1024
+    assert corpus_pipeline.run(spark, SMALL).count() == packed.count()
+
+
+def test_stages_of_odd_rows(spark, tmp_path):
+    texts = made_up(80)
+    rows = [(i, text, "en", "a", len(text)) for i, text in enumerate(texts)]
+    rows += [rows[3], rows[3], (3, texts[4], "en", "a", 1), (None, texts[5], "en", "a", None),
+             (None, texts[6] + " and more of it", None, None, None), (100, None, "en", "a", 0),
+             (101, "", None, "a", 0), (102, texts[7], "en", "a", 1)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    frame = spark.createDataFrame(rows, schema)
+    left = corpus_pipeline.simhash_dedup(spark, frame, SMALL).collect()
+    counts = Counter((r.doc_id, r.text) for r in left)
+    assert max(counts.values()) == 1 and (3, texts[3]) in counts
+    assert (None, texts[5]) not in counts and (102, texts[7]) not in counts
+    assert (3, texts[4]) in counts and (4, texts[4]) not in counts
+    frames = staged(spark, frame, SMALL, tmp_path / "odd")
+    assert frames["best_fit_packing"].count() >= 70
+    empty = staged(spark, frame.limit(0), SMALL, tmp_path / "empty")
+    assert empty["best_fit_packing"].count() == 0
+
+
+@pytest.mark.parametrize("name", ["pipeline", "op4_simhash"])
+def test_registered(name):
+    import __spark_entry__ as registry
+    assert name in registry.queries()

@@ -39,10 +39,11 @@ def _written(spans: Column, kinds: tuple[str, ...]) -> Column:
 
 def _span_columns(found: DataFrame, base_kinds: tuple[str, ...],
                   kinds: tuple[str, ...]) -> DataFrame:
-    number = {kind: F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind))
-              for kind in base_kinds}
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
     return found.select(
-        "doc_id", *(n.cast("bigint").alias(f"n_{kind}") for kind, n in number.items()),
+        "doc_id", *(number(kind).alias(f"n_{kind}") for kind in base_kinds),
         F.sha2(_written(F.col("base"), kinds), 256).alias("base_sha256"),
         _written(F.concat("base", "added"), kinds).alias("spans"))
 

@@ -36,8 +36,10 @@ SAMPLE_TOKENS = 200_000
 FEATURES = 1 << 16
 TOKEN_LENGTH = 8
 TAGS = 3  # outside, begin, inside
+OWN_FEATURES = 11  # those that come first, of the token itself
 EPOCHS = 80
-PENALTY = 0.02
+PENALTY = 1.0  # half the inverse variance that a weight is expected to have
+FIRST_PENALTY = 5.0
 _CHAIN = 64  # longer chains are cut for training only
 
 # The base patterns. Possessive repeats match the same and never backtrack.
@@ -204,9 +206,22 @@ _FORBIDDEN = -1e4
 
 
 def train(found: list[tuple[list, list]]) -> Field | None:
-    """The field of highest penalised likelihood, by Adam on all chains at once."""
+    """A field from chains whose unlabelled tokens may be secrets that no pattern knows.
+
+    A first field sees the token's own features only. Chains with an unlabelled token that it takes
+    for a secret are set aside; the field proper learns from the others, with all features.
+    """
     if not any(any(tags) for _, tags in found):
         return None
+    first = fit([([row[:OWN_FEATURES] for row in numbers], tags) for numbers, tags in found], FIRST_PENALTY)
+    clear = [(numbers, tags) for numbers, tags in found if all(tags) or not any(
+        guess and not tag for guess, tag in zip(
+            first.decode([row[:OWN_FEATURES] for row in numbers]), tags, strict=True))]
+    return fit(clear)
+
+
+def fit(found: list[tuple[list, list]], penalty: float = PENALTY) -> Field:
+    """The field of highest penalised likelihood, by Adam on all chains at once."""
     by_length: dict[int, list] = defaultdict(list)
     for numbers, tags in found:
         by_length[len(tags)].append((numbers, tags))
@@ -223,7 +238,7 @@ def train(found: list[tuple[list, list]]) -> Field | None:
     allowed[0, 2] = 0
     state = [np.zeros_like(a) for a in (weights, weights, moves, moves)]
     for epoch in range(1, EPOCHS + 1):
-        up_w, up_m = -PENALTY * weights, -PENALTY * moves
+        up_w, up_m = -penalty * weights, -penalty * moves
         for length, owner, numbers, tags in groups:
             scores = np.stack([np.bincount(owner, weights[numbers, tag], tags.size)
                                for tag in range(TAGS)], axis=1).reshape(len(tags), length, TAGS)
