@@ -63,9 +63,8 @@ WITH RECURSIVE vectors AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
-    WHERE list_sum(list_transform(list_zip(a.v, b.v), x -> x[1] * x[2]))
-        / sqrt(list_sum(list_transform(a.v, x -> x * x)))
-        / sqrt(list_sum(list_transform(b.v, x -> x * x))) >= 0.95),
+    WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v))
+        / sqrt(list_dot_product(b.v, b.v)) >= 0.95),
 reach(a, b) AS (
     SELECT vec_id, vec_id FROM vectors
     UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
