@@ -22,7 +22,7 @@ from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS  # noqa: E402
 from tradewind.plans.forecast import DemandForecast, forecast  # noqa: E402
 from tradewind.plans.marts import MARTS  # noqa: E402
 from tradewind.plans.reports import REPORTS, top_products  # noqa: E402
-from tradewind.plans.sales import complete_months, monthly_sales  # noqa: E402
+from tradewind.plans.sales import monthly_sales  # noqa: E402
 from tradewind.plans.staging import STAGING  # noqa: E402
 from tradewind.plans.warehouse import Warehouse, build_warehouse  # noqa: E402
 from tradewind.sources.feed import OrdersFeed  # noqa: E402
@@ -101,8 +101,7 @@ def _lag_features(warehouse: Warehouse) -> DataFrame:
 
 
 def _features(warehouse: Warehouse) -> DataFrame:
-    return features.feature_set(
-        complete_months(warehouse, monthly_sales(warehouse, customers=False)))
+    return features.feature_set(monthly_sales(warehouse, customers=False))
 
 
 def _feature_set(warehouse: Warehouse) -> DataFrame:

@@ -40,7 +40,7 @@ VIEWS: dict[str, str] = {}
 for (_schema, _table), _mapping in FEED.items():
     VIEWS[f"src_{_table}"] = (
         "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in _mapping.columns.items())
-        + f" FROM {_mapping.feed}" + (f" WHERE {_mapping.where}" if _mapping.where else ""))
+        + f" FROM {_mapping.feed}")
 
 # Staging: REPLACE keeps the column order of the source and swaps single expressions.
 _DAY = "CAST(modifieddate AS DATE) AS modifieddate"
@@ -309,10 +309,6 @@ _BY_CATEGORY = "LEFT JOIN dim_products ON productfk = productsk"
 
 VIEWS |= {
     "monthly_all": _monthly("'all'"),
-    "monthly_closed": """
-        SELECT * FROM monthly_all WHERE order_month <
-            (SELECT date_trunc('month', max(orderdate) + INTERVAL 1 DAY)
-             FROM stg_salesorderheader)""",
 }
 
 
@@ -345,10 +341,10 @@ def _lagged(source: str) -> str:
 
 
 VIEWS |= {
-    "dated_closed": _dated("monthly_closed"),
-    "lagged_closed": _lagged("dated_closed"),
+    "dated_all": _dated("monthly_all"),
+    "lagged_all": _lagged("dated_all"),
     "complete_rows": "SELECT series_key, order_month, CAST(total_revenue AS DOUBLE) AS "
-        f"total_revenue, {', '.join(FEATURES)} FROM lagged_closed "
+        f"total_revenue, {', '.join(FEATURES)} FROM lagged_all "
         "WHERE lag_12 IS NOT NULL",
     "split_rows": """
         SELECT *, row_number() OVER (ORDER BY order_month) - 1 AS place,

@@ -6,13 +6,15 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
-from conftest import rows_of
+from conftest import SMALL, rows_of
 from test_features import COLUMNS, months, series_rows
-from tradewind import DemandForecast
+from tradewind import DemandForecast, Warehouse, build_warehouse
 from tradewind.operators.features import FEATURES, TARGET, feature_set, holdout_split
 from tradewind.plans.forecast import forecast
 from tradewind.plans.models import ModelSettings, candidate_models
+from tradewind.sources.feed import OrdersFeed
 from tradewind.sources.files import load_champion_model, read_monthly_csv, save_artifacts
 
 QUICK = ModelSettings(forest_trees=10, boosting_rounds=3)
@@ -172,15 +174,40 @@ def test_csv_source(spark, tmp_path):
     assert features.count() == 25 and features.where("is_train").count() == 20
 
 
-def test_warehouse_source_skips_the_open_month(small):
+def test_warehouse_source_has_every_month(small):
     run = DemandForecast.from_warehouse(small)
     last = run.series.agg({"order_month": "max"}).first()[0]
-    assert last == dt.date(2001, 7, 1)
-    assert run.features().count() == 67
+    assert last == dt.date(2001, 8, 1)
+    assert run.features().count() == 68
+    closed = DemandForecast.from_warehouse(small, through=dt.date(2001, 7, 31))
+    assert closed.series.agg({"order_month": "max"}).first()[0] == dt.date(2001, 7, 1)
+    assert closed.features().count() == 67
     per_country = DemandForecast.from_warehouse(small, "countryregion_name").features()
     assert per_country.select("series_key").distinct().count() == 5
 
 
+def test_a_late_order_without_lines_changes_nothing(spark, tmp_path):
+    class LateOrder(OrdersFeed):
+        """The feed with one more order, after all others and without lines."""
+
+        def table(self, schema, name):
+            rows = super().table(schema, name)
+            if name != "salesorderheader":
+                return rows
+            late = rows.orderBy("salesorderid").limit(1).withColumns({
+                "salesorderid": F.lit(-1).cast(rows.schema["salesorderid"].dataType),
+                "orderdate": F.lit(dt.date(2003, 9, 5)).cast(
+                    rows.schema["orderdate"].dataType)})
+            return rows.unionByName(late)
+
+    feed = LateOrder(spark, SMALL)
+    build_warehouse(spark, feed, str(tmp_path))
+    lazy = DemandForecast.from_warehouse(Warehouse(spark, feed)).features()
+    built = DemandForecast.from_warehouse(Warehouse.open(spark, str(tmp_path))).features()
+    assert lazy.agg({"order_month": "max"}).first()[0] == dt.date(2001, 8, 1)
+    assert rows_of(lazy) == rows_of(built)
+
+
 def test_built_warehouse_gives_the_same_features(small, built):
     lazy = DemandForecast.from_warehouse(small, "productcategory_name").features()
     written = DemandForecast.from_warehouse(built, "productcategory_name").features()

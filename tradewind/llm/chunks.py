@@ -51,10 +51,10 @@ class ChunkEncoder:
     ``encode(chunks)`` gives the ids, packed that way, of each of a list of strings.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], memo_keys: int = MEMO_KEYS):
         self._encode = encode
         # by chunk without its leading space
-        self._memo = Memo(lambda words: encode([" " + word for word in words]))
+        self._memo = Memo(lambda words: encode([" " + word for word in words]), memo_keys)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         cut = [_cut(text or "") for text in texts]

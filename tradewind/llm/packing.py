@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -38,6 +39,8 @@ from tradewind.operators.lineage import written
 
 CAPACITY = 1024
 END_TOKEN = 2
+CHUNKS_AT_ONCE = 2_000  # an encoding holds far more than the ids
+MEMO_KEYS = 400_000  # chunks and their ids, some 80 MB per worker, up to twice over
 # Pieces of one length are ranked in groups of about this size, each a window of its own.
 ROWS_PER_RANKING = 200_000
 
@@ -52,9 +55,14 @@ def _encoder(content: bytes) -> ChunkEncoder:
         tokenizer = Tokenizer.from_str(content.decode())
         tokenizer.encode_special_tokens = True
         _READY.clear()
-        _READY[key] = ChunkEncoder(lambda chunks: [
-            np.array(encoding.ids, "<u4").tobytes()
-            for encoding in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)])
+
+        def encode(chunks: list[str]) -> list[bytes]:
+            return [struct.pack(f"<{len(ids)}I", *ids)
+                    for start in range(0, len(chunks), CHUNKS_AT_ONCE)
+                    for ids in [encoding.ids for encoding in tokenizer.encode_batch_fast(
+                        chunks[start:start + CHUNKS_AT_ONCE], add_special_tokens=False)]]
+
+        _READY[key] = ChunkEncoder(encode, MEMO_KEYS)
     return _READY[key]
 
 

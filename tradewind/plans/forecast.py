@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,7 +26,7 @@ from tradewind.plans.models import (
     feature_importance,
     train_and_evaluate,
 )
-from tradewind.plans.sales import complete_months, monthly_sales
+from tradewind.plans.sales import monthly_sales
 from tradewind.plans.warehouse import Warehouse
 from tradewind.sources.files import read_monthly_csv, save_artifacts
 
@@ -126,11 +127,17 @@ class DemandForecast:
         self.settings = settings or ModelSettings()
 
     @classmethod
-    def from_warehouse(cls, warehouse: Warehouse, series: str | None = None,
-                       **options) -> DemandForecast:
-        """Monthly sales of a warehouse, without a last month that is still open."""
+    def from_warehouse(cls, warehouse: Warehouse, series: str | None = None, *,
+                       through: date | None = None, **options) -> DemandForecast:
+        """Monthly sales of a warehouse: all months, or those up to the month of ``through``.
+
+        Whether the last month is over can't be told from the data; a caller who knows that it
+        is not names the last month to use.
+        """
         months = monthly_sales(warehouse, series, customers=False)
-        return cls(complete_months(warehouse, months), **options)
+        if through is not None:
+            months = months.where(F.col("order_month") <= F.lit(through))
+        return cls(months, **options)
 
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str, **options) -> DemandForecast:

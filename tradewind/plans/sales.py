@@ -121,16 +121,6 @@ def monthly_sales(warehouse: Warehouse, series: str | None = None, *,
                  (revenue.cast("double") / lines).alias("avg_order_value")))
 
 
-def complete_months(warehouse: Warehouse, series: DataFrame) -> DataFrame:
-    """Drop the month of the last order unless that order is on the month's last day."""
-    built = [name for name in ("order_totals", "fact_sales") if warehouse.has(name)]
-    orders = warehouse.model(built[0] if built else "stg_salesorderheader")
-    last = F.max("orderdate")
-    first_open = orders.agg(
-        F.trunc(F.date_add(last, 1), "MM").alias("first_open_month")).scalar()
-    return series.where(F.col("order_month") < first_open)
-
-
 def product_sales(warehouse: Warehouse) -> DataFrame:
     """Sold quantity, amount and cost per product, with the product's names."""
     if warehouse.has("fact_sales"):

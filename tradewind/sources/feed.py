@@ -51,7 +51,6 @@ def _subcategory_names() -> dict[int, str]:
 class Mapping:
     feed: str
     columns: dict[str, str]
-    where: str | None = None
 
 
 def _null(type_name: str) -> str:
@@ -232,7 +231,7 @@ FEED: dict[tuple[str, str], Mapping] = {
         "salesorderid": "l_orderkey",
         "salesreasonid": "l_linenumber",
         "modifieddate": "l_shipdate",
-    }, where="l_returnflag = 'R'"),
+    }),
     ("sales", "salesperson"): Mapping("supplier", {
         "businessentityid": "s_suppkey",
         "territoryid": "cast(s_suppkey % 5 as int)",
@@ -270,7 +269,7 @@ FEED: dict[tuple[str, str], Mapping] = {
         "demographics": _null("string"),
         "rowguid": _null("string"),
         "modifieddate": MODIFIED,
-    }, where="c_mktsegment = 'BUILDING'"),
+    }),
 }
 
 
@@ -285,7 +284,5 @@ class OrdersFeed:
         mapping = FEED[schema, name]
         rows = (self.spark.read.schema(FEED_TABLES[mapping.feed])
                 .parquet(f"{self.folder}/{mapping.feed}.parquet"))
-        if mapping.where:
-            rows = rows.where(mapping.where)
         return rows.selectExpr(
             *(f"{expression} as `{column}`" for column, expression in mapping.columns.items()))
