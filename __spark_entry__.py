@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -24,8 +25,13 @@ from tradewind.plans.marts import MARTS  # noqa: E402
 from tradewind.plans.reports import REPORTS, top_products  # noqa: E402
 from tradewind.plans.sales import monthly_sales  # noqa: E402
 from tradewind.plans.staging import STAGING  # noqa: E402
-from tradewind.plans.warehouse import Warehouse, build_warehouse  # noqa: E402
+from tradewind.plans.warehouse import Warehouse, build_warehouse, run_query  # noqa: E402
 from tradewind.sources.feed import OrdersFeed  # noqa: E402
+from tradewind.sources.files import (  # noqa: E402
+    load_champion_model,
+    read_monthly_csv,
+    save_artifacts,
+)
 
 # The operators for training data are an optional part: without their folder, and the pipeline
 # made of them, everything else works.
@@ -39,10 +45,6 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Every boosting round is several Spark jobs, so the registered queries boost for fewer
-# rounds than the default of the library; everything else is the default.
-SETTINGS = models.ModelSettings(boosting_rounds=10)
-
 
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return Warehouse(spark, OrdersFeed(spark, folder))
@@ -126,43 +128,139 @@ def _lag1_metrics(warehouse: Warehouse) -> DataFrame:
                            plain_double(F.col("r2"), 6).alias("r2"))
 
 
+# --- panels: the same per country and per category -----------------------------------------
+
+PANELS = {"by_country": "countryregion_name", "by_category": "productcategory_name"}
+
+
+def _panel_features(series: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda warehouse: features.feature_set(
+        monthly_sales(warehouse, series, customers=False))
+
+
+def _panel_split(series: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda warehouse: features.holdout_split(_panel_features(series)(warehouse))
+
+
+def _panel_metrics(series: str) -> Callable[[Warehouse], DataFrame]:
+    """Errors of last month's revenue as the prediction, for each series on its own."""
+    def run(warehouse: Warehouse) -> DataFrame:
+        measured = _panel_split(series)(warehouse).where("not is_train").groupBy(
+            "series_key").agg(*metrics.regression_metrics("total_revenue", "lag_1"))
+        return measured.select("series_key", *(plain_double(F.col(name), digits).alias(name)
+                                               for name, digits in (("mae", 4), ("rmse", 4),
+                                                                    ("mape", 6), ("r2", 6))))
+    return run
+
+
+def _panel_queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
+    found = {}
+    for suffix, series in PANELS.items():
+        found[f"feature_set_{suffix}"] = lambda w, s=series: _rounded(
+            _panel_features(s)(w)).withColumn(
+                "total_revenue", plain_double(F.col("total_revenue"), 4))
+        found[f"holdout_split_{suffix}"] = lambda w, s=series: _panel_split(s)(w).select(
+            "series_key", "order_month", "is_train")
+        found[f"walk_forward_folds_{suffix}"] = lambda w, s=series: features.walk_forward_folds(
+            _panel_split(s)(w).where("is_train"))
+        found[f"holdout_metrics_lag1_{suffix}"] = _panel_metrics(series)
+    return found
+
+
 # --- models ---------------------------------------------------------------------------
 
-def _training_rows(warehouse: Warehouse) -> DataFrame:
-    return DemandForecast.from_warehouse(warehouse).features()
+@dataclass(frozen=True)
+class TrainingRun:
+    """The feature rows of a warehouse and the comparison of the candidates on them."""
 
+    rows: DataFrame
+    training: models.Training
 
-def _cv_scores(warehouse: Warehouse) -> DataFrame:
-    train, _ = models.split_rows(_training_rows(warehouse))
-    return models.cv_scores(train, models.candidate_models(SETTINGS))
 
+# One run per session and folder serves the five queries that read it: a run is hundreds of fits.
+_RUNS: dict[tuple[str, str], TrainingRun] = {}
 
-def _holdout(rows: DataFrame) -> DataFrame:
-    return models.holdout_metrics(*models.split_rows(rows), models.candidate_models(SETTINGS))
 
+def _trained(read: Callable[[TrainingRun], DataFrame]) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _RUNS:
+            rows = DemandForecast.from_warehouse(_warehouse(spark, folder)).features()
+            _RUNS[key] = TrainingRun(rows, models.train_and_evaluate(
+                rows, models.candidate_models()))
+        return read(_RUNS[key])
+    return query
 
-def _model_metrics(warehouse: Warehouse) -> DataFrame:
-    rows = _training_rows(warehouse)
-    scores = models.cv_scores(models.split_rows(rows)[0], models.candidate_models(SETTINGS))
-    return metrics.metrics_report(_holdout(rows), scores)
 
+def _importance(run: TrainingRun) -> DataFrame:
+    def importance(name: str) -> DataFrame:
+        own = run.training.champion == name
+        fitted = run.training.model if own else models.candidate_models()[name](run.rows)
+        return models.feature_importance(fitted).withColumn("model", F.lit(name))
+    return reduce(DataFrame.unionByName, map(importance, models.TREE_MODELS))
 
-def _champion(warehouse: Warehouse) -> DataFrame:
-    return models.champion(_holdout(_training_rows(warehouse)))
 
+TRAINED = {
+    "cv_scores": lambda run: run.training.scores,
+    "model_metrics": lambda run: metrics.metrics_report(run.training.holdout,
+                                                        run.training.scores),
+    "champion": lambda run: models.champion(run.training.holdout),
+    "feature_importance": _importance,
+    "forecast": lambda run: forecast(run.training.model, run.rows),
+}
 
-def _importance(warehouse: Warehouse) -> DataFrame:
-    rows = _training_rows(warehouse)
-    fits = models.candidate_models(SETTINGS)
-    return reduce(DataFrame.unionByName, (
-        models.feature_importance(fits[name](rows)).withColumn("model", F.lit(name))
-        for name in models.TREE_MODELS))
 
+# --- files and SQL ----------------------------------------------------------------------
 
-def _forecast(warehouse: Warehouse) -> DataFrame:
-    rows = _training_rows(warehouse)
-    best = models.champion(_holdout(rows)).first().model
-    return forecast(models.candidate_models(SETTINGS)[best](rows), rows)
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def _csv_series(warehouse: Warehouse) -> DataFrame:
+    """The monthly series written as CSV and read back."""
+    folder = _scratch(warehouse.spark, "monthly")
+    _monthly()(warehouse).write.option("header", True).csv(folder)
+    read = read_monthly_csv(warehouse.spark, folder)
+    return read.withColumns({"total_revenue": plain_double(F.col("total_revenue"), 2),
+                             "avg_order_value": plain_double(F.col("avg_order_value"), 4)})
+
+
+def _saved_model(warehouse: Warehouse) -> DataFrame:
+    """Predictions of a model that was saved with its reports and loaded again."""
+    spark, folder = warehouse.spark, _scratch(warehouse.spark, "artifacts")
+    rows = _features(warehouse)
+    model = models.candidate_models()["Ridge"](rows)
+    fitted = model.transform(rows).select("series_key", "order_month", "prediction")
+    save_artifacts(folder, model, fitted.limit(0), fitted)
+    loaded = load_champion_model(spark, folder).transform(rows)
+    return loaded.select("series_key", "order_month",
+                         plain_double(F.col("prediction"), 2).alias("prediction"))
+
+
+DUE_BY_COUNTRY = """
+    SELECT countryregion_name, COUNT(*) AS LINE_COUNT, COUNT(DISTINCT salesorderid) AS ORDER_COUNT
+    FROM fact_sales GROUP BY countryregion_name"""
+
+
+def _sql_query(warehouse: Warehouse) -> DataFrame:
+    """A query in SQL over the registered views."""
+    warehouse.register_views()
+    return run_query(warehouse.spark, DUE_BY_COUNTRY)
+
+
+def _ranked(report: str, by: str, *ties: str) -> Callable[[Warehouse], DataFrame]:
+    """A report with the place of each row in ascending order, as a chart shows it."""
+    return lambda warehouse: REPORTS[report](warehouse).withColumn(  # a report has a few rows
+        "place", F.row_number().over(Window.orderBy(by, *ties)))
+
+
+EXTRAS = {
+    "csv_series": _csv_series,
+    "saved_model": _saved_model,
+    "sql_query": _sql_query,
+    "top_products_ascending": _ranked("top_products", "total_revenue", "product_name"),
+    "revenue_by_country_ascending": _ranked("revenue_by_country", "total_revenue", "country"),
+}
 
 
 FORECAST = {
@@ -176,11 +274,6 @@ FORECAST = {
         "series_key", "order_month", "is_train"),
     "walk_forward_folds": _folds,
     "holdout_metrics_lag1": _lag1_metrics,
-    "cv_scores": _cv_scores,
-    "model_metrics": _model_metrics,
-    "champion": _champion,
-    "feature_importance": _importance,
-    "forecast": _forecast,
 }
 
 
@@ -193,7 +286,9 @@ def core_queries() -> dict[str, Query]:
     """The queries that need no optional part."""
     return {
         **{name: _model(name) for name in (*STAGING, *MARTS)},
-        **{name: _report(report) for name, report in (REPORTS | FORECAST).items()},
+        **{name: _report(report) for name, report in (
+            REPORTS | FORECAST | _panel_queries() | EXTRAS).items()},
+        **{name: _trained(read) for name, read in TRAINED.items()},
         "dq_unique": _checks("unique"),
         "dq_not_null": _checks("not_null"),
         "dq_relationships": _checks("references"),

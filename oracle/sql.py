@@ -352,6 +352,26 @@ VIEWS |= {
         FROM complete_rows""",
 }
 
+# The same per country and per category, each series on its own.
+PANELS = {"by_country": ("countryregion_name", ""),
+          "by_category": ("productcategory_name", _BY_CATEGORY)}
+
+for _suffix, (_series, _joins) in PANELS.items():
+    VIEWS |= {
+        f"monthly_{_suffix}": _monthly(_series, _joins),
+        f"dated_{_suffix}": _dated(f"monthly_{_suffix}"),
+        f"lagged_{_suffix}": _lagged(f"dated_{_suffix}"),
+        f"complete_{_suffix}":
+            "SELECT series_key, order_month, CAST(total_revenue AS DOUBLE) AS total_revenue, "
+            f"{', '.join(FEATURES)} FROM lagged_{_suffix} WHERE lag_12 IS NOT NULL",
+        f"split_{_suffix}": f"""
+            SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY order_month) - 1
+                       AS place,
+                   count(*) OVER (PARTITION BY series_key) AS total,
+                   place < floor(total * 0.8) AS is_train
+            FROM complete_{_suffix}""",
+    }
+
 _VALID = "place BETWEEN n - (5 - fold) * (n // 6) AND n - (5 - fold) * (n // 6) + n // 6 - 1"
 _PLAIN_MONTHLY = f"SELECT * REPLACE ({_money('total_revenue')} AS total_revenue) FROM (%s)"
 
@@ -389,6 +409,49 @@ FORECAST: dict[str, str] = {
 }
 
 
+for _suffix in PANELS:
+    FORECAST |= {
+        f"feature_set_{_suffix}": "SELECT * REPLACE (round(total_revenue, 4) AS total_revenue) "
+            f"FROM complete_{_suffix}",
+        f"holdout_split_{_suffix}":
+            f"SELECT series_key, order_month, is_train FROM split_{_suffix}",
+        f"walk_forward_folds_{_suffix}": f"""
+            SELECT series_key, CAST(fold AS INT) AS fold,
+                   count(*) FILTER (WHERE place < n - (5 - fold) * (n // 6)) AS train_rows,
+                   count(*) FILTER (WHERE {_VALID}) AS valid_rows,
+                   min(order_month) FILTER (WHERE {_VALID}) AS valid_from,
+                   max(order_month) FILTER (WHERE {_VALID}) AS valid_to
+            FROM (SELECT series_key, order_month, place,
+                         count(*) OVER (PARTITION BY series_key) AS n
+                  FROM split_{_suffix} WHERE is_train), range(5) f(fold)
+            GROUP BY ALL""",
+        f"holdout_metrics_lag1_{_suffix}": f"""
+            SELECT series_key, round(avg(abs(total_revenue - lag_1)), 4) AS mae,
+                   round(sqrt(avg((total_revenue - lag_1) ** 2)), 4) AS rmse,
+                   round(avg(abs((total_revenue - lag_1) / total_revenue))
+                         FILTER (WHERE total_revenue <> 0) * 100, 6) AS mape,
+                   round(1 - sum((total_revenue - lag_1) ** 2)
+                         / sum((total_revenue - mean) ** 2), 6) AS r2
+            FROM (SELECT *, avg(total_revenue) OVER (PARTITION BY series_key) AS mean
+                  FROM split_{_suffix} WHERE NOT is_train)
+            GROUP BY series_key""",
+    }
+
+FILES = {
+    "csv_series": """
+        SELECT series_key, order_month, total_orders,
+               CAST(round(total_revenue, 2) AS DOUBLE) AS total_revenue, total_qty,
+               unique_customers, round(avg_order_value, 4) AS avg_order_value
+        FROM monthly_all""",
+    "sql_query": "SELECT countryregion_name, count(*) AS line_count, "
+        "count(DISTINCT salesorderid) AS order_count FROM fact_sales GROUP BY ALL",
+    "top_products_ascending": "SELECT *, CAST(row_number() OVER (ORDER BY total_revenue "
+        f"NULLS FIRST, product_name NULLS FIRST) AS INT) AS place FROM ({REPORTS['top_products']})",
+    "revenue_by_country_ascending": "SELECT *, CAST(row_number() OVER (ORDER BY total_revenue "
+        f"NULLS FIRST, country) AS INT) AS place FROM ({REPORTS['revenue_by_country']})",
+}
+
+
 # --- data checks ----------------------------------------------------------------------
 
 def _unique(model: str, column: str) -> str:
@@ -444,4 +507,4 @@ def compose(query: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     plain = {name: f"SELECT * FROM {name}" for name in (*STAGING, *MART_CHECKS)}
-    return {name: compose(sql) for name, sql in (plain | REPORTS | CHECKS | FORECAST).items()}
+    return {name: compose(sql) for name, sql in (plain | REPORTS | CHECKS | FORECAST | FILES).items()}

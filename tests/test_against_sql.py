@@ -15,7 +15,8 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DAT
 def test_every_comparison_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == {
-        "cv_scores", "model_metrics", "champion", "feature_importance", "forecast"}
+        "cv_scores", "model_metrics", "champion", "feature_importance", "forecast",
+        "saved_model"}
 
 
 @pytest.mark.parametrize("name", ORACLE)

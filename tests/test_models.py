@@ -39,12 +39,9 @@ def closed_form(x, y, alpha):
 def test_linear_models_equal_closed_form(spark, rows, fits, train, name, alpha, tolerance):
     data = rows.orderBy("order_month").toPandas()
     x, y = data[list(FEATURES)].to_numpy(float), data[TARGET].to_numpy()
-    # Left out: cosines of quarter ends, zero but for rounding, which a short series blows up.
-    expected = closed_form(np.round(x[:train], 9), y[:train], alpha)(np.round(x, 9))
-    rounded = data.copy()
-    rounded[list(FEATURES)] = np.round(x, 9)
-    model = fits[name](spark.createDataFrame(rounded.iloc[:train]))
-    found = [row.prediction for row in model.transform(spark.createDataFrame(rounded))
+    expected = closed_form(x[:train], y[:train], alpha)(x)
+    model = fits[name](spark.createDataFrame(data.iloc[:train]))
+    found = [row.prediction for row in model.transform(spark.createDataFrame(data))
              .orderBy("order_month").collect()]
     np.testing.assert_allclose(found, expected, rtol=tolerance)
 

@@ -23,8 +23,12 @@ FEATURES = (
     *(f"rolling_{size}_mean" for size in ROLLING), *(f"rolling_{size}_std" for size in ROLLING))
 
 
-def _cycle(position: Column, length: int) -> Column:
-    return F.lit(2 * math.pi) * position / length
+def _circle(turn, position: Column, length: int) -> Column:
+    """Sine or cosine of a position on a circle, without the rounding dust around 0.
+
+    A column that holds 0 in every row would otherwise be standardised to noise.
+    """
+    return F.round(turn(F.lit(2 * math.pi) * position / length), 12) + F.lit(0.0)
 
 
 def time_columns(date: Column) -> dict[str, Column]:
@@ -33,10 +37,10 @@ def time_columns(date: Column) -> dict[str, Column]:
         "month": month,
         "quarter": quarter,
         "year": F.year(date),
-        "month_sin": F.sin(_cycle(month, 12)),
-        "month_cos": F.cos(_cycle(month, 12)),
-        "quarter_sin": F.sin(_cycle(quarter, 4)),
-        "quarter_cos": F.cos(_cycle(quarter, 4)),
+        "month_sin": _circle(F.sin, month, 12),
+        "month_cos": _circle(F.cos, month, 12),
+        "quarter_sin": _circle(F.sin, quarter, 4),
+        "quarter_cos": _circle(F.cos, quarter, 4),
     }
 
 

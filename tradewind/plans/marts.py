@@ -318,7 +318,7 @@ def order_totals(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS, *,
     orders = order_rows(tables, columns)
     if condition is not None:
         orders = orders.where(condition)
-    # Both sides are partitioned by order id already; the lookups come after this join.
+    # Without split_by both sides are partitioned by order id already; the lookups come after.
     joined = totals.join(orders, F.col("line_salesorderid") == F.col("salesorderid"),
                          "left" if condition is None else "inner")
     return look_up(tables, joined, columns).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +52,8 @@ def save_artifacts(folder: str, model: PipelineModel, metrics: DataFrame, foreca
 def load_champion_model(spark: SparkSession, folder: str) -> PipelineModel:
     """The model saved by :func:`save_artifacts`; ``FileNotFoundError`` if there is none."""
     location = f"{folder.rstrip('/')}/{MODEL_FOLDER}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        raise FileNotFoundError(f"no model at {location}; run the forecast first")
+    try:
+        spark.read.text(f"{location}/metadata").limit(1).count()
+    except AnalysisException as missing:
+        raise FileNotFoundError(f"no model at {location}; run the forecast first") from missing
     return PipelineModel.load(location)
