@@ -114,8 +114,8 @@ def test_checked_keys_save_the_distinct_shuffles(no_broadcast, small):
     def count(warehouse):
         return plan(warehouse.mart("fact_sales")).count("Exchange hashpartitioning")
     checked = Warehouse(small.spark, small.source, keys_checked=True)
-    # Orders, addresses, states, countries and territories.
-    assert count(small) - count(checked) == 5
+    # Orders, customers, products, addresses, states, countries and territories.
+    assert count(small) - count(checked) == 7
 
 
 def test_adaptive_execution_splits_a_hot_customer_and_product(no_broadcast, spark, source):

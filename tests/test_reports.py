@@ -6,10 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, rows_of
+from conftest import MEDIUM, SMALL, rows_of
 from test_marts import BASE, header, line
 from tradewind.plans import reports
-from tradewind.plans.sales import monthly_sales, order_sales, over_lines
+from tradewind.plans.sales import is_sale, monthly_sales, order_sales, over_lines
 from tradewind.plans.warehouse import Warehouse
 from tradewind.sources.feed import OrdersFeed
 
@@ -22,6 +22,30 @@ def test_built_warehouse_gives_the_same_report(name, small, built):
     assert rows_of(lazy) == rows_of(written)
 
 
+class Repeated(OrdersFeed):
+    """The feed with every looked-up row and every header given twice."""
+
+    def table(self, schema, name):
+        rows = super().table(schema, name)
+        once = ("salesorderdetail", "salesorderheadersalesreason", "salesreason")
+        return rows if name in once else rows.unionByName(rows)
+
+
+@pytest.mark.parametrize("name", reports.REPORTS)
+def test_repeated_rows_of_unchecked_sources_change_no_report(name, spark, small):
+    report = reports.REPORTS[name]
+    assert rows_of(report(Warehouse(spark, Repeated(spark, SMALL)))) == rows_of(report(small))
+
+
+def test_reports_of_repeated_rows_equal_sql_over_the_fact(spark):
+    warehouse = Warehouse(spark, Repeated(spark, SMALL))
+    fact = warehouse.mart("fact_sales").where(is_sale())
+    counted = fact.agg(F.count_distinct("salesorderid"), F.count_distinct("customerfk"),
+                       F.sum("orderqty")).first()
+    found = reports.kpi_general(warehouse).first()
+    assert (found.total_orders, found.total_customers, found.total_items_sold) == tuple(counted)
+
+
 @pytest.mark.parametrize("series", [
     None, "countryregion_name", "onlineorderflag", "productcategory_name", "product_name"])
 def test_built_warehouse_gives_the_same_series(series, small, built):

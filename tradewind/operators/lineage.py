@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +14,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def checkpoint_folder(spark: SparkSession) -> str:
     """The checkpoint folder, taken from the session's settings.
 
-    Only a local session without the setting gets a temporary folder; a cluster has to name
-    one that every executor can reach.
+    Only a local session without the setting gets a temporary folder, which goes when the
+    program ends; a cluster has to name one that every executor can reach.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -22,6 +24,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder on shared storage")
             folder = tempfile.mkdtemp(prefix="tradewind-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

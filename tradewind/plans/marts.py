@@ -61,12 +61,13 @@ def dim_customers(tables: Tables) -> DataFrame:
     """Customers that ordered, with their person and store."""
     ordering = tables.stg("stg_salesorderheader").select(
         F.col("customerid").alias("ordering_customerid")).distinct()
-    customers = tables.stg("stg_customer").select("customerid", "personid", "storeid")
-    people = tables.stg("stg_person").select(
+    customers = _once(tables, tables.stg("stg_customer").select(
+        "customerid", "personid", "storeid"))
+    people = _once(tables, tables.stg("stg_person").select(
         "businessentityid", "firstname", "lastname", "persontype",
-        F.concat("firstname", F.lit(" "), "lastname").alias("fullname"))
-    stores = tables.stg("stg_store").select(
-        F.col("businessentityid").alias("storebusinessid"), "namestore")
+        F.concat("firstname", F.lit(" "), "lastname").alias("fullname")))
+    stores = _once(tables, tables.stg("stg_store").select(
+        F.col("businessentityid").alias("storebusinessid"), "namestore"))
 
     known = ordering.join(
         customers, F.col("ordering_customerid") == F.col("customerid"), "left")
@@ -87,9 +88,9 @@ def dim_customers(tables: Tables) -> DataFrame:
 
 def customer_person_types(tables: Tables) -> DataFrame:
     """``customerfk`` and person type of every customer, whether they ordered or not."""
-    customers = tables.stg("stg_customer").select("customerid", "personid")
-    people = tables.stg("stg_person").select(
-        "businessentityid", F.col("persontype").alias("customerpersontype"))
+    customers = _once(tables, tables.stg("stg_customer").select("customerid", "personid"))
+    people = _once(tables, tables.stg("stg_person").select(
+        "businessentityid", F.col("persontype").alias("customerpersontype")))
     typed = left_join_nullable(customers, people, "personid", "businessentityid",
                                spread_by="customerid")
     return typed.select(surrogate_key("customerid").alias("customerfk"), "customerpersontype")
@@ -97,12 +98,12 @@ def customer_person_types(tables: Tables) -> DataFrame:
 
 def product_attributes(tables: Tables) -> DataFrame:
     """Every product with cost, subcategory and category."""
-    products = tables.stg("stg_product").select(
-        "productid", "product_name", "productsubcategoryid", "standardcost")
-    subcategories = tables.stg("stg_productsubcategory").select(
-        "productsubcategoryid", "productcategoryid", "productsubcategory_name")
-    categories = tables.stg("stg_productcategory").select(
-        "productcategoryid", "productcategory_name")
+    products = _once(tables, tables.stg("stg_product").select(
+        "productid", "product_name", "productsubcategoryid", "standardcost"))
+    subcategories = _once(tables, tables.stg("stg_productsubcategory").select(
+        "productsubcategoryid", "productcategoryid", "productsubcategory_name"))
+    categories = _once(tables, tables.stg("stg_productcategory").select(
+        "productcategoryid", "productcategory_name"))
     return (products.transform(_lookup, subcategories, "productsubcategoryid")
             .transform(_lookup, categories, "productcategoryid")
             .select("productid", "product_name", "productsubcategory_name",
@@ -261,8 +262,8 @@ def order_rows(tables: Tables, columns: tuple[str, ...] = ORDER_COLUMNS) -> Data
 
 def look_up_customers(tables: Tables, rows: DataFrame) -> DataFrame:
     """Add ``customerfk`` to rows with a ``customerid``; NULL for unknown customers."""
-    customers = tables.stg("stg_customer").select(
-        "customerid", surrogate_key("customerid").alias("customerfk"))
+    customers = _once(tables, tables.stg("stg_customer").select(
+        "customerid", surrogate_key("customerid").alias("customerfk")))
     return _lookup(rows, customers, "customerid")
 
 
@@ -341,7 +342,8 @@ def fact_sales(tables: Tables, line_key: bool = False,
         # Numbered at the scan, where a retried task numbers its rows the same way. Unlike the
         # line's own columns it tells apart even equal lines of one order.
         F.monotonically_increasing_id().alias("scan_number"))
-    prices = tables.stg("stg_product").select("productid", "standardcost", "listprice")
+    prices = _once(tables, tables.stg("stg_product").select(
+        "productid", "standardcost", "listprice"))
     priced = _lookup(lines, prices, "productid").withColumn("productfk", foreign_key("productid"))
 
     if tables.has("order_totals"):
@@ -379,13 +381,15 @@ def fact_aggsalessellersregion(tables: Tables) -> DataFrame:
             .select("salesorderid", "salespersonid", "territoryid"))
     counted = (_once(tables, sold).groupBy("salespersonid", "territoryid")
                .agg(F.count("salesorderid").alias("orders")))
-    sellers = (tables.stg("stg_salesperson").select("businessentityid")
-               .join(tables.stg("stg_employee").select("businessentityid", "jobtitle", "gender"),
-                     "businessentityid", "left")
+    employees = _once(tables, tables.stg("stg_employee").select(
+        "businessentityid", "jobtitle", "gender"))
+    sellers = (_once(tables, tables.stg("stg_salesperson").select("businessentityid"))
+               .join(employees, "businessentityid", "left")
                .withColumnRenamed("businessentityid", "salespersonid"))
-    territories = (tables.stg("stg_salesterritory").select("territoryid", "countryregioncode")
-                   .transform(_lookup, tables.stg("stg_countryregion").select(
-                       "countryregioncode", "countryregion_name"), "countryregioncode"))
+    countries = _once(tables, tables.stg("stg_countryregion").select(
+        "countryregioncode", "countryregion_name"))
+    territories = (_once(tables, tables.stg("stg_salesterritory").select(
+        "territoryid", "countryregioncode")).transform(_lookup, countries, "countryregioncode"))
     groups = ["countryregion_name", "jobtitle", "gender"]
     totals = (counted.transform(_lookup, sellers, "salespersonid")
               .transform(_lookup, territories, "territoryid")
