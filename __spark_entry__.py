@@ -36,8 +36,8 @@ from tradewind.sources.files import (  # noqa: E402
 # The operators for training data are an optional part: without their folder, and the pipeline
 # made of them, everything else works.
 try:
+    import tradewind.llm.queries as llm  # noqa: E402
     import corpus_pipeline  # noqa: E402
-    from tradewind.llm import queries as llm  # noqa: E402
 except ModuleNotFoundError as missing:
     if missing.name not in {"corpus_pipeline", "tradewind.llm", "tradewind.llm.queries"}:
         raise
