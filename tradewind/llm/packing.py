@@ -39,6 +39,7 @@ from tradewind.operators.lineage import written
 
 CAPACITY = 1024
 END_TOKEN = 2
+SPACE = "\u0120"  # how the vocabulary writes a space
 CHUNKS_AT_ONCE = 2_000  # an encoding holds far more than the ids
 MEMO_KEYS = 400_000  # chunks and their ids, some 80 MB per worker, up to twice over
 # Pieces of one length are ranked in groups of about this size, each a window of its own.
@@ -56,11 +57,33 @@ def _encoder(content: bytes) -> ChunkEncoder:
         tokenizer.encode_special_tokens = True
         _READY.clear()
 
+        vocabulary = tokenizer.get_vocab()
+        opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
+        opens[[number for token, number in vocabulary.items() if token[0] == SPACE]] = True
+
+        def ids_of(texts: list[str]) -> list[list[int]]:
+            return [encoding.ids for encoding in tokenizer.encode_batch_fast(
+                texts, add_special_tokens=False)]
+
         def encode(chunks: list[str]) -> list[bytes]:
-            return [struct.pack(f"<{len(ids)}I", *ids)
-                    for start in range(0, len(chunks), CHUNKS_AT_ONCE)
-                    for ids in [encoding.ids for encoding in tokenizer.encode_batch_fast(
-                        chunks[start:start + CHUNKS_AT_ONCE], add_special_tokens=False)]]
+            found = [b""] * len(chunks)
+            words, others = [], []
+            for at, chunk in enumerate(chunks):
+                plain = chunk[:1] == " " and chunk.split() == [chunk[1:]]
+                (words if plain else others).append(at)
+            for start in range(0, len(others), CHUNKS_AT_ONCE):
+                part = others[start:start + CHUNKS_AT_ONCE]
+                for at, ids in zip(part, ids_of([chunks[i] for i in part]), strict=True):
+                    found[at] = struct.pack(f"<{len(ids)}I", *ids)
+            # Words can be encoded as one text: each begins with the only tokens that open with
+            # a space.
+            for start in range(0, len(words), CHUNKS_AT_ONCE):
+                part = words[start:start + CHUNKS_AT_ONCE]
+                ids = np.array(ids_of(["".join([chunks[i] for i in part])])[0], "<u4")
+                packed, bounds = ids.tobytes(), (4 * np.flatnonzero(opens[ids])).tolist()
+                for at, first, last in zip(part, bounds, [*bounds[1:], len(packed)], strict=True):
+                    found[at] = packed[first:last]
+            return found
 
         _READY[key] = ChunkEncoder(encode, MEMO_KEYS)
     return _READY[key]
