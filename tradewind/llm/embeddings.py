@@ -49,13 +49,15 @@ def table_sizes(vectors: int, min_cosine: float = MIN_COSINE,
 
 def _distinct(rows: DataFrame, vector: str, row_id: str) -> tuple[DataFrame, DataFrame]:
     """(rows with the key of their vector or NULL, a row per key: vector, rows, smallest id)."""
-    values = F.col(vector).cast("array<double>")
+    single = dict(rows.dtypes)[vector] == "array<float>"  # stay half as large
+    values = F.col(vector) if single else F.col(vector).cast("array<double>")
     usable = (F.size(values) > 0) & F.forall(
         values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(
         values, lambda x: x != 0)
     # A cryptographic hash of the exact decimal form stands for the vector in shuffles; the sum
     # with 0 turns -0 into 0.
-    plain = F.transform(values, lambda x: x + F.lit(0.0))
+    zero = F.lit(0.0).cast("float" if single else "double")
+    plain = F.transform(values, lambda x: x + zero)
     keyed = rows.select(F.col(row_id).alias("row_id"), plain.alias("vector"), F.when(
         F.coalesce(usable, F.lit(False)), F.sha2(plain.cast("string"), 256)).alias("key"))
     distinct = keyed.where("key IS NOT NULL").groupBy("key").agg(
@@ -64,8 +66,15 @@ def _distinct(rows: DataFrame, vector: str, row_id: str) -> tuple[DataFrame, Dat
     return keyed.select("row_id", "key"), distinct
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in double precision; scaled first, so that squares stay in range."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _hashed(distinct: DataFrame, signs: int, tables: int) -> DataFrame:
-    """(node, rows, unit vector as doubles, hash per table) of each distinct vector."""
+    """(node, rows, the vector's components as bytes, hash per table) of each distinct vector."""
     schema = "node bigint, rows bigint, vector binary, hashes array<int>"
     target = arrow_schema(schema)
     weights = 1 << np.arange(signs, dtype=np.int64)
@@ -79,12 +88,10 @@ def _hashed(distinct: DataFrame, signs: int, tables: int) -> DataFrame:
             for size in np.unique(sizes).tolist():
                 part = batch.filter(pa.array(sizes == size))
                 x = np.asarray(part.column("vector").flatten()).reshape(-1, size)
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
                 if size not in planes:
                     planes[size] = np.random.default_rng([SEED, size]).standard_normal(
                         (size, signs * tables))
-                sides = (x @ planes[size] > 0).reshape(-1, tables, signs)
+                sides = (_unit(x) @ planes[size] > 0).reshape(-1, tables, signs)
                 yield pa.RecordBatch.from_pydict(
                     {"node": part.column("node"), "rows": part.column("rows"),
                      "vector": [row.tobytes() for row in x],
@@ -113,9 +120,9 @@ def _blocks(hashed: DataFrame, tables: int) -> DataFrame:
                     "node", "rows", "vector", "hashes"))
 
 
-def _compared(blocks: DataFrame, min_cosine: float) -> DataFrame:
+def _compared(blocks: DataFrame, min_cosine: float, kind: str) -> DataFrame:
     """(a, b, links): edges of spanning forests, and for each vector (b NULL) its number of rows
-    linked in a block."""
+    linked in a block. ``kind`` is the numpy type of the components."""
     schema = "a bigint, b bigint, links bigint"
     target = arrow_schema(schema)
 
@@ -136,7 +143,8 @@ def _compared(blocks: DataFrame, min_cosine: float) -> DataFrame:
             # is told apart by dimension, table and hash.
             for size in np.unique(sizes[start:end]) if end - start > 1 else ():
                 at = start + np.flatnonzero(sizes[start:end] == size)
-                x = np.frombuffer(b"".join([vectors[i] for i in at])).reshape(len(at), -1)
+                x = _unit(np.frombuffer(b"".join([vectors[i] for i in at]), kind)
+                          .reshape(len(at), -1))
                 left, right = np.nonzero(np.triu(x @ x.T >= min_cosine, 1))
                 left, right = at[left], at[right]
                 new = (part[left] != part[right]) | (own[left] & own[right])
@@ -190,8 +198,9 @@ def near_duplicates(rows: DataFrame, vector: str = "embedding", row_id: str = "v
     keyed = written(keyed)
     distinct = written(distinct.withColumn("node", F.monotonically_increasing_id()))
     signs, tables = table_sizes(distinct.count(), min_cosine, recall)
-    found = written(_compared(_blocks(written(_hashed(distinct, signs, tables)), tables),
-                              min_cosine))
+    kind = "f4" if dict(distinct.dtypes)["vector"] == "array<float>" else "f8"
+    hashed = written(_hashed(distinct, signs, tables))
+    found = written(_compared(_blocks(hashed, tables), min_cosine, kind))
     groups = connected_components(found.where("b IS NOT NULL"), "a", "b")
     outside = (found.where("b IS NULL").groupBy("a")
                .agg(F.sum("links").alias("_outside")))
