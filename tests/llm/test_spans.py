@@ -203,6 +203,42 @@ def test_contexts_find_identifiers(spark):
     assert masked[100] == dict(rows)[100]
 
 
+@pytest.mark.parametrize("text, tokens", [
+    ('{"name":"x","customer_id":"88123456","n":' + "1," * 90 + '"mail":"me@here"}',
+     ["88123456", "1," * 89 + "1", "me@here"]),
+    ("a" * 100 + "=1&account=8812345&next=" + "b" * 100, ["8812345"]),
+    ("sku,K-8812345,7,x@y," + "word," * 40, ["K-8812345", "x@y"]),
+    ("客户编号88123456的订单已于昨天发货" * 9, ["88123456"] * 9),
+    ("номер88123456,см.выше", ["88123456"]),
+    ("K" + "1" * 80, ["K" + "1" * 80]),
+    (":".join(["A1"] * 32), [":".join(["A1"] * 32)]),
+    ("(id:8812345)", ["id:8812345", "8812345"]),
+    ("1,234,567 MÜLLER12345 А123ВС77 2021年10月12日", ["1,234,567", "MÜLLER12345", "А123ВС77",
+                                                    "2021年10月12日"])])
+def test_identifiers_in_runs_without_blanks(text, tokens):
+    assert [text[s:e] for s, e in pii.identifier_tokens(text)] == tokens
+
+
+def test_contexts_find_identifiers_in_runs_without_blanks(spark):
+    rows = []
+    for i in range(12):
+        rows.append((i, '{"a":"' + "x" * 70 + f'","mailbox":"person{i}@mail.example.com"}}'))
+        rows.append((20 + i, f"客户邮箱person{i}@mail.example.org的订单" + "已发货" * 30))
+        rows.append((40 + i, f"please write to mister person{i}@mail.example.net today"))
+    rows += [(100, '{"a":"' + "x" * 70 + '","mailbox":"K-8812345"}'),
+             (101, "客户邮箱8812346的订单" + "已发货" * 30),
+             (102, "please write to mister " + "K8" * 60 + " today")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.added for r in pii.find_personal_data(frame).collect()}
+    assert {i: [dict(rows)[i][s.start:s.end] for s in added]
+            for i, added in found.items() if added} == {
+        100: ["K-8812345"], 101: ["8812346"], 102: ["K8" * 60]}
+
+
+def test_nested_spans_outside():
+    assert spans.outside([(0, 4, 15), (3, 4, 8)], [(9, 0, 15)]) == [(3, 4, 8)]
+
+
 def plain_scores(edges, rounds):
     scores = {}
     for _, instance, known in edges:

@@ -2,7 +2,8 @@
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone numbers. These seeds
 induce lexical patterns: the words around a mention. A mention is a base entity or any other
-identifier-like token (an @, or five digits or more). Patterns and instances form a bipartite graph
+identifier-like token (an @, or five digits or more) of any length; runs without blanks, as in
+minified JSON, query strings or scripts written without spaces, are cut into such tokens. Patterns and instances form a bipartite graph
 that Spark scores in rounds: a pattern is as good as the share of its instances that are known,
 given MIN_SUPPORT known ones; an instance is known to the degree that its patterns are good (noisy
 or). Mentions outside the base spans whose instance ends above MIN_SCORE in the context of an
@@ -14,6 +15,7 @@ told apart by a hash, so repeated rows share their spans. A NULL text is empty.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pandas as pd
@@ -32,7 +34,7 @@ MIN_SUPPORT = 3  # distinct known instances that a pattern needs
 MIN_CONFIDENCE = 0.8  # of a pattern
 MIN_SCORE = 0.9  # of an instance
 MIN_DIGITS = 5
-MAX_LENGTH = 64
+HASHED_LENGTH = 64  # longer instances are told apart by a hash
 
 # The base patterns. Possessive repeats and look-behinds match the same in linear
 # time.
@@ -46,7 +48,19 @@ _DIGIT = re.compile("[0-9]")
 _TOKEN_EDGE = "".join(map(chr, range(0x21, 0x7F))).translate(
     {i: None for i in range(128) if chr(i).isalnum()})
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
-_WORDS = re.compile(r"\w+")
+# What ends an identifier in a run without blanks: quotes, braces, = & ; | and the marks and blanks
+# of other scripts.
+_ENDS = "\"'`{}=&;|\xa0\xab\xbb\u2000-\u200b\u2014\u2018-\u201f\u2026-\u2029" \
+        "\u3000-\u3004\u3008-\u3020\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65"
+_RUN = re.compile(f"[^{_ENDS}]+")
+# Within a run: brackets, commas, and letters that aren't Latin.
+_PART = re.compile(r"(?:[^\W\d_\u0100-\uffff\U00010000-\U0010ffff]"
+                   r"|[\u0100-\u024f\u1e00-\u1eff]|[^,()\[\]<>\w]|[\d_])+")
+_INNER = re.compile(r"[^:/?#\\]+")
+# Scripts without spaces: there each character is a word.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u30fa" \
+            "\u30fc-\u312f\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORDS = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 
 
 def _emails(text: str) -> list[Span]:
@@ -91,9 +105,25 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _identifier(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The bounds without the punctuation around, if an @ or at least MIN_DIGITS digits are in."""
+    word = text[start:end]
+    inner = word.strip(_TOKEN_EDGE)
+    if sum(map(inner.count, "0123456789")) < MIN_DIGITS and "@" not in inner.strip("@"):
+        return None
+    start += len(word) - len(word.lstrip(_TOKEN_EDGE))
+    return start, start + len(inner)
+
+
 def identifier_tokens(text: str) -> list[tuple[int, int]]:
-    """(start, end) of words with an @ or at least MIN_DIGITS digits, without the punctuation
-    around them."""
+    """(start, end) of tokens of any length with an @ or at least MIN_DIGITS digits, without the
+    punctuation around them.
+
+    Words are cut where a quote, a brace or the like ends an identifier, then at commas, brackets
+    and letters that aren't Latin; if no part is an identifier, what was cut is one if it can be.
+    Colons and slashes may join the parts of one identifier or part two: the whole is a token, and
+    so is each part that can be one.
+    """
     found, at = [], 0
     marks = re.compile("[0-9@]")
     while mark := marks.search(text, at):
@@ -101,15 +131,27 @@ def identifier_tokens(text: str) -> list[tuple[int, int]]:
         start = max(start, at)
         space = _SPACE.search(text, mark.end())
         at = space.start() if space else len(text)
-        word = text[start:at]
-        inner = word.strip(_TOKEN_EDGE)
-        digits = sum(map(inner.count, "0123456789"))
-        if len(inner) <= MAX_LENGTH and (digits >= MIN_DIGITS or "@" in inner.strip("@")):
-            start += word.index(inner)
-            found.append((start, start + len(inner)))
+        if not _identifier(text, start, at):
+            continue
+        for run in _RUN.finditer(text, start, at):
+            whole = _identifier(text, *run.span())
+            if not whole:
+                continue
+            parts = [_identifier(text, *part.span()) for part in _PART.finditer(text, *whole)]
+            for token in [part for part in parts if part] or [whole]:
+                found.append(token)
+                inner = [_identifier(text, *part.span())
+                         for part in _INNER.finditer(text, *token)]
+                found += [part for part in inner if part and part != token]
     return found
 
 
+def _instance(token: str) -> str:
+    token = token.lower()
+    return (token if len(token) <= HASHED_LENGTH
+            else "sha256 " + hashlib.sha256(token.encode("utf-8", "surrogatepass")).hexdigest())
+
+
 def _patterns(text: str, start: int, end: int) -> list[str]:
     """The words around a mention: one before, two before, one on each side."""
     before = [word.lower() for word in _WORDS.findall(text[max(0, start - 64):start])[-2:]]
@@ -144,7 +186,7 @@ def _mentions(rows: DataFrame, text: str, keep: list[Column], kinds: str) -> Dat
             base.append(_named(own))
             mentions.append([
                 {"start": start, "end": end, "known": kind < 4,
-                 "instance": value[start:end].lower(), "patterns": _patterns(value, start, end)}
+                 "instance": _instance(value[start:end]), "patterns": _patterns(value, start, end)}
                 for start, kind, end in sorted([*own, *others])])
         return kept | {"base": base, "mentions": mentions}
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterable
+from itertools import accumulate
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -18,15 +20,12 @@ def digest(spans: Iterable[Span], kinds: tuple[str, ...]) -> str:
 
 
 def outside(spans: Iterable[Span], taken: Iterable[Span]) -> list[Span]:
-    """The spans that overlap none of the taken ones; one pass over both."""
-    taken, kept, at, reach = sorted(taken), [], 0, 0
-    for start, kind, end in sorted(spans):
-        while at < len(taken) and taken[at][0] < end:
-            reach = max(reach, taken[at][2])
-            at += 1
-        if reach <= start:
-            kept.append((start, kind, end))
-    return kept
+    """The spans, which may lie in one another, that overlap none of the taken ones."""
+    taken = sorted(taken)
+    starts = [start for start, _, _ in taken]
+    reach = [0, *accumulate((end for _, _, end in taken), max)]  # of the first taken ones
+    return [(start, kind, end) for start, kind, end in sorted(spans)
+            if reach[bisect_left(starts, end)] <= start]
 
 
 def replaced(text: str, spans: Iterable[Span], names: tuple[str, ...]) -> str:
