@@ -171,6 +171,36 @@ def test_field_finds_secrets_without_a_pattern(spark):
     assert all(not found[i].added for i in range(4, 400, 4) if i % 20)  # the base has those
 
 
+def test_tokens_and_chains():
+    text = 'key = "abcdefghijk" \n\n        -----    ABCD1234.. or éabcdefgh short x' + "y" * 400 + "\u00e9"
+    found = secrets.tokens(text)
+    assert [text[s:e] for s, e in found] == ["abcdefghijk", "ABCD1234", "abcdefgh", "x" + "y" * 400]
+    assert [len(run) for run in secrets.chains(text, found)] == [2, 1, 1]
+    late = "a" * 300 + "1B" * 300  # its features are those of the whole
+    assert {"digits 1", "upper True"} <= set(secrets._own_names(late))
+
+
+def test_field_finds_secrets_of_letters(spark):
+    rng = random.Random(7)
+    words = ("the old house by river was sold yesterday without difficulty although password "
+             "protection remained important everywhere").split()
+    rows, hidden = [], {}
+    for i in range(600):
+        text = " ".join(rng.choice(words) for _ in range(30))
+        if i % 3 == 0:
+            value = "".join(rng.choice("qwrtzpsdfghjklxcvbnmQWRTZPSDFGHJKLXCVBNM") for _ in range(20))
+            name = "credential" if i % 15 == 0 else "password"
+            text += f' {name} = "{value}" ' + rng.choice(words)
+            if i % 15 == 0:
+                hidden[i] = value
+        rows.append((i, text))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: [rows[r.doc_id][1][s.start:s.end] for s in r.added]
+             for r in secrets.find_secrets(frame).collect()}
+    assert sum(found[i] == [value] for i, value in hidden.items()) >= 0.9 * len(hidden)
+    assert not any(spans for i, spans in found.items() if i not in hidden)
+
+
 def test_secrets_of_odd_rows(spark):
     long = "x " * 50_000 + "token = abcdefabcdef1234"
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, "AKIA" + "A" * 14), (4, " \n")]

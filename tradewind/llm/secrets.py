@@ -6,9 +6,9 @@ itself: on a bounded sample of documents the pattern matches are the labels, and
 (shape, length, entropy, neighbouring words, traits of the whole file) carry over to secrets that
 no pattern describes.
 
-Only tokens of TOKEN_LENGTH or more with a digit can be tagged begin or inside; all others are
-outside by definition. Viterbi decoding of a whole text therefore falls apart into the runs of such
-tokens, and is exact.
+Every run of TOKEN_LENGTH or more safe characters, with or without a digit, is a token that can be
+tagged begin or inside; shorter words are outside by definition. Viterbi decoding of a whole text
+therefore falls apart into the runs of tokens without such a word between them, and is exact.
 
 A NULL text is empty. A sample without any labelled secret trains nothing and adds nothing.
 """
@@ -19,6 +19,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,6 +41,8 @@ OWN_FEATURES = 11  # those that come first, of the token itself
 EPOCHS = 80
 PENALTY = 1.0  # half the inverse variance that a weight is expected to have
 FIRST_PENALTY = 5.0
+MIN_ALIKE = 0.1  # probability from which an unlabelled token is set aside in training
+MEMO_TOKENS = 50_000  # whose features a worker remembers
 _CHAIN = 64  # longer chains are cut for training only
 
 # The base patterns. Possessive repeats match the same and never backtrack.
@@ -49,19 +52,27 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]++")
 _HEX = re.compile(r"[0-9a-f]{16,}+")
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-_DIGIT = re.compile("[0-9]")
 _SAFE = "A-Za-z0-9+/=_.~-"
-_RIGHT = re.compile(f"[{_SAFE}]*")
-_LEFT = re.compile(f"[{_SAFE}]*$")
+_TOKEN = re.compile(f"[{_SAFE}]{{{TOKEN_LENGTH},}}+")
+_ALNUM = re.compile(r"[^\W_]")
 _WORD = re.compile(r"\w+|[^\w\s]")
 _CLASSES = ((re.compile("[a-z]+"), "a"), (re.compile("[A-Z]+"), "A"), (re.compile("[0-9]+"), "9"))
 
 
 def base_spans(text: str) -> list[Span]:
     """Matches of the fixed patterns."""
+    return _matches(text, 0)
+
+
+def secret_spans(text: str) -> list[Span]:
+    """The secrets in the matches: of an assignment the value, without the name."""
+    return _matches(text, 1)
+
+
+def _matches(text: str, group: int) -> list[Span]:
     found = []
     if any(map(text.lower().__contains__, _NAMES)):
-        found += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text)
+        found += [(m.start(group), 0, m.end()) for m in _ASSIGN.finditer(text)
                   if m.end(1) - m.start(1) >= 12]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)
@@ -72,65 +83,72 @@ def base_spans(text: str) -> list[Span]:
 
 def tokens(text: str) -> list[tuple[int, int]]:
     """(start, end) of the tokens that may be part of a secret."""
-    found, at = [], 0
-    while digit := _DIGIT.search(text, at):
-        start = digit.start()
-        while start > at and _SAFE_CHARACTERS[ord(text[start - 1]) if text[start - 1] < "\x80"
-                                              else 0]:
-            start -= 1
-        end = _RIGHT.match(text, digit.end()).end()
-        while end > start and text[end - 1] == ".":  # the end of a sentence
-            end -= 1
-        if end - start >= TOKEN_LENGTH:
-            found.append((start, end))
-        at = max(end, digit.end())
+    found = []
+    for match in _TOKEN.finditer(text):
+        size = len(match[0].rstrip("."))  # the end of a sentence
+        if size >= TOKEN_LENGTH:
+            found.append((match.start(), match.start() + size))
     return found
 
 
-_SAFE_CHARACTERS = [bool(re.match(f"[{_SAFE}]", chr(i))) for i in range(128)]
-
-
 def chains(text: str, found: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Runs of tokens with nothing but white space and single separators between them."""
+    """Runs of tokens with no letter or digit, so no word, between them."""
     runs: list[list[tuple[int, int]]] = []
     for start, end in found:
-        if runs and start - runs[-1][-1][1] <= 3 and not any(
-                map(str.isalnum, text[runs[-1][-1][1]:start])):
+        if runs and not _ALNUM.search(text, runs[-1][-1][1], start):
             runs[-1].append((start, end))
         else:
             runs.append([(start, end)])
     return runs
 
 
-def _file_features(text: str, number: int) -> list[str]:
+def _file_features(text: str, number: int) -> tuple[int, ...]:
     size = len(text) + 1
     lines = text.count("\n") + 1
-    return [f"file size {int(math.log2(size) / 2)}", f"file tokens {int(math.log2(number + 1))}",
-            f"file assigns {min(3, 4 * (text.count('=') + text.count(':')) // lines)}",
-            f"file braces {min(3, 100 * (text.count('{') + text.count(';')) // size)}"]
+    return _numbers([
+        f"file size {int(math.log2(size) / 2)}", f"file tokens {int(math.log2(number + 1))}",
+        f"file assigns {min(3, 4 * (text.count('=') + text.count(':')) // lines)}",
+        f"file braces {min(3, 100 * (text.count('{') + text.count(';')) // size)}"])
 
 
-def features(text: str, start: int, end: int, of_file: list[str]) -> list[int]:
-    """Numbers of the features of a token."""
-    token = text[start:end]
+def _own_names(token: str) -> list[str]:
+    """Names of the features of a token by itself, over all its characters."""
     shape = token
     for pattern, mark in _CLASSES:
         shape = pattern.sub(mark, shape)
     size = len(token)
-    counts = Counter(token[:256])
-    total = sum(counts.values())
-    entropy = -sum(n / total * math.log2(n / total) for n in counts.values())
+    counts = Counter(token)
+    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
     digits = sum(counts[d] for d in "0123456789")
+    return ["bias", f"shape {shape[:8]}", f"changes {min(8, len(shape) // 3)}",
+            f"size {min(10, size // 4)}", f"entropy {int(2 * entropy)}",
+            f"digits {4 * digits // size}", f"lower {any(map(str.islower, counts))}",
+            f"upper {any(map(str.isupper, counts))}", f"dots {min(3, token.count('.'))}",
+            f"dashes {min(3, token.count('-'))}", f"first {token[0]}"]
+
+
+def _numbers(names: list[str]) -> tuple[int, ...]:
+    return tuple(zlib.crc32(name.encode()) % FEATURES for name in names)
+
+
+@lru_cache(MEMO_TOKENS)
+def _own_numbers(token: str) -> tuple[int, ...]:
+    return _numbers(_own_names(token))
+
+
+@lru_cache(MEMO_TOKENS)
+def _number(place: str, word: str) -> int:
+    return zlib.crc32(f"word {place} {word.lower()}".encode()) % FEATURES
+
+
+def features(text: str, start: int, end: int, of_file: tuple[int, ...]) -> list[int]:
+    """Numbers of the features of a token; those of the file are numbers already."""
+    token = text[start:end]
+    own = _own_numbers(token) if len(token) <= 64 else _numbers(_own_names(token))
     before = _WORD.findall(text[max(0, start - 48):start])[-3:]
     after = _WORD.findall(text[end:end + 24])[:1]
-    names = ["bias", f"shape {shape[:8]}", f"changes {min(8, len(shape) // 3)}",
-             f"size {min(10, size // 4)}", f"entropy {int(2 * entropy)}",
-             f"digits {4 * digits // total}", f"lower {any(map(str.islower, counts))}",
-             f"upper {any(map(str.isupper, counts))}", f"dots {min(3, token.count('.'))}",
-             f"dashes {min(3, token.count('-'))}", f"first {token[0]}",
-             *(f"word -{i} {word.lower()}" for i, word in enumerate(reversed(before), 1)),
-             *(f"word +1 {word.lower()}" for word in after), *of_file]
-    return [zlib.crc32(name.encode()) % FEATURES for name in names]
+    return [*own, *(_number(f"-{i}", word) for i, word in enumerate(reversed(before), 1)),
+            *(_number("+1", word) for word in after), *of_file]
 
 
 def _labels(run: list[tuple[int, int]], base: list[Span]) -> list[int]:
@@ -145,7 +163,7 @@ def _labels(run: list[tuple[int, int]], base: list[Span]) -> list[int]:
 
 def training_chains(rows: DataFrame, text: str, row_id: str) -> list[tuple[list, list]]:
     """(feature numbers per token, tags) of the chains of a bounded sample of documents."""
-    every = max(1, rows.count() // SAMPLE_DOCUMENTS)
+    every = max(1, math.ceil(rows.count() / SAMPLE_DOCUMENTS))
     sample = rows.where(F.pmod(F.xxhash64(F.col(row_id).cast("string")), F.lit(every)) == 0)
 
     def kernel(texts, _):
@@ -154,7 +172,7 @@ def training_chains(rows: DataFrame, text: str, row_id: str) -> list[tuple[list,
             found = tokens(value)
             if not found:
                 continue
-            of_file, base = _file_features(value, len(found)), sorted(base_spans(value))
+            of_file, base = _file_features(value, len(found)), sorted(secret_spans(value))
             for run in chains(value, found):
                 for at in range(0, len(run), _CHAIN):
                     part = run[at:at + _CHAIN]
@@ -208,16 +226,25 @@ _FORBIDDEN = -1e4
 def train(found: list[tuple[list, list]]) -> Field | None:
     """A field from chains whose unlabelled tokens may be secrets that no pattern knows.
 
-    A first field sees the token's own features only. Chains with an unlabelled token that it takes
-    for a secret are set aside; the field proper learns from the others, with all features.
+    A first field sees the token's own features only. Chains with an unlabelled token that it may
+    take for a secret are set aside; the field proper learns from the others, with all features.
     """
     if not any(any(tags) for _, tags in found):
         return None
-    first = fit([([row[:OWN_FEATURES] for row in numbers], tags) for numbers, tags in found], FIRST_PENALTY)
-    clear = [(numbers, tags) for numbers, tags in found if all(tags) or not any(
-        guess and not tag for guess, tag in zip(
-            first.decode([row[:OWN_FEATURES] for row in numbers]), tags, strict=True))]
-    return fit(clear)
+    first = fit([([row[:OWN_FEATURES] for row in numbers], tags) for numbers, tags in found],
+                FIRST_PENALTY)
+    return fit([(numbers, tags) for numbers, tags in found
+                if all(tags) or not _look_alikes(first, numbers, tags)])
+
+
+def _look_alikes(first: Field, numbers: list[list[int]], tags: list[int]) -> bool:
+    """Whether an unlabelled token begins a secret with probability MIN_ALIKE at least, taken alone.
+
+    Plain words outnumber secrets, so the best tag of a look-alike is often outside.
+    """
+    scores = first.scores([row[:OWN_FEATURES] for row in numbers]) + first.moves[0]
+    odds = scores[:, 1] - scores[:, 0]
+    return bool((odds[np.array(tags) == 0] >= math.log(MIN_ALIKE / (1 - MIN_ALIKE))).any())
 
 
 def fit(found: list[tuple[list, list]], penalty: float = PENALTY) -> Field:
