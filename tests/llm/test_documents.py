@@ -177,6 +177,21 @@ def test_mixture_steps_raise_the_likelihood():
     assert np.allclose(shares[2], plain)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, " ".join(chr(0x4e00 + 40 * i + k) * 3 for k in range(20)), f"l{i}")
+            for i in range(230)]
+    rows += [(500 + i, *row[1:]) for i, row in enumerate(rows[:200])]  # 200 have more rows
+    rows.append((1000, " ".join(rows[i][1] for i in range(6)), None))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    models = langid.train(frame)
+    assert len(models.languages) == 230
+    found = {r.doc_id: r for r in langid.predict(frame, models).collect()}
+    assert all(found[i].lang_pred == lang for i, _, lang in rows if lang)
+    assert {x.lang for x in found[1000].languages} == {f"l{i}" for i in range(6)}
+    buckets = np.array([5, 0, 5, 65535])
+    assert (models._rows(buckets) == models._rows(np.arange(langid.BUCKETS))[buckets]).all()
+
+
 def test_trigrams():
     buckets, starts = langid.trigrams("Ab, 12 c" + "d" * 60)
     assert len(buckets) == 63 and starts.tolist() == [0, 2, 26, 50]

@@ -4,11 +4,12 @@ Each language has a model of letter trigrams, hashed into BUCKETS counters. A do
 words drawn from a mixture of languages: expectation-maximisation estimates its proportions from the
 words' trigram likelihoods, and the set of languages is the one of highest likelihood after a
 penalty per language (half its number of parameters times the logarithm of the words, as in the
-Bayesian information criterion, times PENALTY). The language of the document is the one with the
+Bayesian information criterion, times PENALTY). The set grows and shrinks by one language at a time
+while that raises the penalised likelihood. The language of the document is the one with the
 largest proportion in the chosen set.
 
-Models are trained on at most TRAINING_ROWS documents of each of the MAX_LANGUAGES most frequent
-languages, chosen by a hash of their id; a model is BUCKETS numbers, so shipping all is bounded.
+Every label is learned, from a sample of its documents by a hash of their id where there are 2 *
+TRAINING_ROWS or more. A model has an entry per bucket seen, BUCKETS at most.
 Only text and label of training rows are learned from; a prediction sees the text alone.
 
 Text that is NULL or has no letter is ``und`` with score 0. Without training rows everything is.
@@ -16,6 +17,7 @@ Text that is NULL or has no letter is ``und`` with score 0. Without training row
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from functools import cache
 
@@ -28,15 +30,12 @@ from tradewind.llm.batches import map_texts
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 TRAINING_ROWS = 10_000
-MAX_LANGUAGES = 200
 SMOOTHING = 0.5
-STEPS = 15
 REFIT_STEPS = 8
-MAX_SET = 4
-MIN_SHARE = 0.02  # of a language in the full mixture, to be tried in a set
 PENALTY = 2.0
 WORD_LETTERS = 24  # longer runs of letters, as in scripts without spaces, count as several words
 _CELLS = 4_000_000  # words times languages worked on at once
+_DENSE_CELLS = 200 * BUCKETS  # up to which a worker holds all models as one table
 
 
 @cache
@@ -70,12 +69,41 @@ def held_out(row_id: str) -> Column:
 
 
 class Models:
-    """Logarithms of trigram probabilities: a row per bucket, a column per language."""
+    """Logarithms of trigram probabilities: of each bucket the languages that have seen it.
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    ``bucket``, ``place`` and ``n`` are the counts above 0, ``place`` the number of the language.
+    """
+
+    def __init__(self, languages: list[str], bucket: np.ndarray, place: np.ndarray,
+                 n: np.ndarray):
         self.languages = languages
-        totals = counts.sum(axis=0) + SMOOTHING * len(counts)
-        self.logs = np.log((counts + SMOOTHING) / totals).astype(np.float32)
+        order = np.lexsort((place, bucket))
+        bucket, self._place, n = bucket[order], place[order].astype(np.int32), n[order]
+        self._from = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+        totals = np.bincount(self._place, n, len(languages)) + SMOOTHING * BUCKETS
+        self._unseen = np.log(SMOOTHING / totals).astype(np.float32)
+        self._seen = np.log((n + SMOOTHING) / totals[self._place]).astype(np.float32)
+        self._table = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_table": None}  # the entries alone are shipped
+
+    def logs(self, buckets: np.ndarray) -> np.ndarray:
+        """A row per bucket, a column per language."""
+        if BUCKETS * len(self.languages) > _DENSE_CELLS:
+            return self._rows(buckets)
+        if self._table is None:
+            self._table = self._rows(np.arange(BUCKETS))
+        return self._table[buckets]
+
+    def _rows(self, buckets: np.ndarray) -> np.ndarray:
+        out = np.tile(self._unseen, (len(buckets), 1))
+        sizes = self._from[buckets + 1] - self._from[buckets]
+        row = np.repeat(np.arange(len(buckets)), sizes)
+        entry = np.arange(len(row)) + np.repeat(self._from[buckets] - np.cumsum(sizes) + sizes,
+                                                sizes)
+        out[row, self._place[entry]] = self._seen[entry]
+        return out
 
 
 def train(rows: DataFrame, text: str = "text", language: str = "lang",
@@ -83,37 +111,38 @@ def train(rows: DataFrame, text: str = "text", language: str = "lang",
     """Models from labelled rows, which the caller has picked."""
     label = F.col(language).cast("string")
     usable = rows.where(label.isNotNull() & F.col(text).isNotNull())
-    sizes = (usable.groupBy(label.alias("language")).agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "language").limit(MAX_LANGUAGES).collect())
+    sizes = usable.groupBy(label.alias("language")).agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
         return None
     languages = sorted(row.language for row in sizes)
-    every = F.create_map(*(F.lit(x) for row in sizes
-                           for x in (row.language, max(1, row.n // TRAINING_ROWS))))
-    # NULL where the language is not among them
-    taken = usable.where(F.pmod(F.xxhash64(F.col(row_id).cast("string")),
-                                F.try_element_at(every, label)) == 0)
+    sampled = [x for row in sizes if row.n >= 2 * TRAINING_ROWS
+               for x in (row.language, row.n // TRAINING_ROWS)]
+    every = F.coalesce(F.try_element_at(F.create_map(*map(F.lit, sampled)), label),
+                       F.lit(1)) if sampled else F.lit(1)
+    taken = usable.where(F.pmod(F.xxhash64(F.col(row_id).cast("string")), every) == 0)
 
     def kernel(texts, kept):
-        found = defaultdict(lambda: np.zeros(BUCKETS, np.int64))
+        found = defaultdict(list)
         for value, name in zip(texts, kept["language"], strict=True):
-            found[name] += np.bincount(trigrams(value)[0], minlength=BUCKETS)
+            found[name].append(trigrams(value)[0])
         out = {"language": [], "bucket": [], "n": []}
-        for name, table in found.items():
-            used = np.flatnonzero(table)
+        for name, parts in found.items():
+            used, n = np.unique(np.concatenate(parts), return_counts=True)
             out["language"] += [name] * len(used)
             out["bucket"] += used.tolist()
-            out["n"] += table[used].tolist()
+            out["n"] += n.tolist()
         return out
 
     counted = map_texts(taken, text, [label.alias("language")], kernel,
                         "language string, bucket int, n bigint")
-    counts = np.zeros((BUCKETS, len(languages)))
-    place = {name: i for i, name in enumerate(languages)}
+    number = {name: i for i, name in enumerate(languages)}
+    bucket, place, n = array("i"), array("i"), array("d")
     summed = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n"))
     for row in summed.toLocalIterator():  # at most BUCKETS rows per language
-        counts[row.bucket, place[row.language]] = row.n
-    return Models(languages, counts)
+        bucket.append(row.bucket)
+        place.append(number[row.language])
+        n.append(row.n)
+    return Models(languages, *map(np.array, (bucket, place, n)))
 
 
 def _mixture(likely: np.ndarray, owner: np.ndarray, first: np.ndarray, words: np.ndarray,
@@ -142,28 +171,49 @@ def mixtures(scores: np.ndarray, words: np.ndarray) -> np.ndarray:
     top = scores.max(axis=1)
     likely = np.exp(np.maximum(scores - top[:, None], -60)).astype(np.float64)
     count = scores.shape[1]
-    shares, _ = _mixture(likely, owner, first, words,
-                         np.full((len(words), count), 1 / count), STEPS)
     alone = np.add.reduceat(np.log(likely), first, axis=0)  # of one language for all words
     chosen = np.eye(count)[alone.argmax(axis=1)]
     best = alone.max(axis=1)
-    order = np.argsort(-shares, axis=1, kind="stable")
-    ranked = np.take_along_axis(shares, order, axis=1)
-    for size in range(2, min(MAX_SET, count) + 1):
-        tried = np.flatnonzero(ranked[:, size - 1] >= MIN_SHARE)
-        if not len(tried):
-            break
-        start = np.zeros((len(tried), count))
-        np.put_along_axis(start, order[tried, :size], ranked[tried, :size], axis=1)
-        start /= start.sum(axis=1, keepdims=True)
+    cost = PENALTY * np.log(words + 1)
+
+    def part(tried):
         inside = np.isin(owner, tried)
-        own_words = words[tried]
-        fitted, value = _mixture(likely[inside], np.repeat(np.arange(len(tried)), own_words),
-                                 np.r_[0, np.cumsum(own_words)[:-1]], own_words, start,
-                                 REFIT_STEPS)
-        value = value - PENALTY * (size - 1) * np.log(own_words + 1)
-        better = value > best[tried]
+        own = words[tried]
+        return likely[inside], np.repeat(np.arange(len(tried)), own), \
+            np.r_[0, np.cumsum(own)[:-1]], own
+
+    def raised(tried, start):
+        """Those of the tried documents whose penalised likelihood rises; they take the set."""
+        fitted, value = _mixture(*part(tried), start, REFIT_STEPS)
+        value = value - cost[tried] * ((fitted > 0).sum(axis=1) - 1)
+        better = value > best[tried] + 1e-6
         chosen[tried[better]], best[tried[better]] = fitted[better], value[better]
+        return better
+
+    todo = np.arange(len(words))
+    while len(todo):
+        tried, without = todo, np.zeros((len(words), count), bool)  # languages that don't help
+        while len(tried):
+            inside, own, starts, number = part(tried)
+            mixed = (inside * chosen[tried][own]).sum(axis=1, keepdims=True)
+            slope = np.add.reduceat(inside / mixed, starts, axis=0)
+            # The likelihood is concave: no set with one more language gains more than its slope.
+            held = chosen[tried] > 0
+            least = np.where(held, slope, 0).max(axis=1)
+            slope[held | without[tried]] = -np.inf
+            new = slope.argmax(axis=1)
+            slope = slope.max(axis=1)
+            may = (slope > -np.inf) & (np.maximum(slope, least) - number > cost[tried])
+            tried, new = tried[may], new[may]
+            if len(tried):
+                better = raised(tried, 0.75 * chosen[tried] + 0.25 * np.eye(count)[new])
+                without[tried[~better], new[~better]] = True
+                without[tried[better]] = False
+        todo = todo[(chosen[todo] > 0).sum(axis=1) > 2]
+        if len(todo):  # without the language of the smallest share
+            start = chosen[todo]
+            start[np.arange(len(todo)), np.where(start > 0, start, 2).argmin(axis=1)] = 0
+            todo = todo[raised(todo, start / start.sum(axis=1, keepdims=True))]
     return chosen
 
 
@@ -194,7 +244,7 @@ def _predictions(texts: list[str | None], models: Models | None) -> dict[str, li
         if not len(starts):
             continue
         scores = np.concatenate([  # in steps, so that very long texts need no more memory
-            np.add.reduceat(models.logs[buckets[starts[i]:_end(starts, i, len(buckets))]],
+            np.add.reduceat(models.logs(buckets[starts[i]:_end(starts, i, len(buckets))]),
                             starts[i:i + _STEP] - starts[i], axis=0)
             for i in range(0, len(starts), _STEP)])
         batch.append((at, scores))
