@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import langid, packing, pii, quality, simhash
+from tradewind.llm.batches import join_small
 from tradewind.operators.lineage import written
 
 MIN_LANGUAGE_SHARE = 0.5
@@ -23,18 +24,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter, or without a language that holds half of them, go.
+    """Language ID: documents without a letter, without a language that holds half of them, or less
+    likely in their languages than prose of those is, go.
 
     ``lang`` stays as it is: only the decision whether the text is prose of a known language
-    counts. Without any labelled document there is nothing to reject by.
+    counts. How likely prose is, labelled documents tell that no model has learned from, or all
+    labelled ones if there are no others. Without any labelled document there is no known language,
+    and only documents without a letter go.
     """
-    models = langid.train(docs.where(~langid.held_out("doc_id")))
+    held_out, labelled = langid.held_out("doc_id"), F.col("lang").isNotNull()
+    models = langid.train(docs.where(~held_out))
     if models is None:
-        return docs
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    tests = docs.where(held_out & labelled)
+    if tests.where(F.col("text").rlike(r"\p{L}")).isEmpty():
+        tests = docs.where(labelled)
+    least = written(langid.least_fits(langid.predict(tests, models, keep=())))
+    every = least.where("lang IS NULL").first()
     judged = langid.predict(docs, models, keep=tuple(docs.columns))
     share = F.coalesce(F.try_element_at("languages", F.lit(1))["share"], F.lit(0.0))
-    return judged.where((F.col("lang_pred") != langid.UNDETERMINED)
-                        & (share >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+    good = judged.where((F.col("lang_pred") != langid.UNDETERMINED)
+                        & (share >= MIN_LANGUAGE_SHARE))
+    if every is None:  # no labelled document has a letter
+        return good.select(*docs.columns)
+    own = least.where("lang IS NOT NULL").select(F.col("lang").alias("_lang"), "least")
+    return (join_small(good, own, F.col("lang_pred") == F.col("_lang"), "left")
+            .where(F.col("fit") >= F.coalesce("least", F.lit(every.least)))
+            .select(*docs.columns))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -270,6 +270,18 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, SMALL).count() == packed.count()
 
 
+def test_language_stage_rejects_unknown_languages(spark):
+    rows = [(i, text, "en") for i, text in enumerate(made_up(150))]
+    rows += [(200, "日本語の文章です" * 40, None), (201, "Zażółć gęślą jaźń, źdźbło żyje " * 20, None),
+             (202, "12 34 !?", None), (203, PROSE, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, frame, SMALL).collect()}
+    assert left == {*range(150), 203}
+    unlabelled = frame.withColumn("lang", F.lit(None).cast("string"))
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, unlabelled, SMALL).collect()}
+    assert left == {*range(150), 200, 201, 203}
+
+
 def test_stages_of_odd_rows(spark, tmp_path):
     texts = made_up(80)
     rows = [(i, text, "en", "a", len(text)) for i, text in enumerate(texts)]
