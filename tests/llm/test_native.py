@@ -18,7 +18,7 @@ from tradewind.llm import chat, queries, urls
 def test_matches_sql(spark, name, folder):
     import duckdb
     connection = duckdb.connect()
-    for table in ("conversations", "pages", "embeddings"):
+    for table in ("conversations", "pages", "embeddings", "documents"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     expected = connection.sql(registry.oracle_sql()[name])
     found = registry.queries()[name](spark, folder)

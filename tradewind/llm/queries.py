@@ -12,11 +12,14 @@ from tradewind.llm import (
     chat,
     embeddings,
     langid,
+    neighbours,
     packing,
+    phrases,
     pii,
     quality,
     secrets,
     simhash,
+    spelling,
     urls,
 )
 from tradewind.llm import sql as oracle
@@ -115,10 +118,23 @@ def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
+def op12_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, folder, "embeddings"),
+                                         F.col("vec_id") % 100 == 0)
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in (
         op1_secrets, op2_quality, op3_pii, op4_simhash, op5_chat, op6_urls, op7_bpe, op8_packing,
-        op9_langid, op10_embeddings)}
+        op9_langid, op10_embeddings, op11_spelling, op12_neighbours, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
