@@ -14,8 +14,8 @@ and MIN_CANDIDATES at least: vectors in clear clusters need little of the table,
 structure a large part of it.
 
 Candidates are ranked by exact distances. A vector is shuffled once, to the block of its leaf in the
-first tree; queries travel to the blocks that hold members of the leaves they take, which ids alone
-tell. Blocks are cut by members and by queries, so neither a hot leaf nor many queries pile up in a
+first tree; queries travel to the blocks that hold members of the leaves they take, which a bitmap
+of leaves for each run of leaves of the first tree tells (bounded like the forest). Blocks are cut by members and by queries, so neither a hot leaf nor many queries pile up in a
 task, and a task keeps the nearest of each block only.
 
 Copies of a vector are compared once. Of their ids the k + 1 smallest can be among the k nearest of
@@ -44,7 +44,7 @@ TREES = 8
 LEAF_ROWS = 128
 SAMPLE_ROWS = 50_000
 SAMPLE_BYTES = 64_000_000
-SAMPLE_ROWS_PER_LEAF = 12
+SAMPLE_ROWS_PER_LEAF = 12  # with SAMPLE_ROWS, at most 4,096 leaves a tree: a bitmap of 32,768
 SAMPLE_QUERIES = 128
 RECALL = 0.95
 MIN_CANDIDATES = 5_000
@@ -248,33 +248,32 @@ def _budget(housed: DataFrame, points: DataFrame, forest: Forest, sizes: np.ndar
 
 
 def _searched(points: DataFrame, forest: Forest, sizes: np.ndarray, budget: int,
-              kind: str) -> DataFrame:
-    schema = "key binary, vector binary, leaves array<int>"
+              inside: np.ndarray, kind: str) -> DataFrame:
+    """Queries with the leaves they take, and the places that hold members of these."""
+    schema = "key binary, vector binary, leaves array<int>, places array<int>"
     target = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 x = _matrix(batch.column("vector"), kind)
+                leaves = [forest.visits(row, sizes, budget) for row in x]
                 yield pa.RecordBatch.from_pydict(
                     {"key": batch.column("key"), "vector": batch.column("vector"),
-                     "leaves": [forest.visits(row, sizes, budget) for row in x]}, schema=target)
+                     "leaves": leaves, "places": [np.flatnonzero(inside[:, taken].any(axis=1))
+                                                  for taken in leaves]}, schema=target)
 
     return points.mapInArrow(run, schema)
 
 
-def _compared(homes: DataFrame, searched: DataFrame, leaves: int, k: int,
-              kind: str) -> DataFrame:
-    """(query, distance, ids): the nearest of each block for each query that meets it."""
-    inside = homes.select("home", F.explode("leaves").alias("leaf")).distinct()
-    meets = written(searched.select(F.col("key").alias("query"), F.explode("leaves").alias("leaf"))
-                    .join(inside, "leaf").select("query", "home").distinct())
-    parts = written(meets.groupBy("home").agg(
+def _compared(homes: DataFrame, asked: DataFrame, leaves: int, k: int, kind: str) -> DataFrame:
+    """(query, distance, ids): the nearest of each block for each query that comes to it."""
+    parts = written(asked.groupBy("home").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts")))
     block = F.shiftleft("home", 20)  # a home has at most 2^20 parts of its queries
-    asked = (meets.join(parts, "home").join(searched, F.col("query") == F.col("key"))
-             .select((block + F.pmod(F.xxhash64("key"), F.col("parts"))).alias("block"),
-                     "key", F.lit(None).cast("array<bigint>").alias("ids"), "vector", "leaves"))
+    queries = asked.join(parts, "home").select(
+        (block + F.pmod(F.xxhash64("key"), F.col("parts"))).alias("block"),
+        "key", F.lit(None).cast("array<bigint>").alias("ids"), "vector", "leaves")
     repeats = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)
     members = homes.join(parts, "home").select(
         F.explode(F.transform(repeats, lambda part: block + part)).alias("block"),
@@ -311,7 +310,7 @@ def _compared(homes: DataFrame, searched: DataFrame, leaves: int, k: int,
         query, distance, found = zip(*out, strict=True)
         return pa.table({"query": query, "distance": distance, "ids": found}, schema=target)
 
-    return map_groups(asked.unionByName(members), "block", compare, schema)
+    return map_groups(queries.unionByName(members), "block", compare, schema)
 
 
 def _search(distinct: DataFrame, points: DataFrame, size: int, k: int, recall: float,
@@ -334,16 +333,27 @@ def _search(distinct: DataFrame, points: DataFrame, size: int, k: int, recall: f
         sizes[row.leaf] = row["count"]
 
     budget = _budget(housed, points, forest, sizes, k, recall, least, kind)
-    searched = written(_searched(points, forest, sizes, budget, kind))
-    # A block is a run of leaves of the first tree, cut where it has many rows.
+    # A place is a run of leaves of the first tree; it is cut into homes where it has many rows.
     run = max(1, BLOCK_ROWS // LEAF_ROWS)
     padded = np.append(sizes[:2 ** depth], np.zeros(-(2 ** depth) % run, np.int64))
     parts = np.maximum(1, -(-padded.reshape(-1, run).sum(axis=1) // BLOCK_ROWS))
     place = F.floor(F.element_at("leaves", 1) / run).cast("int")
-    many = F.element_at(F.array(*(F.lit(int(n)).cast("bigint") for n in parts)), place + 1)
-    homes = written(housed.withColumn("home", F.shiftleft(place.cast("bigint"), 30)
-                                      + F.pmod(F.xxhash64("key"), many)))
-    return _compared(homes, searched, len(sizes), k, kind)
+    many = F.array(*(F.lit(int(n)).cast("bigint") for n in parts))
+    homes = written(housed.withColumn(
+        "home", F.shiftleft(place.cast("bigint"), 30)
+        + F.pmod(F.xxhash64("key"), F.element_at(many, place + 1))))
+    inside = np.zeros((len(parts), len(sizes)), bool)
+    for row in (homes.select(place.alias("place"), F.explode("leaves").alias("leaf"))
+                .groupBy("place").agg(F.bitmap_construct_agg(F.col("leaf").cast("bigint"))
+                                      .alias("leaves")).collect()):
+        inside[row.place] = np.unpackbits(np.frombuffer(row.leaves, np.uint8),
+                                          bitorder="little")[:len(sizes)]
+    searched = _searched(points, forest, sizes, budget, inside, kind)
+    asked = written(searched.select(
+        "key", "vector", "leaves", F.explode(F.flatten(F.transform("places", lambda p: F.transform(
+            F.sequence(F.lit(0).cast("bigint"), F.element_at(many, p + 1) - 1),
+            lambda part: F.shiftleft(p.cast("bigint"), 30) + part)))).alias("home")))
+    return _compared(homes, asked, len(sizes), k, kind)
 
 
 def nearest_neighbours(rows: DataFrame, queries: Column | str, k: int = 10, vector: str = "embedding",

@@ -4,17 +4,19 @@ Toivonen, "Sampling large databases for association rules", 1996, for contiguous
 of the documents proposes phrases, at a threshold lowered for chance. A full pass counts each
 proposed phrase and the negative border: what is not proposed though both its longest parts are,
 its words without the last and without the first. A phrase can't be more frequent than its parts, so
-if no border phrase is frequent, all frequent ones were proposed. Border phrases that are frequent
-after all are proposed as well, and another full pass counts them and what they add to the border,
-until no border phrase is frequent. Words are counted first, all of them, so the border of the words
-is known exactly.
+if no border phrase is frequent, all frequent ones were proposed. If some are, they are proposed as
+well, and another full pass counts them and all that they open: what was not counted though its
+parts are proposed or opened themselves, up to the longest phrases. That closes the border: a
+frequent phrase has frequent parts, so it was counted in the first pass or is opened in the second.
+Words are counted first, all of them, so the border of the words is known exactly.
 
 Proposed phrases are counted by their text. The border is large and nearly all of it is rare; it is
-counted by 64-bit hashes, where a collision can only make a phrase look frequent, and such a phrase
-is then counted by its text in the next pass. Tasks tell what is proposed by a bit array of at most
-2^MAX_BITS bits, the same size in all passes: a false positive is one more phrase that is counted.
-So every count that is used is exact, and what is broadcast has a fixed bound at any size. Counts
-are summed in each slice of texts, then map-side, then over the shuffle; none is kept in one task.
+counted by hashes, of thirteen bits more than the number of words has, where a collision can only
+make a phrase look frequent, and such a phrase is then counted by its text in the next pass. Tasks
+tell what is proposed by a bit array of at most 2^MAX_BITS bits, the same size in all passes: a
+false positive is one more phrase that is counted. So every count that is used is exact, and what is
+broadcast has a fixed bound at any size. Counts are summed in each slice of texts, then map-side,
+then over the shuffle; none is kept in one task.
 
 NULL or empty texts have no words; a NULL language counts as ``und``. Repeated rows count each. If
 nothing is frequent the result is empty.
@@ -112,10 +114,10 @@ class Level:
 
 
 def _phrases(words: Words, now: np.ndarray, before: np.ndarray | None, max_words: int,
-             proposed: Callable[[np.ndarray, int], None],
+             close: bool, proposed: Callable[[np.ndarray, int], None],
              border: Callable[[np.ndarray], None]) -> None:
     """Call ``proposed(places, words)`` and ``border(hashes)`` for all occurrences that count in
-    this pass and did not count in the one before."""
+    this pass and did not count in the one before. ``close`` takes the border as proposed."""
     single = words.hashes[words.ids]
     none = np.zeros(len(single), bool)
     level = Level(single, _has(now, words.hashes)[words.ids],
@@ -129,7 +131,7 @@ def _phrases(words: Words, now: np.ndarray, before: np.ndarray | None, max_words
             return
         counted = level.before[places] & level.before[places + 1]
         hashes = _longer(level.hashes[places], single[places + length - 1])
-        is_now = _has(now, hashes)
+        is_now = _has(now, hashes) | ~counted if close else _has(now, hashes)
         was = counted & _has(before, hashes) if before is not None else counted
         if (fresh := is_now & ~was).any():
             proposed(places[fresh], length)
@@ -143,28 +145,51 @@ def _phrases(words: Words, now: np.ndarray, before: np.ndarray | None, max_words
         level = following
 
 
-_COUNTS = "phrase string, hash bigint, n bigint"
+def _language(phrase: str = "phrase") -> Column:
+    """The part of lang, tab and words before the last tab; words hold none."""
+    return F.expr(f"left({phrase}, char_length({phrase}) "
+                  f"- char_length(substring_index({phrase}, '\t', -1)) - 1)")
 
 
-def _word_counts(docs: DataFrame, text: str, lang: Column) -> DataFrame:
-    """(phrase, hash, n) of every word; ``phrase`` is its language, a tab and the word."""
+def _word_counts(docs: DataFrame, text: str, lang: Column, min_count: int) -> DataFrame:
+    """(lang, phrase, n): the words with ``min_count`` occurrences, and for each language the sum
+    of the others, with a NULL phrase. ``phrase`` is the language, a tab and the word."""
     def count(texts: list, kept: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"phrase": [], "hash": [], "n": []}
+        out: dict[str, list] = {"phrase": [], "n": []}
         for name, own in _by_language(texts, kept["lang"]).items():
             words = Words(own, name)
             out["phrase"] += [f"{name}\t{word.decode('utf-8', 'replace')}"
                               for word in words.known]
-            out["hash"] += words.hashes.view(np.int64).tolist()
             out["n"] += np.bincount(words.ids, minlength=len(words.known)).tolist()
         return out
 
-    return (map_texts(docs, text, [lang.alias("lang")], count, _COUNTS)
-            .groupBy("phrase", "hash").agg(F.sum("n").alias("n")))
+    counts = (map_texts(docs, text, [lang.alias("lang")], count, "phrase string, n bigint")
+              .groupBy("phrase").agg(F.sum("n").alias("n")))
+    return (counts.groupBy(_language().alias("lang"),
+                           F.when(F.col("n") >= min_count, F.col("phrase")).alias("phrase"))
+            .agg(F.sum("n").alias("n")))
+
+
+def _hashed(words: DataFrame) -> DataFrame:
+    """The hashes of words given as language, tab and word, as :class:`Words` has them."""
+    def hashes(texts: list, kept: dict[str, list]) -> dict[str, list]:
+        cut = [text.rpartition("\t") for text in texts]
+        found = [xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"),
+                                        xxhash.xxh64_intdigest(name)) for name, _, word in cut]
+        return {"hash": np.array(found, np.uint64).view(np.int64)}
+
+    return map_texts(words, "phrase", [], hashes, "hash bigint")
+
+
+_COUNTS = "phrase string, hash bigint, n bigint"
 
 
 def _counted(docs: DataFrame, text: str, lang: Column, now: Broadcast, before: Broadcast | None,
-             max_words: int, texts_too: bool) -> DataFrame:
+             max_words: int, hash_bits: int, texts_too: bool,
+             close: bool = False) -> DataFrame:
     """(phrase, hash, n): proposed phrases with their text, border phrases by their hash."""
+    kept_bits = np.uint64(2 ** hash_bits - 1)
+
     def count(texts: list, kept: dict[str, list]) -> dict[str, list]:
         phrases: list[str] = []
         numbers: list[np.ndarray] = []
@@ -181,7 +206,7 @@ def _counted(docs: DataFrame, text: str, lang: Column, now: Broadcast, before: B
 
             if len(words.ids):
                 _phrases(words, now.value, None if before is None else before.value, max_words,
-                         proposed, beyond.append)
+                         close, proposed, lambda found: beyond.append(found & kept_bits))
         hashes, number = np.unique(np.concatenate([*beyond, np.zeros(0, np.uint64)]),
                                    return_counts=True)
         missing = len(hashes)
@@ -213,18 +238,16 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang",
     """((lang, words), (lang, phrase, f)): all words of each language, and exactly the phrases of
     at most ``max_words`` words, single words included, that occur ``min_count`` times or more.
     """
-    spark = docs.sparkSession
+    share = docs.sparkSession.sparkContext.broadcast
     of_doc = F.coalesce(F.col(lang), F.lit(UNKNOWN))
-    words = written(_word_counts(docs, text, of_doc))
-    key = F.substring_index("phrase", "\t", -1)
-    language = F.expr("left(phrase, char_length(phrase) "
-                      "- char_length(substring_index(phrase, '\t', -1)) - 1)")
-    totals = words.groupBy(language.alias("lang")).agg(F.sum("n").alias("words"))
-    total = words.agg(F.sum("n")).first()[0] or 0
+    words = written(_word_counts(docs, text, of_doc, min_count))
+    totals = words.groupBy("lang").agg(F.sum("n").alias("words"))
+    total = max(1, words.agg(F.sum("n")).first()[0] or 0)
     # Some 16 bits for each proposed phrase, if a word in 25 starts as many as are frequent.
-    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, 0.64 * total)))))
-    singles = words.where(F.col("n") >= min_count)
-    start = _bits(singles, bits)
+    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(0.64 * total))))
+    hash_bits = min(63, max(32, math.ceil(math.log2(total)) + 13))
+    singles = words.where("phrase IS NOT NULL")
+    start = _bits(_hashed(singles), bits)
 
     # The sample: level by level, by hashes alone.
     expected = min_count / sample
@@ -233,27 +256,24 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang",
                      .select(F.col(text), of_doc.alias("lang")))
     now, before = start, None
     for _ in range(max_words - 1):
-        found = _counted(chosen, text, F.col("lang"), spark.sparkContext.broadcast(now),
-                         None if before is None else spark.sparkContext.broadcast(before),
-                         max_words, texts_too=False)
+        found = _counted(chosen, text, F.col("lang"), share(now),
+                         None if before is None else share(before), max_words, hash_bits,
+                         texts_too=False)
         now, before = now | _bits(found.where((F.col("n") >= least) & F.col("hash").isNotNull()),
                                   bits), now
 
-    # Full passes, until no border phrase is frequent.
-    counted, before = [singles.select("phrase", "n")], None
-    while True:
-        found = written(_counted(
-            docs, text, of_doc, spark.sparkContext.broadcast(now),
-            None if before is None else spark.sparkContext.broadcast(before), max_words,
-            texts_too=True).where(F.col("n") >= min_count))
-        counted.append(found.where("phrase IS NOT NULL").select("phrase", "n"))
-        failures = found.where("phrase IS NULL")
-        if failures.isEmpty():
-            break
-        now, before = now | _bits(failures, bits), now
-    frequent = reduce(DataFrame.unionByName, counted)
-    return totals, frequent.select(language.alias("lang"), key.alias("phrase"),
-                                   F.col("n").alias("f"))
+    found = written(_counted(docs, text, of_doc, share(now), None, max_words, hash_bits,
+                             texts_too=True).where(F.col("n") >= min_count))
+    counted = [singles.select("phrase", "n"), found.select("phrase", "n")]
+    failures = found.where("phrase IS NULL")
+    if not failures.isEmpty():
+        more = _counted(docs, text, of_doc, share(now | _bits(failures, bits)), share(now),
+                        max_words, hash_bits, texts_too=True, close=True)
+        counted.append(more.where(F.col("n") >= min_count).select("phrase", "n"))
+    frequent = reduce(DataFrame.unionByName, counted).where("phrase IS NOT NULL")
+    return totals, frequent.select(
+        _language().alias("lang"), F.substring_index("phrase", "\t", -1).alias("phrase"),
+        F.col("n").alias("f"))
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang",
