@@ -5,12 +5,15 @@ import pytest
 from conftest import SMALL, rows_of
 from test_marts import BASE, header, line
 from tradewind import Warehouse, build_warehouse, run_query
+from tradewind.operators.quality import run_checks
 from tradewind.plans import reports
-from tradewind.plans.marts import MARTS
+from tradewind.plans.checks import MART_CHECKS
+from tradewind.plans.marts import MARTS, ROLLUPS
 from tradewind.plans.staging import STAGING
 from tradewind.plans.warehouse import SourceCheckError
 from tradewind.sources.feed import FEED, OrdersFeed
 from tradewind.sources.tables import TABLES, CatalogSource, ParquetSource
+from tradewind.sources.versions import Versions
 
 
 def test_built_tables_equal_lazy_marts(small, built):
@@ -51,6 +54,74 @@ def test_rebuild_replaces_tables(spark, source, tmp_path):
         assert build.report.where("not passed and model = 'fact_sales'").count() == 0
 
 
+def test_readers_keep_their_version_until_it_is_removed(spark, source, tmp_path):
+    location = str(tmp_path)
+    orders = [source(**BASE, salesorderheader=[header(n) for n in range(count)],
+                     salesorderdetail=[line(n) for n in range(count)]) for count in (3, 2, 1)]
+    first = build_warehouse(spark, orders[0], location).version
+    reader = Warehouse.open(spark, location)
+    second = build_warehouse(spark, orders[1], location).version
+    assert reader.mart("fact_sales").count() == 3
+    assert Warehouse.open(spark, location).mart("fact_sales").count() == 2
+    assert Warehouse.open(spark, location, version=first).mart("fact_sales").count() == 3
+    versions = Versions(spark, location)
+    third = build_warehouse(spark, orders[2], location).version
+    assert [row.version for row in versions.published()] == [third, second, first]
+    assert versions.remove_old(keep=2) == [first]
+    assert [row.version for row in versions.published()] == [third, second]
+    assert not (tmp_path / first).exists() and (tmp_path / second).exists()
+    with pytest.raises(LookupError):
+        Warehouse.open(spark, location, version=first)
+    assert versions.remove_old() == [second]
+    assert Warehouse.open(spark, location).mart("fact_sales").count() == 1
+
+
+def test_readers_see_the_set_before_while_a_build_runs_or_fails(spark, source, tmp_path,
+                                                                monkeypatch):
+    location = str(tmp_path)
+    tables = source(**BASE, salesorderheader=[header(1)], salesorderdetail=[line(1)])
+    version = build_warehouse(spark, tables, location).version
+    seen = []
+
+    def broken(warehouse):
+        seen.append(Warehouse.open(spark, location).mart("fact_sales").count())
+        assert len([path for path in tmp_path.iterdir() if path.name != "manifest"]) == 2
+        raise RuntimeError("lost")
+
+    monkeypatch.setitem(ROLLUPS, "product_totals", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        build_warehouse(spark, tables, location)
+    assert seen == [1]
+    assert {path.name for path in tmp_path.iterdir()} == {"manifest", version}
+    assert Versions(spark, location).find().version == version
+
+
+def test_nothing_is_open_before_the_first_build(spark, tmp_path):
+    with pytest.raises(LookupError):
+        Warehouse.open(spark, str(tmp_path / "nowhere"))
+    assert Versions(spark, str(tmp_path / "nowhere")).published() == []
+
+
+def test_empty_tables_can_be_built(spark, source, tmp_path):
+    build = build_warehouse(spark, source(**BASE, salesorderheader=[], salesorderdetail=[]),
+                            str(tmp_path))
+    assert build.warehouse.mart("fact_sales").count() == 0
+    assert Warehouse.open(spark, str(tmp_path)).mart("order_totals").count() == 0
+
+
+def test_nulls_are_counted_while_writing(spark, source, tmp_path):
+    """The same counts as from a second scan, also for rows without an order date."""
+    tables = source(**BASE, salesorderheader=[header(1), header(2, orderdate=None)],
+                    salesorderdetail=[line(1), line(2), line(3)])
+    build = build_warehouse(spark, tables, str(tmp_path))
+    checks = {name: checks.only("not_null") for name, checks in MART_CHECKS.items()}
+    expected = run_checks(build.warehouse.mart, checks)
+    found = build.report.where("test = 'not_null'")
+    assert rows_of(found) == rows_of(expected)
+    assert found.where("column_name = 'orderdate'").first().failures == 2
+    assert "Scan parquet" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_repeated_source_key_stops_the_build(spark, source, tmp_path):
     tables = source(**(BASE | {"customer": BASE["customer"] * 2}))
     with pytest.raises(SourceCheckError, match=r"stg_customer.customerid \(unique\)"):
@@ -64,6 +135,14 @@ def test_catalog_tables(spark, source):
     build_warehouse(spark, tables, "catalog:sales_marts")
     assert spark.table("sales_marts.fact_sales").count() == 1
     assert Warehouse.open(spark, "catalog:sales_marts").mart("dim_products").count() == 1
+    more = source(**BASE, salesorderheader=[header(1), header(2)],
+                  salesorderdetail=[line(1), line(2)])
+    reader = Warehouse.open(spark, "catalog:sales_marts")
+    build_warehouse(spark, more, "catalog:sales_marts")
+    assert reader.mart("fact_sales").count() == 1
+    assert spark.table("sales_marts.fact_sales").count() == 2
+    assert len(Versions(spark, "catalog:sales_marts").remove_old()) == 1
+    assert Warehouse.open(spark, "catalog:sales_marts").mart("fact_sales").count() == 2
 
 
 def test_sources_from_folders_and_catalog(spark, source, tmp_path):

@@ -11,9 +11,10 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+
 @dataclass(frozen=True)
 class Reference:
     """Values of ``column`` must occur in ``parent_column`` of ``parent``."""
@@ -70,6 +71,32 @@ def not_null(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(columns), "column_name", "failures")
 
 
+class Observed:
+    """A frame that counts its NULLs while it is written or otherwise computed, once.
+
+    The counts are those of the tasks that make the result, so a repeated task counts once.
+    """
+
+    def __init__(self, rows: DataFrame, columns: Sequence[str]):
+        self.columns = tuple(columns)
+        self._observation = Observation()
+        self.frame = rows.observe(self._observation, *(
+            F.count_if(F.col(column).isNull()).alias(column) for column in columns))
+
+    def failures(self) -> dict[str, int]:
+        """NULLs by column; waits until the frame is computed."""
+        return {column: self._observation.get[column] for column in self.columns}
+
+
+def observed_report(spark: SparkSession, observed: Mapping[str, Observed]) -> DataFrame:
+    """The not-null part of a report, see :func:`run_checks`, from frames that were written."""
+    rows = [(name, column, "not_null", failures, failures == 0)
+            for name, counts in observed.items()
+            for column, failures in counts.failures().items()]
+    return spark.createDataFrame(rows, "model string, column_name string, test string, "
+                                       "failures bigint, passed boolean")
+
+
 def relationships(rows: DataFrame, references: Sequence[Reference],
                   parent: Callable[[str], DataFrame]) -> DataFrame:
     """(column_name, failures): how many rows hold a non-null value without a parent row."""

@@ -8,10 +8,18 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.operators.quality import run_checks
+from tradewind.functions.columns import month_start
+from tradewind.operators.quality import Observed, observed_report, run_checks
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS
 from tradewind.plans.marts import MARTS, ROLLUPS
 from tradewind.plans.staging import STAGING
+from tradewind.sources.versions import Versions
+
+# Written tables carry the month of this date, as MONTH. Those in PARTITIONED are laid out by it;
+# the calendar has it so that a condition on days prunes their partitions.
+DATES = {"fact_sales": "orderdate", "order_totals": "orderdate", "dim_dates": "metric_date"}
+PARTITIONED = ("fact_sales", "order_totals")
+MONTH = "order_month"
 
 
 class Warehouse:
@@ -31,10 +39,13 @@ class Warehouse:
         self._staged: dict[str, DataFrame] = {}
 
     @classmethod
-    def open(cls, spark: SparkSession, location: str, source=None) -> Warehouse:
-        """A warehouse built earlier, by folder or by catalog database (see ``table_name``)."""
-        return cls(spark, source, {name: _read(spark, location, name)
-                                   for name in (*MARTS, *ROLLUPS)})
+    def open(cls, spark: SparkSession, location: str, source=None,
+             version: str | None = None) -> Warehouse:
+        """A warehouse built earlier: its newest published version, or a named one.
+
+        It keeps to that version, whatever is built later.
+        """
+        return cls(spark, source, Versions(spark, location).open(version))
 
     def stg(self, name: str) -> DataFrame:
         schema, table, transform = STAGING[name]
@@ -46,9 +57,15 @@ class Warehouse:
 
     def mart(self, name: str) -> DataFrame:
         if name in self._tables:
-            return self._tables[name]
+            return self._tables[name].drop(MONTH)
         return (MARTS | ROLLUPS)[name](self)
 
+    def by_month(self, name: str) -> DataFrame:
+        """A table of ``DATES`` with the month of its date, which is stored if it is built."""
+        if MONTH in getattr(self._tables.get(name), "columns", ()):
+            return self._tables[name]
+        return self.mart(name).withColumn(MONTH, month_start(DATES[name]))
+
     def has(self, name: str) -> bool:
         """Whether the mart or rollup is built."""
         return name in self._tables
@@ -79,37 +96,30 @@ class SourceCheckError(RuntimeError):
 class Build:
     warehouse: Warehouse
     report: DataFrame
+    version: str
 
 
-CATALOG_PREFIX = "catalog:"
-
-
-def _write(frame: DataFrame, location: str, name: str) -> DataFrame:
-    """Replace a table and return it as written."""
-    writer = frame.write.mode("overwrite")
-    if location.startswith(CATALOG_PREFIX):
-        writer.saveAsTable(f"{location.removeprefix(CATALOG_PREFIX)}.{name}", format="parquet")
-    else:
-        writer.parquet(f"{location.rstrip('/')}/{name}")
-    return _read(frame.sparkSession, location, name)
-
-
-def _read(spark: SparkSession, location: str, name: str) -> DataFrame:
-    if location.startswith(CATALOG_PREFIX):
-        return spark.table(f"{location.removeprefix(CATALOG_PREFIX)}.{name}")
-    return spark.read.parquet(f"{location.rstrip('/')}/{name}")
+def _laid_out(name: str, frame: DataFrame) -> DataFrame:
+    """The frame as it is written; large months make several files, small ones share tasks."""
+    if name not in DATES:
+        return frame
+    dated = frame.withColumn(MONTH, month_start(DATES[name]))
+    return dated.hint("rebalance", MONTH) if name in PARTITIONED else dated
 
 
 def build_warehouse(spark: SparkSession, source, location: str, *,
                     check_sources: bool = True) -> Build:
-    """Write every mart, then check them.
-
-    ``location`` is a folder on shared storage, or ``catalog:<database>``. The source keys are
-    checked first, because the marts rely on them: repeated or missing keys stop the build.
-    The dimensions and the aggregate do not depend on each other and are written side by
-    side. The rollup per order follows and reads the written reasons, then ``fact_sales``,
-    which reads that rollup, then the rollup per product. ``report`` holds the checks on the
-    written tables; a failing one does not undo the build.
+    """Write every mart as a new version of the tables at ``location``, publish it and check it.
+
+    ``location`` is a folder on shared storage, or ``catalog:<database>``; see
+    :class:`Versions`. The source keys are checked first, because the marts rely on them: repeated
+    or missing keys stop the build. The dimensions and the aggregate do not depend on each other
+    and are written side by side. The rollup per order follows and reads the written reasons, then
+    ``fact_sales``, which reads that rollup, then the rollup per product. NULLs are counted while
+    the tables are written. Until all are, readers see the version before; a build that fails
+    leaves it in place and removes what it has written.
+
+    ``report`` holds the checks on the written tables; a failing one does not undo the build.
     """
     warehouse = Warehouse(spark, source)
     if check_sources:
@@ -118,19 +128,35 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
             names = ", ".join(f"{row.model}.{row.column_name} ({row.test})" for row in failed)
             raise SourceCheckError(f"source checks failed: {names}")
         warehouse.keys_checked = True
+    versions = Versions(spark, location)
+    version = versions.new()
+    observed: dict[str, Observed] = {}
 
     def write(name: str) -> DataFrame:
-        return _write(warehouse.mart(name), location, name)
-
-    independent = [name for name in MARTS if name != "fact_sales"]
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        frames = list(pool.map(inheritable_thread_target(spark)(write), independent))
-    written = dict(zip(independent, frames, strict=True))
-    for name in ("order_totals", "fact_sales", "product_totals"):
-        warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
-        written[name] = write(name)
+        frame = _laid_out(name, warehouse.mart(name))
+        checks = MART_CHECKS.get(name)
+        if checks and checks.not_null:
+            observed[name] = Observed(frame, checks.not_null)
+            frame = observed[name].frame
+        versions.write(frame, version, name, MONTH if name in PARTITIONED else None)
+        return versions.read(version, name, frame.schema)
+
+    try:
+        independent = [name for name in MARTS if name != "fact_sales"]
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            frames = list(pool.map(inheritable_thread_target(spark)(write), independent))
+        written = dict(zip(independent, frames, strict=True))
+        for name in ("order_totals", "fact_sales", "product_totals"):
+            warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
+            written[name] = write(name)
+        versions.publish(version, {name: frame.schema for name, frame in written.items()})
+    except BaseException:
+        versions.discard(version, [*MARTS, *ROLLUPS])
+        raise
     warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
-    return Build(warehouse, warehouse.check_marts())
+    others = {name: checks.only("unique", "references") for name, checks in MART_CHECKS.items()}
+    report = observed_report(spark, observed).unionByName(run_checks(warehouse.model, others))
+    return Build(warehouse, report, version)
 
 
 def run_query(spark: SparkSession, sql: str) -> DataFrame:
