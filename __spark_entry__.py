@@ -22,7 +22,13 @@ from tradewind.plans import models  # noqa: E402
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS  # noqa: E402
 from tradewind.plans.forecast import DemandForecast, forecast  # noqa: E402
 from tradewind.plans.marts import MARTS  # noqa: E402
-from tradewind.plans.reports import REPORTS, top_products  # noqa: E402
+from tradewind.plans.reports import (  # noqa: E402
+    REPORTS,
+    calendar_revenue,
+    monthly_revenue,
+    quarterly_revenue,
+    top_products,
+)
 from tradewind.plans.sales import monthly_sales  # noqa: E402
 from tradewind.plans.staging import STAGING  # noqa: E402
 from tradewind.plans.warehouse import Warehouse, build_warehouse, run_query  # noqa: E402
@@ -254,7 +260,15 @@ def _ranked(report: str, by: str, *ties: str) -> Callable[[Warehouse], DataFrame
         "place", F.row_number().over(Window.orderBy(by, *ties)))
 
 
+def _second_half(report: Callable[..., DataFrame], *options) -> Callable[[Warehouse], DataFrame]:
+    """A report on the second halves of years, by the calendar's columns."""
+    return lambda warehouse: report(warehouse, *options, days=F.col("semester") == 2)
+
+
 EXTRAS = {
+    "monthly_revenue_second_half": _second_half(monthly_revenue),
+    "quarterly_revenue_second_half": _second_half(quarterly_revenue),
+    "calendar_revenue_second_half": _second_half(calendar_revenue),
     "csv_series": _csv_series,
     "saved_model": _saved_model,
     "sql_query": _sql_query,

@@ -438,6 +438,12 @@ for _suffix in PANELS:
     }
 
 FILES = {
+    "monthly_revenue_second_half":
+        f"SELECT * FROM ({REPORTS['monthly_revenue']}) WHERE month(order_month) > 6",
+    "quarterly_revenue_second_half":
+        f"SELECT * FROM ({REPORTS['quarterly_revenue']}) WHERE quarter > 2",
+    "calendar_revenue_second_half":
+        f"SELECT * FROM ({REPORTS['calendar_revenue']}) WHERE month(order_month) > 6",
     "csv_series": """
         SELECT series_key, order_month, total_orders,
                CAST(round(total_revenue, 2) AS DOUBLE) AS total_revenue, total_qty,

@@ -28,6 +28,7 @@ def spark(tmp_path_factory):
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "4g")
                .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.maxMetadataStringLength", "500")  # whole paths in plans
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("catalog")))
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
                .getOrCreate())

@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from conftest import SMALL
+from conftest import SMALL, rows_of
 from test_marts import BASE, header, line
 from tradewind.plans import marts, reports
+from tradewind.plans.sales import monthly_sales
 from tradewind.plans.warehouse import Warehouse
 
 LAZY = [name for name in registry.oracle_sql() if name != "dq_report"]
@@ -53,7 +55,8 @@ def test_built_report_reads_few_columns(built):
     text = plan(reports.revenue_by_country(built))
     read = re.search(r"FileScan parquet \[([^\]]*)\]", text)[1]
     assert set(re.sub(r"#\d+L?", "", read).split(",")) == {
-        "salesorderid", "statussales", "totaldue", "countryregion_name", "line_count"}
+        "salesorderid", "statussales", "totaldue", "countryregion_name", "line_count",
+        "order_month"}  # the name of the partition, which no file holds
     pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text)[1]
     assert "In(statussales, [Cancelado,Rejeitado])" in pushed
     assert "IsNotNull(countryregion_name)" in pushed
@@ -74,6 +77,17 @@ def test_built_product_reports_read_the_product_rollup(report, built):
     assert "fact_sales" not in text and "product_totals" in text
 
 
+@pytest.mark.parametrize("report", [
+    reports.monthly_revenue, reports.quarterly_revenue, reports.calendar_revenue,
+    lambda warehouse, days: monthly_sales(warehouse, "product_name", days=days)])
+def test_conditions_on_days_prune_partitions(report, built, small):
+    days = (F.col("metric_year") == 1995) & (F.col("metric_quarter") == 2)
+    found = report(built, days=days)
+    filters = re.findall(r"PartitionFilters: \[([^\n]*)\], PushedFilters", plan(found))
+    assert any("dynamicpruning" in pruned and "order_month" in pruned for pruned in filters)
+    assert rows_of(found) == rows_of(report(small, days=days)) != []
+
+
 @pytest.fixture
 def no_broadcast(spark):
     settings = {

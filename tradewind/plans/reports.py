@@ -70,17 +70,21 @@ def countries_served(warehouse: Warehouse) -> DataFrame:
 
 # --- time -----------------------------------------------------------------------------
 
-def monthly_revenue(warehouse: Warehouse, grain: str = REVENUE_PER_LINE) -> DataFrame:
-    return (order_sales(warehouse, "orderdate")
+# Reports by time take a condition on the columns of dim_dates, ``days``; on built tables it prunes
+# the months that are read.
+
+def monthly_revenue(warehouse: Warehouse, grain: str = REVENUE_PER_LINE,
+                    days: Column | None = None) -> DataFrame:
+    return (order_sales(warehouse, "orderdate", days=days)
             .groupBy(month_start("orderdate").alias("order_month"))
             .agg(money(_revenue(grain)).alias("monthly_revenue"),
                  _order_count("monthly_orders"))
             .orderBy(F.col("order_month").asc_nulls_last()))
 
 
-def quarterly_revenue(warehouse: Warehouse) -> DataFrame:
+def quarterly_revenue(warehouse: Warehouse, days: Column | None = None) -> DataFrame:
     year, quarter = F.year("orderdate"), F.quarter("orderdate")
-    return (order_sales(warehouse, "orderdate")
+    return (order_sales(warehouse, "orderdate", days=days)
             .groupBy(year.alias("year"), quarter.alias("quarter"))
             .agg(money(_revenue(REVENUE_PER_LINE)).alias("quarterly_revenue"))
             .select("year", "quarter",
@@ -90,12 +94,13 @@ def quarterly_revenue(warehouse: Warehouse) -> DataFrame:
             .orderBy("year", "quarter"))
 
 
-def calendar_revenue(warehouse: Warehouse) -> DataFrame:
-    """Monthly revenue over the whole calendar, with zeros for months without sales."""
-    months = (warehouse.mart("dim_dates")
+def calendar_revenue(warehouse: Warehouse, days: Column | None = None) -> DataFrame:
+    """Monthly revenue over the calendar, with zeros for months without sales."""
+    calendar = warehouse.mart("dim_dates")
+    months = ((calendar if days is None else calendar.where(days))
               .select(month_start("metric_date").alias("order_month")).distinct())
     zero = F.lit(0).cast("decimal(38,2)")
-    return (months.join(monthly_revenue(warehouse), "order_month", "left")
+    return (months.join(monthly_revenue(warehouse, days=days), "order_month", "left")
             .select("order_month",
                     F.coalesce("monthly_revenue", zero).alias("monthly_revenue"),
                     F.coalesce("monthly_orders", F.lit(0)).alias("monthly_orders"))

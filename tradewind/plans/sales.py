@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import labels
 from tradewind.functions.columns import month_start
 from tradewind.plans import marts
-from tradewind.plans.warehouse import Warehouse
+from tradewind.plans.warehouse import MONTH, Warehouse
 
 
 def is_sale() -> Column:
@@ -28,22 +28,37 @@ def is_sale() -> Column:
 PRODUCT_COLUMNS = ("product_name", "productsubcategory_name", "productcategory_name")
 
 
+def within(warehouse: Warehouse, rows: DataFrame, days: Column | None) -> DataFrame:
+    """The rows whose ``orderdate`` is a day of the calendar that ``days`` holds for.
+
+    Rows and calendar meet on the month as well. Where the rows are a built table its partitions
+    are pruned by the months of those days.
+    """
+    if days is None:
+        return rows
+    calendar = warehouse.by_month("dim_dates").where(days).select(
+        F.col("metric_date").alias("orderdate"), MONTH)
+    return rows.join(calendar, ["orderdate", MONTH])
+
+
 def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
-                split_by: str | None = None) -> DataFrame:
+                split_by: str | None = None, days: Column | None = None) -> DataFrame:
     """One row per order that has lines, or per order and value of ``split_by``.
 
     Columns: ``salesorderid``, ``totaldue``, ``line_count``, ``quantity``, ``amount`` (paid for
     the lines) and the order-level fact columns named in ``columns``. A sum of an order value
     over lines is ``sum(value * line_count)``. ``sales_only`` drops cancelled, rejected and
-    unknown states. ``split_by`` is one of ``PRODUCT_COLUMNS``.
+    unknown states. ``split_by`` is one of ``PRODUCT_COLUMNS``. ``days`` is a condition on the
+    columns of ``dim_dates`` that the order date has to meet.
     """
-    wanted = tuple(dict.fromkeys((*columns, "totaldue", *(["statussales"] if sales_only else []))))
+    wanted = tuple(dict.fromkeys((*columns, "totaldue", *(["statussales"] if sales_only else []),
+                                  *([] if days is None else ["orderdate"]))))
     split = [split_by] if split_by else []
     condition = is_sale() if sales_only else None
     if warehouse.has("order_totals") and not split_by:
-        totals = _kept(warehouse.mart("order_totals"), condition)
+        totals = within(warehouse, _kept(warehouse.by_month("order_totals"), condition), days)
     elif warehouse.has("fact_sales"):
-        lines = _kept(warehouse.mart("fact_sales"), condition)
+        lines = within(warehouse, _kept(warehouse.by_month("fact_sales"), condition), days)
         if split_by:
             products = warehouse.mart("dim_products").select(
                 F.col("productsk").alias("productfk"), split_by)
@@ -52,6 +67,8 @@ def order_sales(warehouse: Warehouse, *columns: str, sales_only: bool = True,
                   .agg(*marts.line_totals(F.col("amountpaidproduct"))))
     else:
         totals = marts.order_totals(warehouse, wanted, condition=condition, split_by=split_by)
+        if days is not None:
+            totals = within(warehouse, totals.withColumn(MONTH, month_start("orderdate")), days)
     return totals.select("salesorderid", *dict.fromkeys((*columns, "totaldue")), *split,
                          "line_count", "quantity", "amount")
 
@@ -95,25 +112,27 @@ def person_types(warehouse: Warehouse) -> DataFrame:
 
 
 def monthly_sales(warehouse: Warehouse, series: str | None = None, *,
-                  customers: bool = True) -> DataFrame:
+                  customers: bool = True, days: Column | None = None) -> DataFrame:
     """Monthly totals of all orders within the calendar, cancelled ones included.
 
     ``series`` names an order-level fact column or one of ``PRODUCT_COLUMNS``; each of its
     values becomes a series. Without it there is one series, ``all``. ``customers=False``
-    leaves out ``unique_customers`` and the customer lookup.
+    leaves out ``unique_customers`` and the customer lookup. ``days`` narrows the calendar, see
+    :func:`order_sales`.
     """
     of_product = series in PRODUCT_COLUMNS
     key = F.lit("all") if series is None else F.col(series).cast("string")
     columns = ["orderdate", *(["customerfk"] if customers else []),
                *([series] if series and not of_product else [])]
     rows = order_sales(warehouse, *columns, sales_only=False,
-                       split_by=series if of_product else None)
+                       split_by=series if of_product else None, days=days)
     unique = [F.count_distinct("customerfk").alias("unique_customers")] if customers else []
-    days = warehouse.mart("dim_dates").select(F.col("metric_date").alias("orderdate"))
     revenue = F.sum(over_lines("totaldue"))
     lines = F.sum(F.when(F.col("totaldue").isNotNull(), F.col("line_count")))
-    return (rows.join(days, "orderdate")
-            .groupBy(key.alias("series_key"), month_start("orderdate").alias("order_month"))
+    if days is None:
+        calendar = warehouse.mart("dim_dates").select(F.col("metric_date").alias("orderdate"))
+        rows = rows.join(calendar, "orderdate")
+    return (rows.groupBy(key.alias("series_key"), month_start("orderdate").alias("order_month"))
             .agg(F.count("salesorderid").alias("total_orders"),
                  revenue.alias("total_revenue"),
                  F.sum("quantity").alias("total_qty"),

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,12 +36,18 @@ class Versions:
     # --- manifest ---------------------------------------------------------------------
 
     def _manifest(self) -> DataFrame | None:
-        try:
-            if self._database:
-                return self.spark.table(f"{self._database}.warehouse_versions")
-            return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self._folder}/manifest")
-        except AnalysisException:
+        if self._database:
+            name = f"{self._database}.warehouse_versions"
+            return self.spark.table(name) if self.spark.catalog.tableExists(name) else None
+        files, path = self._files("manifest")
+        if not files.exists(path):
             return None
+        return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self._folder}/manifest")
+
+    def _files(self, name: str):
+        """The file system of the folder, and a path in it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def published(self) -> list[Row]:
         """(number, version, at, tables) of the versions that can be opened, newest first."""
@@ -76,7 +81,7 @@ class Versions:
 
     def new(self) -> str:
         """A name for the version that a build writes."""
-        return f"v{uuid4().hex}"
+        return f"v{uuid4().hex[:12]}"  # writing fails if it is taken
 
     def _place(self, version: str, name: str) -> str:
         return (f"{self._database}.{name}__{version}" if self._database
@@ -119,8 +124,8 @@ class Versions:
             for name in names:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._place(version, name)}")
             return
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{version}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = self._files(version)
+        files.delete(path, True)
 
     def remove_old(self, keep: int = 1) -> list[str]:
         """Delete all published versions but the ``keep`` newest; returns their names.
