@@ -17,8 +17,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from oracle import sql as oracle  # noqa: E402
 from tradewind.functions.columns import money, plain_double  # noqa: E402
 from tradewind.operators import features, metrics, quality  # noqa: E402
-from tradewind.operators.lineage import checkpoint_folder  # noqa: E402
-from tradewind.plans import models  # noqa: E402
+from tradewind.operators.lineage import checkpoint_folder, written  # noqa: E402
+from tradewind.plans import linear, models  # noqa: E402
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS  # noqa: E402
 from tradewind.plans.forecast import DemandForecast, forecast  # noqa: E402
 from tradewind.plans.marts import MARTS  # noqa: E402
@@ -34,6 +34,7 @@ from tradewind.plans.staging import STAGING  # noqa: E402
 from tradewind.plans.warehouse import Warehouse, build_warehouse, run_query  # noqa: E402
 from tradewind.sources.feed import OrdersFeed  # noqa: E402
 from tradewind.sources.files import (  # noqa: E402
+    file_state,
     load_champion_model,
     read_monthly_csv,
     save_artifacts,
@@ -51,6 +52,8 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+FEED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
 
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return Warehouse(spark, OrdersFeed(spark, folder))
@@ -183,18 +186,28 @@ class TrainingRun:
     training: models.Training
 
 
-# One run per session and folder serves the five queries that read it: a run is hundreds of fits.
-_RUNS: dict[tuple[str, str], TrainingRun] = {}
+# One run per session, folder and state of its files serves the five queries that read it: a run
+# is hundreds of fits. The newest run of a folder is kept.
+_RUNS: dict[tuple[str, str], tuple[tuple, TrainingRun]] = {}
+
+
+def forget_training_runs() -> None:
+    """The next query that needs a training run makes a new one."""
+    _RUNS.clear()
+
+
+def _train(spark: SparkSession, folder: str) -> TrainingRun:
+    rows = DemandForecast.from_warehouse(_warehouse(spark, folder)).features()
+    return TrainingRun(rows, models.train_and_evaluate(rows, models.candidate_models()))
 
 
 def _trained(read: Callable[[TrainingRun], DataFrame]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, folder)
-        if key not in _RUNS:
-            rows = DemandForecast.from_warehouse(_warehouse(spark, folder)).features()
-            _RUNS[key] = TrainingRun(rows, models.train_and_evaluate(
-                rows, models.candidate_models()))
-        return read(_RUNS[key])
+        state = file_state(spark, [f"{folder}/{table}.parquet" for table in FEED_TABLES])
+        if key not in _RUNS or _RUNS[key][0] != state:
+            _RUNS[key] = (state, _train(spark, folder))
+        return read(_RUNS[key][1])
     return query
 
 
@@ -231,18 +244,85 @@ def _csv_series(warehouse: Warehouse) -> DataFrame:
                              "avg_order_value": plain_double(F.col("avg_order_value"), 4)})
 
 
-def _saved_model(warehouse: Warehouse) -> DataFrame:
-    """Predictions of a model that was saved with its reports and loaded again."""
-    spark, folder = warehouse.spark, _scratch(warehouse.spark, "artifacts")
-    rows = _features(warehouse)
+def _save_ridge(warehouse: Warehouse) -> tuple[str, DataFrame]:
+    """A folder with a ridge model, its metrics and fitted values, and the rows it was fitted on."""
+    folder = _scratch(warehouse.spark, "artifacts")
+    rows = _written_split(warehouse, None)
     model = models.candidate_models()["Ridge"](rows)
+    train, _ = models.split_rows(rows)
+    report = metrics.metrics_report(linear.linear_holdout(rows, RIDGE, by_series=False),
+                                    linear.linear_cv_scores(train, RIDGE, by_series=False))
     fitted = model.transform(rows).select("series_key", "order_month", "prediction")
-    save_artifacts(folder, model, fitted.limit(0), fitted)
-    loaded = load_champion_model(spark, folder).transform(rows)
+    save_artifacts(folder, model, report, fitted)
+    return folder, rows
+
+
+def _saved_model(warehouse: Warehouse) -> DataFrame:
+    """Predictions of a model that was saved with its reports and loaded again."""
+    folder, rows = _save_ridge(warehouse)
+    loaded = load_champion_model(warehouse.spark, folder).transform(rows)
     return loaded.select("series_key", "order_month",
                          plain_double(F.col("prediction"), 2).alias("prediction"))
 
 
+def _saved_metrics(warehouse: Warehouse) -> DataFrame:
+    """The metrics that were saved with a model, read back."""
+    folder, _ = _save_ridge(warehouse)
+    names = ("mae", "rmse", "mape", "r2", "cv_mae_mean", "cv_mae_std")
+    report = (warehouse.spark.read.option("header", True)
+              .schema("model string, " + ", ".join(f"{name} double" for name in names))
+              .csv(f"{folder}/model_metrics.csv"))
+    # Two digits, as saved; sums of squares of whole currency amounts leave no more certain.
+    return report.select("model", *(plain_double(F.col(name), 2).alias(name) for name in names))
+
+
+# --- linear models of all series at once --------------------------------------------------
+
+RIDGE = linear.linear_candidates()[1:]
+
+
+def _written_split(warehouse: Warehouse, series: str | None) -> DataFrame:
+    """The split rows, which a fit and what it predicts both read."""
+    return written(features.holdout_split(features.feature_set(
+        monthly_sales(warehouse, series, customers=False))))
+
+
+def _whole(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.withColumns({name: plain_double(F.col(name), 0) for name in names})
+
+
+def _ridge_cv(warehouse: Warehouse, series: str | None) -> DataFrame:
+    train, _ = models.split_rows(_written_split(warehouse, series))
+    scores = linear.linear_cv_scores(train, RIDGE)
+    return _whole(scores.select("series_key", "fold", "mae"), "mae")
+
+
+def _ridge_forecast(warehouse: Warehouse, series: str | None) -> DataFrame:
+    rows = _written_split(warehouse, series)
+    return _whole(linear.linear_forecast(linear.fit(rows, RIDGE), rows), "predicted_revenue")
+
+
+def _linear_champion(warehouse: Warehouse, series: str | None) -> DataFrame:
+    holdout = linear.linear_holdout(_written_split(warehouse, series),
+                                    linear.linear_candidates())
+    return linear.champions(holdout).select("series_key", "model")
+
+
+def _champion_forecast(warehouse: Warehouse, series: str | None) -> DataFrame:
+    rows = _written_split(warehouse, series)
+    best = linear.champion_models(rows, linear.linear_candidates())
+    return linear.linear_forecast(best, rows)
+
+
+LINEAR = {
+    f"{name}{suffix}": lambda warehouse, query=query, series=series: query(warehouse, series)
+    for name, query in (("ridge_cv_scores", _ridge_cv), ("ridge_forecast", _ridge_forecast),
+                        ("linear_champion", _linear_champion),
+                        ("champion_forecast", _champion_forecast))
+    for suffix, series in {"": None, **{f"_{name}": of for name, of in PANELS.items()}}.items()
+}
+
+
 DUE_BY_COUNTRY = """
     SELECT countryregion_name, COUNT(*) AS LINE_COUNT, COUNT(DISTINCT salesorderid) AS ORDER_COUNT
     FROM fact_sales GROUP BY countryregion_name"""
@@ -271,6 +351,7 @@ EXTRAS = {
     "calendar_revenue_second_half": _second_half(calendar_revenue),
     "csv_series": _csv_series,
     "saved_model": _saved_model,
+    "saved_metrics": _saved_metrics,
     "sql_query": _sql_query,
     "top_products_ascending": _ranked("top_products", "total_revenue", "product_name"),
     "revenue_by_country_ascending": _ranked("revenue_by_country", "total_revenue", "country"),
@@ -301,7 +382,7 @@ def core_queries() -> dict[str, Query]:
     return {
         **{name: _model(name) for name in (*STAGING, *MARTS)},
         **{name: _report(report) for name, report in (
-            REPORTS | FORECAST | _panel_queries() | EXTRAS).items()},
+            REPORTS | FORECAST | _panel_queries() | EXTRAS | LINEAR).items()},
         **{name: _trained(read) for name, read in TRAINED.items()},
         "dq_unique": _checks("unique"),
         "dq_not_null": _checks("not_null"),

@@ -312,23 +312,24 @@ VIEWS |= {
 }
 
 
-def _dated(source: str) -> str:
+def _dated(source: str, digits: int = 6) -> str:
     return f"""
         SELECT *, CAST(month(order_month) AS INT) AS month,
                CAST(quarter(order_month) AS INT) AS quarter,
                CAST(year(order_month) AS INT) AS year,
-               round(sin(2 * pi() * month(order_month) / 12), 6) + 0.0 AS month_sin,
-               round(cos(2 * pi() * month(order_month) / 12), 6) + 0.0 AS month_cos,
-               round(sin(2 * pi() * quarter(order_month) / 4), 6) + 0.0 AS quarter_sin,
-               round(cos(2 * pi() * quarter(order_month) / 4), 6) + 0.0 AS quarter_cos
+               round(sin(2 * pi() * month(order_month) / 12), {digits}) + 0.0 AS month_sin,
+               round(cos(2 * pi() * month(order_month) / 12), {digits}) + 0.0 AS month_cos,
+               round(sin(2 * pi() * quarter(order_month) / 4), {digits}) + 0.0 AS quarter_sin,
+               round(cos(2 * pi() * quarter(order_month) / 4), {digits}) + 0.0 AS quarter_cos
         FROM {source}"""
 
 
-def _lagged(source: str) -> str:
+def _lagged(source: str, digits: int | None = 4) -> str:
     lags = ", ".join(f"lag(revenue, {lag}) OVER o AS lag_{lag}" for lag in LAGS)
+    rounded = "{}" if digits is None else f"round({{}}, {digits})"
     rolling = ", ".join(
         f"CASE WHEN count(revenue) OVER w{size} = {size} THEN "
-        f"round({function}(revenue) OVER w{size}, 4) END AS rolling_{size}_{name}"
+        f"{rounded.format(f'{function}(revenue) OVER w{size}')} END AS rolling_{size}_{name}"
         for size in ROLLING for name, function in (("mean", "avg"), ("std", "stddev_samp")))
     windows = ", ".join(
         f"w{size} AS (PARTITION BY series_key ORDER BY order_month "
@@ -458,6 +459,136 @@ FILES = {
 }
 
 
+# --- linear models --------------------------------------------------------------------
+# Normal equations of standardised features, solved by elimination, one pivot per recursion.
+
+WIDTH = len(FEATURES)
+# What each candidate adds to the diagonal, from the number n of training rows.
+PENALTIES = {"LinearRegression (baseline)": "1e-10 * n", "Ridge": "10.0"}
+
+
+def _models(name: str, rows: str, penalty: str = PENALTIES["Ridge"]) -> dict[str, str]:
+    """Views of fits to ``rows``: (key, fold, place, training, x, y). The last, ``<name>_fit``, has
+    (key, fold, level, mean, sd, w)."""
+    return {
+        f"{name}_rows": rows,
+        f"{name}_long": f"""
+            SELECT key, fold, place, i, y, x[i] AS v
+            FROM {name}_rows, range(1, {WIDTH + 1}) AS _(i) WHERE training""",
+        f"{name}_stats": f"""
+            SELECT key, fold, i, avg(v) AS mean, CASE WHEN stddev_pop(v) > 1e-9
+                THEN stddev_pop(v) END AS sd, avg(y) AS level, count(*) AS n
+            FROM {name}_long GROUP BY ALL""",
+        f"{name}_unit": f"""
+            SELECT key, fold, place, i, coalesce((v - mean) / sd, 0) AS z, y - level AS z_y
+            FROM {name}_long JOIN {name}_stats USING (key, fold, i)""",
+        f"{name}_lines": f"""
+            SELECT key, fold, i, list_append(list(s ORDER BY j), any_value(s_y)) AS line
+            FROM (SELECT key, fold, a.i, b.i AS j, sum(a.z * a.z_y) AS s_y, sum(a.z * b.z)
+                      + CASE WHEN a.i = b.i THEN any_value({penalty}) ELSE 0 END AS s
+                  FROM {name}_unit a JOIN {name}_unit b USING (key, fold, place)
+                  JOIN (SELECT DISTINCT key, fold, n FROM {name}_stats) USING (key, fold)
+                  GROUP BY key, fold, a.i, b.i)
+            GROUP BY ALL""",
+        f"{name}_steps": f"""
+            SELECT key, fold, 1 AS k, list(line ORDER BY i) AS m FROM {name}_lines
+            GROUP BY key, fold
+            UNION ALL
+            SELECT key, fold, k + 1, list_transform(m, lambda line, i: CASE WHEN i = k
+                THEN list_transform(line, lambda v: v / m[k][k])
+                ELSE list_transform(line, lambda v, j: v - line[k] * m[k][j] / m[k][k]) END)
+            FROM {name}_steps WHERE k <= {WIDTH}""",
+        f"{name}_fit": f"""
+            SELECT key, fold, any_value(level) AS level, list(mean ORDER BY i) AS mean,
+                list(sd ORDER BY i) AS sd, any_value(list_transform(m, lambda line:
+                    line[{WIDTH + 1}])) AS w
+            FROM {name}_stats JOIN {name}_steps USING (key, fold) WHERE k = {WIDTH + 1}
+            GROUP BY key, fold""",
+    }
+
+
+def _predicted(x: str) -> str:
+    return (f"level + list_sum(list_transform(range(1, {WIDTH + 1}), lambda i: "
+            f"coalesce(w[i] * ({x}[i] - mean[i]) / sd[i], 0.0)))")
+
+
+SERIES = {"": ("'all'", ""), **{f"_{name}": of for name, of in PANELS.items()}}
+LINEAR: dict[str, str] = {}
+
+for _suffix, (_series, _joins) in SERIES.items():
+    _whole = f"whole{_suffix or '_all'}"
+    VIEWS[_whole] = f"""
+        SELECT coalesce(series_key, '(none)') AS key, order_month, trend,
+               CAST(total_revenue AS DOUBLE) AS y,
+               [{', '.join(f'CAST({name} AS DOUBLE)' for name in FEATURES)}] AS x,
+               row_number() OVER (PARTITION BY series_key ORDER BY order_month) - 1 AS place,
+               CAST(floor(count(*) OVER (PARTITION BY series_key) * 0.8) AS BIGINT) AS size
+        FROM ({_lagged(f"({_dated(f'({_monthly(_series, _joins)})', 12)})", None)})
+        WHERE lag_12 IS NOT NULL"""
+    _start = "size - (5 - fold) * (size // 6)"
+    VIEWS |= _models(f"folds{_suffix or '_all'}", f"""
+        SELECT key, fold, place, place < {_start} AS training, x, y
+        FROM {_whole}, range(5) AS _(fold)
+        WHERE size // 6 > 0 AND place < {_start} + size // 6""")
+    VIEWS |= _models(f"final{_suffix or '_all'}",
+                     f"SELECT key, 0 AS fold, place, true AS training, x, y FROM {_whole}")
+    LINEAR[f"ridge_cv_scores{_suffix}"] = f"""
+        SELECT nullif(key, '(none)') AS series_key, CAST(fold AS INT) AS fold,
+               round(avg(abs(y - ({_predicted('x')}))), 0) AS mae
+        FROM folds{_suffix or '_all'}_rows JOIN folds{_suffix or '_all'}_fit USING (key, fold)
+        WHERE NOT training GROUP BY ALL"""
+    _next = ("[month(m), quarter(m), year(m), round(sin(2 * pi() * month(m) / 12), 12), "
+             "round(cos(2 * pi() * month(m) / 12), 12), "
+             "round(sin(2 * pi() * quarter(m) / 4), 12), "
+             "round(cos(2 * pi() * quarter(m) / 4), 12), trend, "
+             + ", ".join(f"h[-{lag}]" for lag in LAGS) + ", "
+             + ", ".join(f"list_aggregate(h[-{size}:], '{name}')"
+                         for name in ("avg", "stddev_samp") for size in ROLLING) + "]")
+    VIEWS[f"future{_suffix or '_all'}"] = f"""
+        SELECT key, 0 AS step, max(order_month) AS m, max(trend) AS trend,
+               list(y ORDER BY order_month) AS h FROM {_whole} GROUP BY key
+        UNION ALL
+        SELECT key, step + 1, m, trend, list_append(h, greatest({_predicted('x')}, 0)) FROM (
+            SELECT key, step, m, trend, h, level, mean, sd, w, {_next} AS x
+            FROM (SELECT key, step, CAST(m + INTERVAL 1 MONTH AS DATE) AS m, trend + 1 AS trend, h
+                  FROM future{_suffix or '_all'} WHERE step < 6)
+            JOIN final{_suffix or '_all'}_fit USING (key))"""
+    LINEAR[f"ridge_forecast{_suffix}"] = f"""
+        SELECT nullif(key, '(none)') AS series_key, m AS order_month,
+               round(h[-1], 0) AS predicted_revenue
+        FROM future{_suffix or '_all'} WHERE step > 0"""
+    for _number, (_model, _penalty) in enumerate(PENALTIES.items()):
+        VIEWS |= _models(f"held{_suffix or '_all'}_{_number}", f"""
+            SELECT key, 0 AS fold, place, place < size AS training, x, y FROM {_whole}""",
+            _penalty)
+    _errors = " UNION ALL ".join(f"""
+        SELECT key, '{_model}' AS model, {_number} AS rank, avg(abs(y - ({_predicted('x')}))) AS mae
+        FROM held{_suffix or '_all'}_{_number}_rows JOIN held{_suffix or '_all'}_{_number}_fit
+            USING (key, fold) WHERE NOT training GROUP BY key"""
+        for _number, _model in enumerate(PENALTIES))
+    LINEAR[f"linear_champion{_suffix}"] = f"""
+        SELECT nullif(key, '(none)') AS series_key, arg_min(model, (mae, rank)) AS model
+        FROM ({_errors}) GROUP BY key"""
+
+LINEAR["saved_metrics"] = f"""
+    SELECT 'Ridge' AS model, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(mape, 2) AS mape,
+           round(r2, 2) AS r2, round(cv_mae_mean, 2) AS cv_mae_mean,
+           round(cv_mae_std, 2) AS cv_mae_std
+    FROM (SELECT avg(abs(y - p)) AS mae, sqrt(avg((y - p) ** 2)) AS rmse,
+                 avg(abs((y - p) / y)) FILTER (WHERE y <> 0) * 100 AS mape,
+                 round(1 - sum((y - p) ** 2) / (var_pop(y) * count(y)), 4) AS r2
+          FROM (SELECT y, {_predicted('x')} AS p
+                FROM held_all_1_rows JOIN held_all_1_fit USING (key, fold) WHERE NOT training)),
+         (SELECT avg(mae) AS cv_mae_mean, stddev_pop(mae) AS cv_mae_std
+          FROM (SELECT fold, avg(abs(y - ({_predicted('x')}))) AS mae
+                FROM folds_all_rows JOIN folds_all_fit USING (key, fold)
+                WHERE NOT training GROUP BY fold))"""
+
+LINEAR["saved_model"] = f"""
+    SELECT key AS series_key, order_month, round({_predicted('x')}, 2) AS prediction
+    FROM whole_all JOIN final_all_fit USING (key)"""
+
+
 # --- data checks ----------------------------------------------------------------------
 
 def _unique(model: str, column: str) -> str:
@@ -502,15 +633,16 @@ def compose(query: str) -> str:
 
     def visit(sql: str) -> None:
         for name in re.findall(r"\b[a-z]+_\w+\b", sql):
-            if name in VIEWS and name not in needed:
+            if name in VIEWS and name not in needed and VIEWS[name] is not sql:
                 visit(VIEWS[name])
                 needed[name] = None
 
     visit(query)
     views = ", ".join(f"{name} AS ({VIEWS[name]})" for name in needed)
-    return f"WITH {views} {query}" if views else query
+    return f"WITH RECURSIVE {views} {query}" if views else query
 
 
 def oracle_sql() -> dict[str, str]:
     plain = {name: f"SELECT * FROM {name}" for name in (*STAGING, *MART_CHECKS)}
-    return {name: compose(sql) for name, sql in (plain | REPORTS | CHECKS | FORECAST | FILES).items()}
+    return {name: compose(sql) for name, sql in (
+        plain | REPORTS | CHECKS | FORECAST | FILES | LINEAR).items()}

@@ -16,7 +16,7 @@ def test_every_comparison_belongs_to_a_query():
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == {
         "cv_scores", "model_metrics", "champion", "feature_importance", "forecast",
-        "saved_model"}
+        "champion_forecast", "champion_forecast_by_country", "champion_forecast_by_category"}
 
 
 @pytest.mark.parametrize("name", ORACLE)
@@ -35,3 +35,18 @@ def test_matches_sql(name, spark, sql):
 
 def test_entry(spark):
     assert registry.entry(spark).count() == 10
+
+
+def test_a_changed_table_makes_a_new_training_run(spark, tmp_path, monkeypatch):
+    runs = []
+    monkeypatch.setattr(registry, "_train", lambda *_: runs.append(1) or len(runs))
+    monkeypatch.setattr(registry, "_RUNS", {})
+    folder = f"{tmp_path}/tables"
+    for table in registry.FEED_TABLES:
+        spark.range(1).write.parquet(f"{folder}/{table}.parquet")
+    query = registry._trained(lambda run: run)
+    assert [query(spark, folder), query(spark, folder)] == [1, 1]
+    spark.range(2).write.mode("append").parquet(f"{folder}/orders.parquet")
+    assert [query(spark, folder), query(spark, folder)] == [2, 2]
+    registry.forget_training_runs()
+    assert query(spark, folder) == 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,21 @@ def read_monthly_csv(spark: SparkSession, path: str) -> DataFrame:
     return typed if "series_key" in rows.columns else typed.withColumn("series_key", F.lit("all"))
 
 
+def file_state(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """Name, size and time of change of every file below the paths, on any file system.
+
+    Two equal states mean that nothing was written in between.
+    """
+    found = []
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def _write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)
 
