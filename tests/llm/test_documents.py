@@ -282,6 +282,70 @@ def test_language_stage_rejects_unknown_languages(spark):
     assert left == {*range(150), 200, 201, 203}
 
 
+def invented(seed, count):
+    """Prose of a language with syllables of its own, all of Latin letters."""
+    rng = random.Random(seed)
+    syllables = ["".join(rng.choice("bcdfghklmnprstvwz") + rng.choice("aeiouäéíõ")
+                         for _ in range(rng.randint(1, 2))) for _ in range(40)]
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(300)]
+    return [" ".join(rng.choice(words) for _ in range(rng.randint(40, 120))) for _ in range(count)]
+
+
+def test_language_stage_keeps_small_languages(spark):
+    rows, sizes = [], (5, 20, 100, 500)
+    for number, size in enumerate(sizes):
+        rows += [(len(rows) + i, text, f"l{number}")
+                 for i, text in enumerate(invented(number, size))]
+    unknown = [(10_000 + i, "日本語の文章です" * (i + 1), None) for i in range(5)]
+    frame = spark.createDataFrame(rows + unknown, "doc_id bigint, text string, lang string")
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, frame, SMALL).collect()}
+    assert left == {row[0] for row in rows}
+
+
+@pytest.mark.parametrize("folder", [SMALL, MEDIUM])
+def test_language_stage_keeps_good_documents(spark, folder):
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    good = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet")
+            .where("quality = 1").collect()}
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, documents, folder).collect()}
+    assert good <= left
+
+
+CLASHING = ("id", "digest", "unknown", "score", "fit", "known", "lang_pred", "languages", "least",
+            "_key", "_found", "_place", "_c1", "_k0", "sequence_id", "offset", "key", "bits",
+            "component_id", "kept", "length", "piece", "a.b", "__text")
+
+
+@pytest.mark.parametrize("place", range(len(corpus_pipeline.STAGES)))
+def test_stages_with_clashing_columns(spark, place):
+    texts = made_up(40)
+    rows = [(i, text, "en", "a", len(text)) for i, text in enumerate([*texts, *texts[:3]])]
+    frame = spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    more = frame.withColumns({name: F.concat(F.lit(f"{name} "), F.col("doc_id"))
+                              for name in CLASHING})
+    _, stage = corpus_pipeline.STAGES[place]
+    found, plain = stage(spark, more, SMALL), stage(spark, frame, SMALL)
+    if place < len(corpus_pipeline.STAGES) - 1:
+        assert found.columns == more.columns
+        for row in found.collect():
+            assert all(row[name] == f"{name} {row.doc_id}" for name in CLASHING)
+    assert sorted(map(tuple, found.select(*map(tick, plain.columns)).collect())) == sorted(
+        map(tuple, plain.collect()))
+
+
+def tick(name):
+    return f"`{name}`"
+
+
+def test_one_of_equal_documents_stays_whatever_the_order(spark):
+    rows = [(1, "one two three four", source, n) for source, n in (("b", 1), ("a", 2), ("a", 1))]
+    for part in (rows, rows[::-1]):
+        frame = spark.createDataFrame(part, "doc_id bigint, text string, source string, n int")
+        left = corpus_pipeline.simhash_dedup(spark, frame, SMALL).collect()
+        assert [tuple(row) for row in left] == [(1, "one two three four", "a", 1)]
+
+
 def test_stages_of_odd_rows(spark, tmp_path):
     texts = made_up(80)
     rows = [(i, text, "en", "a", len(text)) for i, text in enumerate(texts)]

@@ -23,7 +23,9 @@ from tradewind.llm.vocabulary import (
 )
 
 ODD = [None, "", " ", "  ", "a  b", "a   b \n\n  c\t d", "foo.\n bar  ", "  lead", "-", "- -",
-       "x\xa0 y z 　 z", "'s't  're", "<|endoftext|> hi", "a" * 5000, "ab" * 3000,
+       "x\xa0 y z 　 z", "'s't  're", "<|endoftext|> hi", "hello <|endoftext|> world",
+       "a  <|endoftext|>  b<|endoftext|>c <|endoftext|>", "x\n y\n\n z \n w \n", "t \t", "a \n b  ",
+       "a\n  b", " a", "a\x1c b\x85 c\xa0 d", "a" * 5000, "ab" * 3000,
        "\x1c \x1d x \x85 ", "日本語 テスト 12３４½ \U0001f600 é", " \n", "\n ", "᠎ ​"]
 
 
@@ -40,9 +42,7 @@ def library(ranks):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(BYTE_BPE_JSON)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(BYTE_BPE_JSON)
 
 
 def every_character():
@@ -80,15 +80,22 @@ def test_perfect_hash_is_minimal():
 def test_memo_drops_old_keys():
     asked = []
 
+    def value(key):
+        return key.encode().ljust(4 * (len(key) // 4 + 1))
+
     def compute(keys):
         asked.extend(keys)
-        return [key.encode() for key in keys]
+        return [value(key) for key in keys]
     memo = chunks.Memo(compute, size=3)
     for i in range(40):
-        found = memo.covering([["hot", f"k{i}", "long" * 50]])
-        assert found["hot"] == b"hot" and found[f"k{i}"] == f"k{i}".encode()
+        found = memo.joined([["hot", f"k{i}", "long" * 50, "hot"], [], [f"k{i}"]])
+        assert found == [value("hot") + value(f"k{i}") + value("long" * 50) + value("hot"), b"",
+                         value(f"k{i}")]
         assert len(memo._young) <= 7
     assert asked.count("hot") == 1
+    assert memo.joined([]) == [] and memo.joined([[], []]) == [b"", b""]
+    memo.clear()
+    assert memo.joined([["hot"]]) == [value("hot")] and asked.count("hot") == 2
 
 
 def test_encode_and_decode_frames(spark, library):

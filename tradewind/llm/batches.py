@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 # Characters of text that one call of a kernel sees, unless one text alone is longer.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 SLICE_ROWS = 4_000
 # Rows, of about 1 KB at most, that a join may broadcast.
 BROADCAST_ROWS = 10_000
@@ -40,15 +40,18 @@ def arrow_schema(schema: str) -> pa.Schema:
 
 def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
               kernel: Callable[[list[str], dict[str, list]], dict[str, list]],
-              schema: str) -> DataFrame:
+              schema: str, passed: list[Column] | None = None) -> DataFrame:
     """``kernel(texts, kept columns)`` over slices of at most SLICE_CHARS characters.
 
+    The columns of ``passed`` come first in the result, as they are; the kernel doesn't see them.
+
     Only the text and the columns of ``keep`` are read, so other columns of ``rows`` may have
     any names. A NULL text reaches the kernel as None.
     """
     text = F.col(text) if isinstance(text, str) else text
-    inner = rows.select(*keep, text.cast("string").alias("__text"))
-    target = arrow_schema(schema)
+    passed = passed or []
+    inner = rows.select(*passed, *keep, text.cast("string").alias("__text"))
+    target, ahead = arrow_schema(schema), len(passed)
     importable(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,10 +65,13 @@ def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
                 end = min(max(end, start + 1), start + SLICE_ROWS, batch.num_rows)
                 part = batch.slice(start, end - start)
                 kept = {name: part.column(i).to_pylist()
-                        for i, name in enumerate(part.schema.names[:-1])}
+                        for i, name in enumerate(part.schema.names[:-1]) if i >= ahead}
                 out = kernel(part.column(part.num_columns - 1).to_pylist(), kept)
+                out = {target.names[i]: part.column(i).cast(target.field(i).type)
+                       for i in range(ahead)} | out
                 yield pa.RecordBatch.from_pydict(out, schema=target)
                 start = end
+        pa.default_memory_pool().release_unused()  # a worker serves other tasks after this one
 
     return inner.mapInArrow(run, schema)
 

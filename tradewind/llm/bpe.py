@@ -128,9 +128,7 @@ class ByteBPE:
         self.encode = ChunkEncoder(self._encode_chunks)
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        split = [self._split(chunk) for chunk in chunks]
-        find = self._memo.covering(split).__getitem__
-        return [b"".join(map(find, tokens)) for tokens in split]
+        return self._memo.joined([self._split(chunk) for chunk in chunks])
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Packed ids of pre-tokens: the hash first, the heap for the rest."""

@@ -8,6 +8,12 @@ Bayesian information criterion, times PENALTY). The set grows and shrinks by one
 while that raises the penalised likelihood. The language of the document is the one with the
 largest proportion in the chosen set.
 
+Whether a text is in any known language, one more component tells: a background that holds every
+bucket equally likely. ``known`` is the proportion of the words that the chosen mixture has when it
+shares them with the background. It is a property of the text and the models; where there is little
+training text the models come close to the background, but a word of theirs stays above it and one
+of unseen trigrams below.
+
 Every label is learned, from a sample of its documents by a hash of their id where there are 2 *
 TRAINING_ROWS or more. A model has an entry per bucket seen, BUCKETS at most.
 Only text and label of training rows are learned from; a prediction sees the text alone.
@@ -17,6 +23,7 @@ Text that is NULL or has no letter is ``und`` with score 0. Without training row
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections import defaultdict
 from functools import cache
@@ -26,7 +33,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.batches import map_texts
-from tradewind.operators.lineage import written
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -34,11 +40,9 @@ TRAINING_ROWS = 10_000
 SMOOTHING = 0.5
 REFIT_STEPS = 8
 PENALTY = 2.0
-FIT_SPREADS = 6.0
-MIN_SPREAD = 0.1
-MIN_JUDGED = 20
+KNOWN_STEPS = 50
 WORD_LETTERS = 24  # longer runs of letters, as in scripts without spaces, count as several words
-_CELLS = 4_000_000  # words times languages worked on at once
+_CELLS = 1_000_000  # words times languages worked on at once
 _DENSE_CELLS = 200 * BUCKETS  # up to which a worker holds all models as one table
 
 
@@ -221,21 +225,35 @@ def mixtures(scores: np.ndarray, words: np.ndarray) -> np.ndarray:
     return chosen
 
 
+def _known(languages: np.ndarray, background: np.ndarray) -> float:
+    """Proportion of the words in the languages, by expectation-maximisation.
+
+    The arguments are log-likelihoods of each word.
+    """
+    odds = np.exp(np.clip(languages - background, -60, 60))
+    share = 0.5
+    for _ in range(KNOWN_STEPS):
+        before, share = share, float((share * odds / (share * odds + 1 - share)).mean())
+        if abs(share - before) < 1e-6 or share in (0.0, 1.0):
+            break
+    return share
+
+
 def _predictions(texts: list[str | None], models: Models | None) -> dict[str, list]:
     out = {"lang_pred": [UNDETERMINED] * len(texts), "score": [0.0] * len(texts),
-           "languages": [[] for _ in texts], "fit": [None] * len(texts)}
+           "languages": [[] for _ in texts], "known": [0.0] * len(texts)}
     if models is None:
         return out
     count = len(models.languages)
-    batch: list[tuple[int, np.ndarray, int]] = []  # (document, word scores, trigrams)
+    batch: list[tuple[int, np.ndarray, np.ndarray]] = []  # (document, word scores, word sizes)
 
     def settle():
         words = np.array([len(scores) for _, scores, _ in batch])
         shares = mixtures(np.concatenate([scores for _, scores, _ in batch]), words)
-        for (at, scores, size), share, number in zip(batch, shares, words, strict=True):
+        for (at, scores, sizes), share, number in zip(batch, shares, words, strict=True):
             held = np.flatnonzero(share > 0)
-            likely = scores[:, held] + np.log(share[held])
-            out["fit"][at] = float(np.logaddexp.reduce(likely, axis=1).sum() / size)
+            likely = np.logaddexp.reduce(scores[:, held] + np.log(share[held]), axis=1)
+            out["known"][at] = _known(likely, -math.log(BUCKETS) * sizes)
             best = int(share.argmax())
             out["lang_pred"][at] = models.languages[best]
             # as if half a word of each language had been seen besides
@@ -254,7 +272,7 @@ def _predictions(texts: list[str | None], models: Models | None) -> dict[str, li
             np.add.reduceat(models.logs(buckets[starts[i]:_end(starts, i, len(buckets))]),
                             starts[i:i + _STEP] - starts[i], axis=0)
             for i in range(0, len(starts), _STEP)])
-        batch.append((at, scores, len(buckets)))
+        batch.append((at, scores, np.diff(np.r_[starts, len(buckets)])))
         held += scores.size
         if held > _CELLS:
             settle()
@@ -273,35 +291,15 @@ def _end(starts: np.ndarray, at: int, size: int) -> int:
 
 def predict(rows: DataFrame, models: Models | None, text: str = "text",
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, lang_pred, score, languages (lang and share of each in the mixture) and fit,
-    the mean log-likelihood of a trigram in the mixture; NULL if undetermined."""
+    """The kept columns, lang_pred, score, languages (lang and share of each in the mixture) and
+    known, the proportion of words that the languages explain better than the background."""
     shipped = rows.sparkSession.sparkContext.broadcast(models)
     kinds = dict(rows.dtypes)
     names = [f"_k{i}" for i in range(len(keep))]
     schema = ", ".join([*(f"{new} {kinds[name]}" for new, name in zip(names, keep, strict=True)),
                         "lang_pred string, score double",
-                        "languages array<struct<lang: string, share: double>>, fit double"])
+                        "languages array<struct<lang: string, share: double>>, known double"])
     found = map_texts(
-        rows, text, [F.col(name).alias(new) for new, name in zip(names, keep, strict=True)],
-        lambda texts, kept: kept | _predictions(texts, shipped.value), schema)
+        rows, text, [], lambda texts, _: _predictions(texts, shipped.value), schema,
+        passed=[F.col(f"`{name}`").alias(new) for new, name in zip(names, keep, strict=True)])
     return found.withColumnsRenamed(dict(zip(names, keep, strict=True)))
-
-
-def least_fits(judged: DataFrame) -> DataFrame:
-    """(lang, least): the least fit of prose of each language, and of any with lang NULL.
-
-    ``judged`` are predictions of labelled rows: the bound lies FIT_SPREADS robust standard
-    deviations, of MIN_SPREAD at least, under their median. Languages with fewer than MIN_JUDGED
-    rows have none of their own.
-    """
-    fits = written(judged.where("fit IS NOT NULL").select(F.col("lang_pred").alias("lang"), "fit"))
-    fits = fits.unionByName(fits.withColumn("lang", F.lit(None).cast("string")))
-    middle = written(fits.groupBy("lang").agg(F.percentile_approx("fit", 0.5, 1000).alias("middle"),
-                                              F.count(F.lit(1)).alias("n"))
-                     .where(F.col("lang").isNull() | (F.col("n") >= MIN_JUDGED)))
-    apart = fits.withColumnRenamed("lang", "_lang").join(
-        F.broadcast(middle), F.col("_lang").eqNullSafe(F.col("lang")))
-    spread = 1.4826 * F.percentile_approx(F.abs(F.col("fit") - F.col("middle")), 0.5, 1000)
-    return apart.groupBy("lang", "middle").agg(spread.alias("spread")).select(
-        "lang", (F.col("middle") - FIT_SPREADS * F.greatest("spread", F.lit(MIN_SPREAD)))
-        .alias("least"))

@@ -41,7 +41,7 @@ CAPACITY = 1024
 END_TOKEN = 2
 SPACE = "\u0120"  # how the vocabulary writes a space
 CHUNKS_AT_ONCE = 2_000  # an encoding holds far more than the ids
-MEMO_KEYS = 400_000  # chunks and their ids, some 80 MB per worker, up to twice over
+MEMO_KEYS = 300_000  # chunks and their ids, some 60 MB per worker, up to twice over
 # Pieces of one length are ranked in groups of about this size, each a window of its own.
 ROWS_PER_RANKING = 200_000
 
@@ -49,12 +49,12 @@ _READY: dict[str, ChunkEncoder] = {}
 
 
 def _encoder(content: bytes) -> ChunkEncoder:
-    """Ids by the tokenizers library; strings of special tokens in a text are ordinary text."""
+    """Ids by the tokenizers library as it stands: strings of special tokens in a text are those
+    tokens. They hold no white space, so that no cut parts them."""
     key = hashlib.sha256(content).hexdigest()
     if key not in _READY:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         tokenizer = Tokenizer.from_str(content.decode())
-        tokenizer.encode_special_tokens = True
         _READY.clear()
 
         vocabulary = tokenizer.get_vocab()
@@ -219,10 +219,12 @@ def _ranked(pieces: DataFrame, counts: dict[int, int], order: list[str]) -> Data
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The columns of ``pieces`` (among them ``length``), ``sequence_id`` and ``offset``.
+    """The columns of ``pieces`` (among them ``length``), ``sequence_id`` and ``offset``; columns
+    that have these two names already are replaced.
 
     Sequences hold at most ``capacity``, and their pieces follow one another without gaps.
     """
+    pieces = pieces.drop("sequence_id", "offset", "_group", "_size", "_own", "_rank")
     pieces = written(pieces)  # tokenizing once: for the counts and for the places
     counts = {row.length: row.n for row in pieces.groupBy("length").agg(
         F.count(F.lit(1)).alias("n")).where(F.col("length").between(1, capacity)).collect()}

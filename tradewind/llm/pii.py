@@ -277,9 +277,13 @@ def mask(rows: DataFrame, text: str = "text", length: str | None = "n_chars") ->
             for value, added in zip(texts, more, strict=True)], dtype=object)
 
     # Few texts hold spans found by context; the base spans are cheaper to find again than to join.
-    done = (join_small(rows, found, _text_key(text) == F.col("_key"), "left")
-            .withColumn(text, masked(F.col(text), F.col("_found"))))
-    if length in rows.columns:
-        done = done.withColumn(length, F.when(F.col(text).isNotNull(), F.char_length(text))
-                               .otherwise(F.col(length)).cast(dict(rows.dtypes)[length]))
-    return done.select(*rows.columns)
+    # Columns get names of their own, so that theirs can't clash with those of the spans.
+    own = {name: f"_c{i}" for i, name in enumerate(rows.columns)}
+    inner = rows.toDF(*own.values())
+    done = (join_small(inner, found, _text_key(own[text]) == F.col("_key"), "left")
+            .withColumn(own[text], masked(F.col(own[text]), F.col("_found"))))
+    if length in own:
+        done = done.withColumn(own[length], F.when(
+            F.col(own[text]).isNotNull(), F.char_length(own[text])).otherwise(
+            F.col(own[length])).cast(dict(rows.dtypes)[length]))
+    return done.select(*(F.col(new).alias(name) for name, new in own.items()))

@@ -116,17 +116,16 @@ def statistics(rows: DataFrame, text: str = "text", keep: tuple[str, ...] = ())
     kinds = dict(rows.dtypes)
     names = [f"_k{i}" for i in range(len(keep))]
 
-    def kernel(texts, kept):
+    def kernel(texts, _):
         found = [counts(value) for value in texts]
-        return kept | {name: [one[name] for one in found] for name in COUNTS}
+        return {name: [one[name] for one in found] for name in COUNTS}
 
     schema = ", ".join([*(f"{new} {kinds[name]}" for new, name in zip(names, keep, strict=True)),
                         *(f"{name} bigint" for name in COUNTS)])
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return map_texts(rows, text, [F.col(name).alias(new)
-                                  for new, name in zip(names, keep, strict=True)],
-                     kernel, schema).withColumn("base_failed", failed)
+    passed = [F.col(f"`{name}`").alias(new) for new, name in zip(names, keep, strict=True)]
+    return map_texts(rows, text, [], kernel, schema, passed).withColumn("base_failed", failed)
 
 
 # --- robust outliers -------------------------------------------------------------------
