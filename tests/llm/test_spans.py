@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -116,6 +119,34 @@ def brute_decode(field, numbers):
     return max(product(range(3), repeat=len(numbers)), key=value)
 
 
+def plain_own_names(token):
+    shape = re.sub("[0-9]+", "9", re.sub("[A-Z]+", "A", re.sub("[a-z]+", "a", token)))
+    size, counts = len(token), Counter(token)
+    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
+    digits = sum(counts[d] for d in "0123456789")
+    return ["bias", f"shape {shape[:8]}", f"changes {min(8, len(shape) // 3)}",
+            f"size {min(10, size // 4)}", f"entropy {min(16, int(2 * entropy + 1e-9))}",
+            f"digits {4 * digits // size}", f"lower {any(c.islower() for c in token)}",
+            f"upper {any(c.isupper() for c in token)}", f"dots {min(3, token.count('.'))}",
+            f"dashes {min(3, token.count('-'))}", f"first {token[0]}"]
+
+
+def test_features_equal_plain_ones():
+    rng = random.Random(4)
+    letters = "abzAZ019+/=_.~-"
+    found = ["".join(rng.choice(letters[:rng.randint(1, 15)]) for _ in range(rng.randint(1, 80)))
+             for _ in range(500)] + ["x" * 100_000, "9", "ab" * 8, "abcdefgh", "--", "Aa9" * 30]
+    expected = [[zlib.crc32(name.encode()) % secrets.FEATURES for name in plain_own_names(token)]
+                for token in found]
+    assert secrets.own_numbers(found).tolist() == expected
+    assert secrets.own_numbers([]).shape == (0, secrets.OWN_FEATURES)
+    text = "Its key is: tok_ABCDEF12 (see the é manual)"
+    start = text.index("tok_")
+    assert secrets.context_numbers(text, start, start + 12, (7,)) == [
+        *(zlib.crc32(f"word {place} {word}".encode()) % secrets.FEATURES for place, word in (
+            ("-1", ":"), ("-2", "is"), ("-3", "key"), ("+1", "("))), 7]
+
+
 def test_viterbi_and_gradient_equal_brute_force():
     rng = np.random.default_rng(3)
     weights = rng.standard_normal((50, 3))
@@ -124,7 +155,14 @@ def test_viterbi_and_gradient_equal_brute_force():
     field = secrets.Field(weights, moves)
     for length in (1, 2, 5):
         numbers = rng.integers(0, 50, (length, 4)).tolist()
-        assert tuple(field.decode(numbers)) == brute_decode(field, numbers)
+        assert tuple(field.decode(field.scores(numbers), [len(numbers)])) == brute_decode(field, numbers)
+        # chains side by side, also of one length
+        lengths = [1, len(numbers), 1, len(numbers)]
+        together = field.decode(field.scores(
+            [numbers[0], *numbers, numbers[-1], *numbers]), lengths).tolist()
+        alone = [list(brute_decode(field, part)) for part in (
+            numbers[:1], numbers, numbers[-1:], numbers)]
+        assert together == [tag for tags in alone for tag in tags]
         scores = field.scores(numbers)[None]
         expected, pairs = secrets._expectations(scores, moves)
         from itertools import product
@@ -177,7 +215,7 @@ def test_tokens_and_chains():
     assert [text[s:e] for s, e in found] == ["abcdefghijk", "ABCD1234", "abcdefgh", "x" + "y" * 400]
     assert [len(run) for run in secrets.chains(text, found)] == [2, 1, 1]
     late = "a" * 300 + "1B" * 300  # its features are those of the whole
-    assert {"digits 1", "upper True"} <= set(secrets._own_names(late))
+    assert {"digits 1", "upper True"} <= set(plain_own_names(late))
 
 
 def test_field_finds_secrets_of_letters(spark):

@@ -18,8 +18,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
-from functools import lru_cache
+from collections import defaultdict
+from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.batches import map_texts
 from tradewind.llm.spans import Span, digest, outside, written_out
+from tradewind.operators.lineage import written
 
 KINDS = ("assign", "access", "hex", "field")
 BASE_KINDS = KINDS[:3]
@@ -43,6 +45,7 @@ PENALTY = 1.0  # half the inverse variance that a weight is expected to have
 FIRST_PENALTY = 5.0
 MIN_ALIKE = 0.1  # probability from which an unlabelled token is set aside in training
 MEMO_TOKENS = 50_000  # whose features a worker remembers
+TOKENS_AT_ONCE = 50_000
 _CHAIN = 64  # longer chains are cut for training only
 
 # The base patterns. Possessive repeats match the same and never backtrack.
@@ -56,7 +59,6 @@ _SAFE = "A-Za-z0-9+/=_.~-"
 _TOKEN = re.compile(f"[{_SAFE}]{{{TOKEN_LENGTH},}}+")
 _ALNUM = re.compile(r"[^\W_]")
 _WORD = re.compile(r"\w+|[^\w\s]")
-_CLASSES = ((re.compile("[a-z]+"), "a"), (re.compile("[A-Z]+"), "A"), (re.compile("[0-9]+"), "9"))
 
 
 def base_spans(text: str) -> list[Span]:
@@ -111,20 +113,57 @@ def _file_features(text: str, number: int) -> tuple[int, ...]:
         f"file braces {min(3, 100 * (text.count('{') + text.count(';')) // size)}"])
 
 
-def _own_names(token: str) -> list[str]:
-    """Names of the features of a token by itself, over all its characters."""
-    shape = token
-    for pattern, mark in _CLASSES:
-        shape = pattern.sub(mark, shape)
-    size = len(token)
-    counts = Counter(token)
-    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
-    digits = sum(counts[d] for d in "0123456789")
-    return ["bias", f"shape {shape[:8]}", f"changes {min(8, len(shape) // 3)}",
-            f"size {min(10, size // 4)}", f"entropy {int(2 * entropy)}",
-            f"digits {4 * digits // size}", f"lower {any(map(str.islower, counts))}",
-            f"upper {any(map(str.isupper, counts))}", f"dots {min(3, token.count('.'))}",
-            f"dashes {min(3, token.count('-'))}", f"first {token[0]}"]
+def _table(name: str, values: list) -> np.ndarray:
+    return np.array(_numbers([f"{name} {value}" for value in values]), np.int64)
+
+
+@cache
+def _tables() -> dict[str, np.ndarray]:
+    """Feature numbers by name and value; values are small whole numbers."""
+    few = {"changes": 9, "size": 11, "entropy": 17, "digits": 5, "dots": 4, "dashes": 4}
+    return {name: _table(name, [*range(count)]) for name, count in few.items()} | {
+        name: _table(name, [False, True]) for name in ("lower", "upper")} | {
+        "first": _table("first", [*map(chr, range(256))])}
+
+
+_MARK = np.array([ord("a") if chr(c).islower() else ord("A") if chr(c).isupper()
+                  else ord("9") if chr(c).isdigit() else c for c in range(128)], np.uint8)
+
+
+def own_numbers(found: list[str]) -> np.ndarray:
+    """Numbers of the features of tokens by themselves, over all their characters: a row each."""
+    if not found:
+        return np.zeros((0, OWN_FEATURES), np.int64)
+    codes = np.frombuffer("".join(found).encode("ascii"), np.uint8)
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    first = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(found)), size)
+
+    def count(wanted: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(wanted.astype(np.int64), first)
+
+    # The shape: runs of small letters, of capitals and of digits shrink to one mark.
+    marks = _MARK[codes]
+    kept = np.r_[True, marks[1:] != marks[:-1]] | ~np.isin(marks, np.frombuffer(b"aA9", np.uint8))
+    kept[first] = True
+    shapes, marked = marks[kept].tobytes(), count(kept)
+    at = (np.cumsum(marked) - marked).tolist()
+    shape = [_shape_number(shapes[start:start + min(8, length)])
+             for start, length in zip(at, marked.tolist(), strict=True)]
+    # Entropy: log(size) - sum of n log(n) over the token's distinct characters, by size.
+    pairs, number = np.unique(owner * 128 + codes, return_counts=True)
+    spread = np.bincount(pairs // 128, number * np.log2(number), len(found)) / size
+    entropy = (2 * (np.log2(size) - spread) + 1e-9).astype(np.int64)
+    tables = _tables()
+    return np.stack([
+        np.full(len(found), _BIAS), np.array(shape), tables["changes"][np.minimum(8, marked // 3)],
+        tables["size"][np.minimum(10, size // 4)], tables["entropy"][np.clip(entropy, 0, 16)],
+        tables["digits"][4 * count(marks == ord("9")) // size],
+        tables["lower"][(count(marks == ord("a")) > 0).astype(int)],
+        tables["upper"][(count(marks == ord("A")) > 0).astype(int)],
+        tables["dots"][np.minimum(3, count(codes == ord(".")))],
+        tables["dashes"][np.minimum(3, count(codes == ord("-")))],
+        tables["first"][codes[first]]], axis=1)
 
 
 def _numbers(names: list[str]) -> tuple[int, ...]:
@@ -132,8 +171,11 @@ def _numbers(names: list[str]) -> tuple[int, ...]:
 
 
 @lru_cache(MEMO_TOKENS)
-def _own_numbers(token: str) -> tuple[int, ...]:
-    return _numbers(_own_names(token))
+def _shape_number(shape: bytes) -> int:
+    return _numbers([f"shape {shape.decode()}"])[0]
+
+
+_BIAS = _numbers(["bias"])[0]
 
 
 @lru_cache(MEMO_TOKENS)
@@ -141,14 +183,17 @@ def _number(place: str, word: str) -> int:
     return zlib.crc32(f"word {place} {word.lower()}".encode()) % FEATURES
 
 
-def features(text: str, start: int, end: int, of_file: tuple[int, ...]) -> list[int]:
-    """Numbers of the features of a token; those of the file are numbers already."""
-    token = text[start:end]
-    own = _own_numbers(token) if len(token) <= 64 else _numbers(_own_names(token))
-    before = _WORD.findall(text[max(0, start - 48):start])[-3:]
-    after = _WORD.findall(text[end:end + 24])[:1]
-    return [*own, *(_number(f"-{i}", word) for i, word in enumerate(reversed(before), 1)),
-            *(_number("+1", word) for word in after), *of_file]
+def context_numbers(text: str, start: int, end: int, of_file: tuple[int, ...]) -> list[int]:
+    """Numbers of the features of a token's neighbouring words and its file."""
+    before = _WORD.findall(text[max(0, start - 48):start])[:-4:-1]
+    found = [*map(_number, _BEFORE, before)]
+    after = _WORD.search(text, end, end + 24)
+    if after:
+        found.append(_number("+1", after[0]))
+    return [*found, *of_file]
+
+
+_BEFORE = ("-1", "-2", "-3")
 
 
 def _labels(run: list[tuple[int, int]], base: list[Span]) -> list[int]:
@@ -176,16 +221,25 @@ def training_chains(rows: DataFrame, text: str, row_id: str) -> list[tuple[list,
             for run in chains(value, found):
                 for at in range(0, len(run), _CHAIN):
                     part = run[at:at + _CHAIN]
-                    out["features"].append([features(value, s, e, of_file) for s, e in part])
+                    own = own_numbers([value[s:e] for s, e in part]).tolist()
+                    out["features"].append([
+                        row + context_numbers(value, s, e, of_file)
+                        for row, (s, e) in zip(own, part, strict=True)])
                     near = [b for b in base if b[0] < part[-1][1] and part[0][0] < b[2]]
                     out["tags"].append(_labels(part, near))
         return {"features": out["features"], "tags": out["tags"]}
 
-    found = map_texts(sample, text, [], kernel, "features array<array<int>>, tags array<int>")
-    # By a hash of their own, so that the same chains are kept every time.
-    first = found.orderBy(F.xxhash64("features", "tags")).limit(SAMPLE_TOKENS // 2)
+    found = written(map_texts(sample, text, [], kernel,
+                              "features array<array<int>>, tags array<int>"))
+    # By a hash of their own, so that the same chains are kept every time; by a threshold, so that
+    # a task sends its share of them only.
+    number = found.agg(F.sum(F.size("tags"))).first()[0] or 0
+    own = F.xxhash64("features", "tags")
+    if number > SAMPLE_TOKENS:
+        found = found.where(F.pmod(own, F.lit(number)) < SAMPLE_TOKENS)
     kept, size = [], 0
-    for row in first.collect():
+    for row in sorted(found.select("features", "tags", own.alias("own")).collect(),
+                      key=lambda row: row.own):
         size += len(row.tags)
         if size > SAMPLE_TOKENS:
             break
@@ -204,20 +258,30 @@ class Field:
         self.weights, self.moves = weights, moves
 
     def scores(self, numbers: list[list[int]]) -> np.ndarray:
-        return np.array([self.weights[row].sum(axis=0) for row in numbers]).reshape(-1, TAGS)
-
-    def decode(self, numbers: list[list[int]]) -> list[int]:
-        """The best tags by Viterbi."""
-        scores = self.scores(numbers)
-        best, origins = self.moves[0] + scores[0], []
-        for row in scores[1:]:
-            through = best[:, None] + self.moves
-            origins.append(through.argmax(axis=0))
-            best = through.max(axis=0) + row
-        tags = [int(best.argmax())]
-        for origin in reversed(origins):
-            tags.append(int(origin[tags[-1]]))
-        return tags[::-1]
+        """A row per token; every token has features."""
+        if not numbers:
+            return np.zeros((0, TAGS), np.float32)
+        first = np.cumsum([0, *map(len, numbers[:-1])])
+        return np.add.reduceat(self.weights[[*chain.from_iterable(numbers)]], first, axis=0)
+
+    def decode(self, scores: np.ndarray, lengths: list[int]) -> np.ndarray:
+        """The best tags by Viterbi of chains one behind the other, those of a length side by side."""
+        size = np.array(lengths, np.int64)
+        first = np.cumsum(size) - size
+        tags = np.zeros(len(scores), np.int64)
+        for length in np.unique(size).tolist():
+            at = first[size == length]
+            best, origins = self.moves[0] + scores[at], []
+            for step in range(1, length):
+                through = best[:, :, None] + self.moves
+                origins.append(through.argmax(axis=1))
+                best = through.max(axis=1) + scores[at + step]
+            last = best.argmax(axis=1)
+            tags[at + length - 1] = last
+            for step in range(length - 2, -1, -1):
+                last = origins[step][np.arange(len(at)), last]
+                tags[at + step] = last
+        return tags
 
 
 _FORBIDDEN = -1e4
@@ -311,19 +375,39 @@ def _expectations(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np
     return expected, pairs
 
 
-def field_spans(text: str, field: Field) -> list[Span]:
-    """Spans of tokens tagged begin and those inside after it."""
-    found = tokens(text)
-    if not found:
-        return []
-    of_file, spans = _file_features(text, len(found)), []
-    for run in chains(text, found):
-        tags = field.decode([features(text, s, e, of_file) for s, e in run])
-        for (start, end), tag in zip(run, tags, strict=True):
-            if tag == 1:
-                spans.append((start, 3, end))
-            elif tag == 2 and spans:
-                spans[-1] = (spans[-1][0], 3, end)
+def field_spans(texts: list[str | None], field: Field) -> list[list[Span]]:
+    """Spans of tokens tagged begin and those inside after it, for each text."""
+    places: list[tuple[int, int, int]] = []  # (text, start, end) of each token
+    words: list[str] = []
+    context: list[list[int]] = []
+    lengths: list[int] = []
+    spans: list[list[Span]] = [[] for _ in texts]
+
+    def settle() -> None:
+        scores = field.weights[own_numbers(words)].sum(axis=1) + field.scores(context)
+        tags = field.decode(scores, lengths)
+        for i in np.flatnonzero(tags).tolist():  # few are in a secret
+            at, start, end = places[i]
+            if tags[i] == 1:
+                spans[at].append((start, 3, end))
+            elif spans[at]:
+                spans[at][-1] = (spans[at][-1][0], 3, end)
+        for held in (places, words, context, lengths):
+            held.clear()
+
+    for at, text in enumerate(texts):
+        found = tokens(text or "")
+        if not found:
+            continue
+        of_file = _file_features(text, len(found))
+        for run in chains(text, found):
+            lengths.append(len(run))
+            places += [(at, start, end) for start, end in run]
+            words += [text[start:end] for start, end in run]
+            context += [context_numbers(text, start, end, of_file) for start, end in run]
+            if len(places) > TOKENS_AT_ONCE:
+                settle()
+    settle()
     return spans
 
 
@@ -339,13 +423,11 @@ def find_secrets(rows: DataFrame, text: str = "text", row_id: str = "doc_id",
     shipped = rows.sparkSession.sparkContext.broadcast(field)
 
     def kernel(texts, kept):
-        base, added = [], []
-        for value in texts:
-            own = base_spans(value or "")
-            more = field_spans(value, shipped.value) if value and shipped.value else []
-            base.append(_named(own))
-            added.append(_named(outside(more, own)))
-        return kept | {"base": base, "added": added}
+        base = [base_spans(value or "") for value in texts]
+        more = field_spans(texts, shipped.value) if shipped.value else [[] for _ in texts]
+        return kept | {"base": [_named(own) for own in base],
+                       "added": [_named(outside(found, own) if found else [])
+                                 for found, own in zip(more, base, strict=True)]}
 
     span = "array<struct<kind: string, start: bigint, end: bigint>>"
     kind = dict(rows.dtypes)[row_id]
