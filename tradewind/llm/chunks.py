@@ -2,7 +2,7 @@
 
 A byte-level pre-tokenizer never puts a space behind a character that isn't white space, so a
 text can be cut before every space that follows such a character, and the chunks be encoded on
-their own. Most chunks are words that come again and again; a task keeps the results of the
+their own. Most chunks are words that come again and again; a worker keeps the results of the
 last ones in a memo of bounded size.
 """
 
@@ -16,7 +16,7 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 # Where a text may not be cut before every space: only there do spaces belong to longer runs. Of any
 # other run of white space the last character stands alone, and so does what comes before it.
 _RUN = re.compile(r" (?=\s|\Z)")
-MEMO_KEYS = 100_000
+MEMO_KEYS = 200_000
 MEMO_KEY_LENGTH = 100
 
 
@@ -32,28 +32,25 @@ class Memo:
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def joined(self, key_lists: list[list[str]]) -> list[bytes]:
-        """The values of each list of keys, one behind the other."""
+    def covering(self, key_lists: list[list[str]]) -> dict[str, bytes]:
+        """A dictionary with all these keys, valid until the next call."""
         if len(self._young) > self._size:
             long = [key for key in self._young if len(key) > MEMO_KEY_LENGTH]
             for key in long:  # they rarely come again
                 del self._young[key]
             self._old, self._young = self._young, {}
         young, old = self._young, self._old
-        found = [[*map(young.get, keys)] for keys in key_lists]
-        missing = {key for values, keys in zip(found, key_lists, strict=True)
-                   for value, key in zip(values, keys, strict=True) if value is None}
-        if missing:
-            kept = {key: old[key] for key in missing if key in old}
-            young.update(kept)
-            new = [*(missing - kept.keys())] if kept else [*missing]
-            young.update(zip(new, self._compute(new), strict=True))
-        return [b"".join(values if None not in values else map(young.__getitem__, keys))
-                for values, keys in zip(found, key_lists, strict=True)] if missing else [
-            b"".join(values) for values in found]
-
-    def clear(self) -> None:
-        self._young, self._old = {}, {}
+        wanted = {key for keys in key_lists for key in keys if key not in young}
+        kept = {key: old[key] for key in wanted if key in old}
+        young.update(kept)
+        new = list(wanted - kept.keys())
+        young.update(zip(new, self._compute(new), strict=True))
+        return young
+
+    def joined(self, key_lists: list[list[str]]) -> list[bytes]:
+        """The values of each list of keys, one behind the other."""
+        find = self.covering(key_lists).__getitem__
+        return [b"".join(map(find, keys)) for keys in key_lists]
 
 
 class ChunkEncoder:
@@ -70,12 +67,12 @@ class ChunkEncoder:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         cut = [_cut(text or "") for text in texts]
         firsts = self._encode([chunks[0] for chunks in cut])
-        others = self._memo.joined([chunks[1:] for chunks in cut])
-        return [first + rest for first, rest in zip(firsts, others, strict=True)]
-
-    def clear(self) -> None:
-        """Forget the chunks seen, at the end of a task."""
-        self._memo.clear()
+        for chunks in cut:
+            chunks[0] = "-"  # a chunk of the memo, so that the lists need no copy
+        find = self._memo.covering(cut).__getitem__
+        skip = len(find("-"))
+        return [first + b"".join(map(find, chunks))[skip:]
+                for first, chunks in zip(firsts, cut, strict=True)]
 
 
 def _cut(text: str) -> list[str]:

@@ -11,7 +11,7 @@ frequent phrase has frequent parts, so it was counted in the first pass or is op
 Words are counted first, all of them, so the border of the words is known exactly.
 
 Proposed phrases are counted by their text. The border is large and nearly all of it is rare; it is
-counted by hashes, of thirteen bits more than the number of words has, where a collision can only
+counted by hashes, of six bits more than the number of words has, where a collision can only
 make a phrase look frequent, and such a phrase is then counted by its text in the next pass. Tasks
 tell what is proposed by a bit array of at most 2^MAX_BITS bits, the same size in all passes: a
 false positive is one more phrase that is counted. So every count that is used is exact, and what is
@@ -243,32 +243,33 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang",
     words = written(_word_counts(docs, text, of_doc, min_count))
     totals = words.groupBy("lang").agg(F.sum("n").alias("words"))
     total = max(1, words.agg(F.sum("n")).first()[0] or 0)
-    # Some 16 bits for each proposed phrase, if a word in 25 starts as many as are frequent.
-    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(0.64 * total))))
-    hash_bits = min(63, max(32, math.ceil(math.log2(total)) + 13))
+    # Some 16 bits for each proposed phrase, if there is one to a hundred words.
+    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(0.16 * total))))
+    hash_bits = min(63, max(32, math.ceil(math.log2(total)) + 6))
     singles = words.where("phrase IS NOT NULL")
-    start = _bits(_hashed(singles), bits)
+    now = _bits(_hashed(singles), bits)
 
     # The sample: level by level, by hashes alone.
     expected = min_count / sample
     least = max(2, math.floor(expected - 1.5 * math.sqrt(expected)))
     chosen = written(docs.where(F.pmod(F.xxhash64(row_id), F.lit(sample)) == 0)
                      .select(F.col(text), of_doc.alias("lang")))
-    now, before = start, None
+    sent, sent_before = share(now), None
     for _ in range(max_words - 1):
-        found = _counted(chosen, text, F.col("lang"), share(now),
-                         None if before is None else share(before), max_words, hash_bits,
+        found = _counted(chosen, text, F.col("lang"), sent, sent_before, max_words, hash_bits,
                          texts_too=False)
-        now, before = now | _bits(found.where((F.col("n") >= least) & F.col("hash").isNotNull()),
-                                  bits), now
+        now = now | _bits(found.where((F.col("n") >= least) & F.col("hash").isNotNull()), bits)
+        if sent_before is not None:
+            sent_before.destroy()  # what has used it is done
+        sent, sent_before = share(now), sent
 
-    found = written(_counted(docs, text, of_doc, share(now), None, max_words, hash_bits,
+    found = written(_counted(docs, text, of_doc, sent, None, max_words, hash_bits,
                              texts_too=True).where(F.col("n") >= min_count))
     counted = [singles.select("phrase", "n"), found.select("phrase", "n")]
     failures = found.where("phrase IS NULL")
     if not failures.isEmpty():
-        more = _counted(docs, text, of_doc, share(now | _bits(failures, bits)), share(now),
-                        max_words, hash_bits, texts_too=True, close=True)
+        more = _counted(docs, text, of_doc, share(now | _bits(failures, bits)), sent, max_words,
+                        hash_bits, texts_too=True, close=True)
         counted.append(more.where(F.col("n") >= min_count).select("phrase", "n"))
     frequent = reduce(DataFrame.unionByName, counted).where("phrase IS NOT NULL")
     return totals, frequent.select(

@@ -218,13 +218,12 @@ def training_chains(rows: DataFrame, text: str, row_id: str) -> list[tuple[list,
             if not found:
                 continue
             of_file, base = _file_features(value, len(found)), sorted(secret_spans(value))
+            own = iter(own_numbers([value[s:e] for s, e in found]).tolist())
             for run in chains(value, found):
                 for at in range(0, len(run), _CHAIN):
                     part = run[at:at + _CHAIN]
-                    own = own_numbers([value[s:e] for s, e in part]).tolist()
-                    out["features"].append([
-                        row + context_numbers(value, s, e, of_file)
-                        for row, (s, e) in zip(own, part, strict=True)])
+                    out["features"].append([next(own) + context_numbers(value, s, e, of_file)
+                                            for s, e in part])
                     near = [b for b in base if b[0] < part[-1][1] and part[0][0] < b[2]]
                     out["tags"].append(_labels(part, near))
         return {"features": out["features"], "tags": out["tags"]}
