@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -59,7 +60,7 @@ def test_quality_query(spark):
     assert np.mean(good) > 0.995 and np.mean(bad) < 0.15
 
 
-def plain_mcd(z, coverage, steps, shrinkage):
+def plain_mcd(z, coverage, settled, shrinkage):
     """Concentration steps from both starts, by numpy on one group."""
     size = z.shape[1]
 
@@ -69,14 +70,18 @@ def plain_mcd(z, coverage, steps, shrinkage):
     scale = np.sqrt(np.maximum(np.diag(squashed), 1e-3))
     results = []
     for scatter in (np.eye(size), shrunk(squashed / np.outer(scale, scale))):
-        centre = np.zeros(size)
-        for _ in range(steps):
+        centre, best = np.zeros(size), (np.inf, None, None)
+        while True:
             apart = z - centre
             d2 = np.einsum("ij,jk,ik->i", apart, np.linalg.inv(scatter), apart)
             reach = np.sort(d2)[int(np.ceil(coverage * len(d2))) - 1]
             inside = z[d2 <= reach]
             centre, scatter = inside.mean(axis=0), shrunk(np.cov(inside.T, bias=True))
-        results.append((np.linalg.slogdet(scatter)[1], centre, scatter))
+            volume = np.linalg.slogdet(scatter)[1]
+            if volume >= best[0] - settled:
+                break
+            best = volume, centre, scatter
+        results.append(best)
     return min(results, key=lambda r: r[0])
 
 
@@ -88,7 +93,7 @@ def test_estimates_equal_numpy(spark):
     frame = spark.createDataFrame([("g", *map(float, row)) for row in mixed],
                                   ", ".join(["grp string", *(f"{a} double" for a in quality.AXES)]))
     found = quality._concentrated(frame).first()
-    _, centre, scatter = plain_mcd(mixed, quality.COVERAGE, quality.STEPS, quality.SHRINKAGE)
+    _, centre, scatter = plain_mcd(mixed, quality.COVERAGE, quality.SETTLED, quality.SHRINKAGE)
     assert np.allclose(found.centre, centre, atol=1e-6)
     assert np.allclose(np.array(found.inverse).reshape(size, size), np.linalg.inv(scatter),
                        atol=1e-5)
@@ -159,22 +164,42 @@ def test_mixtures(spark):
     assert set(found[2]) == {"es"}
 
 
-def test_mixture_steps_raise_the_likelihood():
+def test_mixture_steps_end_at_the_maximum():
     rng = np.random.default_rng(5)
     likely = rng.random((60, 3))
     words = np.array([10, 1, 49])
-    first, owner = np.array([0, 10, 11]), np.repeat([0, 1, 2], words)
-    before = None
-    for steps in range(1, 12):
-        shares, value = langid._mixture(likely, owner, first, words, np.full((3, 3), 1 / 3), steps)
-        assert np.allclose(shares.sum(axis=1), 1)
-        assert before is None or (value >= before - 1e-9).all()
-        before = value
-    plain = np.full(3, 1 / 3)  # one document, step by step
-    for _ in range(11):
-        weight = likely[11:] * plain
-        plain = (weight / weight.sum(axis=1, keepdims=True)).mean(axis=0)
-    assert np.allclose(shares[2], plain)
+    shares, value = langid._mixture(likely, words, np.full((3, 3), 1 / 3), 1e-12)
+    assert np.allclose(shares.sum(axis=1), 1)
+    for at, own in enumerate(np.split(likely, np.cumsum(words)[:-1])):
+        plain = np.full(3, 1 / 3)  # one document, step by step
+        for _ in range(5000):
+            weight = own * plain
+            plain = (weight / weight.sum(axis=1, keepdims=True)).mean(axis=0)
+        assert np.isclose(value[at], np.log(own @ plain).sum(), atol=1e-6)
+        assert np.allclose(shares[at], plain, atol=1e-3)
+    _, early = langid._mixture(likely, words, np.full((3, 3), 1 / 3))
+    assert (value - early < 0.5).all()
+
+
+def test_chosen_sets_equal_a_search_of_all():
+    rng = np.random.default_rng(8)
+    count, sizes = 4, np.array([6, 30, 80, 200, 60, 1])
+    scores = []
+    for at, size in enumerate(sizes):
+        languages = rng.choice(count, min(1 + at % 3, size), replace=False)
+        own = rng.normal(-20, 2, (size, count))
+        own[np.arange(size), rng.choice(languages, size)] += 12
+        scores.append(own)
+    found = langid.mixtures(np.concatenate(scores), sizes)
+    for own, size, chosen in zip(scores, sizes, found, strict=True):
+        likely = np.exp(own - own.max(axis=1, keepdims=True))
+
+        def value(held):
+            start = np.isin(np.arange(count), held) / len(held)
+            _, fitted = langid._mixture(likely, np.array([size]), start[None], 1e-9)
+            return fitted[0] - langid.PENALTY * np.log(size + 1) * (len(held) - 1)
+        every = [held for k in range(1, count + 1) for held in combinations(range(count), k)]
+        assert tuple(np.flatnonzero(chosen)) == max(every, key=value)
 
 
 def test_every_language_is_learned(spark):

@@ -307,15 +307,15 @@ def test_nested_spans_outside():
     assert spans.outside([(0, 4, 15), (3, 4, 8)], [(9, 0, 15)]) == [(3, 4, 8)]
 
 
-def plain_scores(edges, rounds):
+def plain_scores(edges):
     scores = {}
     for _, instance, known in edges:
         scores[instance] = max(scores.get(instance, 0.0), float(known))
     seeds = {i for i, s in scores.items() if s}
     pairs = {(p, i) for p, i, _ in edges}
-    accepted = {}
-    for _ in range(rounds):
-        accepted = {}
+    rise = 1.0
+    while rise > pii.MIN_RISE:
+        accepted, before = {}, dict(scores)
         for pattern in {p for p, _ in pairs}:
             own = [scores[i] for p, i in pairs if p == pattern]
             if sum(s >= 0.9 for s in own) >= 3 and sum(own) / len(own) >= 0.8:
@@ -326,6 +326,7 @@ def plain_scores(edges, rounds):
                 if i == instance and p in accepted:
                     doubt *= max(1 - accepted[p], 1e-6)
             scores[instance] = 1.0 if instance in seeds else 1 - doubt
+        rise = max(scores[i] - before[i] for i in scores)
     return accepted, scores
 
 
@@ -335,13 +336,46 @@ def test_graph_scores_equal_a_plain_loop(spark):
              (rng.randint(0, 38) for _ in range(150))]
     frame = spark.createDataFrame(edges, "pattern string, instance string, known boolean")
     patterns, scores = pii.score_graph(frame)
-    accepted, expected = plain_scores(edges, pii.ROUNDS)
+    accepted, expected = plain_scores(edges)
     assert {r.pattern: round(r.confidence, 9) for r in patterns.collect()} == {
         p: round(c, 9) for p, c in accepted.items()}
     assert {r.instance: round(r.score, 9) for r in scores.collect()} == {
         i: round(s, 9) for i, s in expected.items()}
 
 
+def test_chains_of_patterns_are_followed_to_the_end(spark):
+    # each pattern holds 20 instances of the one before and one more
+    edges = [(f"p{k}", f"i{n}", n < 20) for k in range(12) for n in range(k, k + 21)]
+    frame = spark.createDataFrame(edges, "pattern string, instance string, known boolean")
+    patterns, scores = pii.score_graph(frame)
+    accepted, expected = plain_scores(edges)
+    assert {r.pattern for r in patterns.collect()} == set(accepted) == {f"p{k}" for k in range(12)}
+    assert {r.instance for r in scores.collect() if r.score >= pii.MIN_SCORE} == {
+        i for i, s in expected.items() if s >= pii.MIN_SCORE}
+
+
+def test_identifiers_at_the_start_are_found_by_what_follows(spark):
+    rows = [(i, f"person{i}@mail.example.com is the mailbox of customer {i}") for i in range(20)]
+    rows += [(100 + i, f"{8812345 + i} is the mailbox of customer {i}") for i in range(4)]
+    rows += [(200, "1234567 was the count of visitors")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.added]
+             for r in pii.find_personal_data(frame).collect()}
+    assert {i for i, added in found.items() if added} == {100, 101, 102, 103}
+    assert all(found[i] == [(0, 7)] for i in range(100, 104))
+
+
+def test_words_of_a_context_are_whole():
+    word = "w" * 200
+    text = f"{word} {word} a@b {word} x"
+    start = text.index("a@b")
+    whole = pii._instance(word)
+    assert pii._Contexts(text).patterns(start, start + 3) == [
+        f"{whole} _", f"{whole} {whole} _", f"{whole} _ {whole}", f"_ {whole}", f"_ {whole} x"]
+    joined = "номер88123456см"
+    assert pii._Contexts(joined).patterns(5, 13) == ["номер _", "номер _ см", "_ см"]
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None, 5), (2, "", 5), (3, "a@b.cd", 5), (3, "a@b.cd", 5), (None, "1.2.3.4", 5),
             (4, "+49 30 1234567 " * 2000, None)]

@@ -38,7 +38,7 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 16
 TRAINING_ROWS = 10_000
 SMOOTHING = 0.5
-REFIT_STEPS = 8
+RISE = 0.01  # of a log-likelihood that a further step is worth
 PENALTY = 2.0
 KNOWN_STEPS = 50
 WORD_LETTERS = 24  # longer runs of letters, as in scripts without spaces, count as several words
@@ -153,19 +153,34 @@ def train(rows: DataFrame, text: str = "text", language: str = "lang",
     return Models(languages, *map(np.array, (bucket, place, n)))
 
 
-def _mixture(likely: np.ndarray, owner: np.ndarray, first: np.ndarray, words: np.ndarray,
-             shares: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+def _mixture(likely: np.ndarray, words: np.ndarray, shares: np.ndarray,
+             rise: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(proportions, log-likelihood) of each document, by expectation-maximisation.
 
-    ``likely`` has a row per word, documents lie one after another from ``first`` on. A language
-    whose share is 0 stays at 0.
+    ``likely`` has a row per word, documents lie one after another. A document is stepped until
+    its log-likelihood rises by no more than ``rise``, RISE unless given. A language whose share
+    is 0 stays at 0.
     """
-    for _ in range(steps):
-        weight = likely * shares[owner]
-        weight /= weight.sum(axis=1, keepdims=True)
-        shares = np.add.reduceat(weight, first, axis=0) / words[:, None]
-    total = (likely * shares[owner]).sum(axis=1)
-    return shares, np.add.reduceat(np.log(total), first)
+    rise = RISE if rise is None else rise
+    shares, value = shares.copy(), np.full(len(words), -np.inf)
+    live = np.arange(len(words))
+    while True:
+        owner = np.repeat(np.arange(len(words)), words)
+        first = np.r_[0, np.cumsum(words)[:-1]]
+        weight = likely * shares[live][owner]
+        total = weight.sum(axis=1)
+        now = np.add.reduceat(np.log(total), first)
+        rising = now > value[live] + rise
+        value[live] = now
+        if not rising.any():
+            return shares, value
+        if not rising.all():
+            inside = rising[owner]
+            likely, weight, total = likely[inside], weight[inside], total[inside]
+            live, words = live[rising], words[rising]
+            first = np.r_[0, np.cumsum(words)[:-1]]
+        weight /= total[:, None]
+        shares[live] = np.add.reduceat(weight, first, axis=0) / words[:, None]
 
 
 def mixtures(scores: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -192,7 +207,8 @@ def mixtures(scores: np.ndarray, words: np.ndarray) -> np.ndarray:
 
     def raised(tried, start):
         """Those of the tried documents whose penalised likelihood rises; they take the set."""
-        fitted, value = _mixture(*part(tried), start, REFIT_STEPS)
+        inside, _, _, own = part(tried)
+        fitted, value = _mixture(inside, own, start)
         value = value - cost[tried] * ((fitted > 0).sum(axis=1) - 1)
         better = value > best[tried] + 1e-6
         chosen[tried[better]], best[tried[better]] = fitted[better], value[better]

@@ -6,8 +6,9 @@ identifier-like token (an @, or five digits or more) of any length; runs without
 minified JSON, query strings or scripts written without spaces, are cut into such tokens. Patterns and instances form a bipartite graph
 that Spark scores in rounds: a pattern is as good as the share of its instances that are known,
 given MIN_SUPPORT known ones; an instance is known to the degree that its patterns are good (noisy
-or). Mentions outside the base spans whose instance ends above MIN_SCORE in the context of an
-accepted pattern are the identifiers found.
+or). Scores only rise from round to round; rounds end when none rises by more than MIN_RISE, so a
+chain of patterns of any length is followed to its end. Mentions outside the base spans whose
+instance ends above MIN_SCORE in the context of an accepted pattern are the identifiers found.
 
 The graph holds distinct (pattern, instance) pairs of the whole corpus and stays in Spark. Texts are
 told apart by a hash, so repeated rows share their spans. A NULL text is empty.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,7 +31,7 @@ from tradewind.operators.lineage import written
 KINDS = ("email", "ip", "card", "phone", "found")
 BASE_KINDS = KINDS[:4]
 PLACEHOLDERS = tuple(f"[{kind.upper()}]" for kind in KINDS)
-ROUNDS = 3
+MIN_RISE = 1e-3  # of an instance's score that a further round is worth
 MIN_SUPPORT = 3  # distinct known instances that a pattern needs
 MIN_CONFIDENCE = 0.8  # of a pattern
 MIN_SCORE = 0.9  # of an instance
@@ -152,18 +154,37 @@ def _instance(token: str) -> str:
             else "sha256 " + hashlib.sha256(token.encode("utf-8", "surrogatepass")).hexdigest())
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
-    """The words around a mention: one before, two before, one on each side."""
-    before = [word.lower() for word in _WORDS.findall(text[max(0, start - 64):start])[-2:]]
-    after = [word.lower() for word in _WORDS.findall(text[end:end + 32])[:1]]
-    found = []
-    if before:
-        found.append(f"{before[-1]} _")
+class _Contexts:
+    """The words of a text, found once, and the patterns of mentions in it."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.bounds = [word.span() for word in _WORDS.finditer(text)]
+        self.ends = [end for _, end in self.bounds]
+
+    def _word(self, start: int, end: int) -> str:
+        return _instance(self.text[start:end])
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """The words around a mention: one or two before, one or two after, one on each side.
+
+        A word that the mention is part of is cut at the mention.
+        """
+        first = bisect_right(self.ends, start)  # the first word that ends behind the start
+        last = bisect_right(self.ends, end)
+        before = [self._word(s, min(e, start))
+                  for s, e in self.bounds[max(0, first - 2):first + 1] if s < start][-2:]
+        after = [self._word(max(s, end), e) for s, e in self.bounds[last:last + 2]]
+        found = [f"{before[-1]} _"] if before else []
         if len(before) > 1:
             found.append(f"{before[0]} {before[1]} _")
-        if after:
+        if before and after:
             found.append(f"{before[-1]} _ {after[0]}")
-    return found
+        if after:
+            found.append(f"_ {after[0]}")
+        if len(after) > 1:
+            found.append(f"_ {after[0]} {after[1]}")
+        return found
 
 
 _MENTION = "struct<start: bigint, end: bigint, known: boolean, instance: string, " \
@@ -184,9 +205,10 @@ def _mentions(rows: DataFrame, text: str, keep: list[Column], kinds: str) -> Dat
             own = base_spans(value)
             others = outside([(s, 4, e) for s, e in identifier_tokens(value)], own)
             base.append(_named(own))
+            contexts = _Contexts(value if own or others else "")
             mentions.append([
                 {"start": start, "end": end, "known": kind < 4,
-                 "instance": _instance(value[start:end]), "patterns": _patterns(value, start, end)}
+                 "instance": _instance(value[start:end]), "patterns": contexts.patterns(start, end)}
                 for start, kind, end in sorted([*own, *others])])
         return kept | {"base": base, "mentions": mentions}
 
@@ -199,14 +221,16 @@ def _named(spans: list[Span]) -> list[dict]:
             for start, kind, end in sorted(spans)]
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def score_graph(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pattern, confidence) of accepted patterns and (instance, score), from the distinct edges
-    (pattern, instance, known)."""
+    (pattern, instance, known).
+
+    Each round is written, so a lost executor repeats one round at most.
+    """
     edges = written(edges.groupBy("pattern", "instance").agg(F.max("known").alias("known")))
     scores = written(edges.groupBy("instance").agg(
         F.max("known").alias("seed")).withColumn("score", F.col("seed").cast("double")))
-    patterns = None
-    for _ in range(rounds):
+    while True:
         known = F.col("score") >= MIN_SCORE
         patterns = written(
             edges.select("pattern", "instance").join(scores, "instance").groupBy("pattern")
@@ -218,11 +242,13 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Data
         doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))
         reached = (edges.select("pattern", "instance").join(patterns, "pattern")
                    .groupBy("instance").agg((1 - F.exp(doubt)).alias("reached")))
-        scores = written(
-            scores.drop("score").join(reached, "instance", "left")
-            .select("instance", "seed", F.when(F.col("seed"), F.lit(1.0))
-                    .otherwise(F.coalesce("reached", F.lit(0.0))).alias("score")))
-    return patterns, scores.select("instance", "score")
+        found = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("reached", F.lit(0.0)))
+        scores = written(scores.join(reached, "instance", "left").select(
+            "instance", "seed", found.alias("score"), (found - F.col("score")).alias("rise")))
+        rise = scores.agg(F.max("rise")).first()[0]
+        scores = scores.drop("rise")
+        if rise is None or rise <= MIN_RISE:
+            return patterns, scores.select("instance", "score")
 
 
 def _discovered(mentions: DataFrame) -> DataFrame:

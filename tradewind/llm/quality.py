@@ -7,7 +7,8 @@ by the arcsine of their root, which evens out their variance.
 
 For each group of language and source the minimum covariance determinant estimate gives a centre
 and scatter that junk does not move: from two deterministic starts, concentration steps re-estimate
-both from the COVERAGE of rows that are nearest, and the start with the smaller determinant wins.
+both from the COVERAGE of rows that are nearest until the determinant falls no more (by SETTLED of
+its logarithm), and the start with the smaller determinant wins.
 A document is rejected if its squared Mahalanobis distance, scaled so that the group's median is
 that of the chi-squared distribution, is above LIMIT. The scatter is shrunk a little towards the
 start's (as in the regularised variant of the estimate), so that a share that is zero nearly
@@ -39,7 +40,7 @@ WINDOW_WORDS = 8
 SYMBOLS = "#*$%&|<>"
 
 COVERAGE = 0.75
-STEPS = 4
+SETTLED = 1e-3
 SHRINKAGE = 0.1
 PRIOR_WORDS = 40
 MIN_GROUP = 60
@@ -221,14 +222,22 @@ def _concentrated(axes: DataFrame) -> DataFrame:
         "grp", F.lit(0).alias("start"), F.array(*[F.lit(0.0)] * size).alias("centre"),
         F.array(*(F.lit(float(i == j)) for i in range(size) for j in range(size)))
         .alias("inverse"), F.lit(0.0).alias("volume"))
-    estimates = written(squashed.unionByName(apart))
-    for _ in range(STEPS):
-        distances = _joined(axes, estimates.drop("volume")).withColumn("d2", _distance(columns))
+    before = written(squashed.unionByName(apart).withColumn("volume", F.lit(float("inf"))))
+    estimates, falling = before.limit(0), before
+    while not falling.isEmpty():
+        distances = _joined(axes, falling.drop("volume")).withColumn("d2", _distance(columns))
         reach = written(distances.groupBy("grp", "start").agg(
             F.percentile_approx("d2", COVERAGE, RANK_ERROR).alias("reach")))
-        inside = _joined(axes, estimates.drop("volume").join(reach, ["grp", "start"])).where(
+        inside = _joined(axes, falling.drop("volume").join(reach, ["grp", "start"])).where(
             _distance(columns) <= F.col("reach"))
-        estimates = written(_estimates(_moments(inside, columns), centred=True))
+        step = _estimates(_moments(inside, columns), centred=True)
+        # Quantiles are approximate, so a step may also rise; what has settled is not stepped again.
+        last = falling.select("grp", "start", F.col("volume").alias("last"))
+        step = written(step.join(last, ["grp", "start"]).withColumn(
+            "falls", F.col("volume") < F.col("last") - SETTLED))
+        falls = step.where("falls").drop("last", "falls")
+        estimates = estimates.join(falls, ["grp", "start"], "left_anti").unionByName(falls)
+        falling = falls
     return estimates.groupBy("grp").agg(F.min_by(
         F.struct("centre", "inverse"), F.struct("volume", "start")).alias("best")).select(
         "grp", "best.*")
