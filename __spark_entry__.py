@@ -20,6 +20,7 @@ from tradewind.operators import features, metrics, quality  # noqa: E402
 from tradewind.operators.lineage import checkpoint_folder, written  # noqa: E402
 from tradewind.plans import linear, models  # noqa: E402
 from tradewind.plans.checks import MART_CHECKS, SOURCE_CHECKS  # noqa: E402
+from tradewind.plans.customers import CUSTOMER_REPORTS  # noqa: E402
 from tradewind.plans.forecast import DemandForecast, forecast  # noqa: E402
 from tradewind.plans.marts import MARTS  # noqa: E402
 from tradewind.plans.reports import (  # noqa: E402
@@ -382,7 +383,7 @@ def core_queries() -> dict[str, Query]:
     return {
         **{name: _model(name) for name in (*STAGING, *MARTS)},
         **{name: _report(report) for name, report in (
-            REPORTS | FORECAST | _panel_queries() | EXTRAS | LINEAR).items()},
+            REPORTS | CUSTOMER_REPORTS | FORECAST | _panel_queries() | EXTRAS | LINEAR).items()},
         **{name: _trained(read) for name, read in TRAINED.items()},
         "dq_unique": _checks("unique"),
         "dq_not_null": _checks("not_null"),

@@ -293,6 +293,22 @@ REPORTS: dict[str, str] = {
 }
 
 
+_CUSTOMERS = "count(DISTINCT customerfk) AS customers"
+_KNOWN = "WHERE customerfk IS NOT NULL GROUP BY ALL"
+
+CUSTOMERS = {
+    "customers_total": f"SELECT {_CUSTOMERS} FROM sales_lines",
+    "customers_by_month": f"SELECT {_MONTH} AS order_month, {_CUSTOMERS} FROM fact_sales {_KNOWN}",
+    "customers_by_country":
+        f"SELECT countryregion_name AS country, {_CUSTOMERS} FROM sales_lines {_KNOWN}",
+    "customers_by_channel": f"SELECT {_CHANNEL} AS channel, {_CUSTOMERS} FROM sales_lines {_KNOWN}",
+    "customers_by_quarter_and_country": f"""
+        SELECT CAST(year(orderdate) AS INT) AS year, CAST(quarter(orderdate) AS INT) AS quarter,
+               countryregion_name AS country, {_CUSTOMERS}
+        FROM sales_lines {_KNOWN}""",
+}
+
+
 # --- forecast inputs ------------------------------------------------------------------
 
 def _monthly(series: str, joins: str = "") -> str:
@@ -645,4 +661,4 @@ def compose(query: str) -> str:
 def oracle_sql() -> dict[str, str]:
     plain = {name: f"SELECT * FROM {name}" for name in (*STAGING, *MART_CHECKS)}
     return {name: compose(sql) for name, sql in (
-        plain | REPORTS | CHECKS | FORECAST | FILES | LINEAR).items()}
+        plain | REPORTS | CUSTOMERS | CHECKS | FORECAST | FILES | LINEAR).items()}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import MEDIUM, SMALL, rows_of
 from test_marts import BASE, header, line
 from tradewind.plans import reports
+from tradewind.plans.customers import CUSTOMER_REPORTS, customer_counts, customers_by_month
 from tradewind.plans.sales import is_sale, monthly_sales, order_sales, over_lines
 from tradewind.plans.warehouse import Warehouse
 from tradewind.sources.feed import OrdersFeed
@@ -155,3 +156,35 @@ def test_fan_trap_totals(spark):
         warehouse.stg("stg_salesorderdetail"), "salesorderid", "left_anti")
     assert (orders.agg(F.sum("totaldue")).first()[0]
             + without_lines.agg(F.sum("totaldue")).first()[0]) == Decimal("3220017174.85")
+
+
+def test_customers_of_built_and_planned_tables(small, built):
+    for name, report in CUSTOMER_REPORTS.items():
+        assert rows_of(report(built)) == rows_of(report(small)), name
+    planned = customers_by_month(built)._jdf.queryExecution().executedPlan().toString()
+    assert "customer_bitmaps" in planned and "order_totals" not in planned
+
+
+def test_customers_are_counted_once_however_bitmaps_are_united(spark, source):
+    """Ids in several blocks, negative ones, unknown customers, orders without lines or a date."""
+    ids = [-40000, -1, 0, 1, 32767, 32768, 32769, 10**9]
+    headers = [{"salesorderid": n, "customerid": ids[n % 8], "status": 5,
+                "orderdate": dt.datetime(2013, 1 + n % 4, 3), "onlineorderflag": n % 3 == 0}
+               for n in range(40)]
+    headers += [{"salesorderid": 50, "customerid": 77, "status": 5},
+                {"salesorderid": 51, "customerid": 5, "status": 5}]
+    lines = [{"salesorderid": n, "salesorderdetailid": n, "productid": 1, "orderqty": 1}
+             for n in [*range(40), 50]]
+    known = [{"customerid": one} for one in (*ids, 5)]
+    tables = source(**{**BASE, "customer": known}, salesorderheader=headers,
+                    salesorderdetail=lines)
+    warehouse = Warehouse(spark, tables)
+    assert customer_counts(warehouse, sales_only=False).first().customers == 8
+    by_month = customer_counts(warehouse, "sales_month", sales_only=False).collect()
+    assert {row.sales_month.month: row.customers for row in by_month} == dict.fromkeys(
+        range(1, 5), 2)
+    first = customer_counts(warehouse, months=F.month("sales_month") < 3, sales_only=False)
+    assert first.first().customers == 4
+    empty = Warehouse(spark, source(**BASE, salesorderheader=[], salesorderdetail=[]))
+    assert customer_counts(empty).first().customers == 0
+    assert customer_counts(empty, "sales_month").count() == 0

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import labels
-from tradewind.functions.columns import foreign_key, surrogate_key, translate
+from tradewind.functions.columns import foreign_key, month_start, surrogate_key, translate
 from tradewind.operators.joins import (
     ROWS_PER_SPLIT,
     key_counts,
@@ -398,6 +398,34 @@ def fact_aggsalessellersregion(tables: Tables) -> DataFrame:
                          "totalsalesorders")
 
 
+BITMAP_COLUMNS = ("sales_month", "countryregion_name", "onlineorderflag", "is_sale")
+
+
+def customer_bitmaps(tables: Tables) -> DataFrame:
+    """The known customers of the orders with lines, a bitmap per BITMAP_COLUMNS and block of ids.
+
+    Ids are made distinct, then gathered by block, before any bitmap is made: a task holds the
+    bitmaps of its own blocks, of 4 KB each, and a block has at most 32,768 ids per group.
+    """
+    columns = ("orderdate", "countryregion_name", "onlineorderflag", "statussales")
+    if tables.has("order_totals"):
+        orders = tables.mart("order_totals").where("salesorderid IS NOT NULL")
+    else:
+        orders = order_totals(tables, ("customerid", "customerfk", *columns))
+    bought = orders.where("customerfk IS NOT NULL").select(
+        *(["customerid"] if "customerid" in orders.columns else ["customerfk"]),
+        month_start("orderdate").alias("sales_month"), "countryregion_name", "onlineorderflag",
+        F.coalesce(~F.col("statussales").isin(*labels.CLOSED_STATUSES), F.lit(False))
+        .alias("is_sale")).distinct()
+    if "customerid" not in bought.columns:
+        bought = bought.join(tables.stg("stg_customer").select(
+            "customerid", surrogate_key("customerid").alias("customerfk")), "customerfk")
+    ids = bought.select(*BITMAP_COLUMNS, F.bitmap_bucket_number("customerid").alias("block"),
+                        F.bitmap_bit_position("customerid").alias("bit"))
+    return (ids.repartition(*BITMAP_COLUMNS, "block").groupBy(*BITMAP_COLUMNS, "block")
+            .agg(F.bitmap_construct_agg("bit").alias("bitmap")))
+
+
 MARTS: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_customers": dim_customers,
     "dim_products": dim_products,
@@ -413,4 +441,5 @@ MARTS: dict[str, Callable[[Tables], DataFrame]] = {
 ROLLUPS: dict[str, Callable[[Tables], DataFrame]] = {
     "order_totals": order_totals,
     "product_totals": product_totals,
+    "customer_bitmaps": customer_bitmaps,
 }

@@ -115,7 +115,7 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
     :class:`Versions`. The source keys are checked first, because the marts rely on them: repeated
     or missing keys stop the build. The dimensions and the aggregate do not depend on each other
     and are written side by side. The rollup per order follows and reads the written reasons, then
-    ``fact_sales``, which reads that rollup, then the rollup per product. NULLs are counted while
+    ``fact_sales``, which reads that rollup, then the rollups per product and of customers. NULLs are counted while
     the tables are written. Until all are, readers see the version before; a build that fails
     leaves it in place and removes what it has written.
 
@@ -146,7 +146,7 @@ def build_warehouse(spark: SparkSession, source, location: str, *,
         with ThreadPoolExecutor(max_workers=4) as pool:
             frames = list(pool.map(inheritable_thread_target(spark)(write), independent))
         written = dict(zip(independent, frames, strict=True))
-        for name in ("order_totals", "fact_sales", "product_totals"):
+        for name in ("order_totals", "fact_sales", "product_totals", "customer_bitmaps"):
             warehouse = Warehouse(spark, source, written, keys_checked=check_sources)
             written[name] = write(name)
         versions.publish(version, {name: frame.schema for name, frame in written.items()})
