@@ -167,3 +167,18 @@ def test_adaptive_execution_splits_a_hot_order_and_address(no_broadcast, spark,
         salesorderdetail=[line(n) for n in range(3000)])))
     assert countries.collect()[0].total_orders == 3000
     assert re.search(r"SortMergeJoin\(skew=true\) \[billtoaddressid", plan(countries))
+
+
+def test_no_shuffle_of_the_fact_carries_a_hash(no_broadcast, small):
+    found = Warehouse(small.spark, small.source, keys_checked=True).mart("fact_sales")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    # Keys and amounts are made above the last join; below it only natural keys travel.
+    last = text.index("SortMergeJoin [line_salesorderid")
+    assert "md5" in text[:last] and "md5" not in text[last:]
+
+
+def test_orders_are_not_shuffled_again_for_their_reasons(no_broadcast, small):
+    # Lines, orders and reasons are dealt by order and part once each.
+    text = plan(small.mart("fact_sales"))
+    dealt = re.findall(r"Exchange hashpartitioning\(\w+#\w+, _(?:right_)?part#\w+, \d+\)", text)
+    assert len(dealt) == 3
