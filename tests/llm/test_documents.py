@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
@@ -99,6 +100,14 @@ def test_estimates_equal_numpy(spark):
                        atol=1e-5)
 
 
+def test_a_plan_does_not_hold_the_concentration_steps(spark):
+    rows = [("g", *(math.sin(7 * i + 3 * k) for k in range(len(quality.AXES)))) for i in range(200)]
+    frame = spark.createDataFrame(rows, ["grp", *quality.AXES])
+    found = quality._concentrated(frame)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and found.count() == 1
+
+
 PROSE = ("The house by the river stood empty for years, and nobody in town could say who had "
          "lived there before the flood came and took the bridge away one night. ")
 

@@ -23,6 +23,7 @@ A NULL text has no words. A NULL language or source is a group of its own.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations_with_replacement
 from operator import eq
 
@@ -31,7 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.batches import arrow_schema, importable, join_small, map_texts
+from tradewind.llm.batches import (
+    BROADCAST_ROWS,
+    arrow_schema,
+    importable,
+    join_small,
+    map_texts,
+)
 from tradewind.operators.lineage import written
 
 MIN_WORDS = 20
@@ -161,25 +168,28 @@ def _groups(rows: DataFrame, min_group: int) -> DataFrame:
     return named.where("grp != 'rest'" if rest < min_group else "true").drop("n")
 
 
-def _joined(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``rows`` with the columns of their group; there are far fewer groups than rows."""
-    return join_small(rows, groups.withColumnRenamed("grp", "_grp"),
-                      F.col("grp") == F.col("_grp")).drop("_grp")
+def _joined(rows: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
+    """``rows`` with the columns of their group; there are far fewer groups than rows. ``few`` says
+    that the groups may be broadcast, which is counted once and not for every join."""
+    groups = groups.withColumnRenamed("grp", "_grp")
+    return rows.join(F.broadcast(groups) if few else groups,
+                     F.col("grp") == F.col("_grp")).drop("_grp")
 
 
-def _moments(rows: DataFrame, values: list[Column]) -> DataFrame:
-    """(grp, start, n, sums, products) of the rows."""
-    named = rows.select("grp", "start", *(v.alias(f"v{i}") for i, v in enumerate(values)))
+def _moments(rows: DataFrame, values: list[Column], last: Column) -> DataFrame:
+    """(grp, start, last, n, sums, products) of the rows; ``last`` is the same in all of a start."""
+    named = rows.select("grp", "start", last.alias("last"),
+                        *(v.alias(f"v{i}") for i, v in enumerate(values)))
     return named.groupBy("grp", "start").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.first("last").alias("last"), F.count(F.lit(1)).alias("n"),
         F.array(*(F.sum(f"v{i}") for i in range(len(values)))).alias("sums"),
         F.array(*(F.sum(F.col(f"v{i}") * F.col(f"v{j}")) for i, j in PAIRS)).alias("products"))
 
 
 def _estimates(moments: DataFrame, centred: bool) -> DataFrame:
-    """(grp, start, centre, inverse, volume): a row per group and start, by numpy."""
+    """(grp, start, centre, inverse, volume, last): a row per group and start, by numpy."""
     schema = ("grp string, start int, centre array<double>, inverse array<double>, "
-              "volume double")
+              "volume double, last double")
     target = arrow_schema(schema)
     size = len(AXES)
     importable(moments.sparkSession)
@@ -201,6 +211,7 @@ def _estimates(moments: DataFrame, centred: bool) -> DataFrame:
                 out["centre"].append(mean)
                 out["inverse"].append(np.linalg.inv(scatter).ravel())
                 out["volume"].append(float(np.linalg.slogdet(scatter)[1]))
+                out["last"].append(row["last"])
             yield pa.RecordBatch.from_pydict(out, schema=target)
 
     return moments.mapInArrow(run, schema)
@@ -213,32 +224,36 @@ def _distance(axes: list[Column]) -> Column:
                 for i, j in PAIRS), F.lit(0.0))
 
 
-def _concentrated(axes: DataFrame) -> DataFrame:
-    """(grp, centre, inverse): the estimate of smallest determinant per group."""
+def _concentrated(axes: DataFrame, few: bool = True) -> DataFrame:
+    """(grp, centre, inverse): the estimate of smallest determinant per group.
+
+    A step is two jobs over the rows, each with one join. What a step finds stays in its own written
+    frame, and all are read together at the end: a plan never holds the steps before it.
+    """
     size, columns = len(AXES), [F.col(name) for name in AXES]
-    squashed = _estimates(_moments(axes.withColumn("start", F.lit(1)),
-                                   [F.tanh(column) for column in columns]), centred=False)
+    endless = F.lit(float("inf"))
+    squashed = _estimates(_moments(axes.withColumn("start", F.lit(1)), [
+        F.tanh(column) for column in columns], endless), centred=False).drop("last")
     apart = squashed.select(  # the other start: each axis on its own
         "grp", F.lit(0).alias("start"), F.array(*[F.lit(0.0)] * size).alias("centre"),
         F.array(*(F.lit(float(i == j)) for i in range(size) for j in range(size)))
         .alias("inverse"), F.lit(0.0).alias("volume"))
-    before = written(squashed.unionByName(apart).withColumn("volume", F.lit(float("inf"))))
-    estimates, falling = before.limit(0), before
+    falling = written(squashed.unionByName(apart).withColumn("volume", endless))
+    steps = [falling.limit(0).withColumn("step", F.lit(0))]
     while not falling.isEmpty():
-        distances = _joined(axes, falling.drop("volume")).withColumn("d2", _distance(columns))
+        distances = _joined(axes, falling, few).withColumn("d2", _distance(columns))
         reach = written(distances.groupBy("grp", "start").agg(
-            F.percentile_approx("d2", COVERAGE, RANK_ERROR).alias("reach")))
-        inside = _joined(axes, falling.drop("volume").join(reach, ["grp", "start"])).where(
-            _distance(columns) <= F.col("reach"))
-        step = _estimates(_moments(inside, columns), centred=True)
+            F.percentile_approx("d2", COVERAGE, RANK_ERROR).alias("reach"),
+            *(F.first(name).alias(name) for name in ("centre", "inverse", "volume"))))
+        inside = _joined(axes, reach, few).where(_distance(columns) <= F.col("reach"))
+        step = written(_estimates(_moments(inside, columns, F.col("volume")), centred=True))
         # Quantiles are approximate, so a step may also rise; what has settled is not stepped again.
-        last = falling.select("grp", "start", F.col("volume").alias("last"))
-        step = written(step.join(last, ["grp", "start"]).withColumn(
-            "falls", F.col("volume") < F.col("last") - SETTLED))
-        falls = step.where("falls").drop("last", "falls")
-        estimates = estimates.join(falls, ["grp", "start"], "left_anti").unionByName(falls)
-        falling = falls
-    return estimates.groupBy("grp").agg(F.min_by(
+        falling = step.where(F.col("volume") < F.col("last") - SETTLED).drop("last")
+        steps.append(falling.withColumn("step", F.lit(len(steps))))
+    newest = reduce(DataFrame.unionByName, steps).groupBy("grp", "start").agg(F.max_by(
+        F.struct("centre", "inverse", "volume"), "step").alias("newest")).select(
+        "grp", "start", "newest.*")
+    return newest.groupBy("grp").agg(F.min_by(
         F.struct("centre", "inverse"), F.struct("volume", "start")).alias("best")).select(
         "grp", "best.*")
 
@@ -259,26 +274,28 @@ def fit(found: DataFrame, language: str = "lang", source: str = "source",
         _group_name(F.col(language), F.col(source)).alias("name"),
         F.col(language).cast("string").alias("language"), *COUNTS)
     names = written(_groups(rows, min_group))
+    # Two starts for each group, and no more groups than names.
+    few = 2 * names.limit(BROADCAST_ROWS).count() <= BROADCAST_ROWS
     grouped = written(join_small(
         rows.drop("language").withColumnRenamed("name", "_name"), names,
         F.col("_name") == F.col("name")).drop("_name", "name"))
     ratios = written(grouped.groupBy("grp").agg(F.array(*(
         F.sum(counted) / F.greatest(F.sum(of), F.lit(1))
         for _, counted, of, _ in SHARES)).alias("ratio")))
-    shares = written(_joined(grouped, ratios).select(
+    shares = written(_joined(grouped, ratios, few).select(
         "grp", *(_share(i, F.col("ratio")[i]).alias(name) for i, name in enumerate(AXES))))
     middle = written(shares.groupBy("grp").agg(F.array(*(
         F.percentile_approx(name, 0.5, RANK_ERROR) for name in AXES)).alias("middle")))
-    spread = written(_joined(shares, middle).groupBy("grp").agg(F.array(*(
+    spread = written(_joined(shares, middle, few).groupBy("grp").agg(F.array(*(
         F.greatest(1.4826 * F.percentile_approx(F.abs(F.col(name) - F.col("middle")[i]), 0.5,
                                                 RANK_ERROR), F.lit(SHARES[i][3]))
         for i, name in enumerate(AXES))).alias("spread")))
     scales = ratios.join(middle, "grp").join(spread, "grp")
-    axes = written(_joined(shares, scales.drop("ratio")).select("grp", *(
+    axes = written(_joined(shares, scales.drop("ratio"), few).select("grp", *(
         ((F.col(name) - F.col("middle")[i]) / F.col("spread")[i]).alias(name)
         for i, name in enumerate(AXES))))
-    best = written(_concentrated(axes))
-    scale = _joined(axes, best).groupBy("grp").agg(F.greatest(
+    best = written(_concentrated(axes, few))
+    scale = _joined(axes, best, few).groupBy("grp").agg(F.greatest(
         F.percentile_approx(_distance([F.col(name) for name in AXES]), 0.5, RANK_ERROR)
         / _chi2_median(len(AXES)), F.lit(1.0)).alias("scale"))
     return written(names.join(scales, "grp").join(best, "grp").join(scale, "grp").drop("grp"))
