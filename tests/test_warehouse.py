@@ -10,7 +10,7 @@ from tradewind.plans import reports
 from tradewind.plans.checks import MART_CHECKS
 from tradewind.plans.marts import MARTS, ROLLUPS
 from tradewind.plans.staging import STAGING
-from tradewind.plans.warehouse import SourceCheckError
+from tradewind.plans.warehouse import SourceCheckError, _laid_out
 from tradewind.sources.feed import FEED, OrdersFeed
 from tradewind.sources.tables import TABLES, CatalogSource, ParquetSource
 from tradewind.sources.versions import Versions
@@ -194,3 +194,16 @@ def test_sql_gives_the_same_as_a_report(built):
         WHERE statussales NOT IN ('Cancelado', 'Rejeitado') AND countryregion_name IS NOT NULL
         GROUP BY 1 ORDER BY 2 DESC""")
     assert found.collect() == reports.revenue_by_country(built).collect()
+
+
+def test_partitioned_tables_are_dealt_before_their_keys_are_made(small):
+    for name in ("fact_sales", "order_totals"):
+        text = _laid_out(name, small)._jdf.queryExecution().executedPlan().toString()
+        dealt = text.index("REBALANCE_PARTITIONS")
+        assert "md5(" in text[:dealt], name  # a plan is printed from its end
+
+
+def test_tables_are_written_with_zstd(small, tmp_path):
+    build_warehouse(small.spark, small.source, str(tmp_path))
+    files = list(tmp_path.glob("v*/dim_products/*.parquet"))
+    assert files and all(".zstd." in file.name for file in files)
