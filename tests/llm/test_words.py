@@ -6,7 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pytest
@@ -199,6 +199,61 @@ def test_border_failures_open_another_pass(spark, monkeypatch):
     assert sum(passes) == 2
 
 
+def shuffled(plan):
+    """Bytes that the exchanges of a plan that has run wrote."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return shuffled(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return shuffled(plan.plan())
+    own = plan.metrics().get("shuffleBytesWritten")
+    return ((own.get().value() if own.isDefined() else 0)
+            + sum(shuffled(plan.children().apply(i)) for i in range(plan.children().size())))
+
+
+def test_rare_hashes_are_shuffled_in_few_bytes(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(900)]
+    docs = [(i, " ".join(rng.choices(words, k=2000)), "en") for i in range(400)]
+    every = spark.sparkContext.broadcast(np.full(8192, 255, np.uint8))
+    single = spark.sparkContext.broadcast(
+        phrases._bits(phrases._hashed(spark.createDataFrame(
+            [(f"en\t{word}",) for word in words], "phrase string")), 16))
+    frame = spark.createDataFrame(docs, DOCS).coalesce(1)
+    found = phrases._counted(frame, "text", F.col("lang"), single, None, 2, 40, texts_too=True)
+    pairs = Counter()
+    for _, text, _ in docs:
+        pairs.update(pairwise(text.split()))
+    rows = found.collect()
+    assert sorted(row.n for row in rows) == sorted(pairs.values())
+    assert shuffled(found._jdf.queryExecution().executedPlan()) < 8 * len(rows)
+    whole = phrases._counted(frame, "text", F.col("lang"), every, single, 2, 40, texts_too=True,
+                             close=True)
+    assert {row.phrase: row.n for row in whole.collect()} == {
+        f"en\t{a} {b}": n for (a, b), n in pairs.items()}
+
+
+def test_hashes_held_back_are_passed_on_once():
+    held = phrases.Hashes(18)
+    rng = np.random.default_rng(1)
+    expected, found = Counter(), Counter()
+    taken = []
+    for _ in range(5):
+        own = rng.integers(0, 2 ** 32, 400_000, np.uint64)
+        own[:100_000] &= np.uint64(15)
+        expected.update(own.tolist())
+        held.found.append(own)
+        if held.full():
+            taken.append(held.taken())
+    taken.append(held.taken())
+    for part in [*taken, held.taken()]:
+        for bucket, lows, numbers in zip(*(part[name].to_pylist() for name in (
+                "bucket", "lows", "numbers")), strict=True):
+            for low, n in zip(lows, numbers, strict=True):
+                found[(bucket << 18) | low] += n
+    assert len(taken) > 1 and found == expected
+
+
 def test_saturated_filter_changes_nothing(spark, texts, monkeypatch):
     monkeypatch.setattr(phrases, "MIN_BITS", 4)
     monkeypatch.setattr(phrases, "MAX_BITS", 4)

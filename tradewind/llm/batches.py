@@ -40,10 +40,12 @@ def arrow_schema(schema: str) -> pa.Schema:
 
 def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
               kernel: Callable[[list[str], dict[str, list]], dict[str, list]],
-              schema: str, passed: list[Column] | None = None) -> DataFrame:
+              schema: str, passed: list[Column] | None = None,
+              rest: Callable[[], dict[str, list]] | None = None) -> DataFrame:
     """``kernel(texts, kept columns)`` over slices of at most SLICE_CHARS characters.
 
     The columns of ``passed`` come first in the result, as they are; the kernel doesn't see them.
+    A kernel may hold rows back; ``rest`` gives them after the last slice of a task.
 
     Only the text and the columns of ``keep`` are read, so other columns of ``rows`` may have
     any names. A NULL text reaches the kernel as None.
@@ -71,6 +73,8 @@ def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
                        for i in range(ahead)} | out
                 yield pa.RecordBatch.from_pydict(out, schema=target)
                 start = end
+        if rest is not None:
+            yield pa.RecordBatch.from_pydict(rest(), schema=target)
         pa.default_memory_pool().release_unused()  # a worker serves other tasks after this one
 
     return inner.mapInArrow(run, schema)

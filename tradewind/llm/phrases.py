@@ -4,19 +4,19 @@ Toivonen, "Sampling large databases for association rules", 1996, for contiguous
 of the documents proposes phrases, at a threshold lowered for chance. A full pass counts each
 proposed phrase and the negative border: what is not proposed though both its longest parts are,
 its words without the last and without the first. A phrase can't be more frequent than its parts, so
-if no border phrase is frequent, all frequent ones were proposed. If some are, they are proposed as
-well, and another full pass counts them and all that they open: what was not counted though its
-parts are proposed or opened themselves, up to the longest phrases. That closes the border: a
-frequent phrase has frequent parts, so it was counted in the first pass or is opened in the second.
-Words are counted first, all of them, so the border of the words is known exactly.
-
-Proposed phrases are counted by their text. The border is large and nearly all of it is rare; it is
-counted by hashes, of six bits more than the number of words has, where a collision can only
-make a phrase look frequent, and such a phrase is then counted by its text in the next pass. Tasks
-tell what is proposed by a bit array of at most 2^MAX_BITS bits, the same size in all passes: a
-false positive is one more phrase that is counted. So every count that is used is exact, and what is
-broadcast has a fixed bound at any size. Counts are summed in each slice of texts, then map-side,
-then over the shuffle; none is kept in one task.
+if no border phrase is frequent, all frequent ones were proposed. Another full pass counts what the
+first has found frequent, of the border as well, and all that this opens: what the first did not
+count though its parts are frequent or opened themselves, up to the longest phrases. That closes the
+border: a frequent phrase has frequent parts, so it was counted in the first pass or is opened in the
+second. Words are counted first, all of them, so the border of the words is known exactly.
+
+Most of what the first pass counts is rare; it is counted by hashes, of six bits more than the
+number of words has, where a collision can only make a phrase look frequent. The second pass counts
+by texts, so every count that is used is exact. Tasks tell what is proposed or frequent by a bit
+array of at most 2^MAX_BITS bits, the same size in all passes: a false positive is one more phrase
+that is counted. What is broadcast has a fixed bound at any size. Hashes are summed in each task as
+far as HELD_HASHES go, and travel in arrays by their upper bits with the lower bits as integers, so
+that each takes few bytes. Sums are made over the shuffle; none is kept in one task.
 
 NULL or empty texts have no words; a NULL language counts as ``und``. Repeated rows count each. If
 nothing is frequent the result is empty.
@@ -25,6 +25,7 @@ nothing is frequent the result is empty.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
@@ -35,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.batches import join_small, map_texts
+from tradewind.llm.batches import group_bounds, join_small, map_texts
 from tradewind.operators.lineage import written
 
 MIN_COUNT = 100
@@ -44,6 +45,10 @@ TOP = 2_000
 # One document in SAMPLE proposes.
 SAMPLE = 16
 MIN_BITS, MAX_BITS = 16, 28
+# Hashes that a task holds before it passes their counts on.
+HELD_HASHES = 1 << 20
+# Upper bits of a hash that it is dealt by, if the lower ones fit an integer.
+BUCKET_BITS = 14
 UNKNOWN = "und"
 
 _BREAKS, _BLANK = b".,;:!?\n\x0b\x0c\r", b"\t"
@@ -114,10 +119,11 @@ class Level:
 
 
 def _phrases(words: Words, now: np.ndarray, before: np.ndarray | None, max_words: int,
-             close: bool, proposed: Callable[[np.ndarray, int], None],
+             close: bool, proposed: Callable[[np.ndarray, np.ndarray, int], None],
              border: Callable[[np.ndarray], None]) -> None:
-    """Call ``proposed(places, words)`` and ``border(hashes)`` for all occurrences that count in
-    this pass and did not count in the one before. ``close`` takes the border as proposed."""
+    """Call ``proposed(places, hashes, words)`` for all occurrences that are proposed, and
+    ``border(hashes)`` for those of the border that did not count in the pass before. ``close``
+    takes what did not count as proposed."""
     single = words.hashes[words.ids]
     none = np.zeros(len(single), bool)
     level = Level(single, _has(now, words.hashes)[words.ids],
@@ -133,8 +139,8 @@ def _phrases(words: Words, now: np.ndarray, before: np.ndarray | None, max_words
         hashes = _longer(level.hashes[places], single[places + length - 1])
         is_now = _has(now, hashes) | ~counted if close else _has(now, hashes)
         was = counted & _has(before, hashes) if before is not None else counted
-        if (fresh := is_now & ~was).any():
-            proposed(places[fresh], length)
+        if is_now.any():
+            proposed(places[is_now], hashes[is_now], length)
         if (beyond := ~is_now & ~counted).any():
             border(hashes[beyond])
         following = Level(np.zeros(len(joined), np.uint64), np.zeros(len(joined), bool),
@@ -181,42 +187,103 @@ def _hashed(words: DataFrame) -> DataFrame:
     return map_texts(words, "phrase", [], hashes, "hash bigint")
 
 
-_COUNTS = "phrase string, hash bigint, n bigint"
+class Hashes:
+    """Counts of a task's hashes, passed on when there are many."""
+
+    def __init__(self, low_bits: int):
+        self.low_bits = np.uint64(low_bits)
+        self.known, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.found: list[np.ndarray] = []
+
+    def _sum(self) -> None:
+        found, number = np.unique(np.concatenate([*self.found, np.zeros(0, np.uint64)]),
+                                  return_counts=True)
+        both = np.concatenate([self.known, found])
+        order = np.argsort(both, kind="stable")  # two sorted runs
+        starts, _ = group_bounds(both[order])
+        self.known, self.found = both[order[starts]], []
+        if len(starts):
+            self.numbers = np.add.reduceat(np.concatenate([self.numbers, number])[order], starts)
+
+    def full(self) -> bool:
+        if 2 * sum(map(len, self.found)) > HELD_HASHES:
+            self._sum()
+        return len(self.known) > HELD_HASHES
+
+    def taken(self) -> dict[str, pa.Array]:
+        """A row for each bucket of the hashes so far: their lower bits and their numbers."""
+        self._sum()
+        buckets = (self.known >> self.low_bits).astype(np.int32)
+        lows = self.known & ((np.uint64(1) << self.low_bits) - np.uint64(1))
+        starts, _ = group_bounds(buckets)
+        offsets = pa.array(np.r_[starts, len(buckets)], pa.int32())
+        rows = {"bucket": pa.array(buckets[starts], pa.int32()),
+                "lows": pa.ListArray.from_arrays(offsets, pa.array(
+                    lows.astype(np.uint32).view(np.int32))),
+                "numbers": pa.ListArray.from_arrays(offsets, pa.array(self.numbers))}
+        self.known, self.numbers = self.known[:0], self.numbers[:0]
+        return rows
+
+
+def _hash_counts(docs: DataFrame, text: str, lang: Column, now: Broadcast,
+                 before: Broadcast | None, max_words: int, hash_bits: int,
+                 proposed_too: bool) -> DataFrame:
+    """(hash, n) of the border and, if asked, of what is proposed."""
+    kept_bits = np.uint64(2 ** hash_bits - 1)
+    low_bits = min(32, hash_bits - BUCKET_BITS)
+    held = Hashes(low_bits)
+
+    def count(texts: list, kept: dict[str, list]) -> dict[str, list]:
+        def take(hashes: np.ndarray) -> None:
+            held.found.append(hashes & kept_bits)
+
+        for name, own in _by_language(texts, kept["lang"]).items():
+            words = Words(own, name)
+            if len(words.ids):
+                _phrases(words, now.value, None if before is None else before.value, max_words,
+                         False, lambda _, hashes, __: take(hashes) if proposed_too else None, take)
+        return held.taken() if held.full() else {"bucket": [], "lows": [], "numbers": []}
+
+    # Dealt by bucket, the hashes are summed without another shuffle.
+    dealt = map_texts(docs, text, [lang.alias("lang")], count,
+                      "bucket int, lows array<int>, numbers array<bigint>",
+                      rest=held.taken).repartition("bucket")
+    low = F.col("low").cast("bigint").bitwiseAND(F.lit(2 ** 32 - 1))
+    return (dealt.select("bucket", "numbers", F.posexplode("lows").alias("at", "low"))
+            .groupBy("bucket", "low").agg(F.sum(F.col("numbers")[F.col("at")]).alias("n"))
+            .select(F.shiftleft(F.col("bucket").cast("bigint"), low_bits).bitwiseOR(low)
+                    .alias("hash"), "n"))
 
 
 def _counted(docs: DataFrame, text: str, lang: Column, now: Broadcast, before: Broadcast | None,
              max_words: int, hash_bits: int, texts_too: bool,
              close: bool = False) -> DataFrame:
-    """(phrase, hash, n): proposed phrases with their text, border phrases by their hash."""
-    kept_bits = np.uint64(2 ** hash_bits - 1)
+    """(phrase, hash, n): the border by its hashes. ``texts_too`` counts what is proposed as well,
+    by its hashes; with ``close``, which leaves no border, by its texts."""
+    if not close:
+        return _hash_counts(docs, text, lang, now, before, max_words, hash_bits,
+                            texts_too).select(F.lit(None).cast("string").alias("phrase"), "*")
 
     def count(texts: list, kept: dict[str, list]) -> dict[str, list]:
         phrases: list[str] = []
-        numbers: list[np.ndarray] = []
-        beyond: list[np.ndarray] = []
+        numbers: list[np.ndarray] = [np.zeros(0, np.int64)]
         for name, own in _by_language(texts, kept["lang"]).items():
             words = Words(own, name)
 
-            def proposed(places: np.ndarray, length: int, words=words, name=name) -> None:
-                if texts_too:
-                    first, number = words.counted(places, length)
-                    phrases.extend([f"{name}\t{words.text(place, length)}"
-                                    for place in first.tolist()])
-                    numbers.append(number)
+            def proposed(places: np.ndarray, _, length: int, words=words, name=name) -> None:
+                first, number = words.counted(places, length)
+                phrases.extend([f"{name}\t{words.text(place, length)}"
+                                for place in first.tolist()])
+                numbers.append(number)
 
             if len(words.ids):
                 _phrases(words, now.value, None if before is None else before.value, max_words,
-                         close, proposed, lambda found: beyond.append(found & kept_bits))
-        hashes, number = np.unique(np.concatenate([*beyond, np.zeros(0, np.uint64)]),
-                                   return_counts=True)
-        missing = len(hashes)
-        return {"phrase": pa.array([*phrases, *[None] * missing], pa.string()),
-                "hash": pa.concat_arrays([pa.nulls(len(phrases), pa.int64()),
-                                          pa.array(hashes.view(np.int64))]),
-                "n": np.concatenate([*numbers, number]).astype(np.int64)}
+                         True, proposed, lambda _: None)
+        return {"phrase": phrases, "n": np.concatenate(numbers)}
 
-    return (map_texts(docs, text, [lang.alias("lang")], count, _COUNTS)
-            .groupBy("phrase", "hash").agg(F.sum("n").alias("n")))
+    return (map_texts(docs, text, [lang.alias("lang")], count, "phrase string, n bigint")
+            .groupBy("phrase").agg(F.sum("n").alias("n"))
+            .select("phrase", F.lit(None).cast("bigint").alias("hash"), "n"))
 
 
 def _bits(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -247,7 +314,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang",
     bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(0.16 * total))))
     hash_bits = min(63, max(32, math.ceil(math.log2(total)) + 6))
     singles = words.where("phrase IS NOT NULL")
-    now = _bits(_hashed(singles), bits)
+    now = single = _bits(_hashed(singles), bits)
 
     # The sample: level by level, by hashes alone.
     expected = min_count / sample
@@ -265,12 +332,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     found = written(_counted(docs, text, of_doc, sent, None, max_words, hash_bits,
                              texts_too=True).where(F.col("n") >= min_count))
-    counted = [singles.select("phrase", "n"), found.select("phrase", "n")]
-    failures = found.where("phrase IS NULL")
-    if not failures.isEmpty():
-        more = _counted(docs, text, of_doc, share(now | _bits(failures, bits)), sent, max_words,
-                        hash_bits, texts_too=True, close=True)
-        counted.append(more.where(F.col("n") >= min_count).select("phrase", "n"))
+    counted = [singles.select("phrase", "n")]
+    if not found.isEmpty():
+        whole = _counted(docs, text, of_doc, share(single | _bits(found, bits)), sent, max_words,
+                         hash_bits, texts_too=True, close=True)
+        counted.append(whole.where(F.col("n") >= min_count).select("phrase", "n"))
     frequent = reduce(DataFrame.unionByName, counted).where("phrase IS NOT NULL")
     return totals, frequent.select(
         _language().alias("lang"), F.substring_index("phrase", "\t", -1).alias("phrase"),
