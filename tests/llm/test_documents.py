@@ -108,6 +108,38 @@ def test_a_plan_does_not_hold_the_concentration_steps(spark):
     assert "Join" not in text and found.count() == 1
 
 
+def test_steps_make_small_plans(spark, monkeypatch):
+    """Expressions of hundreds of terms fill the driver's memory with plans and code."""
+    longest = []
+
+    def written(frame, keep=quality.written):
+        text = frame._jdf.queryExecution().optimizedPlan().toString()
+        longest.append(max(map(len, text.splitlines())))
+        return keep(frame)
+
+    monkeypatch.setattr(quality, "written", written)
+    rows = [("g", *(math.sin(7 * i + 3 * k) for k in range(len(quality.AXES)))) for i in range(200)]
+    assert quality._concentrated(spark.createDataFrame(rows, ["grp", *quality.AXES])).count() == 1
+    assert max(longest[1:]) < 2500
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_groups_are_estimated_each_on_its_own(spark, few):
+    rng = np.random.default_rng(4)
+    size = len(quality.AXES)
+    groups = {f"g{k}": rng.standard_normal((80 + k, size)) * (k + 1) for k in range(5)}
+    rows = [(name, *map(float, row)) for name, own in groups.items() for row in own]
+    rng.shuffle(rows)
+    schema = ", ".join(["grp string", *(f"{a} double" for a in quality.AXES)])
+    frame = spark.createDataFrame([(str(g), *map(float, v)) for g, *v in rows], schema)
+    found = {row.grp: row.centre for row in quality._concentrated(frame.repartition(7), few)
+             .collect()}
+    assert set(found) == set(groups)
+    for name, own in groups.items():
+        _, centre, _ = plain_mcd(own, quality.COVERAGE, quality.SETTLED, quality.SHRINKAGE)
+        assert np.allclose(found[name], centre, atol=1e-6), name
+
+
 PROSE = ("The house by the river stood empty for years, and nobody in town could say who had "
          "lived there before the flood came and took the bridge away one night. ")
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.batches import (
     BROADCAST_ROWS,
     arrow_schema,
+    group_bounds,
     importable,
     join_small,
     map_texts,
@@ -176,14 +177,88 @@ def _joined(rows: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
                      F.col("grp") == F.col("_grp")).drop("_grp")
 
 
-def _moments(rows: DataFrame, values: list[Column], last: Column) -> DataFrame:
-    """(grp, start, last, n, sums, products) of the rows; ``last`` is the same in all of a start."""
-    named = rows.select("grp", "start", last.alias("last"),
-                        *(v.alias(f"v{i}") for i, v in enumerate(values)))
-    return named.groupBy("grp", "start").agg(
-        F.first("last").alias("last"), F.count(F.lit(1)).alias("n"),
-        F.array(*(F.sum(f"v{i}") for i in range(len(values)))).alias("sums"),
-        F.array(*(F.sum(F.col(f"v{i}") * F.col(f"v{j}")) for i, j in PAIRS)).alias("products"))
+# Sums of groups that a task holds before it passes them on.
+HELD_GROUPS = 10_000
+
+
+def _values(batch: pa.RecordBatch) -> np.ndarray:
+    return np.array([batch.column(name).to_numpy(zero_copy_only=False) for name in AXES])
+
+
+def _squared(batch: pa.RecordBatch) -> np.ndarray:
+    """Squared Mahalanobis distances of the axes from ``centre`` by ``inverse``, term by term as
+    :func:`_distance` adds them, so that a row has one distance wherever it is computed."""
+    size = len(AXES)
+    apart = _values(batch) - batch.column("centre").flatten().to_numpy().reshape(-1, size).T
+    inverse = batch.column("inverse").flatten().to_numpy().reshape(-1, size * size).T
+    return sum(((1 if i == j else 2) * inverse[i * size + j] * apart[i] * apart[j]
+                for i, j in PAIRS), np.zeros(batch.num_rows))
+
+
+def _distances(rows: DataFrame) -> DataFrame:
+    """(grp, start, d2) of rows with axes, ``centre`` and ``inverse``."""
+    schema = "grp string, start int, d2 double"
+    target = arrow_schema(schema)
+    importable(rows.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("grp"), batch.column("start"), pa.array(_squared(batch))],
+                schema=target)
+
+    return rows.select("grp", "start", *AXES, "centre", "inverse").mapInArrow(run, schema)
+
+
+def _moments(rows: DataFrame, squash: bool = False) -> DataFrame:
+    """(grp, start, last, n, totals) of the rows, those within ``reach`` if they have one: sums and
+    products of the axes, an array for each task; ``last`` is the same in all rows of a start."""
+    schema = "grp string, start int, last double, n bigint, totals array<double>"
+    target = arrow_schema(schema)
+    importable(rows.sparkSession)
+    limits = ["centre", "inverse", "reach"] if "reach" in rows.columns else []
+
+    def run(batches):
+        held: dict[tuple[str, int], list] = {}
+
+        def taken():
+            out = [[*key, *own] for key, own in held.items()]
+            held.clear()
+            return pa.RecordBatch.from_pydict(
+                {name: [row[i] for row in out] for i, name in enumerate(target.names)},
+                schema=target)
+
+        for batch in batches:
+            if limits:
+                batch = batch.filter(pa.array(
+                    _squared(batch) <= batch.column("reach").to_numpy(zero_copy_only=False)))
+            if not batch.num_rows:
+                continue
+            groups = batch.column("grp").dictionary_encode()
+            codes = groups.indices.to_numpy()
+            start = batch.column("start").to_numpy()
+            order = np.lexsort((start, codes))
+            bounds, ends = group_bounds(codes[order] * 2 + start[order])  # two starts
+            values = _values(batch)[:, order]
+            if squash:
+                values = np.tanh(values)
+            totals = np.array([np.add.reduceat(value, bounds) for value in (
+                *values, *(values[i] * values[j] for i, j in PAIRS))]).T
+            last = batch.column("last").to_numpy()
+            for k, (at, end) in enumerate(zip(bounds, ends, strict=True)):
+                row = order[at]
+                own = held.setdefault((groups.dictionary[codes[row]].as_py(), int(start[row])),
+                                      [float(last[row]), 0, np.zeros(totals.shape[1])])
+                own[1] += int(end - at)
+                own[2] = own[2] + totals[k]
+            if len(held) > HELD_GROUPS:
+                yield taken()
+        yield taken()
+
+    parts = rows.select("grp", "start", "last", *AXES, *limits).mapInArrow(run, schema)
+    return parts.groupBy("grp", "start").agg(
+        F.first("last").alias("last"), F.sum("n").alias("n"),
+        F.collect_list("totals").alias("totals"))
 
 
 def _estimates(moments: DataFrame, centred: bool) -> DataFrame:
@@ -198,9 +273,10 @@ def _estimates(moments: DataFrame, centred: bool) -> DataFrame:
         for batch in batches:
             out = {name: [] for name in target.names}
             for row in batch.to_pylist():
-                mean = np.array(row["sums"]) / row["n"]
+                totals = np.sum(row["totals"], axis=0)
+                mean = totals[:size] / row["n"]
                 scatter = np.zeros((size, size))
-                for (i, j), value in zip(PAIRS, row["products"], strict=True):
+                for (i, j), value in zip(PAIRS, totals[size:], strict=True):
                     scatter[i, j] = scatter[j, i] = value / row["n"] - mean[i] * mean[j]
                 if not centred:  # a start: correlations of squashed values around the median
                     scale = np.sqrt(np.maximum(np.diag(scatter), 1e-3))
@@ -227,13 +303,15 @@ def _distance(axes: list[Column]) -> Column:
 def _concentrated(axes: DataFrame, few: bool = True) -> DataFrame:
     """(grp, centre, inverse): the estimate of smallest determinant per group.
 
-    A step is two jobs over the rows, each with one join. What a step finds stays in its own written
-    frame, and all are read together at the end: a plan never holds the steps before it.
+    A step reads the rows twice and is written once. What a step finds stays in its own written
+    frame, and all are read together at the end: a plan never holds the steps before it. Distances
+    and moments are made by numpy; as expressions they make plans and code of hundreds of terms,
+    which take the driver's memory.
     """
-    size, columns = len(AXES), [F.col(name) for name in AXES]
+    size = len(AXES)
     endless = F.lit(float("inf"))
-    squashed = _estimates(_moments(axes.withColumn("start", F.lit(1)), [
-        F.tanh(column) for column in columns], endless), centred=False).drop("last")
+    squashed = _estimates(_moments(axes.withColumns({"start": F.lit(1), "last": endless}),
+                                   squash=True), centred=False).drop("last")
     apart = squashed.select(  # the other start: each axis on its own
         "grp", F.lit(0).alias("start"), F.array(*[F.lit(0.0)] * size).alias("centre"),
         F.array(*(F.lit(float(i == j)) for i in range(size) for j in range(size)))
@@ -241,12 +319,11 @@ def _concentrated(axes: DataFrame, few: bool = True) -> DataFrame:
     falling = written(squashed.unionByName(apart).withColumn("volume", endless))
     steps = [falling.limit(0).withColumn("step", F.lit(0))]
     while not falling.isEmpty():
-        distances = _joined(axes, falling, few).withColumn("d2", _distance(columns))
-        reach = written(distances.groupBy("grp", "start").agg(
-            F.percentile_approx("d2", COVERAGE, RANK_ERROR).alias("reach"),
-            *(F.first(name).alias(name) for name in ("centre", "inverse", "volume"))))
-        inside = _joined(axes, reach, few).where(_distance(columns) <= F.col("reach"))
-        step = written(_estimates(_moments(inside, columns, F.col("volume")), centred=True))
+        reach = _distances(_joined(axes, falling, few)).groupBy("grp", "start").agg(
+            F.percentile_approx("d2", COVERAGE, RANK_ERROR).alias("reach"))
+        limits = reach.join(F.broadcast(falling) if few else falling, ["grp", "start"])
+        inside = _joined(axes, limits.withColumnRenamed("volume", "last"), few)
+        step = written(_estimates(_moments(inside), centred=True))
         # Quantiles are approximate, so a step may also rise; what has settled is not stepped again.
         falling = step.where(F.col("volume") < F.col("last") - SETTLED).drop("last")
         steps.append(falling.withColumn("step", F.lit(len(steps))))
@@ -273,11 +350,11 @@ def fit(found: DataFrame, language: str = "lang", source: str = "source",
     rows = found.where("NOT base_failed").select(
         _group_name(F.col(language), F.col(source)).alias("name"),
         F.col(language).cast("string").alias("language"), *COUNTS)
-    names = written(_groups(rows, min_group))
+    names = _groups(rows, min_group)
     # Two starts for each group, and no more groups than names.
     few = 2 * names.limit(BROADCAST_ROWS).count() <= BROADCAST_ROWS
-    grouped = written(join_small(
-        rows.drop("language").withColumnRenamed("name", "_name"), names,
+    grouped = written(rows.drop("language").withColumnRenamed("name", "_name").join(
+        F.broadcast(names) if few else names,
         F.col("_name") == F.col("name")).drop("_name", "name"))
     ratios = written(grouped.groupBy("grp").agg(F.array(*(
         F.sum(counted) / F.greatest(F.sum(of), F.lit(1))
@@ -286,18 +363,18 @@ def fit(found: DataFrame, language: str = "lang", source: str = "source",
         "grp", *(_share(i, F.col("ratio")[i]).alias(name) for i, name in enumerate(AXES))))
     middle = written(shares.groupBy("grp").agg(F.array(*(
         F.percentile_approx(name, 0.5, RANK_ERROR) for name in AXES)).alias("middle")))
-    spread = written(_joined(shares, middle, few).groupBy("grp").agg(F.array(*(
+    spread = _joined(shares, middle, few).groupBy("grp").agg(F.array(*(
         F.greatest(1.4826 * F.percentile_approx(F.abs(F.col(name) - F.col("middle")[i]), 0.5,
                                                 RANK_ERROR), F.lit(SHARES[i][3]))
-        for i, name in enumerate(AXES))).alias("spread")))
-    scales = ratios.join(middle, "grp").join(spread, "grp")
+        for i, name in enumerate(AXES))).alias("spread"))
+    scales = written(ratios.join(middle, "grp").join(spread, "grp"))
     axes = written(_joined(shares, scales.drop("ratio"), few).select("grp", *(
         ((F.col(name) - F.col("middle")[i]) / F.col("spread")[i]).alias(name)
         for i, name in enumerate(AXES))))
     best = written(_concentrated(axes, few))
-    scale = _joined(axes, best, few).groupBy("grp").agg(F.greatest(
-        F.percentile_approx(_distance([F.col(name) for name in AXES]), 0.5, RANK_ERROR)
-        / _chi2_median(len(AXES)), F.lit(1.0)).alias("scale"))
+    scale = _distances(_joined(axes, best, few).withColumn("start", F.lit(0))).groupBy("grp").agg(
+        F.greatest(F.percentile_approx("d2", 0.5, RANK_ERROR) / _chi2_median(len(AXES)),
+                   F.lit(1.0)).alias("scale"))
     return written(names.join(scales, "grp").join(best, "grp").join(scale, "grp").drop("grp"))
 
 
