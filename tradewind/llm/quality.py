@@ -23,12 +23,14 @@ A NULL text has no words. A NULL language or source is a group of its own.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations_with_replacement
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,42 +183,83 @@ def _joined(rows: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
 HELD_GROUPS = 10_000
 
 
-def _values(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array([batch.column(name).to_numpy(zero_copy_only=False) for name in AXES])
+def _given(rows: DataFrame, estimates: DataFrame, few: bool) -> tuple[DataFrame, Broadcast | None]:
+    """The rows and, if they are few, the estimates for the tasks; else the rows joined with them.
 
-
-def _squared(batch: pa.RecordBatch) -> np.ndarray:
+    A row takes 600 bytes with its estimate, so few estimates don't travel with the rows.
+    """
+    if not few:
+        return _joined(rows, estimates, few), None
+    found = estimates.collect()
+    table = {name: np.array([row[name] for row in found]) for name in estimates.columns
+             if name != "grp"}
+    places = {(row["grp"], row["start"]): i for i, row in enumerate(found)}
+    return rows, rows.sparkSession.sparkContext.broadcast((places, table))
+
+
+def _parts(batch: pa.RecordBatch, given: Broadcast | None) -> Iterator[dict]:
+    """The groups, axes and estimates of a batch's rows, once for each start."""
+    groups = batch.column("grp").dictionary_encode()
+    codes, known = groups.indices.to_numpy(), groups.dictionary.to_pylist()
+    values = np.array([batch.column(name).to_numpy(zero_copy_only=False) for name in AXES])
+    if given is None:
+        found = {name: batch.column(name) for name in batch.schema.names
+                 if name not in ("grp", *AXES)}
+        yield {"known": known, "codes": codes, "values": values} | {
+            name: column.flatten().to_numpy().reshape(len(column), -1)
+            if pa.types.is_list(column.type) else column.to_numpy()
+            for name, column in found.items()}
+        return
+    places, table = given.value
+    for start in (0, 1):
+        place = np.array([places.get((name, start), -1) for name in known], int)[codes]
+        inside = place >= 0
+        yield {"known": known, "codes": codes[inside], "values": values[:, inside]} | {
+            name: column[place[inside]] for name, column in table.items()}
+
+
+def _squared(part: dict) -> np.ndarray:
     """Squared Mahalanobis distances of the axes from ``centre`` by ``inverse``, term by term as
     :func:`_distance` adds them, so that a row has one distance wherever it is computed."""
-    size = len(AXES)
-    apart = _values(batch) - batch.column("centre").flatten().to_numpy().reshape(-1, size).T
-    inverse = batch.column("inverse").flatten().to_numpy().reshape(-1, size * size).T
+    size, inverse = len(AXES), part["inverse"].T
+    apart = part["values"] - part["centre"].T
     return sum(((1 if i == j else 2) * inverse[i * size + j] * apart[i] * apart[j]
-                for i, j in PAIRS), np.zeros(batch.num_rows))
+                for i, j in PAIRS), np.zeros(apart.shape[1]))
 
 
-def _distances(rows: DataFrame) -> DataFrame:
-    """(grp, start, d2) of rows with axes, ``centre`` and ``inverse``."""
+def _distances(rows: DataFrame, estimates: DataFrame, few: bool) -> DataFrame:
+    """(grp, start, d2) of the axes of rows for each estimate of their group."""
     schema = "grp string, start int, d2 double"
     target = arrow_schema(schema)
     importable(rows.sparkSession)
+    rows, given = _given(rows, estimates, few)
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("grp"), batch.column("start"), pa.array(_squared(batch))],
-                schema=target)
+            for part in _parts(batch, given) if batch.num_rows else ():
+                names = pa.array(part["known"], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(part["codes"])), pa.array(part["start"], pa.int32()),
+                     pa.array(_squared(part))], schema=target)
 
-    return rows.select("grp", "start", *AXES, "centre", "inverse").mapInArrow(run, schema)
+    columns = [] if given else ["start", "centre", "inverse"]
+    return rows.select("grp", *AXES, *columns).mapInArrow(run, schema)
 
 
-def _moments(rows: DataFrame, squash: bool = False) -> DataFrame:
-    """(grp, start, last, n, totals) of the rows, those within ``reach`` if they have one: sums and
-    products of the axes, an array for each task; ``last`` is the same in all rows of a start."""
+def _moments(rows: DataFrame, limits: DataFrame | None = None, few: bool = True) -> DataFrame:
+    """(grp, start, last, n, totals): sums and products of the axes, an array for each task, over
+    the rows within ``reach`` of their estimate in ``limits``. Without limits the axes of all rows
+    are squashed, for the start from them. ``last`` is the same in all of a start."""
     schema = "grp string, start int, last double, n bigint, totals array<double>"
     target = arrow_schema(schema)
     importable(rows.sparkSession)
-    limits = ["centre", "inverse", "reach"] if "reach" in rows.columns else []
+    if limits is None:
+        rows, given = rows.withColumns({"start": F.lit(1), "last": F.lit(float("inf"))}), None
+        columns = ["start", "last"]
+    else:
+        rows, given = _given(rows, limits, few)
+        columns = [] if given else ["start", "last", "reach", "centre", "inverse"]
+    squash = limits is None
 
     def run(batches):
         held: dict[tuple[str, int], list] = {}
@@ -229,33 +272,29 @@ def _moments(rows: DataFrame, squash: bool = False) -> DataFrame:
                 schema=target)
 
         for batch in batches:
-            if limits:
-                batch = batch.filter(pa.array(
-                    _squared(batch) <= batch.column("reach").to_numpy(zero_copy_only=False)))
-            if not batch.num_rows:
-                continue
-            groups = batch.column("grp").dictionary_encode()
-            codes = groups.indices.to_numpy()
-            start = batch.column("start").to_numpy()
-            order = np.lexsort((start, codes))
-            bounds, ends = group_bounds(codes[order] * 2 + start[order])  # two starts
-            values = _values(batch)[:, order]
-            if squash:
-                values = np.tanh(values)
-            totals = np.array([np.add.reduceat(value, bounds) for value in (
-                *values, *(values[i] * values[j] for i, j in PAIRS))]).T
-            last = batch.column("last").to_numpy()
-            for k, (at, end) in enumerate(zip(bounds, ends, strict=True)):
-                row = order[at]
-                own = held.setdefault((groups.dictionary[codes[row]].as_py(), int(start[row])),
-                                      [float(last[row]), 0, np.zeros(totals.shape[1])])
-                own[1] += int(end - at)
-                own[2] = own[2] + totals[k]
-            if len(held) > HELD_GROUPS:
-                yield taken()
+            for part in _parts(batch, given) if batch.num_rows else ():
+                values, codes, start = part["values"], part["codes"], part["start"]
+                inside = (np.ones(len(codes), bool) if squash
+                          else _squared(part) <= part["reach"])
+                chosen = np.flatnonzero(inside)
+                chosen = chosen[np.lexsort((start[chosen], codes[chosen]))]
+                if not len(chosen):
+                    continue
+                values = np.tanh(values[:, chosen]) if squash else values[:, chosen]
+                bounds, ends = group_bounds(2 * codes[chosen].astype(np.int64) + start[chosen])
+                totals = np.array([np.add.reduceat(value, bounds) for value in (
+                    *values, *(values[i] * values[j] for i, j in PAIRS))]).T
+                for k, (at, end) in enumerate(zip(bounds, ends, strict=True)):
+                    row = chosen[at]
+                    own = held.setdefault((part["known"][codes[row]], int(start[row])),
+                                          [float(part["last"][row]), 0, 0.0])
+                    own[1] += int(end - at)
+                    own[2] = own[2] + totals[k]
+                if len(held) > HELD_GROUPS:
+                    yield taken()
         yield taken()
 
-    parts = rows.select("grp", "start", "last", *AXES, *limits).mapInArrow(run, schema)
+    parts = rows.select("grp", *AXES, *columns).mapInArrow(run, schema)
     return parts.groupBy("grp", "start").agg(
         F.first("last").alias("last"), F.sum("n").alias("n"),
         F.collect_list("totals").alias("totals"))
@@ -310,8 +349,7 @@ def _concentrated(axes: DataFrame, few: bool = True) -> DataFrame:
     """
     size = len(AXES)
     endless = F.lit(float("inf"))
-    squashed = _estimates(_moments(axes.withColumns({"start": F.lit(1), "last": endless}),
-                                   squash=True), centred=False).drop("last")
+    squashed = _estimates(_moments(axes), centred=False).drop("last")
     apart = squashed.select(  # the other start: each axis on its own
         "grp", F.lit(0).alias("start"), F.array(*[F.lit(0.0)] * size).alias("centre"),
         F.array(*(F.lit(float(i == j)) for i in range(size) for j in range(size)))
@@ -319,11 +357,11 @@ def _concentrated(axes: DataFrame, few: bool = True) -> DataFrame:
     falling = written(squashed.unionByName(apart).withColumn("volume", endless))
     steps = [falling.limit(0).withColumn("step", F.lit(0))]
     while not falling.isEmpty():
-        reach = _distances(_joined(axes, falling, few)).groupBy("grp", "start").agg(
+        reach = _distances(axes, falling, few).groupBy("grp", "start").agg(
             F.percentile_approx("d2", COVERAGE, RANK_ERROR).alias("reach"))
         limits = reach.join(F.broadcast(falling) if few else falling, ["grp", "start"])
-        inside = _joined(axes, limits.withColumnRenamed("volume", "last"), few)
-        step = written(_estimates(_moments(inside), centred=True))
+        step = written(_estimates(_moments(
+            axes, limits.withColumnRenamed("volume", "last"), few), centred=True))
         # Quantiles are approximate, so a step may also rise; what has settled is not stepped again.
         falling = step.where(F.col("volume") < F.col("last") - SETTLED).drop("last")
         steps.append(falling.withColumn("step", F.lit(len(steps))))
@@ -372,7 +410,7 @@ def fit(found: DataFrame, language: str = "lang", source: str = "source",
         ((F.col(name) - F.col("middle")[i]) / F.col("spread")[i]).alias(name)
         for i, name in enumerate(AXES))))
     best = written(_concentrated(axes, few))
-    scale = _distances(_joined(axes, best, few).withColumn("start", F.lit(0))).groupBy("grp").agg(
+    scale = _distances(axes, best.withColumn("start", F.lit(0)), few).groupBy("grp").agg(
         F.greatest(F.percentile_approx("d2", 0.5, RANK_ERROR) / _chi2_median(len(AXES)),
                    F.lit(1.0)).alias("scale"))
     return written(names.join(scales, "grp").join(best, "grp").join(scale, "grp").drop("grp"))
