@@ -69,6 +69,46 @@ def test_chunks_equal_the_library(tokenizer):
         assert np.array(plain, "<u4").tobytes() == ids
 
 
+def test_parts_equal_the_library(tokenizer):
+    marks = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"
+    rng = random.Random(3)
+    ends = ["\n", "\n\n", "\n\n\n", " \n", "\n ", ",\nword", ".\n\nword", "!\n\n\n word"]
+    texts = [f"{lead}word{end}" for lead in ("", " ", "\n", "\n\n", "\n \n", "\t")
+             for end in ends]
+    texts += ["x<|endoftext|>", "<|endoftext|>.\n<|endoftext|>", "a <|endoftext|>, b.",
+              "a <|endoftext|, b.", "it's 'll'. don'. n't, 's.' x'.y", "x's,'t. 'S\n's",
+              "12,3. 4', 5\n6!", "...\n...,x..", "\x1c, \x1c. a\x1c.\n\x1cb",
+              "\u3000. a\u3000,\n\u3000", "e\u0301, \u0301. \u0e33."]
+    texts += ["".join(rng.choice(["a", "é", "7", " ", " ", "\n", "\r", "\t", "\u2003", "'", "s",
+                                  *rng.sample(marks, 3)]) for _ in range(rng.randint(1, 60)))
+              for _ in range(3000)]
+    # every character before a mark at the end of a word, and at the ends of lines
+    characters = "".join(every_character())
+    texts += [" ".join(c + "," for c in characters[i:i + 20_000])
+              for i in range(0, len(characters), 20_000)]
+    texts += ["\n".join("b" + c for c in characters[i:i + 20_000])
+              for i in range(0, len(characters), 20_000)]
+    found = packing._encoder(read_file(BYTE_BPE_JSON))(texts)
+    for text, ids in zip(texts, found, strict=True):
+        plain = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.array(plain, "<u4").tobytes() == ids, text[:80]
+
+
+def test_words_are_encoded_once_whatever_marks_follow():
+    asked = []
+
+    def encode(parts):
+        asked.extend(parts)
+        return [part.encode().ljust(4 * len(part), b"_") for part in parts]
+    encoder = chunks.PartEncoder(encode, whole=("<e>",))
+    texts = ["word word, word. word!\nword: word.\nword?", None, "", "word, word\nword.\nword <e>"]
+    encoder(texts)
+    assert sorted(asked) == ["", "\n!", "\n,", "\n.", "\n:", "\n?", "\nword", " <e>", " word"]
+    again = len(asked)
+    assert encoder(texts) == encoder(texts) and len(asked) == again
+    assert encoder([None, ""]) == [b"", b""] and encoder([]) == []
+
+
 def test_perfect_hash_is_minimal():
     keys = [str(i).encode() for i in range(3000)]
     table = bpe.MinimalPerfectHash(keys)

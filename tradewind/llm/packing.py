@@ -33,24 +33,24 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tradewind.llm.batches import arrow_schema, importable, map_texts
-from tradewind.llm.chunks import ChunkEncoder
+from tradewind.llm.chunks import PartEncoder
 from tradewind.llm.vocabulary import BYTE_BPE_JSON, read_file
 from tradewind.operators.lineage import written
 
 CAPACITY = 1024
 END_TOKEN = 2
-SPACE = "\u0120"  # how the vocabulary writes a space
-CHUNKS_AT_ONCE = 2_000  # an encoding holds far more than the ids
-MEMO_KEYS = 400_000  # chunks and their ids, some 80 MB per worker, up to twice over
+BLANKS = "\u0120\u010a"  # how the vocabulary writes a space and a line feed
+PARTS_AT_ONCE = 2_000  # an encoding holds far more than the ids
+MEMO_KEYS = 400_000  # parts and their ids, some 80 MB per worker, up to twice over
 # Pieces of one length are ranked in groups of about this size, each a window of its own.
 ROWS_PER_RANKING = 200_000
 
-_READY: dict[str, ChunkEncoder] = {}
+_READY: dict[str, PartEncoder] = {}
 
 
-def _encoder(content: bytes) -> ChunkEncoder:
+def _encoder(content: bytes) -> PartEncoder:
     """Ids by the tokenizers library as it stands: strings of special tokens in a text are those
-    tokens. They hold no white space, so that no cut parts them."""
+    tokens. They hold no white space, so that no cut at white space parts them."""
     key = hashlib.sha256(content).hexdigest()
     if key not in _READY:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
@@ -58,34 +58,36 @@ def _encoder(content: bytes) -> ChunkEncoder:
         _READY.clear()
 
         vocabulary = tokenizer.get_vocab()
-        opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
-        opens[[number for token, number in vocabulary.items() if token[0] == SPACE]] = True
+        opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a blank
+        opens[[number for token, number in vocabulary.items() if token[0] in BLANKS]] = True
 
         def ids_of(texts: list[str]) -> list[list[int]]:
             return [encoding.ids for encoding in tokenizer.encode_batch_fast(
                 texts, add_special_tokens=False)]
 
-        def encode(chunks: list[str]) -> list[bytes]:
-            found = [b""] * len(chunks)
+        def encode(parts: list[str]) -> list[bytes]:
+            found = [b""] * len(parts)
             words, others = [], []
-            for at, chunk in enumerate(chunks):
-                plain = chunk[:1] == " " and chunk.split() == [chunk[1:]]
+            for at, part in enumerate(parts):
+                plain = part[:1] in (" ", "\n") and part.split() == [part[1:]]
                 (words if plain else others).append(at)
-            for start in range(0, len(others), CHUNKS_AT_ONCE):
-                part = others[start:start + CHUNKS_AT_ONCE]
-                for at, ids in zip(part, ids_of([chunks[i] for i in part]), strict=True):
+            for start in range(0, len(others), PARTS_AT_ONCE):
+                several = others[start:start + PARTS_AT_ONCE]
+                for at, ids in zip(several, ids_of([parts[i] for i in several]), strict=True):
                     found[at] = struct.pack(f"<{len(ids)}I", *ids)
             # Words can be encoded as one text: each begins with the only tokens that open with
-            # a space.
-            for start in range(0, len(words), CHUNKS_AT_ONCE):
-                part = words[start:start + CHUNKS_AT_ONCE]
-                ids = np.array(ids_of(["".join([chunks[i] for i in part])])[0], "<u4")
+            # a space or a line feed.
+            for start in range(0, len(words), PARTS_AT_ONCE):
+                several = words[start:start + PARTS_AT_ONCE]
+                ids = np.array(ids_of(["".join([parts[i] for i in several])])[0], "<u4")
                 packed, bounds = ids.tobytes(), (4 * np.flatnonzero(opens[ids])).tolist()
-                for at, first, last in zip(part, bounds, [*bounds[1:], len(packed)], strict=True):
+                for at, first, last in zip(several, bounds, [*bounds[1:], len(packed)],
+                                           strict=True):
                     found[at] = packed[first:last]
             return found
 
-        _READY[key] = ChunkEncoder(encode, MEMO_KEYS)
+        special = tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
+        _READY[key] = PartEncoder(encode, MEMO_KEYS, special)
     return _READY[key]
 
 
