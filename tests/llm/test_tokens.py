@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from conftest import SMALL
 from tradewind.llm import bpe, chunks, packing, queries
+from tradewind.llm.batches import map_texts
 from tradewind.llm.vocabulary import (
     BYTE_BPE_JSON,
     BYTE_BPE_RANKS,
@@ -268,3 +269,18 @@ def test_packing_query(spark, tokenizer):
                        for row, e in zip(documents, encoded, strict=True)}
     sequences = {row.sequence_id for row in found}
     assert len(sequences) <= best_fit_decreasing([row.length for row in found], 1024)
+
+
+def test_workers_drop_the_memo_with_the_step(spark):
+    """Workers are used again by later steps, whose memory the memo of the packing step would take."""
+    def encoders(texts, _):
+        import gc
+
+        from tradewind.llm.chunks import PartEncoder
+        found = sum(isinstance(item, PartEncoder) for item in gc.get_objects())
+        return {"found": [found] * len(texts)}
+
+    rows = spark.range(64).selectExpr("id AS doc_id", "concat('word ', id) AS text").repartition(16)
+    assert packing.token_pieces(rows).count() == 64
+    held = map_texts(rows, "text", [], encoders, "found bigint")
+    assert {row.found for row in held.collect()} == {0}

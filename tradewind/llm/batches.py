@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -38,6 +42,39 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(parsed)
 
 
+# What the step a worker is at keeps from one task to the next, under the step's own key.
+_KEPT: dict[str, dict[str, Any]] = {}
+
+
+def begin(step: str) -> None:
+    """A task of ``step`` begins: what another step has kept in this worker goes.
+
+    Workers serve all steps of a session, so it would add up with that of later steps.
+    """
+    if step not in _KEPT:
+        _KEPT.clear()
+        _KEPT[step] = {}
+
+
+def kept_in_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a worker for the tasks of a step that follow each other."""
+    if not _KEPT:  # outside of a task
+        begin("")
+    held = next(iter(_KEPT.values()))
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
+def free_unused() -> None:
+    """Unused memory of Arrow and, where the C library can, of Python goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
               kernel: Callable[[list[str], dict[str, list]], dict[str, list]],
               schema: str, passed: list[Column] | None = None,
@@ -55,11 +92,13 @@ def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
     inner = rows.select(*passed, *keep, text.cast("string").alias("__text"))
     target, ahead = arrow_schema(schema), len(passed)
     importable(rows.sparkSession)
+    step = uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(step)
         for batch in batches:
-            lengths = np.cumsum([len(value) if value else 0
-                                 for value in batch.column(batch.num_columns - 1).to_pylist()])
+            lengths = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(batch.num_columns - 1)), 0),
+                                dtype=np.int64)
             start = 0
             while start < batch.num_rows:
                 before = lengths[start - 1] if start else 0
@@ -75,7 +114,8 @@ def map_texts(rows: DataFrame, text: str | Column, keep: list[Column],
                 start = end
         if rest is not None:
             yield pa.RecordBatch.from_pydict(rest(), schema=target)
-        pa.default_memory_pool().release_unused()  # a worker serves other tasks after this one
+        batch = part = kept = out = None
+        free_unused()  # a worker serves other tasks after this one
 
     return inner.mapInArrow(run, schema)
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tradewind.llm.batches import arrow_schema, importable, map_texts
+from tradewind.llm.batches import arrow_schema, importable, kept_in_worker, map_texts
 from tradewind.llm.chunks import PartEncoder
 from tradewind.llm.vocabulary import BYTE_BPE_JSON, read_file
 from tradewind.operators.lineage import written
@@ -45,18 +45,13 @@ MEMO_KEYS = 400_000  # parts and their ids, some 80 MB per worker, up to twice o
 # Pieces of one length are ranked in groups of about this size, each a window of its own.
 ROWS_PER_RANKING = 200_000
 
-_READY: dict[str, PartEncoder] = {}
-
 
 def _encoder(content: bytes) -> PartEncoder:
     """Ids by the tokenizers library as it stands: strings of special tokens in a text are those
     tokens. They hold no white space, so that no cut at white space parts them."""
-    key = hashlib.sha256(content).hexdigest()
-    if key not in _READY:
+    def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         tokenizer = Tokenizer.from_str(content.decode())
-        _READY.clear()
-
         vocabulary = tokenizer.get_vocab()
         opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a blank
         opens[[number for token, number in vocabulary.items() if token[0] in BLANKS]] = True
@@ -87,8 +82,9 @@ def _encoder(content: bytes) -> PartEncoder:
             return found
 
         special = tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
-        _READY[key] = PartEncoder(encode, MEMO_KEYS, special)
-    return _READY[key]
+        return PartEncoder(encode, MEMO_KEYS, special)
+
+    return kept_in_worker(hashlib.sha256(content).hexdigest(), make)
 
 
 def token_pieces(rows: DataFrame, text: str = "text", row_id: str = "doc_id",
