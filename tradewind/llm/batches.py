@@ -53,6 +53,7 @@ def begin(step: str) -> None:
     """
     if step not in _KEPT:
         _KEPT.clear()
+        free_unused()
         _KEPT[step] = {}
 
 
