@@ -278,3 +278,23 @@ def test_fact_from_the_rollup_is_the_same(spark, warehouse):
     assert len(expected) == 96
     assert rows_of(marts.fact_sales(tables, rows_per_split=7)) == expected
     assert rows_of(marts.fact_sales(plain, rows_per_split=7)) == expected
+
+
+@pytest.mark.parametrize("checked", [False, True])
+def test_gathered_orders_equal_orders_looked_up_one_by_one(warehouse, checked):
+    headers = [header(n, customerid=n % 3 or None, billtoaddressid=n % 4 or None,
+                      territoryid=n % 2 or None) for n in range(8)]
+    tables = {"salesorderheader": headers}
+    if not checked:  # repeated rows, ids with several headers or none, repeated addresses
+        tables = {"salesorderheader": headers * 2 + [
+            header(1, customerid=9), header(1, billtoaddressid=2, totaldue=Decimal("8.5")),
+            header(None, customerid=1)],
+                  "address": [{"addressid": 2, "stateprovinceid": n} for n in (5, 6, 7, 7)]}
+    found = warehouse(**tables)
+    found.keys_checked = checked
+    columns = ("customerfk", "locationfk", "creditcardfk", *marts.HEADER_COLUMNS,
+               *marts.LOCATION_COLUMNS)
+    names = ["salesorderid", *marts.NATURAL_KEYS, "customer_known", *columns[3:]]
+    expected = marts.order_rows(found, columns).where("salesorderid IS NOT NULL")
+    assert rows_of(marts.gathered_order_rows(found, columns).select(names)) == rows_of(
+        expected.select(names))

@@ -182,3 +182,18 @@ def test_orders_are_not_shuffled_again_for_their_reasons(no_broadcast, small):
     text = plan(small.mart("fact_sales"))
     dealt = re.findall(r"Exchange hashpartitioning\(\w+#\w+, _(?:right_)?part#\w+, \d+\)", text)
     assert len(dealt) == 3
+
+
+def test_lookups_of_the_fact_shuffle_only_the_ids_of_orders(no_broadcast, small):
+    text = plan(small.mart("fact_sales"))
+    for key in ("customerid", "billtoaddressid"):
+        below = text[text.index(f"Exchange hashpartitioning({key}#"):]
+        read = re.search(r"FileScan parquet \[([^\]]*)\][^\n]*orders\.parquet", below)[1]
+        assert set(re.sub(r"#\d+L?", "", read).split(",")) == {"o_orderkey", "o_custkey"}
+
+
+def test_reasons_are_gathered_as_ids(no_broadcast, small):
+    text = plan(small.mart("dim_reasons"))
+    links = text[:text.index("lineitem.parquet")]
+    gathered = links[links.rindex("partial_collect_set("):].split("\n")[0]
+    assert gathered.startswith("partial_collect_set(CASE WHEN known") and "name" not in gathered
