@@ -2,6 +2,8 @@
 
 import pytest
 
+from tradewind.functions.columns import packed, unpacked
+from tradewind.operators import quality
 from tradewind.operators.quality import (
     Checks,
     Reference,
@@ -87,3 +89,37 @@ def test_known_failures(built):
 def test_sources_pass(small):
     report = small.check_sources()
     assert report.count() == 32 and report.where("not passed").count() == 0
+
+
+@pytest.mark.parametrize("slots", [1, 1 << 20])
+def test_unique_of_written_rows_counts_the_same(rows, monkeypatch, slots):
+    monkeypatch.setattr(quality, "SLOTS", slots)  # in one slot all values are counted
+    columns = ["number", "letter", "parent"]
+    assert found(unique(rows, columns, written=True)) == found(unique(rows, columns))
+    assert found(unique(rows.limit(0), columns, written=True)) == dict.fromkeys(columns, 0)
+
+
+def test_unique_of_written_rows_shuffles_hashes_and_few_values(rows):
+    plan = unique(rows, ["letter"], written=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(hash#" in plan
+    assert "LeftSemi, BuildRight" in plan
+
+
+def test_relationships_tell_hashes_and_texts_apart(spark):
+    hashed = "0123456789abcdef" * 2
+    values = [hashed, hashed.upper(), hashed + "\n", hashed[:30], hashed[:15], "", "ação", None]
+    rows = spark.createDataFrame([(value,) for value in values], "name string")
+    for value in values[:-1]:
+        parents = spark.createDataFrame([(value,), (None,)], "name string")
+        assert found(relationships(rows, [Reference("name", "all", "name")],
+                                   {"all": parents}.get)) == {"name": 6}
+
+
+def test_packed_keys_come_back(spark):
+    hashed = "0123456789abcdef" * 2
+    values = [hashed, hashed.upper(), hashed + "\n", "a", "", "ação", None]
+    rows = spark.createDataFrame([(value,) for value in values], "name string")
+    kept = rows.select("name", packed("name").alias("bytes"))
+    assert kept.where("length(bytes) = 16").count() == 1
+    assert all(row.name == row.text for row in kept.select(
+        "name", unpacked("bytes").alias("text")).collect())

@@ -1,14 +1,17 @@
 """Building, reopening, catalog tables, SQL access and the source gate."""
 
+import re
+
 import pytest
 
 from conftest import SMALL, rows_of
 from test_marts import BASE, header, line
 from tradewind import Warehouse, build_warehouse, run_query
+from tradewind.operators.lineage import CLEANUP_SETTING
 from tradewind.operators.quality import run_checks
 from tradewind.plans import reports
 from tradewind.plans.checks import MART_CHECKS
-from tradewind.plans.marts import MARTS, ROLLUPS
+from tradewind.plans.marts import MARTS, ROLLUPS, product_totals
 from tradewind.plans.staging import STAGING
 from tradewind.plans.warehouse import SourceCheckError, _laid_out
 from tradewind.sources.feed import FEED, OrdersFeed
@@ -207,3 +210,29 @@ def test_tables_are_written_with_zstd(small, tmp_path):
     build_warehouse(small.spark, small.source, str(tmp_path))
     files = list(tmp_path.glob("v*/dim_products/*.parquet"))
     assert files and all(".zstd." in file.name for file in files)
+
+
+def test_shuffle_files_go_with_each_write_of_a_build(spark, source, tmp_path, monkeypatch):
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    seen = []
+
+    def totals(warehouse):
+        seen.append(spark.conf.get(CLEANUP_SETTING))
+        return product_totals(warehouse)
+
+    monkeypatch.setitem(ROLLUPS, "product_totals", totals)
+    build_warehouse(spark, source(**BASE, salesorderheader=[header(1)],
+                                  salesorderdetail=[line(1)]), str(tmp_path))
+    assert seen == ["true"] and spark.conf.get(CLEANUP_SETTING, None) == before
+
+
+def test_the_checks_of_a_build_shuffle_hashes_of_the_fact(spark, source, tmp_path):
+    build = build_warehouse(spark, source(**BASE, salesorderheader=[header(1)],
+                                          salesorderdetail=[line(1)]), str(tmp_path))
+    text = build.report._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(hash#" in text
+
+
+def test_product_totals_are_dealt_by_packed_keys(built):
+    text = product_totals(built)._jdf.queryExecution().executedPlan().toString()
+    assert "unhex(" in text and not re.search(r"Exchange hashpartitioning\(productfk#", text)
